@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lahar.llm import bpe, mixing
+from lahar.llm import bpe, media, mixing, neighbours
 from lahar.llm.sql import MIX_SQL
 
 
@@ -32,9 +32,30 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("shards")
 
 
+def op9_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media.encode_media(_table(spark, sf_dir, "documents"))
+    return media.read_media(stored).select(
+        "doc_id",
+        "n_bytes",
+        F.length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -16, 16)).alias("tail_crc32"),
+        F.length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
+def op10_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op8_mix_sources": op8_mix_sources,
+    "op9_flac_media": op9_flac_media,
+    "op10_block_nearest": op10_block_nearest,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_mix_sources": MIX_SQL}
