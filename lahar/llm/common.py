@@ -104,12 +104,12 @@ def cut_up(docs: DataFrame, ask: Callable, limit: int = CHUNK_BYTES) -> DataFram
     return docs.mapInArrow(run, PIECES)
 
 
-def answered(parts: DataFrame, partitions: int, answer: Callable, finish: Callable, schema: str) -> DataFrame:
+def answered(parts: DataFrame, partitions: int, answer: Callable, finish: Callable, schema: str | None) -> DataFrame:
     """Each bucket answers the questions of all chunks; then each chunk goes on with what it kept and its answers.
 
     answer([question, ...]) -> [answer, ...] in the same order; finish(kept, {bucket: answer}) -> record batches.
-    Every chunk asks every bucket, so finish can sum what buckets tell. What was kept is shuffled once: both
-    sides below read the same exchange.
+    Without a schema, finish gives (kept, questions) like ask, for another round. Every chunk asks every bucket, so
+    finish can sum what buckets tell. What was kept is shuffled once: both sides below read the same exchange.
     """
     dealt = parts.repartition(partitions, "key")
 
@@ -130,13 +130,17 @@ def answered(parts: DataFrame, partitions: int, answer: Callable, finish: Callab
             return empty
         kept = unpack(left.column("data")[0].as_py())
         got = {b: unpack(x.as_py()) for b, x in zip(right.column("bucket").to_pylist(), right.column("data"), strict=True)}
+        if schema is None:
+            chunk = left.column("chunk")[0].as_py()
+            return pa.Table.from_batches([_rows([row]) for row in pieces(chunk, *finish(kept, got))])
         return pa.Table.from_batches(list(finish(kept, got)), empty.schema)
 
-    empty = pa.Table.from_batches([], _arrow_schema(parts.sparkSession, schema))
-    return dealt.groupBy("key").cogroup(replies.groupBy("key")).applyInArrow(go_on, schema)
+    schema_out = schema or PIECES
+    empty = pa.Table.from_batches([], _arrow_schema(schema_out))
+    return dealt.groupBy("key").cogroup(replies.groupBy("key")).applyInArrow(go_on, schema_out)
 
 
-def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+def _arrow_schema(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
