@@ -97,15 +97,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def answer(questions):
         ranks = {t: i for i, t in enumerate(tokens.value)}
-        known: dict[bytes, list[int]] = {}
-        out = []
+        kind = np.uint16 if len(ranks) < 1 << 16 else np.int32
+        known: dict[bytes, bytes] = {}
         for words in questions:
             for w in words:
                 if w not in known:
-                    known[w] = encode_word(w, ranks)
+                    known[w] = np.array(encode_word(w, ranks), kind).tobytes()
+        size = np.dtype(kind).itemsize
+        for words in questions:
             got = [known[w] for w in words]
-            out.append((np.array([len(g) for g in got], np.int32), np.array([i for g in got for i in g], np.uint16 if len(ranks) < 65536 else np.int32)))
-        return out
+            yield np.array([len(g) // size for g in got], np.int32), np.frombuffer(b"".join(got), kind)
 
     def finish(kept, got) -> Iterator[pa.RecordBatch]:
         ids, sizes, codes, place = kept

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 #: A word is a run of anything but these six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
-CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 32 << 20
+CHUNK_BYTES = 5 << 20
+BUCKET_BYTES = 16 << 20
 PIECES = "key long, chunk long, bucket int, data binary"
 
 
@@ -38,6 +38,11 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
     return docs.agg(F.sum(F.octet_length(text_col).cast("long"))).head()[0] or 0
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches by bytes: rows hold whole texts, and ten thousand long ones wouldn't fit a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def pack(x) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(x, 5))
 
@@ -90,6 +95,8 @@ def cut_up(docs: DataFrame, ask: Callable, limit: int = CHUNK_BYTES) -> DataFram
     order, keys differ and the answers don't fit, which fails loudly instead of mixing two states.
     """
 
+    small_batches(docs.sparkSession)
+
     def run(batches):
         part = TaskContext.get().partitionId()
         for n, (ids, texts) in enumerate(chunks_of(batches, limit)):

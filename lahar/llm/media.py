@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lahar.llm.common import docs_in
+from lahar.llm.common import docs_in, small_batches
 
 UNIT = 192
 SEEK_FRAMES = 4
@@ -389,6 +389,8 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, n_bytes, media): each text's bytes, padded with spaces to a positive multiple of UNIT, as a FLAC stream."""
     source = docs_in(docs, id_col, text_col).select("id", F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("raw"))
 
+    small_batches(docs.sparkSession)
+
     def run(batches):
         for batch in _grouped(batches, "raw"):
             raw = batch.column(1).to_pylist()
