@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lahar.llm import bpe, media, mixing, neighbours, substrings
+from lahar.llm import bpe, langid, media, mixing, neighbours, substrings, toxicity
 from lahar.llm.sql import MIX_SQL
 
 
@@ -20,6 +20,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.repeated_words(_table(spark, sf_dir, "documents"), width=35))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), "toxic", folds=5, held=0)
+    return toxicity.score(docs, model).select("doc_id", (toxicity.fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, docs = _table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents")
+    html, url = F.col("html"), F.col("url")
+    return langid.identify(pages, langid.text_model(docs), ["page_id"], langid.page_text(html), langid.declared_in(html), langid.host_of(url))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -57,6 +69,8 @@ def op10_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op5_toxicity": op5_toxicity,
+    "op7_language_id": op7_language_id,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_mix_sources": op8_mix_sources,
     "op9_flac_media": op9_flac_media,
