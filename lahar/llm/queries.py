@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lahar.llm import bpe, langid, media, mixing, neighbours, substrings, toxicity
-from lahar.llm.sql import MIX_SQL
+from lahar.llm import bpe, langid, lines, media, mixing, neighbours, substrings, toxicity
+from lahar.llm.sql import LINES_SQL, MIX_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.repeated_words(_table(spark, sf_dir, "documents"), width=35))
 
 
+def op2_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(lines.dedup_lines(_table(spark, sf_dir, "documents")))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"), "toxic", folds=5, held=0)
@@ -69,6 +73,7 @@ def op10_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_template_lines": op2_template_lines,
     "op5_toxicity": op5_toxicity,
     "op7_language_id": op7_language_id,
     "op6_byte_bpe": op6_byte_bpe,
@@ -77,4 +82,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_block_nearest": op10_block_nearest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_mix_sources": MIX_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_template_lines": LINES_SQL, "op8_mix_sources": MIX_SQL}
