@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lahar.llm import bpe, langid, lines, media, mixing, neighbours, substrings, toxicity
+from lahar.llm import bpe, langid, lines, media, mixing, neardup, neighbours, substrings, toxicity
 from lahar.llm.sql import LINES_SQL, MIX_SQL
 
 
@@ -24,6 +24,10 @@ def op2_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(lines.dedup_lines(_table(spark, sf_dir, "documents")))
 
 
+def op3_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=5, percent=85)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"), "toxic", folds=5, held=0)
@@ -74,6 +78,7 @@ def op10_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_template_lines": op2_template_lines,
+    "op3_minhash_near": op3_minhash_near,
     "op5_toxicity": op5_toxicity,
     "op7_language_id": op7_language_id,
     "op6_byte_bpe": op6_byte_bpe,
