@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lahar.llm import bpe, langid, lines, media, mixing, neardup, neighbours, substrings, toxicity
+from lahar.llm import bpe, langid, lines, maxent, media, mixing, neardup, neighbours, substrings, toxicity
 from lahar.llm.sql import LINES_SQL, MIX_SQL
 
 
@@ -28,6 +28,10 @@ def op3_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=5, percent=85)
 
 
+def op4_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(_table(spark, sf_dir, "documents"), folds=7, held=2)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"), "toxic", folds=5, held=0)
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_template_lines": op2_template_lines,
     "op3_minhash_near": op3_minhash_near,
+    "op4_maxent_scores": op4_maxent_scores,
     "op5_toxicity": op5_toxicity,
     "op7_language_id": op7_language_id,
     "op6_byte_bpe": op6_byte_bpe,
