@@ -60,34 +60,28 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
     if len(y) == 0 or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
         return Model(np.zeros(SUBWORDS, np.float32), float(np.log(share / (1 - share))))
-    number: dict[bytes, int] = {}
-    doc, word, share = [], [], []
+    grams: dict[bytes, np.ndarray] = {}
+    rows, cols, values = [], [], []
     for d, t in enumerate(texts):
-        own: dict[int, int] = {}
+        words: dict[bytes, int] = {}
         for w in t.split():
-            i = number.setdefault(w, len(number))
-            own[i] = own.get(i, 0) + 1
-        total = sum(own.values())
-        doc += [d] * len(own)
-        word += own.keys()
-        share += [c / total for c in own.values()]
-    grams = [subwords(w) for w in number]
-    sizes = np.array([len(g) for g in grams])
-    gram = np.array([i for g in grams for i in g], np.int64)
-    of_word = np.repeat(np.arange(len(grams)), sizes)
-    part = (1 / sizes)[of_word].astype(np.float32)
-    doc, word, share = np.array(doc, np.int64), np.array(word, np.int64), np.array(share, np.float32)
-    # what a text holds of each subword; pairs with the same text and subword are joined
-    first = np.concatenate([[0], np.cumsum(sizes)])
-    reps = sizes[word]
-    at = np.repeat(first[word] - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())
-    key = np.repeat(doc, reps) * SUBWORDS + gram[at]
-    key, where = np.unique(key, return_inverse=True)
-    value = np.bincount(where, np.repeat(share, reps) * part[at]).astype(np.float32)
-    row, col = key // SUBWORDS, key % SUBWORDS
+            words[w] = words.get(w, 0) + 1
+            if w not in grams:
+                grams[w] = np.array(subwords(w), np.int32)
+        if words:
+            own = [grams[w] for w in words]
+            share = np.repeat([c / len(g) for c, g in zip(words.values(), own, strict=True)], [len(g) for g in own]) / sum(words.values())
+            col, where = np.unique(np.concatenate(own), return_inverse=True)
+            rows.append(np.full(len(col), d, np.int32))
+            cols.append(col)
+            values.append((np.bincount(where, share) * SCALE).astype(np.float32))
+    del grams
+    row, col, value = (np.concatenate(x) if x else np.empty(0, k) for x, k in ((rows, np.int32), (cols, np.int32), (values, np.float32)))
     seen = np.bincount(col, minlength=SUBWORDS) >= MIN_TEXTS
-    row, col, value = row[seen[col]], col[seen[col]], value[seen[col]] * SCALE
+    keep = seen[col]
+    row, col, value = row[keep], col[keep], value[keep]
     used, col = np.unique(col, return_inverse=True)
+    col = col.astype(np.int32)
     rng = np.random.default_rng(seed)
     turn = rng.permutation(len(y))
     place = np.argsort(turn)
@@ -100,7 +94,9 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
         own, local = np.unique(col[i:j], return_inverse=True)
         by_own = np.argsort(local, kind="stable")
         lines, starts = np.unique(row[i:j] - at, return_index=True)
-        batches.append((y[at : at + BATCH].astype(np.int64), own, local, value[i:j, None], lines, starts, (row[i:j] - at)[by_own], by_own, np.searchsorted(local[by_own], np.arange(len(own)))))
+        sorted_starts = np.searchsorted(local[by_own], np.arange(len(own)))
+        small = lambda x: x.astype(np.int32)
+        batches.append((y[at : at + BATCH].astype(np.int64), small(own), small(local), value[i:j, None], lines, starts, small((row[i:j] - at)[by_own]), small(by_own), sorted_starts))
     table = rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32)
     out = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
@@ -133,13 +129,21 @@ def fold(id_col: str, folds: int):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)).cast("int")
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str, folds: int = 5, held: int = 0, max_rows: int = 6000, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def train(docs: DataFrame, labels: DataFrame, label_col: str, folds: int = 5, held: int = 0, max_rows: int = 3000, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on at most max_rows labelled documents outside the held-out fold."""
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("label_id"), F.col(label_col).cast("int").alias("label"))
     known = known.where(fold("label_id", folds) != held).orderBy(F.xxhash64("label_id"), "label_id", "label").limit(max_rows)
     rows = docs_in(docs, id_col, text_col).join(F.broadcast(known), F.col("id") == F.col("label_id")).select("id", "text", "label")
-    got = sorted(((r.id, r.text or "", r.label) for r in rows.orderBy(F.xxhash64("id"), "id").limit(max_rows).toLocalIterator()))
-    return fit([t.encode() for _, t, _ in got], [label for _, _, label in got])
+    rows = rows.orderBy(F.xxhash64("id"), "id").limit(max_rows)
+
+    def fit_rows(batches):
+        got = sorted(r for batch in batches for r in zip(batch.column(0).to_pylist(), (t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()), batch.column(2).to_pylist(), strict=True))
+        model = fit([t for _, t, _ in got], [y for _, _, y in got])
+        yield pa.RecordBatch.from_arrays([pa.array([model.weight.tobytes()], pa.binary()), pa.array([model.bias])], ["weight", "bias"])
+
+    # the bounded sample is fitted by one task, so the driver only sees the model
+    got = rows.coalesce(1).mapInArrow(fit_rows, "weight binary, bias double").head()
+    return Model(np.frombuffer(bytes(got.weight), np.float32), got.bias) if got else fit([], [])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
