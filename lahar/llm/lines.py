@@ -21,8 +21,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from lahar.llm.common import CHUNK_BYTES, answered, buckets_for, cut_up, docs_in, spread, text_bytes
+from lahar.llm.common import CHUNK_BYTES, answered, buckets_for, cut_up, spread, text_bytes
 from lahar.llm.substrings import _joined, _split
 
 FIELD = b"<*>"
@@ -88,17 +90,18 @@ def _unzip(kept) -> tuple[list, list[bytes], np.ndarray]:
     return ids, _split(zstandard.ZstdDecompressor().decompress(packed), sizes), sizes
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_tokens: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, n_lines, n_removed, kept): every row, with its remaining lines joined by newlines."""
-    return dedup_lines_of(docs_in(docs, id_col, text_col), docs.sparkSession, min_docs, share, min_tokens).withColumnRenamed("id", id_col)
-
-
-def dedup_lines_of(source: DataFrame, spark, min_docs: int, share: float, min_tokens: int) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_tokens: int = 3, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, *carry, text, n_lines, n_removed, kept): every row, with its remaining lines joined by newlines."""
+    names = [f"c{k}" for k in range(len(carry))]
+    row = F.struct(F.col(id_col).cast("long").alias("id"), *[F.col(c).alias(k) for c, k in zip(carry, names, strict=True)])
+    source = docs.select(row.alias("id"), F.col(text_col).cast("string").alias("text"))
+    kind = source.schema["id"].dataType
+    own = to_arrow_schema(StructType([source.schema["id"]])).field(0).type
     n = buckets_for(text_bytes(source, "text"))
 
     def by_doc(ids, texts):
         for i, t in zip(ids, texts, strict=True):
-            yield NO_ID if i is None else i, [(w, line) for line in (t or b"").split(b"\n") if len(w := line.split()) >= min_tokens]
+            yield NO_ID if i["id"] is None else i["id"], [(w, line) for line in (t or b"").split(b"\n") if len(w := line.split()) >= min_tokens]
 
     def ask(ids, texts):
         """How many documents have a line in each leaf."""
@@ -148,8 +151,8 @@ def dedup_lines_of(source: DataFrame, spark, min_docs: int, share: float, min_to
         known = _answers(asked, got)
         ids, texts, sizes = _unzip(kept)
         out, size = [], 0
-        for i, t, s, own in zip(ids, texts, sizes.tolist(), held, strict=True):
-            doc, marks = NO_ID if i is None else i, iter(own)
+        for i, t, s, marked in zip(ids, texts, sizes.tolist(), held, strict=True):
+            doc, marks = NO_ID if i["id"] is None else i["id"], iter(marked)
             lines = t.split(b"\n")
             stay = []
             for line in lines:
@@ -159,21 +162,22 @@ def dedup_lines_of(source: DataFrame, spark, min_docs: int, share: float, min_to
             out.append((i, None if s < 0 else t, len(lines), len(lines) - len(stay), b"\n".join(stay)))
             size += 2 * len(t)
             if size > CHUNK_BYTES:
-                yield _batch(out)
+                yield _batch(out, own)
                 out, size = [], 0
         if out:
-            yield _batch(out)
+            yield _batch(out, own)
 
-    parts, at = cut_up(source, ask), spread(spark, n)
+    parts, at = cut_up(source, ask), spread(docs.sparkSession, n)
     for step in (places, templates):
         parts = answered(parts, at, _summed, lambda kept, got, step=step: step(got, kept), None)
-    return answered(parts, at, _summed, lambda kept, got: finish(got, kept), "id long, text string, n_lines long, n_removed long, kept string")
+    out = answered(parts, at, _summed, lambda kept, got: finish(got, kept), f"id {kind.simpleString()}, text string, n_lines long, n_removed long, kept string")
+    return out.select(F.col("id.id").alias(id_col), *[F.col(f"id.{k}").alias(c) for c, k in zip(carry, names, strict=True)], F.col("text").alias(text_col), "n_lines", "n_removed", "kept")
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
+def _batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     i, t, a, b, k = zip(*rows, strict=True)
     text = lambda x: pa.array(x, pa.binary()).cast(pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), text(t), pa.array(a, pa.int64()), pa.array(b, pa.int64()), text(k)], ["id", "text", "n_lines", "n_removed", "kept"])
+    return pa.RecordBatch.from_arrays([pa.array(i, kind), text(t), pa.array(a, pa.int64()), pa.array(b, pa.int64()), text(k)], ["id", "text", "n_lines", "n_removed", "kept"])
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
