@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import importlib
+
+MODULES = ["impact_queries", "fire_queries"]
+
+
+def _merged(name: str) -> dict:
+    out: dict = {}
+    for m in MODULES:
+        out |= getattr(importlib.import_module(f"lahar.plans.{m}"), name)
+    return out
+
 
 def queries() -> dict:
-    return {}
+    return _merged("Q")
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return _merged("SQL")
