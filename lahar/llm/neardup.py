@@ -3,11 +3,11 @@
 One hash function over word shingles; the k smallest values of a document are its sketch. Documents with the same
 set are one node. A node's values are listed rarest first and the first half of them go to inverted lists: two sets
 that are alike enough share about all of their sketch, so they meet in a list unless half a sketch differs (chance
-under 1e-8 at a similarity of 0.85, less above). In each list every node is first compared with the list's smallest
-node. Links join nodes; in lists that still hold more than one component, every node outside the list's largest
-component is compared with all nodes of other components, in tiles of sketches. A pair goes on if the bottom-k of
-the union, of which the sketches tell how much both hold, makes the similarity possible; then the full sets decide.
-No list is capped, and no pair is made of nodes known to be connected.
+under 1e-8 at a similarity of 0.85, less above). Every node of a list is first paired with the list's leader; the
+pair goes on if the bottom-k of the union, of which the sketches tell how much both hold, makes the similarity
+possible, and the full sets decide. Links join nodes; where the group of a leader still holds more than one
+component, every node outside its largest is compared with all others, in tiles of full sets. No list is capped,
+and what is known to be connected is not compared again.
 
 Texts without words have no shingles and link with nothing; with fewer words than a shingle, all words are one.
 Null ids link with nothing and have a null component. Repeated rows share their component. An empty table gives an
@@ -31,6 +31,7 @@ LISTED = 16
 #: Of K union values, so many must be in both sketches: at a similarity of 0.85 fewer have a chance under 1e-9.
 LEAST_SHARED = 13
 TILE = 512
+TILE_VALUES = 400_000
 FANOUT = 64
 
 
@@ -98,13 +99,17 @@ def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "x binary, y binary")
 
 
+def _texts(wanted: DataFrame, nodes: DataFrame, source: DataFrame) -> DataFrame:
+    """(node, text) of the row of smallest id of each wanted node."""
+    first = nodes.join(wanted, "node").select("node", F.col("id").alias("first_id"))
+    return cut(source.join(first, F.col("id") == F.col("first_id")).select("node", "text"), "neardup-texts")
+
+
 def _confirmed(pairs: DataFrame, nodes: DataFrame, source: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs whose full sets are alike enough. Partners of one y are dealt in groups of about FANOUT."""
     partners = pairs.groupBy("y").agg(F.ceil(F.count("*") / FANOUT).cast("int").alias("groups"))
     dealt = pairs.join(partners, "y").withColumn("group", F.pmod(F.xxhash64("x"), F.col("groups")).cast("int"))
-    wanted = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
-    first = nodes.join(wanted, "node").select("node", F.col("id").alias("first_id"))
-    texts = cut(source.join(first, F.col("id") == F.col("first_id")).select("node", "text"), "neardup-texts")
+    texts = _texts(pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct(), nodes, source)
     left = dealt.join(texts, dealt["x"] == texts["node"]).select("y", "group", "x", "text")
     base = F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("base_group")
     right = partners.join(texts, partners["y"] == texts["node"]).select(F.col("y").alias("base_node"), base, F.col("text").alias("base_text"))
@@ -145,44 +150,57 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             return labels
 
 
-def _open_pairs(lists: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components that meet in a list and that their sketches allow to link.
+def _open_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, source: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components of a leader's group. members: (leader, node).
 
-    In a list with several components, nodes outside the largest are dealt in blocks, and each block meets all
-    blocks of the list in a tile of its own, so neither side of a list is ever in one place.
+    In a group with several components, nodes outside the largest are dealt in blocks, and each block meets all
+    blocks of the group in a tile of its own, with full sets, so neither side is ever in one place. A tile tells
+    one link for each two components that it finds connected.
     """
-    named = lists.join(labels.select("node", F.col("label.node").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
-    parts = named.groupBy("value", "part").agg(F.count("*").alias("size"))
-    open_lists = parts.groupBy("value").agg(F.count("*").alias("parts"), F.sum("size").alias("all"), F.max_by("part", F.struct("size", "part")).alias("largest")).where("parts > 1")
-    # lists with the same rows would give the same tiles; each pair is tested again only where it meets again
-    rows = named.join(open_lists, "value").join(nodes.select("node", "sketch", "n"), "node")
-    rows = rows.withColumn("blocks", F.ceil(F.col("all") / TILE).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    named = members.join(nodes.select("node", "n"), "node").join(labels.select(F.col("node").alias("of"), F.col("label.node").alias("part")), F.col("node") == F.col("of"), "left")
+    named = cut(named.select("leader", "node", "n", F.coalesce("part", "node").alias("part")), "neardup-members")
+    parts = named.groupBy("leader", "part").agg(F.count("*").alias("size"), F.sum("n").alias("n"))
+    groups = parts.groupBy("leader").agg(F.count("*").alias("parts"), F.sum("size").alias("all"), F.sum("n").alias("values"), F.max_by("part", F.struct("size", "part")).alias("largest"))
+    groups = groups.where("parts > 1").withColumn("blocks", F.ceil(F.greatest(F.col("all") / TILE, F.col("values") / TILE_VALUES)).cast("int")).select("leader", "largest", "blocks")
+    rows = named.join(groups, "leader").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    texts = _texts(rows.select("node").distinct(), nodes, source)
+    rows = rows.join(texts.withColumnRenamed("node", "text_node"), F.col("node") == F.col("text_node")).drop("text_node")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    odd = rows.where(F.col("part") != F.col("largest")).select("value", F.col("block").alias("i"), every.alias("j"), F.lit(0).alias("side"), "node", "part", "n", "sketch")
-    each = rows.select("value", every.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "node", "part", "n", "sketch")
+    odd = rows.where(F.col("part") != F.col("largest")).select("leader", F.col("block").alias("i"), every.alias("j"), F.lit(0).alias("side"), "node", "part", "text")
+    each = rows.select("leader", every.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "node", "part", "text")
 
     def tile(table: pa.Table) -> pa.Table:
-        rows = table.select(["side", "node", "part", "n", "sketch"]).to_pylist()
-        a = [(r["node"], r["part"], r["n"], _unsigned(r["sketch"])) for r in rows if r["side"] == 0]
-        b = [(r["node"], r["part"], r["n"], _unsigned(r["sketch"])) for r in rows if r["side"] == 1]
-        out = set()
+        side, node, part = (table.column(c).to_pylist() for c in ("side", "node", "part"))
+        sets = shingle_sets(table.column("text").cast(pa.binary()).to_pylist(), width)
+        real = [k for k in range(len(sets)) if _digest(sets[k]) == node[k]]  # rows that share an id but not the text are told apart here
+        a, b = [k for k in real if side[k] == 0], [k for k in real if side[k] == 1]
+        found, root = [], {}
+
+        def top(x):
+            while (up := root.get(x, x)) != x:
+                x = up
+            return x
+
         if a and b:
-            values, where = np.unique(np.concatenate([s for *_, s in b]), return_inverse=True)
-            owner = np.repeat(np.arange(len(b)), [len(s) for *_, s in b])
-            order = np.argsort(where, kind="stable")
-            ends = np.searchsorted(where[order], np.arange(len(values) + 1))
-            for node, part, n, s in a:
-                at = np.searchsorted(values, s).clip(0, len(values) - 1)
-                at = at[values[at] == s]
-                hits = np.bincount(np.concatenate([owner[order[ends[v] : ends[v + 1]]] for v in at]) if len(at) else np.empty(0, np.int64), minlength=len(b))
-                for j in np.flatnonzero(hits >= min(LEAST_SHARED, 0.8 * len(s))):
-                    other, part_b, m, t = b[j]
-                    if part_b != part and 100 * min(n, m) >= 85 * max(n, m) and _may_link(s, t):
-                        out.add((min(node, other), max(node, other)))
-        x, y = zip(*sorted(out), strict=True) if out else ((), ())
+            sizes = np.array([len(sets[k]) for k in b])
+            values, where = np.unique(np.concatenate([sets[k] for k in b]), return_inverse=True)
+            owner = np.repeat(np.arange(len(b)), sizes)[np.argsort(where, kind="stable")]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(where, minlength=len(values)))])
+            for k in a:
+                at = np.searchsorted(values, sets[k]).clip(0, len(values) - 1)
+                at = at[values[at] == sets[k]]
+                length = ends[at + 1] - ends[at]
+                place = np.repeat(ends[at] - np.cumsum(length) + length, length) + np.arange(length.sum())
+                hits = np.bincount(owner[place], minlength=len(b))
+                for j in np.flatnonzero(100 * hits >= percent * (len(sets[k]) + sizes - hits)).tolist():
+                    x, y = top(part[k]), top(part[b[j]])
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        found.append((node[k], node[b[j]]))
+        x, y = zip(*found, strict=True) if found else ((), ())
         return pa.table({"x": pa.array(x, pa.binary()), "y": pa.array(y, pa.binary())})
 
-    return odd.union(each).groupBy("value", "i", "j").applyInArrow(tile, "x binary, y binary").distinct()
+    return odd.union(each).groupBy("leader", "i", "j").applyInArrow(tile, "x binary, y binary")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,15 +214,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_col:
     values = nodes.select("node", F.explode("sketch").alias("value"))
     often = values.groupBy("value").agg(F.count("*").alias("docs"))
     # rarest first; values that no other node holds take their place in the order, then go
-    ranked = values.join(often, "value").groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("docs", "value"))), 1, LISTED).alias("own"))
-    lists = cut(ranked.select("node", F.explode("own").alias("x")).where("x.docs > 1").select("node", F.col("x.value").alias("value")), "neardup-lists")
-    leaders = lists.groupBy("value").agg(F.min("node").alias("y"))
-    stars = lists.join(leaders, "value").where(F.col("node") != F.col("y")).select(F.col("node").alias("x"), "y").distinct()
+    ranked = values.join(often, "value").groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("docs", "value"))), 1, LISTED).alias("own"), F.sum("docs").alias("score"))
+    lists = cut(ranked.select("node", "score", F.explode("own").alias("x")).where("x.docs > 1").select("node", "score", F.col("x.value").alias("value")), "neardup-lists")
+    # the node whose values are shared most leads a list: of a group of edited copies, what they were edited from
+    leaders = lists.groupBy("value").agg(F.max_by("node", F.struct("score", "node")).alias("leader"))
+    members = cut(lists.join(leaders, "value").select("leader", "node").distinct(), "neardup-groups")
+    stars = members.where(F.col("node") != F.col("leader")).select(F.col("node").alias("x"), F.col("leader").alias("y"))
     links = cut(_confirmed(cut(_possible(stars, nodes), "neardup-pairs"), nodes, source, width, percent), "neardup-links")
     labels = components(links, nodes)
-    rest = cut(_open_pairs(lists, nodes, labels), "neardup-rest")
-    if not rest.isEmpty():
-        more = _confirmed(rest, nodes, source, width, percent)
+    more = cut(_open_links(members, nodes, labels, source, width, percent), "neardup-more")
+    if not more.isEmpty():
         labels = components(links.union(more), nodes)
     found = nodes.join(labels, "node", "left").select("node", F.coalesce("label.id", "id").alias("component"))
     joined = rows.withColumn("key", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("node"))).join(found.withColumnRenamed("node", "of"), F.col("key") == F.col("of"), "left")

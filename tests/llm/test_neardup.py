@@ -67,6 +67,7 @@ def test_matches_brute_force(spark):
 def test_lists_with_many_components(spark, monkeypatch):
     """Small tiles, and every value listed, so that a common passage makes lists of unlike documents."""
     monkeypatch.setattr(neardup, "TILE", 7)
+    monkeypatch.setattr(neardup, "TILE_VALUES", 1500)
     monkeypatch.setattr(neardup, "LISTED", neardup.K)
     monkeypatch.setattr(neardup, "FANOUT", 3)
     rows = corpus(3, 90)
