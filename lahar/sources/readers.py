@@ -78,7 +78,7 @@ def xml_grid(spark: SparkSession, path: str) -> DataFrame:
     """(lon, lat, mmi) of an XML grid file: its fields name the columns, its data is one point for each line."""
     whole = spark.read.text(path, wholetext=True)
     names = F.transform(F.regexp_extract_all("value", F.lit(r'<grid_field[^>]*?name="([^"]+)"'), F.lit(1)), F.upper)
-    lines = F.split(F.trim(F.regexp_extract("value", r"(?s)<grid_data>(.*?)</grid_data>", 1)), r"\s*\n\s*")
+    lines = F.filter(F.split(F.regexp_extract("value", r"(?s)<grid_data>(.*?)</grid_data>", 1), r"\s*\n\s*"), lambda x: F.trim(x) != "")
     rows = whole.select(names.alias("names"), F.explode(lines).alias("line")).select("names", F.split(F.trim("line"), r"\s+").alias("v"))
     pick = lambda n: F.element_at("v", F.array_position("names", F.lit(n)).cast("int")).cast("double")
     return rows.select(pick("LON").alias("lon"), pick("LAT").alias("lat"), pick("MMI").alias("mmi"))
