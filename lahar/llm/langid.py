@@ -31,7 +31,7 @@ LEAN = 20.0
 
 def trigram_cells(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed trigrams of the letters of texts (case folded, anything else one space) and how many each text has."""
-    folded = [" ".join(_words(t)) if t else "" for t in texts]
+    folded = [" ".join(filter(None, _words(t))) if t else "" for t in texts]
     points = [np.frombuffer(f" {t} ".encode("utf-32-le"), np.uint32) if t else np.empty(0, np.uint32) for t in folded]
     cells = [((p[:-2] * np.uint32(0x9E3779B1)) ^ (p[1:-1] * np.uint32(0x85EBCA77)) ^ (p[2:] * np.uint32(0xC2B2AE3D))) >> np.uint32(18) if len(p) > 2 else np.empty(0, np.uint32) for p in points]
     return np.concatenate(cells).astype(np.int64) if cells else np.empty(0, np.int64), np.array([len(c) for c in cells], np.int64)
