@@ -13,7 +13,6 @@ label, are not used. Only the named columns are read.
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,16 +33,32 @@ EPOCHS = 6
 DECAY = 1e-5
 MIN_TEXTS = 3
 RATE = 0.01
-CACHE = 200_000
-
-
-def subwords(word: bytes) -> list[int]:
-    """Hashed n-grams of a word in angle brackets, over its characters, and the word itself."""
-    w = f"<{word.decode(errors='replace').lower()}>"
-    if len(w) > 66:
-        w = w[:33] + w[-33:]  # a run this long is no word; its ends stand for it
-    grams = {w[i : i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(w) - n + 1)} | {w}
-    return [zlib.crc32(g.encode()) % SUBWORDS for g in sorted(grams)]
+CACHE = 500_000
+
+
+def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(position of the word, hashed cell) of every n-gram of each word in angle brackets, and of the word itself."""
+    marked = [f"<{w.decode(errors='replace').lower()}>" for w in words]
+    size = np.array([len(m) for m in marked], np.int64)
+    points = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    end = np.cumsum(size)
+    owner = np.repeat(np.arange(len(words)), size)
+    room = np.repeat(end, size) - np.arange(len(points))
+    base = np.uint64(0x9E3779B97F4A7C15)
+    hashed, owners, cells = np.zeros(len(points), np.uint64), [], []
+    cell = lambda h: ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)).astype(np.int64) % SUBWORDS
+    for n in range(1, LONGEST + 1):
+        if n > len(points):
+            break
+        hashed = hashed[: len(points) - n + 1] * base + points[n - 1 :]
+        if n >= SHORTEST:
+            fits = np.flatnonzero(room[: len(hashed)] >= n)
+            owners.append(owner[fits])
+            cells.append(cell(hashed[fits] + np.uint64(n)))
+    place = np.arange(len(points)) - np.repeat(end - size, size)
+    powers = np.multiply.accumulate(np.full(int(size.max()) + 1 if len(size) else 1, base, np.uint64))
+    whole = np.add.reduceat(points * powers[place], end - size) if len(size) else np.empty(0, np.uint64)
+    return np.concatenate([*owners, np.arange(len(words))]), np.concatenate([*cells, cell(whole)])
 
 
 @dataclass
@@ -60,22 +75,18 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
     if len(y) == 0 or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
         return Model(np.zeros(SUBWORDS, np.float32), float(np.log(share / (1 - share))))
-    grams: dict[bytes, np.ndarray] = {}
     rows, cols, values = [], [], []
     for d, t in enumerate(texts):
         words: dict[bytes, int] = {}
         for w in t.split():
             words[w] = words.get(w, 0) + 1
-            if w not in grams:
-                grams[w] = np.array(subwords(w), np.int32)
         if words:
-            own = [grams[w] for w in words]
-            share = np.repeat([c / len(g) for c, g in zip(words.values(), own, strict=True)], [len(g) for g in own]) / sum(words.values())
-            col, where = np.unique(np.concatenate(own), return_inverse=True)
+            owner, cell = subwords(list(words))
+            share = np.array(list(words.values())) / np.bincount(owner) / sum(words.values())
+            col, where = np.unique(cell, return_inverse=True)
             rows.append(np.full(len(col), d, np.int32))
-            cols.append(col)
-            values.append((np.bincount(where, share) * SCALE).astype(np.float32))
-    del grams
+            cols.append(col.astype(np.int32))
+            values.append((np.bincount(where, share[owner]) * SCALE).astype(np.float32))
     row, col, value = (np.concatenate(x) if x else np.empty(0, k) for x, k in ((rows, np.int32), (cols, np.int32), (values, np.float32)))
     seen = np.bincount(col, minlength=SUBWORDS) >= MIN_TEXTS
     keep = seen[col]
@@ -155,19 +166,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         weight, bias = shared.value.weight, shared.value.bias
         known: dict[bytes, float] = {}
         for batch in batches:
-            out = []
-            for t in batch.column(1).cast(pa.binary()).to_pylist():
-                words = t.split() if t else []
-                total = 0.0
-                for w in words:
-                    v = known.get(w)
-                    if v is None:
-                        if len(known) >= CACHE:
-                            known.clear()
-                        v = known[w] = float(weight[subwords(w)].mean())
-                    total += v
-                z = bias + (total / len(words) if words else 0.0)
-                out.append(1 / (1 + np.exp(-max(-60.0, min(60.0, z)))))
+            texts = [t.split() if t else [] for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            if len(known) > CACHE:
+                known.clear()
+            if new := [w for w in set().union(*texts) if w not in known]:
+                owner, cell = subwords(new)
+                known.update(zip(new, (np.bincount(owner, weight[cell]) / np.bincount(owner)).tolist(), strict=True))
+            means = np.array([sum(map(known.__getitem__, words)) / len(words) if words else 0.0 for words in texts])
+            out = 1 / (1 + np.exp(-np.clip(bias + means, -60, 60)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["id", "score"])
 
     return source.mapInArrow(run, "id long, score double").withColumnRenamed("id", id_col)
