@@ -106,9 +106,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_toke
     def ask(ids, texts):
         """How many documents have a line in each leaf."""
         leaves = _Counted(n)
-        for doc, lines in by_doc(ids, texts):
-            leaves.add({_hash(_leaf(w)) for w, _ in lines}, doc)
-        kept = (ids, zstandard.ZstdCompressor(level=3).compress(_joined(texts)), np.array([-1 if t is None else len(t) for t in texts], np.int64))
+        for _, lines in by_doc(ids, texts):
+            leaves.add({_hash(_leaf(w)) for w, _ in lines}, 0)  # ids matter for templates alone
+        kept = (ids, zstandard.ZstdCompressor(level=6).compress(_joined(texts)), np.array([-1 if t is None else len(t) for t in texts], np.int64))
         asks = leaves.asks()
         return (kept, [a[0] for a in asks]), asks
 
@@ -118,12 +118,12 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_toke
         hot = {k for k, (c, _) in _answers(asked, got).items() if c >= min_docs}
         tokens = _Counted(n)
         ids, texts, _ = _unzip(kept)
-        for doc, lines in by_doc(ids, texts):
+        for _, lines in by_doc(ids, texts):
             own = set()
             for w, _ in lines:
                 if (leaf := _hash(_leaf(w))) in hot:
                     own |= {_hash(b"%s %d %s" % (leaf, j, x)) for j, x in enumerate(w) if not _DIGIT(x)}
-            tokens.add(own, doc)
+            tokens.add(own, 0)
         asks = tokens.asks()
         return (kept, hot, [a[0] for a in asks]), asks
 
