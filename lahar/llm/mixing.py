@@ -131,11 +131,12 @@ def mix(
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", seed: str = SEED, **options) -> DataFrame:
-    """The mixture itself: docs' rows once for each time they are taken, with shard, ordered by hash within a shard.
+    """The mixture itself: docs' rows once for each time they are taken, with shard, shuffled by hash within a shard.
 
+    A shard is written in slices of its hash order, each sorted, so that no task holds a whole shard.
     Rows that share an id are taken alike; ids are expected to be unique, as the shards are joined by id.
     """
     taken = mix(docs, id_col=id_col, seed=seed, **options).select(F.col(id_col).alias("_taken_id"), F.posexplode("shards").alias("_time", "_shard"))
     out = docs.join(taken, F.col(id_col) == F.col("_taken_id"))
     order = hash32(F.col("_taken_id").cast("string"), F.col("_time").cast("string"), F.lit(seed))
-    return out.withColumn("_order", order).repartition("_shard").sortWithinPartitions("_shard", "_order").drop("_taken_id", "_time", "_order").withColumnRenamed("_shard", "shard")
+    return out.withColumn("_order", order).repartition("_shard", F.shiftright("_order", 32 - BLOCK_BITS)).sortWithinPartitions("_shard", "_order").drop("_taken_id", "_time", "_order").withColumnRenamed("_shard", "shard")
