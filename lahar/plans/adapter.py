@@ -39,7 +39,7 @@ def _money(c: str) -> Column:
     return F.col(c).cast("decimal(18,2)")
 
 
-def exposure(spark: SparkSession, d: str) -> DataFrame:
+def exposure(spark: SparkSession, d: str, level: int = COARSE) -> DataFrame:
     """One row for each cell and municipality, with every layer of the asset."""
     both = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     key = F.col("c_custkey")
@@ -49,7 +49,7 @@ def exposure(spark: SparkSession, d: str) -> DataFrame:
     def total(cond: Column | None) -> Column:
         return F.sum(price if cond is None else F.when(cond, price).otherwise(F.lit(0).cast("decimal(18,2)"))).cast("double")
 
-    rows = both.select("*", grid.cell_of(lon(key), lat(key), COARSE).alias("cell"), F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("adm2_id"))
+    rows = both.select("*", grid.cell_of(lon(key), lat(key), level).alias("cell"), F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("adm2_id"))
     return rows.groupBy("cell", "adm2_id").agg(
         total(None).alias("pop_total"),
         total(first == "1").alias("pop_0_14"),

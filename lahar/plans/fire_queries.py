@@ -26,13 +26,13 @@ def _seen(s, d, level=a.COARSE):
     return a.detections(s, d).withColumn("cell", grid.cell_of(F.col("lon"), F.col("lat"), level))
 
 
-def _country(s, d):
-    e = a.exposure(s, d)
+def _country(s, d, level=a.COARSE):
+    e = a.exposure(s, d, level)
     return e.groupBy("cell").agg(F.min("adm2_id").alias("country"), F.sum(F.col("pop_total").cast("decimal(28,6)")).cast("double").alias("pop_total"), F.sum("bld_count").alias("bld_count"))
 
 
-def _fires(s, d):
-    return fires.with_exposure(fires.fire_cells(_seen(s, d)), _country(s, d))
+def _fires(s, d, level=a.COARSE):
+    return fires.with_exposure(fires.fire_cells(_seen(s, d, level)), _country(s, d, level))
 
 
 BASE = a.with_ctes(a.DETECTIONS_SQL, a.EXPOSURE_SQL, f"seen AS (SELECT *, {a.cell_sql('lon', 'lat', a.COARSE)} AS cell FROM detections)", """agg AS (
@@ -153,10 +153,34 @@ def graph_fire_clusters(s, d):
     return fires.clusters(_fires(s, d).where("cell % 3 <> 0"), cut=shared_cut(s))
 
 
-@register("a34_a35_cluster_summary", CLUSTERS + """, b AS (SELECT f.*, cluster FROM fires f JOIN labels USING (cell)), m AS (
+SUMMARY = """, b AS (SELECT f.*, cluster FROM fires f JOIN labels USING (cell)), m AS (
   SELECT cluster, country FROM b WHERE country <> '' GROUP BY cluster, country QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, country) = 1)
 SELECT cluster, count(*) AS celdas, sum(detecciones)::BIGINT AS detecciones, sum(pop_total::DECIMAL(28,6))::DOUBLE AS personas, max(frp_max) AS frp_max, min(primera_utc) AS primera_utc,
-  max(ultima_utc) AS ultima_utc, coalesce(any_value(m.country), '') AS country FROM b LEFT JOIN m USING (cluster) GROUP BY cluster""")
+  max(ultima_utc) AS ultima_utc, coalesce(any_value(m.country), '') AS country FROM b LEFT JOIN m USING (cluster) GROUP BY cluster"""
+
+
+@register("a34_a35_cluster_summary", CLUSTERS + SUMMARY)
 def a34_a35_cluster_summary(s, d):
     rows = _fires(s, d)
     return fires.cluster_summary(rows, fires.clusters(rows.where("cell % 3 <> 0"), cut=shared_cut(s)))
+
+
+#: Every fire cell, at a quarter degree: the four-degree cells, taken whole, are one component on all but tiny inputs.
+EVERY = BASE.replace(a.cell_sql("lon", "lat", a.COARSE), a.cell_sql("lon", "lat", a.FINE)).replace(
+  a.cell_sql(a.lon_sql("c_custkey"), a.lat_sql("c_custkey"), a.COARSE), a.cell_sql(a.lon_sql("c_custkey"), a.lat_sql("c_custkey"), a.FINE)).replace("WITH ", "WITH RECURSIVE ", 1) + """, own AS (SELECT DISTINCT cell FROM fires),
+near AS (SELECT cell, cell + unnest([-1048577, -1048576, -1048575, -1, 1, 1048575, 1048576, 1048577]) AS y FROM own),
+e AS (SELECT near.cell AS x, y FROM near JOIN own ON y = own.cell),
+r AS (SELECT cell, cell AS cluster FROM own UNION SELECT e.y, r.cluster FROM r JOIN e ON r.cell = e.x),
+labels AS (SELECT cell, min(cluster) AS cluster FROM r GROUP BY cell)
+"""
+
+
+@register("graph_fire_clusters_every_cell", EVERY + "SELECT * FROM labels")
+def graph_fire_clusters_every_cell(s, d):
+    return fires.clusters(_fires(s, d, a.FINE), cut=shared_cut(s))
+
+
+@register("a34_a35_cluster_summary_every_cell", EVERY + SUMMARY)
+def a34_a35_cluster_summary_every_cell(s, d):
+    rows = shared_cut(s)(_fires(s, d, a.FINE))
+    return fires.cluster_summary(rows, fires.clusters(rows, cut=shared_cut(s)))
