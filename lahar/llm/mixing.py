@@ -88,16 +88,20 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per document: size, its source's size and target, the words taken, and the shard of each time it is taken.
 
+    row_col is a key of each row's own, which is passed on.
+
     A source takes its documents whole as often as its target allows, then a run of permuted blocks up to the
     rest; in the block where the rest ends, documents go in permuted order while their middle is inside it.
     """
     text = F.col(text_col).cast("string")
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
     place = hash32(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(seed))
-    sized = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), place.alias("place"))
+    own = [F.col(row_col).alias("row")] if row_col else []
+    sized = docs.select(*own, F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), place.alias("place"))
     sized = cut(sized.withColumn("block", F.shiftright("place", 32 - BLOCK_BITS)), "mix-sizes")
     blocks = sized.groupBy("source", "block").agg(F.sum("size").alias("words"))
     plan = targets(blocks.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, cap)
@@ -115,12 +119,13 @@ def mix(
     shard = lambda i: F.size(F.filter("ends", lambda e: e <= F.col("ordinal") + i)).cast("int")
     joined = joined.withColumn("shards", F.when(draws > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(draws - 1, F.lit(0))), shard)).otherwise(F.array().cast("array<int>")))
     rows = sized.alias("d").join(joined.alias("j"), F.col("d.source").eqNullSafe(F.col("j.source")) & (F.col("d.block") == F.col("j.block")))
-    rows = rows.select("d.id", "d.size", "d.place", "j.*")
-    within = Window.partitionBy("rank", "block").orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.select(*["d.row"][: len(own)], "d.id", "d.size", "d.place", "j.*")
+    within = Window.partitionBy("rank", "block").orderBy("place", "id", "size", *["row"][: len(own)]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("middle", F.sum("size").over(within) - F.col("size") / 2)
     last = (F.col("extra") == 1) & ((F.col("left") >= F.col("words")) | (F.col("middle") <= F.col("left")))
     times = F.col("passes") + last.cast("long")
     return rows.select(
+        *[F.col("row").alias(row_col) for _ in own],
         F.col("id").alias(id_col),
         "size",
         "source_size",
@@ -134,9 +139,12 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", seed: str = SEED, **opti
     """The mixture itself: docs' rows once for each time they are taken, with shard, shuffled by hash within a shard.
 
     A shard is written in slices of its hash order, each sorted, so that no task holds a whole shard.
-    Rows that share an id are taken alike; ids are expected to be unique, as the shards are joined by id.
+    Rows are written once with a key of their own and joined by it, so null and shared ids are drawn as mix() says.
     """
-    taken = mix(docs, id_col=id_col, seed=seed, **options).select(F.col(id_col).alias("_taken_id"), F.posexplode("shards").alias("_time", "_shard"))
-    out = docs.join(taken, F.col(id_col) == F.col("_taken_id"))
-    order = hash32(F.col("_taken_id").cast("string"), F.col("_time").cast("string"), F.lit(seed))
-    return out.withColumn("_order", order).repartition("_shard", F.shiftright("_order", 32 - BLOCK_BITS)).sortWithinPartitions("_shard", "_order").drop("_taken_id", "_time", "_order").withColumnRenamed("_shard", "shard")
+    keyed = cut(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-keyed")
+    taken = mix(keyed, id_col=id_col, seed=seed, row_col="_mix_row", **options).select(F.col("_mix_row").alias("_taken_row"), F.posexplode("shards").alias("_time", "_shard"))
+    out = keyed.join(taken, F.col("_mix_row") == F.col("_taken_row"))
+    name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("row "), F.col("_mix_row").cast("string")))
+    order = hash32(name, F.col("_time").cast("string"), F.lit(seed))
+    out = out.withColumn("_order", order).repartition("_shard", F.shiftright("_order", 32 - BLOCK_BITS)).sortWithinPartitions("_shard", "_order")
+    return out.drop("_mix_row", "_taken_row", "_time", "_order").withColumnRenamed("_shard", "shard")

@@ -20,8 +20,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lahar.llm.common import CHUNK_BYTES, chunks_of, cut, docs_in, small_batches
 from lahar.llm.substrings import mixed, window_hashes, word_hashes, word_spans
@@ -62,15 +64,16 @@ def _digest(values: np.ndarray) -> bytes:
 def sketches(source: DataFrame, width: int) -> DataFrame:
     """(id, n, node, sketch) of each row of (id, text): set size, a 128-bit name of the set, its K smallest values."""
     small_batches(source.sparkSession)
+    own = to_arrow_schema(StructType([source.schema["id"]])).field(0).type
 
     def run(batches):
         for ids, texts in chunks_of(batches, CHUNK_BYTES):
             sets = shingle_sets(texts, width)
             rows = [(len(s), _digest(s), s[:K].view(np.int64).tolist()) for s in sets]
             n, node, sketch = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(sketch, pa.list_(pa.int64()))], ["id", "n", "node", "sketch"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, own), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(sketch, pa.list_(pa.int64()))], ["id", "n", "node", "sketch"])
 
-    return source.mapInArrow(run, "id long, n long, node binary, sketch array<long>")
+    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, n long, node binary, sketch array<long>")
 
 
 def _may_link(a: np.ndarray, b: np.ndarray) -> bool:
@@ -203,12 +206,19 @@ def _open_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, source:
     return odd.union(each).groupBy("leader", "i", "j").applyInArrow(tile, "x binary, y binary")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): every row, with the smallest id that links lead to."""
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept): every row, with the smallest id that links lead to.
+
+    With row_col, a key of each row's own, also that key and component, which tells components of one id apart.
+    """
     if percent < 85:
         raise ValueError("the sketch bounds hold for similarities of 85 percent and more")
     source = docs_in(docs, id_col, text_col)
-    rows = cut(sketches(source, width), "neardup-rows")
+    if row_col:
+        named_rows = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), F.col(row_col).alias("row")).alias("id"), F.col(text_col).cast("string").alias("text"))
+        rows = cut(sketches(named_rows, width).select("id.id", "id.row", "n", "node", "sketch"), "neardup-rows")
+    else:
+        rows = cut(sketches(source, width), "neardup-rows")
     real = rows.where(F.col("n") > 0).where(F.col("id").isNotNull())
     nodes = cut(real.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "neardup-nodes")
     values = nodes.select("node", F.explode("sketch").alias("value"))
@@ -225,20 +235,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_col:
     more = cut(_open_links(members, nodes, labels, source, width, percent), "neardup-more")
     if not more.isEmpty():
         labels = components(links.union(more), nodes)
-    found = nodes.join(labels, "node", "left").select("node", F.coalesce("label.id", "id").alias("component"))
+    found = nodes.join(labels, "node", "left").select("node", F.coalesce("label.id", "id").alias("component"), F.coalesce("label.node", "node").alias("component_node"))
     joined = rows.withColumn("key", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("node"))).join(found.withColumnRenamed("node", "of"), F.col("key") == F.col("of"), "left")
     component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component"))
-    out = joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    own = [F.col("row").alias(row_col), F.col("component_node").alias("component")] if row_col else []
+    out = joined.select(*own, F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs' rows of which no row of smaller id is a near copy; of rows that share an id and a component, one."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    gone = found.where(~F.col("kept")).select(F.col(id_col).alias("_gone_id")).distinct()
-    left = docs.join(gone, F.col(id_col) == F.col("_gone_id"), "left_anti")
-    twice = found.where(F.col("kept") & (F.col("n_shingles") > 0)).groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("_twice_id"))
-    marked = left.join(twice, F.col(id_col) == F.col("_twice_id"), "left")
-    single = marked.where(F.col("_twice_id").isNull()).drop("_twice_id")
-    same = marked.where(F.col("_twice_id").isNotNull()).withColumn("_n", F.row_number().over(Window.partitionBy("_twice_id").orderBy(text_col)))
-    return single.unionByName(same.where("_n = 1").drop("_twice_id", "_n"))
+    """One row of each component, of smallest id and then text, and every row that has no component.
+
+    Rows are written once with a key of their own, by which they stay or go, whatever rows share their id.
+    """
+    keyed = cut(docs.withColumn("_near_row", F.monotonically_increasing_id()), "neardup-keyed")
+    found = cut(near_duplicates(keyed, id_col=id_col, text_col=text_col, row_col="_near_row", **options).select("_near_row", "component", "kept"), "neardup-found")
+    gone = found.where(~F.col("kept")).select("_near_row")
+    first = found.where(F.col("kept") & F.col("component").isNotNull())
+    twice = first.join(first.groupBy("component").count().where("count > 1").select("component"), "component").select("component", "_near_row")
+    texts = twice.join(keyed.select("_near_row", F.col(text_col).alias("_text")), "_near_row")
+    stays = texts.groupBy("component").agg(F.min(F.struct("_text", "_near_row")).alias("_least")).select("_least._near_row")
+    gone = gone.union(twice.select("_near_row").join(stays, "_near_row", "left_anti")).withColumnRenamed("_near_row", "_gone_row")
+    return keyed.join(gone, F.col("_near_row") == F.col("_gone_row"), "left_anti").drop("_near_row")
