@@ -66,7 +66,7 @@ def text_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         return pa.table({"language": table.column("language")[:1], "counts": pa.array([c.tobytes()], pa.binary())})
 
     summed = source.mapInArrow(count, "language string, counts binary").groupBy("language").applyInArrow(total, "language string, counts binary")
-    rows = sorted((r.language, np.frombuffer(bytes(r.counts), np.int64)) for r in summed.orderBy("language").limit(256).collect())
+    rows = sorted((r.language, np.frombuffer(bytes(r.counts), np.int64)) for r in summed.collect())
     counts = np.array([c for _, c in rows], np.float64).reshape(len(rows), CELLS) + 1
     return [lang for lang, _ in rows], np.log(counts / counts.sum(1, keepdims=True))
 
@@ -137,7 +137,7 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], id_cols: list
 
     def smooth(counts: DataFrame, above: DataFrame | None, on: list[str]) -> DataFrame:
         own = F.array(*[F.col(f"n{k}") for k in range(n)])
-        total = sum((F.col(f"n{k}") for k in range(n)), F.lit(0.0))
+        total = F.aggregate(own, F.lit(0.0), lambda x, y: x + y)  # not a sum of columns, whose tree is as deep as n
         if above is None:
             return counts.select(F.transform(own, lambda c: (c + 1) / (total + n)).alias("prior"))
         joined = counts.select(*[F.col(c).alias(c) for c in counts.columns], own.alias("counts"), total.alias("total"))
