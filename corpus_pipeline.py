@@ -22,7 +22,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines of recurring templates."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    left = lines.dedup_lines(docs, carry=others).withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept")))
+    left = lines.dedup_lines(docs, carry=others, leaf_shares=lines.SHARES).withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept")))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

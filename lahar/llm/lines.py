@@ -6,6 +6,11 @@ tokens and those with a digit are fields, so the line's template is its constant
 recurring if min_docs documents hold it and at least `share` of its tokens are constants. Lines of a recurring
 template go from every document but the one of smallest id (so what copies share survives once).
 
+On large input most values of a field occur in min_docs documents. With leaf_shares, a line has another template
+for each share, in which a token is constant only if that share of the leaf's documents have it there too; the line
+goes by any of its templates, so what the first finds stays found, and fields are fields at any size of the corpus.
+Low shares serve leaves with several kinds of lines, high ones fields of few values.
+
 Lines without a word and lines of fewer than min_tokens always stay. Null and empty texts are one empty line.
 Each row is a document; rows that share the smallest id all keep their lines; null ids come after all others.
 An empty table gives an empty result. Other columns, whatever their names, are not read.
@@ -29,6 +34,7 @@ from lahar.llm.substrings import _joined, _split
 
 FIELD = b"<*>"
 LEADING = 3
+SHARES = (0.1, 0.3, 0.5)
 NO_ID = (1 << 63) - 1
 _KEY = np.dtype([("a", ">u8"), ("b", ">u8")])
 _DIGIT = re.compile(rb"[0-9]").search
@@ -90,7 +96,7 @@ def _unzip(kept) -> tuple[list, list[bytes], np.ndarray]:
     return ids, _split(zstandard.ZstdDecompressor().decompress(packed), sizes), sizes
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_tokens: int = 3, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_tokens: int = 3, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), leaf_shares: tuple[float, ...] = ()) -> DataFrame:
     """(doc_id, *carry, text, n_lines, n_removed, kept): every row, with its remaining lines joined by newlines."""
     names = [f"c{k}" for k in range(len(carry))]
     row = F.struct(F.col(id_col).cast("long").alias("id"), *[F.col(c).alias(k) for c, k in zip(carry, names, strict=True)])
@@ -115,7 +121,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_toke
     def places(got, kept):
         """In leaves that enough documents share: how many documents have each token at each position."""
         kept, asked = kept
-        hot = {k for k, (c, _) in _answers(asked, got).items() if c >= min_docs}
+        hot = {k: c for k, (c, _) in _answers(asked, got).items() if c >= min_docs}
         tokens = _Counted(n)
         ids, texts, _ = _unzip(kept)
         for _, lines in by_doc(ids, texts):
@@ -127,22 +133,29 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_toke
         asks = tokens.asks()
         return (kept, hot, [a[0] for a in asks]), asks
 
-    def template(w, leaf, constant) -> bytes | None:
-        marks = [x if not _DIGIT(x) and _hash(b"%s %d %s" % (leaf, j, x)) in constant else FIELD for j, x in enumerate(w)]
+    def template(w, leaf, common, least) -> bytes | None:
+        marks = [x if not _DIGIT(x) and common.get(_hash(b"%s %d %s" % (leaf, j, x)), 0) >= least else FIELD for j, x in enumerate(w)]
         fixed = sum(m is not FIELD for m in marks)
         return _hash(leaf + b" ".join(marks)) if fixed >= share * len(w) else None
 
+    def every(w, hot, common) -> set[bytes]:
+        leaf = _hash(_leaf(w))
+        if leaf not in hot:
+            return set()
+        least = {min_docs, *(max(min_docs, x * hot[leaf]) for x in leaf_shares)}
+        return {t for x in least if (t := template(w, leaf, common, x))}
+
     def templates(got, kept):
         """How many documents hold each template, and the smallest id of them."""
         kept, hot, asked = kept
-        constant = {k for k, (c, _) in _answers(asked, got).items() if c >= min_docs}
+        common = {k: c for k, (c, _) in _answers(asked, got).items() if c >= min_docs}
         found = _Counted(n)
         ids, texts, _ = _unzip(kept)
         held = []
         for doc, lines in by_doc(ids, texts):
-            own = [template(w, leaf, constant) if (leaf := _hash(_leaf(w))) in hot else None for w, _ in lines]
+            own = [every(w, hot, common) for w, _ in lines]
             held.append(own)
-            found.add({t for t in own if t}, doc)
+            found.add(set().union(*own), doc)
         asks = found.asks()
         return (kept, held, [a[0] for a in asks]), asks
 
@@ -156,8 +169,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_toke
             lines = t.split(b"\n")
             stay = []
             for line in lines:
-                mark = next(marks) if len(line.split()) >= min_tokens else None
-                if mark is None or known[mark][0] < min_docs or known[mark][1] >= doc:
+                mark = next(marks) if len(line.split()) >= min_tokens else ()
+                if all(known[m][0] < min_docs or known[m][1] >= doc for m in mark):
                     stay.append(line)
             out.append((i, None if s < 0 else t, len(lines), len(lines) - len(stay), b"\n".join(stay)))
             size += 2 * len(t)

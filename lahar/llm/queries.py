@@ -24,6 +24,10 @@ def op2_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(lines.dedup_lines(_table(spark, sf_dir, "documents")))
 
 
+def op2_lines_by_leaf_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(lines.dedup_lines(_table(spark, sf_dir, "documents"), leaf_shares=lines.SHARES))
+
+
 def op3_minhash_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=5, percent=85)
 
@@ -82,6 +86,7 @@ def op10_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_template_lines": op2_template_lines,
+    "op2_lines_by_leaf_share": op2_lines_by_leaf_share,
     "op3_minhash_near": op3_minhash_near,
     "op4_maxent_scores": op4_maxent_scores,
     "op5_toxicity": op5_toxicity,
