@@ -3,7 +3,7 @@
 One hash function over word shingles; the k smallest values of a document are its sketch. Documents with the same
 set are one node. A node's values are listed rarest first and the first half of them go to inverted lists: two sets
 that are alike enough share about all of their sketch, so they meet in a list unless half a sketch differs (chance
-under 1e-8 at a similarity of 0.85, less above). Every node of a list is first paired with the list's leader; the
+at a similarity of 0.85 under 1e-8 for sets of one size, 3.5e-6 where one set holds the other; less above). Every node of a list is first paired with the list's leader; the
 pair goes on if the bottom-k of the union, of which the sketches tell how much both hold, makes the similarity
 possible, and the full sets decide. Links join nodes; where the group of a leader still holds more than one
 component, every node outside its largest is compared with all others, in tiles of full sets. No list is capped,
