@@ -1,40 +1,56 @@
 """Near-duplicate documents by bottom-k sketches, confirmed on full shingle sets.
 
-One hash function over word shingles; the k smallest values of a document are its sketch. Documents with the same
-set are one node. A node's values are listed rarest first and the first half of them go to inverted lists: two sets
-that are alike enough share about all of their sketch, so they meet in a list unless half a sketch differs (chance
-at a similarity of 0.85 under 1e-8 for sets of one size, 3.5e-6 where one set holds the other; less above). Every node of a list is first paired with the list's leader; the
-pair goes on if the bottom-k of the union, of which the sketches tell how much both hold, makes the similarity
-possible, and the full sets decide. Links join nodes; where the group of a leader still holds more than one
-component, every node outside its largest is compared with all others, in tiles of full sets. No list is capped,
-and what is known to be connected is not compared again.
+One hash function over word shingles; the K smallest values of a document are its sketch. Documents with the same
+set are one node. Two sets alike enough share at least `least_shared` of their sketches (chance of less under 1e-9,
+whatever their sizes), so with values ordered rarest first they meet in the inverted list of a value among the
+first K - least + 1 of each: only those are listed. Every node of a list is paired with the list's leader; the pair
+goes on if the bottom-K of the union, of which the sketches tell how much both hold, makes the similarity possible.
+Sets that fit in a sketch are decided there, the others by their full sets. Links join nodes into components.
+
+A list that still holds several components is open. Its nodes are listed anew, by their full sets: a pair of given
+sizes needs so large an overlap that it shares one of the few rarest values of each (under a tenth of a set for
+sets of one size), rarest among the open nodes. Documents that share a passage but have own text, and copies of
+copies with edits of their own, then meet in no list, so no group is compared all against all. Pairs of different
+components that meet go through the sketches and the full sets like the others. No list is capped, and what is known
+to be connected is not compared again.
 
 Texts without words have no shingles and link with nothing; with fewer words than a shingle, all words are one.
 Null ids link with nothing and have a null component. Repeated rows share their component. An empty table gives an
-empty result. Other columns, whatever their names, are not read.
+empty result. Very long texts are hashed in slices. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from lahar.llm.common import CHUNK_BYTES, chunks_of, cut, docs_in, small_batches
+from lahar.llm.common import chunks_of, cut, docs_in, small_batches
 from lahar.llm.substrings import mixed, window_hashes, word_hashes, word_spans
 
-K = 32
-LISTED = 16
-#: Of K union values, so many must be in both sketches: at a similarity of 0.85 fewer have a chance under 1e-9.
-LEAST_SHARED = 13
-TILE = 512
-TILE_VALUES = 400_000
+K = 48
+CHUNK = 1 << 20
+MISSED = 1e-9
+#: Partners of one node are dealt in groups of about so many, each with the node's text or label.
 FANOUT = 64
+#: Rows of one set are dealt in so many parts where they meet their component.
+SALTS = 256
+#: Sizes that differ by less than this ratio are of one class.
+CLASS = 1.02
+
+
+def least_shared(percent: int, k: int) -> int:
+    """So many of k union values are in both sets but for a chance of MISSED, at a similarity of percent."""
+    p, below, r = percent / 100, 0.0, 0
+    while (below := below + comb(k, r) * p**r * (1 - p) ** (k - r)) < MISSED:
+        r += 1
+    return r
 
 
 def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
@@ -67,7 +83,7 @@ def sketches(source: DataFrame, width: int) -> DataFrame:
     own = to_arrow_schema(StructType([source.schema["id"]])).field(0).type
 
     def run(batches):
-        for ids, texts in chunks_of(batches, CHUNK_BYTES):
+        for ids, texts in chunks_of(batches, CHUNK):
             sets = shingle_sets(texts, width)
             rows = [(len(s), _digest(s), s[:K].view(np.int64).tolist()) for s in sets]
             n, node, sketch = zip(*rows, strict=True)
@@ -76,30 +92,56 @@ def sketches(source: DataFrame, width: int) -> DataFrame:
     return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, n long, node binary, sketch array<long>")
 
 
-def _may_link(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether the bottom-K of the union holds enough values of both."""
-    union = np.union1d(a, b)[:K]
-    both = np.intersect1d(a, b, assume_unique=True)
-    shared = np.searchsorted(both, union[-1], "right") if len(union) else 0
-    return shared >= (LEAST_SHARED if len(union) == K else 0.85 * len(union) - 1e-9)
+def _matrix(lists: pa.Array, width: int) -> np.ndarray:
+    """One row of unsigned values for each list, filled up with the largest value."""
+    size = np.diff(lists.offsets.to_numpy())
+    out = np.full((len(size), width), np.iinfo(np.uint64).max, np.uint64)
+    out[np.arange(width) < size[:, None]] = lists.flatten().to_numpy().view(np.uint64)
+    return out
 
 
-def _unsigned(x) -> np.ndarray:
-    return np.array(x, np.int64).view(np.uint64)
+def estimated(a: pa.Array, b: pa.Array, na: np.ndarray, nb: np.ndarray, percent: int, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(possible, certain) of each pair of k-value sketches and set sizes: certain where both sets are whole in them."""
+    values = np.sort(np.concatenate([_matrix(a, k), _matrix(b, k)], 1), 1)
+    real = values != np.iinfo(np.uint64).max
+    twice = np.concatenate([np.zeros((len(values), 1), bool), (values[:, 1:] == values[:, :-1]) & real[:, 1:]], 1)
+    place = np.cumsum(~twice & real, 1)
+    shared = (twice & (place <= k)).sum(1)
+    both = twice.sum(1)
+    whole = (na <= k) & (nb <= k)
+    alike = 100 * both >= percent * (na + nb - both)
+    return np.where(whole, alike, shared >= least), whole
 
 
-def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (x, y) whose sketches allow a link."""
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y, group, groups) whose sketches allow a link, with certain: whether they prove it."""
     a = nodes.select(F.col("node").alias("x"), F.col("sketch").alias("sx"), F.col("n").alias("nx"))
-    b = nodes.select(F.col("node").alias("y"), F.col("sketch").alias("sy"), F.col("n").alias("ny"))
-    both = pairs.join(a, "x").join(b, "y").where((F.col("nx") * 100 >= F.col("ny") * 85) & (F.col("ny") * 100 >= F.col("nx") * 85)).select("x", "y", "sx", "sy")
+    b = _bases(pairs).join(nodes.select(F.col("node").alias("y"), F.col("sketch").alias("sy"), F.col("n").alias("ny")), "y").select("y", _every_group(), "sy", "ny")
+    sized = (F.col("nx") * 100 >= F.col("ny") * percent) & (F.col("ny") * 100 >= F.col("nx") * percent)
+    both = pairs.join(a, "x").join(b, ["y", "group"]).where(sized).select("x", "y", "group", "groups", "sx", "sy", "nx", "ny")
+
+    k, least = K, least_shared(percent, K)
 
     def run(batches):
         for batch in batches:
-            fine = [_may_link(_unsigned(p), _unsigned(q)) for p, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(fine, pa.bool_()))
+            fine, certain = estimated(batch.column(4), batch.column(5), batch.column(6).to_numpy(), batch.column(7).to_numpy(), percent, k, least)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(certain)], ["x", "y", "group", "groups", "certain"]).filter(pa.array(fine))
+
+    return both.mapInArrow(run, "x binary, y binary, group int, groups int, certain boolean")
+
+
+def _bases(pairs: DataFrame) -> DataFrame:
+    return pairs.select("y", "groups").distinct()
+
 
-    return both.mapInArrow(run, "x binary, y binary")
+def _every_group() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group")
+
+
+def _grouped(pairs: DataFrame) -> DataFrame:
+    """Pairs (x, y) with the partners of each y dealt in groups."""
+    partners = pairs.groupBy("y").agg(F.ceil(F.count("*") / FANOUT).cast("int").alias("groups"))
+    return pairs.join(partners, "y").select("x", "y", F.pmod(F.xxhash64("x"), F.col("groups")).cast("int").alias("group"), "groups")
 
 
 def _texts(wanted: DataFrame, nodes: DataFrame, source: DataFrame) -> DataFrame:
@@ -109,43 +151,49 @@ def _texts(wanted: DataFrame, nodes: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, source: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full sets are alike enough. Partners of one y are dealt in groups of about FANOUT."""
-    partners = pairs.groupBy("y").agg(F.ceil(F.count("*") / FANOUT).cast("int").alias("groups"))
-    dealt = pairs.join(partners, "y").withColumn("group", F.pmod(F.xxhash64("x"), F.col("groups")).cast("int"))
-    texts = _texts(pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct(), nodes, source)
-    left = dealt.join(texts, dealt["x"] == texts["node"]).select("y", "group", "x", "text")
-    base = F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("base_group")
-    right = partners.join(texts, partners["y"] == texts["node"]).select(F.col("y").alias("base_node"), base, F.col("text").alias("base_text"))
+    """Pairs whose full sets are alike enough, as (x, y, group, groups)."""
+    sure, open_pairs = pairs.where("certain").drop("certain"), pairs.where("NOT certain")
+    texts = _texts(open_pairs.select(F.col("x").alias("node")).union(open_pairs.select(F.col("y").alias("node"))).distinct(), nodes, source)
+    left = open_pairs.join(texts, open_pairs["x"] == texts["node"]).select("y", "group", "groups", "x", "text")
+    bases = _bases(open_pairs)
+    right = bases.join(texts, bases["y"] == texts["node"]).select(F.col("y").alias("base_node"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("base_group"), F.col("text").alias("base_text"))
 
     def compare(few: pa.Table, one: pa.Table) -> pa.Table:
-        out = ([], [])
+        out: list[int] = []
         if few.num_rows and one.num_rows:
             name = one.column("base_node")[0].as_py()
             base = next((s for s in shingle_sets(one.column("base_text").cast(pa.binary()).to_pylist(), width) if _digest(s) == name), None)
             names = few.column("x").to_pylist()
-            for x, s in zip(names, shingle_sets(few.column("text").cast(pa.binary()).to_pylist(), width), strict=True):
-                if base is not None and _digest(s) == x:  # rows that share an id but not the text are told apart here
+            for k, t in enumerate(few.column("text").cast(pa.binary()).to_pylist()):
+                s = shingle_sets([t], width)[0]
+                if base is not None and _digest(s) == names[k]:  # rows that share an id but not the text are told apart here
                     both = len(np.intersect1d(s, base, assume_unique=True))
                     if 100 * both >= percent * (len(s) + len(base) - both):
-                        out[0].append(x)
-                        out[1].append(name)
-        return pa.table({"x": pa.array(out[0], pa.binary()), "y": pa.array(out[1], pa.binary())})
+                        out.append(k)
+        return few.select(["x", "y", "group", "groups"]).take(pa.array(out, pa.int64()))
 
-    return left.groupBy("y", "group").cogroup(right.groupBy("base_node", "base_group")).applyInArrow(compare, "x binary, y binary")
+    schema = "x binary, y binary, group int, groups int"
+    found = left.groupBy("y", "group").cogroup(right.groupBy("base_node", "base_group")).applyInArrow(compare, schema)
+    return sure.union(found)
 
 
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, label): for each node with an edge, the smallest (id, node) connected with it.
 
-    Smallest labels spread over edges and along labels, so rounds grow with the logarithm of the longest path.
+    Smallest labels spread over edges and along labels, so rounds grow with the logarithm of the longest path. The
+    label of a node with many partners goes to each group of them, so no key holds more than a group.
     """
-    both = cut(edges.union(edges.select("y", "x")).distinct(), "neardup-edges")
-    start = both.select(F.col("x").alias("node")).distinct().join(nodes.select("node", "id"), "node")
-    labels = cut(start.select("node", F.struct("id", "node").alias("label")), "neardup-labels")
+    bases = cut(_bases(edges), "neardup-bases")
+    ends = edges.select(F.col("x").alias("node")).union(edges.select(F.col("y").alias("node"))).distinct()
+    labels = cut(ends.join(nodes.select("node", "id"), "node").select("node", F.struct("id", "node").alias("label")), "neardup-labels")
     while True:
-        near = both.join(labels, both["y"] == labels["node"]).groupBy("x").agg(F.min("label").alias("near"))
-        step = labels.join(near, labels["node"] == near["x"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("at"), F.col("label").alias("beyond"))
+        told = bases.join(labels, bases["y"] == labels["node"]).select("y", _every_group(), "label")
+        down = edges.join(told, ["y", "group"]).select(F.col("x").alias("to"), "label")
+        up = edges.join(labels, edges["x"] == labels["node"]).select(F.col("y").alias("to"), "label")
+        near = down.union(up).groupBy("to").agg(F.min("label").alias("near"))
+        step = labels.join(near, labels["node"] == near["to"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        # only labels of nodes that have another label themselves lead further: roots, where most labels point, do not
+        jump = labels.where(F.col("label.node") != F.col("node")).select(F.col("node").alias("at"), F.col("label").alias("beyond"))
         step = step.join(jump, F.col("label.node") == F.col("at"), "left").select("node", "old", F.least("label", F.coalesce("beyond", "label")).alias("label"))
         step = cut(step, "neardup-labels")
         labels = step.select("node", "label")
@@ -153,57 +201,89 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             return labels
 
 
-def _open_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, source: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between different components of a leader's group. members: (leader, node).
+def _rarest(values: DataFrame, docs: DataFrame, keep: list[str]) -> DataFrame:
+    """Of (node, *keep, value): each node's values that others hold too, as rare, from (docs, value) pairs in order."""
+    held = values.join(docs, "value").groupBy("node", *keep)
+    return held.agg(F.array_sort(F.collect_list(F.struct("docs", "value"))).alias("rare"), F.sum("docs").alias("score"))
+
+
+def _shared(values: DataFrame) -> DataFrame:
+    """(value, docs) of the values that several nodes hold."""
+    return values.groupBy("value").agg(F.count("*").alias("docs")).where("docs > 1")
+
+
+def _lists(nodes: DataFrame, percent: int) -> DataFrame:
+    """(node, score, value): the sketch values by which a node can be found, rarest first, as many as a link needs.
+
+    A set that is whole in its sketch shares 2 - 1 / similarity of it with the sketch of any set it links with.
+    """
+    values = nodes.select("node", "n", F.explode("sketch").alias("value"))
+    size = F.least("n", F.lit(K))
+    need = F.when(F.col("n") <= K, F.ceil(F.col("n") * (2 - 100 / percent) - 1e-9)).otherwise(F.lit(least_shared(percent, K)))
+    alone = size - F.size("rare")
+    listed = _rarest(values, _shared(values), ["n"]).withColumn("room", (size - need + 1 - alone).cast("int")).where("room > 0")
+    return cut(listed.select("node", "score", F.explode(F.slice("rare", F.lit(1), F.col("room"))).alias("x")).select("node", "score", "x.value"), "neardup-lists")
+
+
+def _stars(lists: DataFrame) -> DataFrame:
+    """(x, y, group, groups): every node of a list with the list's leader.
+
+    The node whose values are shared most leads: of a group of edited copies, what they were edited from.
+    """
+    leaders = lists.groupBy("value").agg(F.max_by("node", F.struct("score", "node")).alias("y"), F.count("*").alias("members")).where("members > 1")
+    groups = leaders.groupBy("y").agg(F.ceil(F.sum("members") / FANOUT).cast("int").alias("groups"))
+    led = lists.join(leaders.join(groups, "y"), "value").where(F.col("node") != F.col("y"))
+    return led.select(F.col("node").alias("x"), "y", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int").alias("group"), "groups").distinct()
+
+
+def _open_nodes(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, part, odd) of the nodes of lists with several components; odd: outside the largest of some list."""
+    part = labels.select(F.col("node").alias("of"), F.col("label.node").alias("part"))
+    named = cut(lists.join(part, F.col("node") == F.col("of"), "left").select("value", "node", F.coalesce("part", "node").alias("part")), "neardup-named")
+    parts = named.groupBy("value", "part").agg(F.count("*").alias("size"))
+    several = parts.groupBy("value").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("size", "part")).alias("largest")).where("parts > 1")
+    odd = (F.col("part") != F.col("largest")).alias("odd")
+    return cut(named.join(several, "value").select("node", "part", odd).groupBy("node", "part").agg(F.max("odd").alias("odd")), "neardup-open")
+
+
+def _full_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(node, n, all) of (node, text): the whole set, from the text that gives it."""
+    small_batches(texts.sparkSession)
+
+    def run(batches):
+        for names, some in chunks_of(batches, CHUNK):
+            rows = [(x, len(s), s.view(np.int64)) for x, s in zip(names, shingle_sets(some, width), strict=True) if _digest(s) == x]
+            if rows:
+                node, n, values = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(values, pa.list_(pa.int64()))], ["node", "n", "all"])
+
+    return texts.mapInArrow(run, "node binary, n long, all array<long>")
+
+
+def _open_pairs(lists: DataFrame, labels: DataFrame, nodes: DataFrame, source: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (x, y) of different components that share a list and one of the rarest values of their full sets.
 
-    In a group with several components, nodes outside the largest are dealt in blocks, and each block meets all
-    blocks of the group in a tile of its own, with full sets, so neither side is ever in one place. A tile tells
-    one link for each two components that it finds connected.
+    Sets of a and b values that link share at least percent * (a + b) / (100 + percent) of them. A node is listed,
+    for each class of partner sizes, under as many of its rarest values as the smallest such overlap demands.
     """
-    named = members.join(nodes.select("node", "n"), "node").join(labels.select(F.col("node").alias("of"), F.col("label.node").alias("part")), F.col("node") == F.col("of"), "left")
-    named = cut(named.select("leader", "node", "n", F.coalesce("part", "node").alias("part")), "neardup-members")
-    parts = named.groupBy("leader", "part").agg(F.count("*").alias("size"), F.sum("n").alias("n"))
-    groups = parts.groupBy("leader").agg(F.count("*").alias("parts"), F.sum("size").alias("all"), F.sum("n").alias("values"), F.max_by("part", F.struct("size", "part")).alias("largest"))
-    groups = groups.where("parts > 1").withColumn("blocks", F.ceil(F.greatest(F.col("all") / TILE, F.col("values") / TILE_VALUES)).cast("int")).select("leader", "largest", "blocks")
-    rows = named.join(groups, "leader").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = _texts(rows.select("node").distinct(), nodes, source)
-    rows = rows.join(texts.withColumnRenamed("node", "text_node"), F.col("node") == F.col("text_node")).drop("text_node")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    odd = rows.where(F.col("part") != F.col("largest")).select("leader", F.col("block").alias("i"), every.alias("j"), F.lit(0).alias("side"), "node", "part", "text")
-    each = rows.select("leader", every.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "node", "part", "text")
-
-    def tile(table: pa.Table) -> pa.Table:
-        side, node, part = (table.column(c).to_pylist() for c in ("side", "node", "part"))
-        sets = shingle_sets(table.column("text").cast(pa.binary()).to_pylist(), width)
-        real = [k for k in range(len(sets)) if _digest(sets[k]) == node[k]]  # rows that share an id but not the text are told apart here
-        a, b = [k for k in real if side[k] == 0], [k for k in real if side[k] == 1]
-        found, root = [], {}
-
-        def top(x):
-            while (up := root.get(x, x)) != x:
-                x = up
-            return x
-
-        if a and b:
-            sizes = np.array([len(sets[k]) for k in b])
-            values, where = np.unique(np.concatenate([sets[k] for k in b]), return_inverse=True)
-            owner = np.repeat(np.arange(len(b)), sizes)[np.argsort(where, kind="stable")]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(where, minlength=len(values)))])
-            for k in a:
-                at = np.searchsorted(values, sets[k]).clip(0, len(values) - 1)
-                at = at[values[at] == sets[k]]
-                length = ends[at + 1] - ends[at]
-                place = np.repeat(ends[at] - np.cumsum(length) + length, length) + np.arange(length.sum())
-                hits = np.bincount(owner[place], minlength=len(b))
-                for j in np.flatnonzero(100 * hits >= percent * (len(sets[k]) + sizes - hits)).tolist():
-                    x, y = top(part[k]), top(part[b[j]])
-                    if x != y:
-                        root[max(x, y)] = min(x, y)
-                        found.append((node[k], node[b[j]]))
-        x, y = zip(*found, strict=True) if found else ((), ())
-        return pa.table({"x": pa.array(x, pa.binary()), "y": pa.array(y, pa.binary())})
-
-    return odd.union(each).groupBy("leader", "i", "j").applyInArrow(tile, "x binary, y binary")
+    found = _open_nodes(lists, labels)
+    sets = _full_sets(_texts(found.select("node"), nodes, source), width)
+    values = cut(sets.select("node", "n", F.explode("all").alias("value")), "neardup-sets")
+    n, step = F.col("n"), log(CLASS)
+    rare = _rarest(values, _shared(values), ["n"]).withColumn("alone", n - F.size("rare"))
+    rare = rare.where(F.col("alone") <= n - F.ceil(n * percent / 100 - 1e-9))
+    own = F.floor(F.log(n) / step).cast("int")
+    reach = ceil(log(100 / percent) / step) + 1
+    sized = rare.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.col("own") - reach, F.col("own") + reach)))
+    least = F.greatest(F.ceil(F.pow(F.lit(CLASS), F.col("other")) - 1e-6), F.ceil(n * percent / 100 - 1e-9), F.lit(1))
+    room = n - F.ceil((n + least) * percent / (100 + percent) - 1e-9) + 1 - F.col("alone")
+    sized = sized.withColumn("room", room.cast("int")).where("room > 0")
+    entries = sized.select("node", "own", "other", F.explode(F.slice("rare", F.lit(1), F.col("room"))).alias("x")).select("node", "own", "other", "x.value")
+    entries = cut(entries.join(found, "node"), "neardup-entries")
+    a = entries.where("odd").select(F.col("node").alias("x"), F.col("part").alias("px"), "own", "other", "value")
+    b = entries.select(F.col("node").alias("y"), F.col("part").alias("py"), F.col("other").alias("own"), F.col("own").alias("other"), "value")
+    met = a.join(b, ["value", "own", "other"]).where(F.col("px") != F.col("py"))
+    return met.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
@@ -215,30 +295,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_col:
         raise ValueError("the sketch bounds hold for similarities of 85 percent and more")
     source = docs_in(docs, id_col, text_col)
     if row_col:
-        named_rows = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), F.col(row_col).alias("row")).alias("id"), F.col(text_col).cast("string").alias("text"))
-        rows = cut(sketches(named_rows, width).select("id.id", "id.row", "n", "node", "sketch"), "neardup-rows")
+        source = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), F.col(row_col).alias("row")).alias("id"), F.col(text_col).cast("string").alias("text"))
+        rows = cut(sketches(source, width).select("id.id", "id.row", "n", "node", "sketch"), "neardup-rows")
+        source = source.select("id.id", "text")
     else:
         rows = cut(sketches(source, width), "neardup-rows")
-    real = rows.where(F.col("n") > 0).where(F.col("id").isNotNull())
-    nodes = cut(real.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "neardup-nodes")
-    values = nodes.select("node", F.explode("sketch").alias("value"))
-    often = values.groupBy("value").agg(F.count("*").alias("docs"))
-    # rarest first; values that no other node holds take their place in the order, then go
-    ranked = values.join(often, "value").groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("docs", "value"))), 1, LISTED).alias("own"), F.sum("docs").alias("score"))
-    lists = cut(ranked.select("node", "score", F.explode("own").alias("x")).where("x.docs > 1").select("node", "score", F.col("x.value").alias("value")), "neardup-lists")
-    # the node whose values are shared most leads a list: of a group of edited copies, what they were edited from
-    leaders = lists.groupBy("value").agg(F.max_by("node", F.struct("score", "node")).alias("leader"))
-    members = cut(lists.join(leaders, "value").select("leader", "node").distinct(), "neardup-groups")
-    stars = members.where(F.col("node") != F.col("leader")).select(F.col("node").alias("x"), F.col("leader").alias("y"))
-    links = cut(_confirmed(cut(_possible(stars, nodes), "neardup-pairs"), nodes, source, width, percent), "neardup-links")
+    real = (F.col("n") > 0) & F.col("id").isNotNull()
+    salt = F.pmod(F.xxhash64("id", *["row"][: bool(row_col)]), F.lit(SALTS)).cast("int")
+    nodes = rows.where(real).groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.collect_set(salt).alias("salts"))
+    nodes = cut(nodes, "neardup-nodes")
+    lists = _lists(nodes, percent)
+    links = cut(_confirmed(cut(_possible(_stars(lists), nodes, percent), "neardup-pairs"), nodes, source, width, percent), "neardup-links")
     labels = components(links, nodes)
-    more = cut(_open_links(members, nodes, labels, source, width, percent), "neardup-more")
+    more = cut(_open_pairs(lists, labels, nodes, source, width, percent), "neardup-met")
     if not more.isEmpty():
-        labels = components(links.union(more), nodes)
-    found = nodes.join(labels, "node", "left").select("node", F.coalesce("label.id", "id").alias("component"), F.coalesce("label.node", "node").alias("component_node"))
-    joined = rows.withColumn("key", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("node"))).join(found.withColumnRenamed("node", "of"), F.col("key") == F.col("of"), "left")
-    component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component"))
-    own = [F.col("row").alias(row_col), F.col("component_node").alias("component")] if row_col else []
+        more = cut(_confirmed(cut(_possible(_grouped(more), nodes, percent), "neardup-pairs"), nodes, source, width, percent), "neardup-links")
+        if not more.isEmpty():
+            labels = components(links.union(more), nodes)
+    named = labels.select(F.col("node").alias("of"), "label")
+    found = nodes.join(named, F.col("node") == F.col("of"), "left").select(F.col("node").alias("key"), F.explode("salts").alias("salt"), F.coalesce("label", F.struct("id", "node")).alias("label"))
+    joined = rows.withColumn("key", F.when(real, F.col("node"))).withColumn("salt", salt).join(found, ["key", "salt"], "left")
+    component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("label.id"))
+    own = [F.col("row").alias(row_col), F.col("label.node").alias("component")] if row_col else []
     out = joined.select(*own, F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 

@@ -39,6 +39,12 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+#: Words are hashed in slices of about so many bytes, whatever the size of a chunk or a text.
+SLICE = 1 << 18
+_PLAIN = [powers(b | 1, SLICE) for b in _BASES]
+_BACK = [powers(pow(b | 1, -1, 1 << 64), SLICE + 1) for b in _BASES]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A finalizer that spreads every bit of x over all bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -54,11 +60,18 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
-    """A 64-bit polynomial hash of each word, by prefix sums over the buffer."""
+    """A 64-bit polynomial hash of each word, by prefix sums over slices of the buffer that end between words."""
     base = _BASES[which] | 1
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(_TABLES[which][data] * powers(base, len(data)))])
-    back = powers(pow(base, -1, 1 << 64), len(data) + 1)
-    return mixed((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+    out, i = np.empty(len(start), np.uint64), 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + SLICE, "right")))
+        low, high = int(start[i]), int(end[j - 1])
+        up, back = (_PLAIN[which], _BACK[which]) if high - low <= SLICE else (powers(base, high - low), powers(pow(base, -1, 1 << 64), high - low + 1))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(_TABLES[which][data[low:high]] * up[: high - low])])
+        a, b = start[i:j] - low, end[i:j] - low
+        out[i:j] = mixed((sums[b] - sums[a]) * back[a] + (b - a).astype(np.uint64))
+        i = j
+    return out
 
 
 def window_hashes(words: np.ndarray, width: int, which: int) -> np.ndarray:

@@ -65,16 +65,55 @@ def test_matches_brute_force(spark):
 
 
 def test_lists_with_many_components(spark, monkeypatch):
-    """Small tiles, and every value listed, so that a common passage makes lists of unlike documents."""
-    monkeypatch.setattr(neardup, "TILE", 7)
-    monkeypatch.setattr(neardup, "TILE_VALUES", 1500)
-    monkeypatch.setattr(neardup, "LISTED", neardup.K)
+    """A small sketch, so that a common passage makes lists of unlike documents, and small groups."""
+    monkeypatch.setattr(neardup, "K", 12)
+    monkeypatch.setattr(neardup, "MISSED", 1e-4)
     monkeypatch.setattr(neardup, "FANOUT", 3)
+    monkeypatch.setattr(neardup, "SALTS", 2)
     rows = corpus(3, 90)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(map(tuple, neardup.near_duplicates(df).collect()), key=str) == brute(rows)
 
 
+def test_chains_of_edits_and_bad_leaders(spark):
+    """Copies of copies, each with one more edit: links only between neighbours of a chain, through long components."""
+    rng = random.Random(5)
+    w = [f"v{j}" for j in range(120)]
+    rows = []
+    for i in range(40):
+        w = list(w)
+        w[(7 * i) % 120] = f"edit{i}"
+        rows.append((i, " ".join(w)))
+    base = [f"b{j}" for j in range(200)]
+    for i in range(60):  # edits of one text, of which many link with the text alone and some with none
+        c = list(base)
+        for _ in range(rng.randint(0, 5)):
+            c[rng.randrange(200)] = f"z{rng.randrange(10**6)}"
+        rows.append((100 + i, " ".join(c)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, neardup.near_duplicates(df).collect()), key=str) == brute(rows)
+
+
+def test_unlike_documents_of_one_passage_make_no_pairs(spark, monkeypatch):
+    """5,000 documents of 40 common and 16 own words: nearly all values of a sketch are shared, and no two link."""
+    met = []
+    plain = neardup._possible
+    monkeypatch.setattr(neardup, "_possible", lambda pairs, *a: met.append(pairs.count()) or plain(pairs, *a))
+    common = " ".join(f"c{j}" for j in range(40))
+    rows = [(i, common + " " + " ".join(f"own{i}x{j}" for j in range(16))) for i in range(5000)]
+    rows += [(9000 + i, f"own{i}x{0} " + rows[i][1]) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()}
+    assert got == {i: i for i in range(5000)} | {9000 + i: i for i in range(3)}
+    assert sum(met) <= 3 * len(rows)
+
+
+def test_very_long_text(spark):
+    long = " ".join(f"t{j % 70000}x{j}" for j in range(150_000))
+    df = spark.createDataFrame([(1, long), (2, long + " tail"), (3, "x" * 700_000), (4, None)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in neardup.near_duplicates(df).collect()) == [(1, 1), (2, 1), (3, 3), (4, 4)]
+
+
 def test_one_of_each_and_repeated_rows(spark):
     text = " ".join(f"x{i}" for i in range(40))
     df = spark.createDataFrame([(4, text, "a"), (4, text, "a"), (9, text + " y", "b"), (7, "", "c"), (8, None, "c")], "doc_id long, text string, kept string")
