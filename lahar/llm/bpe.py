@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lahar.llm.common import Numbered, answered, buckets_for, cut_up, docs_in, spread, text_bytes
+from lahar.llm.common import Numbered, answered, buckets_for, cut_up, dealt, docs_in, spread, text_bytes
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -86,13 +86,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         find, words = regex.compile(pattern).findall, Numbered()
         number = words.__getitem__
         codes = [np.fromiter(map(number, find(t.decode()) if t else ()), np.int32) for t in texts]
-        asks: list[list[bytes]] = [[] for _ in range(n)]
-        place = np.empty(len(words), np.int32)
-        for i, w in enumerate(words):
-            b = zlib.crc32(w := w.encode()) % n
-            place[i] = b
-            asks[b].append(w)
+        names = [w.encode() for w in words]
+        place = np.fromiter((zlib.crc32(w) % n for w in names), np.int32, len(names))
         sizes = np.array([len(c) for c in codes], np.int64)
+        asks = [(b, [names[i] for i in at.tolist()]) for b, at in dealt(place)]
         return (ids, sizes, np.concatenate(codes) if codes else np.empty(0, np.int32), place), asks
 
     def answer(questions):
@@ -110,13 +107,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def finish(kept, got) -> Iterator[pa.RecordBatch]:
         ids, sizes, codes, place = kept
-        lens = np.zeros(len(place), np.int64)
-        for b, (k, _) in got.items():
-            lens[place == b] = k
+        lens, buckets = np.zeros(len(place), np.int64), dealt(place)
+        for b, where in buckets:
+            lens[where] = got[b][0]
         starts = np.concatenate([[0], np.cumsum(lens)])
         flat = np.empty(starts[-1], np.int32)
-        for b, (k, values) in got.items():
-            where = np.flatnonzero(place == b)
+        for b, where in buckets:
+            k, values = got[b]
             flat[np.repeat(starts[where] - np.concatenate([[0], np.cumsum(k)[:-1]]) if len(k) else starts[where], k) + np.arange(len(values))] = values
         at = 0
         rows_ids, values, ends, size = [], [], [0], 0

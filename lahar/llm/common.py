@@ -5,9 +5,10 @@ from __future__ import annotations
 import hashlib
 import pickle
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from math import ceil
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -18,12 +19,16 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_BYTES = 5 << 20
 BUCKET_BYTES = 16 << 20
+MOST_PARTITIONS = 50_000
 PIECES = "key long, chunk long, bucket int, data binary"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one under /tmp only where the session names none (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/lahar-shared").rstrip("/")
+    """The folder that driver and executors share. A local session may name none: then one under /tmp."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.conf.get("spark.master", "local").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return (named or "file:///tmp/lahar-shared").rstrip("/")
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -39,16 +44,21 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches by bytes: rows hold whole texts, and ten thousand long ones wouldn't fit a Python worker."""
+    """Arrow batches by bytes: rows hold whole texts, and ten thousand long ones wouldn't fit a Python worker.
+
+    Spark has this as a session setting only; plans built before keep what they were built with.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def pack(x) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(x, 5))
+    """Pickled, and compressed where that can pay."""
+    data = pickle.dumps(x, 5)
+    return b"\1" + zstandard.ZstdCompressor(level=3).compress(data) if len(data) > 256 else b"\0" + data
 
 
 def unpack(data: bytes):
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(data[1:]) if data[0] else data[1:])
 
 
 def docs_in(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -83,13 +93,43 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def pieces(chunk: int, kept: object, asks: list) -> list[tuple]:
-    """The rows of one chunk: what it keeps, and what it asks of each bucket."""
-    return [(chunk, chunk, -1, pack(kept)), *((_signed(b"bucket%d" % b), chunk, b, pack(a)) for b, a in enumerate(asks))]
+def dealt(place: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(bucket, positions dealt to it) for each bucket that has any, given the bucket of every position."""
+    order = np.argsort(place, kind="stable")
+    return [(b, order[run]) for b, run in runs(place[order])]
+
+
+def runs(bucket: np.ndarray) -> list[tuple[int, slice]]:
+    """The same for buckets in ascending order: (bucket, its run)."""
+    if not len(bucket):
+        return []
+    found, start = np.unique(bucket, return_index=True)
+    return [(b, slice(i, j)) for b, i, j in zip(found.tolist(), start.tolist(), [*start[1:].tolist(), len(bucket)], strict=True)]
+
+
+def _batches(rows: list[tuple], limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows in record batches of about limit bytes."""
+    some, size = [], 0
+    for row in rows:
+        some.append(row)
+        size += len(row[3])
+        if size > limit:
+            yield _rows(some)
+            some, size = [], 0
+    if some:
+        yield _rows(some)
+
+
+def pieces(chunk: int, kept: object, asks: Iterable[tuple[int, object]]) -> list[tuple]:
+    """The rows of one chunk: what it keeps, and what it asks of buckets."""
+    return [(chunk, chunk, -1, pack(kept)), *((_signed(b"bucket%d" % b), chunk, b, pack(a)) for b, a in asks)]
 
 
 def cut_up(docs: DataFrame, ask: Callable, limit: int = CHUNK_BYTES) -> DataFrame:
-    """Texts (id, text) cut into chunks of about limit bytes. ask(ids, texts) -> (kept, one question for each bucket).
+    """Texts (id, text) cut into chunks of about limit bytes. ask(ids, texts) -> (kept, [(bucket, question), ...]).
+
+    A chunk asks only buckets that it has keys for, so messages are never more than keys: they grow with the input,
+    not with chunks times buckets.
 
     A chunk's key is a hash of its place and content: should a task be run again on rows that come in another
     order, keys differ and the answers don't fit, which fails loudly instead of mixing two states.
@@ -104,9 +144,7 @@ def cut_up(docs: DataFrame, ask: Callable, limit: int = CHUNK_BYTES) -> DataFram
             for t in texts:
                 seen.update(b"%d," % (-1 if t is None else len(t)))
                 seen.update(t or b"")
-            chunk = _signed(seen.digest())
-            for row in pieces(chunk, *ask(ids, texts)):
-                yield _rows([row])
+            yield from _batches(pieces(_signed(seen.digest()), *ask(ids, texts)))
 
     return docs.mapInArrow(run, PIECES)
 
@@ -115,10 +153,10 @@ def answered(parts: DataFrame, partitions: int, answer: Callable, finish: Callab
     """Each bucket answers the questions of all chunks; then each chunk goes on with what it kept and its answers.
 
     answer([question, ...]) -> [answer, ...] in the same order; finish(kept, {bucket: answer}) -> record batches.
-    Without a schema, finish gives (kept, questions) like ask, for another round. Every chunk asks every bucket, so
-    finish can sum what buckets tell. What was kept is shuffled once: both sides below read the same exchange.
+    Without a schema, finish gives (kept, questions) like ask, for another round. What was kept is shuffled once: both
+    sides below read the same exchange.
     """
-    dealt = parts.repartition(partitions, "key")
+    parts = parts.repartition(partitions, "key")
 
     def reply(table: pa.Table) -> pa.Table:
         if table.column("bucket")[0].as_py() < 0:
@@ -128,7 +166,7 @@ def answered(parts: DataFrame, partitions: int, answer: Callable, finish: Callab
         got = answer([unpack(x.as_py()) for x in table.column("data")])
         return pa.Table.from_batches([_rows([(c, c, b, pack(g)) for c, b, g in zip(chunk, bucket, got, strict=True)])])
 
-    replies = dealt.groupBy("key").applyInArrow(reply, PIECES)
+    replies = parts.groupBy("key").applyInArrow(reply, PIECES)
 
     def go_on(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0:
@@ -139,12 +177,12 @@ def answered(parts: DataFrame, partitions: int, answer: Callable, finish: Callab
         got = {b: unpack(x.as_py()) for b, x in zip(right.column("bucket").to_pylist(), right.column("data"), strict=True)}
         if schema is None:
             chunk = left.column("chunk")[0].as_py()
-            return pa.Table.from_batches([_rows([row]) for row in pieces(chunk, *finish(kept, got))])
+            return pa.Table.from_batches(list(_batches(pieces(chunk, *finish(kept, got)))))
         return pa.Table.from_batches(list(finish(kept, got)), empty.schema)
 
     schema_out = schema or PIECES
     empty = pa.Table.from_batches([], _arrow_schema(schema_out))
-    return dealt.groupBy("key").cogroup(replies.groupBy("key")).applyInArrow(go_on, schema_out)
+    return parts.groupBy("key").cogroup(replies.groupBy("key")).applyInArrow(go_on, schema_out)
 
 
 def _arrow_schema(schema: str) -> pa.Schema:
@@ -159,8 +197,11 @@ def buckets_for(size: int) -> int:
 
 
 def spread(spark: SparkSession, n: int) -> int:
-    """Shuffle partitions for n chunks and n buckets."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20000, n))
+    """Shuffle partitions for n buckets and their chunks: several for each, so that few share one.
+
+    Buckets and chunks are read one at a time, so beyond MOST_PARTITIONS tasks take longer, but no more memory.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTITIONS, 3 * n))
 
 
 class Numbered(dict):

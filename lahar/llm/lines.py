@@ -64,11 +64,11 @@ class _Counted:
             self.found[k] = (1, doc) if old is None else (old[0] + 1, min(old[1], doc))
 
     def asks(self) -> list:
-        keys = sorted(self.found)
-        parts: list[list[bytes]] = [[] for _ in range(self.n)]
-        for k in keys:
-            parts[int.from_bytes(k[:8], "big") * self.n >> 64].append(k)
-        return [(b"".join(p), np.array([self.found[k][0] for k in p], np.int32), np.array([self.found[k][1] for k in p], np.int64)) for p in parts]
+        """(bucket, (keys in order, documents, smallest ids)) for each bucket that has keys."""
+        parts: dict[int, list[bytes]] = {}
+        for k in sorted(self.found):
+            parts.setdefault(int.from_bytes(k[:8], "big") * self.n >> 64, []).append(k)
+        return [(b, (b"".join(p), np.array([self.found[k][0] for k in p], np.int32), np.array([self.found[k][1] for k in p], np.int64))) for b, p in parts.items()]
 
 
 def _summed(questions: list) -> list:
@@ -85,7 +85,7 @@ def _summed(questions: list) -> list:
 def _answers(asked: list, got: dict) -> dict[bytes, tuple[int, int]]:
     """key: (documents, smallest id)."""
     out = {}
-    for b, keys in enumerate(asked):
+    for b, keys in asked:
         count, least = got[b]
         out |= {keys[16 * i : 16 * i + 16]: (c, m) for i, (c, m) in enumerate(zip(count.tolist(), least.tolist(), strict=True))}
     return out
@@ -116,7 +116,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_toke
             leaves.add({_hash(_leaf(w)) for w, _ in lines}, 0)  # ids matter for templates alone
         kept = (ids, zstandard.ZstdCompressor(level=6).compress(_joined(texts)), np.array([-1 if t is None else len(t) for t in texts], np.int64))
         asks = leaves.asks()
-        return (kept, [a[0] for a in asks]), asks
+        return (kept, [(b, a[0]) for b, a in asks]), asks
 
     def places(got, kept):
         """In leaves that enough documents share: how many documents have each token at each position."""
@@ -131,7 +131,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_toke
                     own |= {_hash(b"%s %d %s" % (leaf, j, x)) for j, x in enumerate(w) if not _DIGIT(x)}
             tokens.add(own, 0)
         asks = tokens.asks()
-        return (kept, hot, [a[0] for a in asks]), asks
+        return (kept, hot, [(b, a[0]) for b, a in asks]), asks
 
     def template(w, leaf, common, least) -> bytes | None:
         marks = [x if not _DIGIT(x) and common.get(_hash(b"%s %d %s" % (leaf, j, x)), 0) >= least else FIELD for j, x in enumerate(w)]
@@ -157,7 +157,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_toke
             held.append(own)
             found.add(set().union(*own), doc)
         asks = found.asks()
-        return (kept, held, [a[0] for a in asks]), asks
+        return (kept, held, [(b, a[0]) for b, a in asks]), asks
 
     def finish(got, kept):
         kept, held, asked = kept

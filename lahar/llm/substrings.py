@@ -21,11 +21,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lahar.llm.common import CHUNK_BYTES, WORD, answered, buckets_for, cut_up, docs_in, spread, text_bytes
+from lahar.llm.common import CHUNK_BYTES, WORD, answered, buckets_for, cut_up, docs_in, runs, spread, text_bytes
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
-_MASK = (1 << 64) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _STEPS = (0xD6E8FEB86659FD95, 0xA0761D6478BD642F)
 _TABLES = np.random.default_rng(20240607).integers(0, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -125,33 +124,25 @@ def repeated_words(docs: DataFrame, width: int = 35, depth: int = 2, load: int =
     per = -(-size // n)
 
     def ask(ids, texts):
-        """Partition sketch: for each bucket and row, its cells in order and a bit that says seen twice or more."""
+        """Partition sketch: for each row and cell range, its cells in order and a bit that says seen twice or more."""
         _, _, _, (a, b) = windows([t or b"" for t in texts], width)
-        asks: list[list] = [[] for _ in range(n)]
+        asks: list[tuple[int, tuple]] = []
         for row in range(depth):
             cells = np.sort(_cells(a, b, row, size))
             new = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(cells) else np.empty(0, np.int64)
             often = np.diff(np.append(new, len(cells))) > 1
             own = cells[new]
-            edge = np.searchsorted(own, np.arange(n + 1) * per)
-            for k in range(n):
-                part = slice(edge[k], edge[k + 1])
-                asks[k].append((_deltas(own[part] - k * per), np.packbits(often[part])))
+            asks += [(row * n + k, (_deltas(own[part] - k * per), np.packbits(often[part]))) for k, part in runs(own // per)]
         return (ids, zstandard.ZstdCompressor(level=3).compress(_joined(texts)), np.array([-1 if t is None else len(t) for t in texts], np.int64)), asks
 
     def merge(questions):
         """Merged counts of a cell range, up to two; what comes back is a bit for each cell a chunk sent."""
-        out = [[] for _ in questions]
-        for row in range(depth):
-            count, sent = np.zeros(per, np.uint8), []
-            for q in questions:
-                cells = _undeltas(q[row][0])
-                often = np.unpackbits(q[row][1], count=len(cells))
-                count[cells] = np.minimum(count[cells] + 1 + often, 2)
-                sent.append(cells)
-            for i, cells in enumerate(sent):
-                out[i].append(np.packbits(count[cells] > 1))
-        return out
+        count, sent = np.zeros(per, np.uint8), []
+        for packed, bits in questions:
+            cells = _undeltas(packed)
+            count[cells] = np.minimum(count[cells] + 1 + np.unpackbits(bits, count=len(cells)), 2)
+            sent.append(cells)
+        return [np.packbits(count[cells] > 1) for cells in sent]
 
     def second(kept, got):
         """Windows whose every cell came back go to exact groups, by fingerprint; each chunk names one at most twice."""
@@ -162,16 +153,16 @@ def repeated_words(docs: DataFrame, width: int = 35, depth: int = 2, load: int =
         for row in range(depth):
             cells = _cells(a, b, row, size)
             own = np.unique(cells)
-            edge = np.searchsorted(own, np.arange(n + 1) * per)
-            hot = np.concatenate([np.unpackbits(got[k][row], count=edge[k + 1] - edge[k]) for k in range(n)]).astype(bool)
+            hot = np.zeros(len(own), bool)
+            for k, part in runs(own // per):
+                hot[part] = np.unpackbits(got[row * n + k], count=part.stop - part.start)
             maybe &= hot[np.searchsorted(own, cells)]
         at = np.flatnonzero(maybe)
         keys = _pairs(a[at], b[at])
         uniq, where, times = np.unique(keys, return_inverse=True, return_counts=True)
-        edge = np.searchsorted(uniq["a"], (np.arange(n + 1).astype(np.float64) * (2.0**64 / n)).clip(0, float(_MASK - 2048)).astype(np.uint64))
-        edge[0], edge[-1] = 0, len(uniq)
-        asks = [(uniq[edge[k] : edge[k + 1]].tobytes(), np.packbits(times[edge[k] : edge[k + 1]] > 1)) for k in range(n)]
-        return (ids, packed, sizes, first[at], where.astype(np.int32), np.diff(edge)), asks
+        parts = runs((uniq["a"] >> np.uint64(32)) * np.uint64(n) >> np.uint64(32))
+        asks = [(k, (uniq[part].tobytes(), np.packbits(times[part] > 1))) for k, part in parts]
+        return (ids, packed, sizes, first[at], where.astype(np.int32), parts), asks
 
     def group(questions):
         """Exact: a fingerprint is repeated if a chunk saw it twice or two chunks saw it."""
@@ -184,8 +175,10 @@ def repeated_words(docs: DataFrame, width: int = 35, depth: int = 2, load: int =
         return [np.packbits(repeated[i:j]) for i, j in zip(ends, ends[1:], strict=False)]
 
     def finish(kept, got):
-        ids, packed, sizes, first, where, counts = kept
-        repeated = np.concatenate([np.unpackbits(got[k], count=counts[k]) for k in range(n)]).astype(bool)
+        ids, packed, sizes, first, where, parts = kept
+        repeated = np.zeros(parts[-1][1].stop if parts else 0, bool)
+        for k, part in parts:
+            repeated[part] = np.unpackbits(got[k], count=part.stop - part.start)
         texts = _split(zstandard.ZstdDecompressor().decompress(packed), sizes)
         words = [t.split() for t in texts]
         n_words = np.array([len(w) for w in words], np.int64)

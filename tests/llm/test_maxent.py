@@ -57,3 +57,33 @@ def test_gradient_steps_lower_the_loss():
     before = loss()
     maxent.descend(w, b, power, rows, y)
     assert loss() < before - 0.5
+
+
+def test_gain_over_unigrams_on_the_test_table(spark):
+    got = maxent.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").collect()
+    tokens = sum(r.n_tokens for r in got)
+    assert (sum(r.score for r in got) - sum(r.base_score for r in got)) / tokens > 0.2
+
+
+def test_a_context_sums_to_one():
+    """In-class shares of a context over the whole vocabulary, never-seen words as one."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(200)).encode() for _ in range(5)]
+    words, flat, sizes = maxent.word_counts(texts)
+    names, first = list(words), np.cumsum(sizes) - sizes
+    kinds = maxent._kinds(names)
+    long = np.arange(2, len(names) + 2).astype(np.uint64)
+    context, pair = maxent.pair_keys(long, kinds, flat, first, 60)
+    counts, tokens = Counter(pair.tolist()), Counter(context.tolist())
+    unigram = np.bincount(flat, minlength=len(names))
+    for k in set(kinds.tolist()):
+        own = np.flatnonzero(kinds == k)
+        share = (unigram[own] + 1) / (unigram[own].sum() + len(own) + 1)
+        for before in range(len(names)):
+            row = np.array([before, *own.tolist()])
+            keys = [maxent.pair_keys(long, kinds, np.array([before, w]), np.array([0]), 60) for w in own.tolist()]
+            n = np.array([counts[int(p[1])] for _, p in keys])
+            total = tokens[int(keys[0][0][1])]
+            assert n.sum() == total, row
+            p = (n + maxent.LEAN * share) / (total + maxent.LEAN)
+            assert math.isclose(p.sum() + maxent.LEAN * (1 / (unigram[own].sum() + len(own) + 1)) / (total + maxent.LEAN), 1)
