@@ -30,3 +30,30 @@ def test_matches_brute_force(spark, monkeypatch):
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<double>")
     assert neighbours.nearest(df, df).collect() == []
+
+
+def test_extreme_magnitudes_and_ties(spark):
+    """Products beyond a double are infinite and tie, subnormal vectors take part, and equal vectors go by id."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=6) * 10.0 ** rng.integers(-3, 3)]) for i in range(100)]
+    rows += [(100 + i, [1e200 * (1 + i), 1e190, 0.0, 0.0, 0.0, 1.0]) for i in range(8)]
+    rows += [(200 + i, [5e-324 * (1 + i), 0.0, 0.0, 0.0, 0.0, 0.0]) for i in range(8)]
+    rows += [(300 + i, [3.0, 1.0, 4.0, 1.0, 5.0, 9.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, df.where("vec_id % 20 = 0"), k=20).collect()
+    want = brute(rows, lambda i: i % 20 == 0, 20)
+    assert len(got) == len(want)
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == sorted(w[:3] for w in want)
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(40, 9)) * 1e150, rng.normal(size=(50, 9)) * 1e-200
+    parts = [neighbours.quantised(v) for v in (x, y)]
+    (q8, qr, qs, qp, q1), (c8, cr, cs, cp, c1) = parts
+    qi, ci, low, high = neighbours.tile_bounds((np.arange(40), q8, qr, qs, qp, q1), (np.arange(100, 150), c8, cr, cs, cp, c1), 5)
+    true = x @ y.T
+    assert (low <= true[qi, ci]).all() and (true[qi, ci] <= high).all()
+    for i in range(40):
+        assert set(np.argsort(-true[i])[:5]) <= set(ci[qi == i].tolist())
+    assert len(qi) < 40 * 8
