@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import pickle
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -14,6 +15,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: A word is a run of anything but these six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -149,7 +152,7 @@ def cut_up(docs: DataFrame, ask: Callable, limit: int = CHUNK_BYTES) -> DataFram
     return docs.mapInArrow(run, PIECES)
 
 
-def answered(parts: DataFrame, partitions: int, answer: Callable, finish: Callable, schema: str | None) -> DataFrame:
+def answered(parts: DataFrame, partitions: int, answer: Callable, finish: Callable, schema: str | StructType | None) -> DataFrame:
     """Each bucket answers the questions of all chunks; then each chunk goes on with what it kept and its answers.
 
     answer([question, ...]) -> [answer, ...] in the same order; finish(kept, {bucket: answer}) -> record batches.
@@ -181,15 +184,17 @@ def answered(parts: DataFrame, partitions: int, answer: Callable, finish: Callab
         return pa.Table.from_batches(list(finish(kept, got)), empty.schema)
 
     schema_out = schema or PIECES
-    empty = pa.Table.from_batches([], _arrow_schema(schema_out))
+    empty = pa.Table.from_batches([], arrow_schema(schema_out))
     return parts.groupBy("key").cogroup(replies.groupBy("key")).applyInArrow(go_on, schema_out)
 
 
-def _arrow_schema(schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+def arrow_schema(schema: str | StructType) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
-    return to_arrow_schema(StructType.fromDDL(schema))
+
+def nullable(schema: StructType) -> StructType:
+    """The schema with every field nullable, as what comes back from Python is."""
+    return StructType.fromJson(json.loads(schema.json().replace('"nullable":false', '"nullable":true').replace('"containsNull":false', '"containsNull":true')))
 
 
 def buckets_for(size: int) -> int:

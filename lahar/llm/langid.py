@@ -4,29 +4,36 @@ Four kinds of evidence are added as log odds for each row: the likelihood of its
 trigrams of each language (counted over all training texts by grouped aggregation), the language its markup
 declares, the suffix of its address, and a prior of its host. Host priors are smoothed in a hierarchy: a host's
 counts lean on its registered domain's, those on its suffix's, those on the whole table's; all come from grouped
-aggregation of what the text alone says.
+aggregation of what the text alone says, and a row's own vote is left out of the counts it meets. How far
+declarations and suffixes are trusted is the share of rows in which they agree with the text.
 
 A row whose text has no letters has text evidence of zero. Null or unparsable addresses and declarations give no
-evidence. Repeated rows are judged each. An empty table, or no training text, gives null languages. Working
-columns have names of their own, so other columns pass or are not read.
+evidence; a null host is a host of its own. Repeated rows are judged each. Of languages with equal posteriors the
+first by name is taken. Very long texts count whole. An empty table, or no training text, gives null languages.
+Working columns have names of their own, so other columns pass or are not read.
 """
 
 from __future__ import annotations
 
+import html as markup
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 
-from lahar.llm.common import small_batches
+from lahar.llm.common import cut, small_batches
 
 CELLS = 1 << 14
-#: Trigrams of a text overlap and aren't independent; their log odds count this much, and no more than FULL of them.
-TEMPER, FULL = 0.3, 400
-#: A declared language is right this often, as is an address suffix that names one; the rest is shared by the others.
-TRUST = {"declared": 0.9, "suffix": 0.7}
+#: A text's trigrams overlap and repeat its words, the more so the longer it is: n of them count as TEMPER * n ** GROWTH.
+TEMPER, GROWTH = 0.6, 0.75
+#: How often a declared language is right, as is an address suffix that names one, before rows have told: worth as many rows.
+TRUST, TRUST_ROWS = {"declared": 0.9, "suffix": 0.7}, 10.0
 #: What a host's, a domain's and a suffix's own counts weigh against the level above.
 LEAN = 20.0
+#: Suffixes that point to a language of another code; other suffixes point to the language of their own code, if any.
+SUFFIX_LANGUAGE = {"uk": "en", "us": "en", "au": "en", "ie": "en", "nz": "en", "at": "de", "mx": "es", "ar": "es", "co": "es", "br": "pt", "jp": "ja", "cn": "zh", "kr": "ko", "ua": "uk", "cz": "cs", "dk": "da", "se": "sv"}
 
 
 def trigram_cells(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -84,15 +91,16 @@ def declared_in(html: Column) -> Column:
 
 
 def page_text(html: Column) -> Column:
-    """Markup without scripts, styles and tags."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-zA-Z]+;|&#\d+;", " ")
-    return bare
+    """Markup without scripts, styles and tags; character references stay."""
+    return F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
 
 
-def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], id_cols: list[str], text: Column, declared: Column, host: Column) -> DataFrame:
-    """id_cols, language, posterior (of that language), text_language, letters, and the host's share: one row for each row.
+def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], id_cols: list[str], text: Column, declared: Column, host: Column, references: bool = False) -> DataFrame:
+    """id_cols, language, posterior (of that language), text_language, letters: one row for each row.
 
-    host is a name of dotted parts; its last part is the suffix, its last two the registered domain.
+    host is a name of dotted parts; its last part is the suffix, its last two the registered domain. With references,
+    character references in the text are read as what they stand for. Every text is scored once, and what it says is
+    written to the shared folder, as both host priors and rows need it.
     """
     languages, table = model
     spark = rows.sparkSession
@@ -106,19 +114,20 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], id_cols: list
 
     def likelihood(batches):
         for batch in batches:
-            cells, sizes = trigram_cells(batch.column(3).cast(pa.binary()).to_pylist())
+            texts = batch.column(3).cast(pa.binary()).to_pylist()
+            if references:
+                texts = [markup.unescape(t.decode()).encode("utf-8", "replace") if t and b"&" in t else t for t in texts]
+            cells, sizes = trigram_cells(texts)
             sums = np.zeros((len(sizes), max(n, 1)))
             ends = np.concatenate([[0], np.cumsum(sizes)])
             for k in range(n):
                 line = np.concatenate([[0.0], np.cumsum(shared.value[k][cells], dtype=np.float64)])
                 sums[:, k] = line[ends[1:]] - line[ends[:-1]]
-            sums *= (TEMPER * np.minimum(sizes, FULL) / np.maximum(sizes, 1))[:, None]
+            sums *= (TEMPER * np.maximum(sizes, 1) ** (GROWTH - 1))[:, None]
             flat = pa.array(sums[:, :n].ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * n, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([*[batch.column(j) for j in range(3)], pa.array(sizes), lists], ["own", "declared", "host", "letters", "logs"])
 
-    from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
-
     out = StructType([*source.schema.fields[:3]]).add("letters", LongType()).add("logs", ArrayType(DoubleType()))
     seen = source.mapInArrow(likelihood, out)
     if not n:
@@ -128,43 +137,52 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], id_cols: list
         return F.when(F.size(scores) > 0, F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position(scores, F.array_max(scores)).cast("int")))
 
     seen = seen.withColumn("text_language", F.when(F.col("letters") > 0, best(F.col("logs"))))
-    seen = seen.withColumn("suffix", F.element_at(parts, -1)).withColumn("domain", F.concat_ws(".", F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2)))
+    last = F.element_at(parts, -1)
+    points = F.create_map(*[F.lit(x) for pair in SUFFIX_LANGUAGE.items() for x in pair])
+    seen = seen.withColumn("domain", F.concat_ws(".", F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2))).withColumn("ending", last)
+    seen = cut(seen.withColumn("suffix", F.coalesce(points[last], last)), "langid-seen")
+    names = F.array(*[F.lit(x) for x in languages])
     # grouped aggregation: how often each language is what the text says, by host, domain, suffix and in all
-    hits = [F.sum((F.col("text_language") == x).cast("double")).alias(f"n{k}") for k, x in enumerate(languages)]
-    by_host = seen.groupBy("host", "domain", "suffix").agg(*[F.coalesce(h, F.lit(0.0)).alias(f"n{k}") for k, h in enumerate(hits)])
+    hits = [F.coalesce(F.sum((F.col("text_language") == x).cast("double")), F.lit(0.0)).alias(f"n{k}") for k, x in enumerate(languages)]
     again = [F.sum(f"n{k}").alias(f"n{k}") for k in range(n)]
-    by_domain, by_suffix, by_all = by_host.groupBy("domain", "suffix").agg(*again), by_host.groupBy("suffix").agg(*again), by_host.agg(*again)
-
-    def smooth(counts: DataFrame, above: DataFrame | None, on: list[str]) -> DataFrame:
-        own = F.array(*[F.col(f"n{k}") for k in range(n)])
-        total = F.aggregate(own, F.lit(0.0), lambda x, y: x + y)  # not a sum of columns, whose tree is as deep as n
-        if above is None:
-            return counts.select(F.transform(own, lambda c: (c + 1) / (total + n)).alias("prior"))
-        joined = counts.select(*[F.col(c).alias(c) for c in counts.columns], own.alias("counts"), total.alias("total"))
-        renamed = above.withColumnRenamed("prior", "upper")
-        for c in on:
-            renamed = renamed.withColumnRenamed(c, f"up_{c}")
-        if on:
-            cond = [F.col(c).eqNullSafe(F.col(f"up_{c}")) for c in on]
-            joined = joined.join(renamed, cond)
-        else:
-            joined = joined.crossJoin(F.broadcast(renamed))  # one row
-        keep = [c for c in counts.columns if not (c[0] == "n" and c[1:].isdigit())]
-        return joined.select(*keep, F.zip_with("counts", "upper", lambda c, u: (c + u * LEAN) / (F.col("total") + LEAN)).alias("prior"))
-
-    top = smooth(by_all, None, [])
-    suffixes = smooth(by_suffix, top, [])
-    domains = smooth(by_domain, suffixes, ["suffix"])
-    hosts = smooth(by_host, domains, ["domain", "suffix"]).select(F.col("host").alias("of_host"), F.col("prior"))
+    by_host = seen.groupBy("host", "domain", "ending").agg(*hits)
+    by_domain, by_ending = by_host.groupBy("domain", "ending").agg(*again), by_host.groupBy("ending").agg(*again)
+    by_all = by_ending.agg(*again)
+
+    def counts(df: DataFrame, keys: list[str], name: str, prefix: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys], F.array(*[F.col(f"n{k}") for k in range(n)]).alias(name))
+
+    hosts = counts(by_host, ["host", "domain", "ending"], "in_host", "of_")
+    domains, endings = counts(by_domain, ["domain", "ending"], "in_domain", "d_"), counts(by_ending, ["ending"], "in_ending", "e_")
+    hosts = hosts.join(domains, F.col("of_domain").eqNullSafe(F.col("d_domain")) & F.col("of_ending").eqNullSafe(F.col("d_ending")))
+    hosts = hosts.join(endings, F.col("of_ending").eqNullSafe(F.col("e_ending"))).crossJoin(F.broadcast(counts(by_all, [], "in_all", "")))  # one row
+    hosts = hosts.select("of_host", "in_host", "in_domain", "in_ending", "in_all")
     both = seen.join(hosts, F.col("host").eqNullSafe(F.col("of_host")), "left")
-    names = F.array(*[F.lit(x) for x in languages])
+    vote = F.transform(names, lambda x: F.coalesce((x == F.col("text_language")).cast("double"), F.lit(0.0)))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+    less = lambda a: F.zip_with(F.coalesce(a, vote), vote, lambda c, v: c - v)
+    for c in ("in_host", "in_domain", "in_ending", "in_all"):
+        both = both.withColumn(c, less(F.col(c)))
+    both = both.withColumn("prior", F.transform("in_all", lambda c: (c + 1) / (total(F.col("in_all")) + n)))
+
+    def smoothed(counts: str) -> Column:
+        return F.zip_with(counts, "prior", lambda own, up: (own + up * LEAN) / (total(F.col(counts)) + LEAN))
+
+    for c in ("in_ending", "in_domain", "in_host"):
+        both = both.withColumn("prior", smoothed(c))
+
+    known = lambda what: F.coalesce(F.array_contains(names, F.col(what)), F.lit(False)) & F.col("text_language").isNotNull()
+    told = [x for what in TRUST for x in (F.sum(known(what).cast("double")), F.sum((known(what) & (F.col(what) == F.col("text_language"))).cast("double")))]
+    sums = [x or 0.0 for x in seen.agg(*told).head()]
+    trust = {what: (right + TRUST[what] * TRUST_ROWS) / (rows_known + TRUST_ROWS) for what, rows_known, right in zip(TRUST, sums[::2], sums[1::2], strict=True)}
 
-    def says(what: str, trust: float) -> Column:
-        known = F.coalesce(F.array_contains(names, F.col(what)), F.lit(False))
-        return F.transform(names, lambda x: F.when(known, F.when(x == F.col(what), F.log(F.lit(trust))).otherwise(F.log(F.lit((1 - trust) / max(1, n - 1))))).otherwise(F.lit(0.0)))
+    def says(what: str) -> Column:
+        named = F.coalesce(F.array_contains(names, F.col(what)), F.lit(False))
+        share = min(max(trust[what], 0.5), 1 - 1e-6)
+        return F.transform(names, lambda x: F.when(named, F.when(x == F.col(what), F.log(F.lit(share))).otherwise(F.log(F.lit((1 - share) / max(1, n - 1))))).otherwise(F.lit(0.0)))
 
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    logs = add(add(F.col("logs"), F.transform("prior", lambda p: F.log(p))), add(says("declared", TRUST["declared"]), says("suffix", TRUST["suffix"])))
+    logs = add(add(F.col("logs"), F.transform("prior", lambda p: F.log(p))), add(says("declared"), says("suffix")))
     fused = both.withColumn("fused", logs).withColumn("most", F.array_max("fused"))
     fused = fused.withColumn("posterior", 1 / F.aggregate(F.transform("fused", lambda x: F.exp(x - F.col("most"))), F.lit(0.0), lambda a, x: a + x))
     return fused.select("own.*", best(F.col("fused")).alias("language"), "posterior", "text_language", "letters")

@@ -26,10 +26,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from lahar.llm.common import CHUNK_BYTES, answered, buckets_for, cut_up, spread, text_bytes
+from lahar.llm.common import CHUNK_BYTES, answered, arrow_schema, buckets_for, cut_up, nullable, spread, text_bytes
 from lahar.llm.substrings import _joined, _split
 
 FIELD = b"<*>"
@@ -101,8 +100,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_toke
     names = [f"c{k}" for k in range(len(carry))]
     row = F.struct(F.col(id_col).cast("long").alias("id"), *[F.col(c).alias(k) for c, k in zip(carry, names, strict=True)])
     source = docs.select(row.alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = source.schema["id"].dataType
-    own = to_arrow_schema(StructType([source.schema["id"]])).field(0).type
+    kind = nullable(StructType([source.schema["id"]]))
+    own = arrow_schema(kind).field(0).type
     n = buckets_for(text_bytes(source, "text"))
 
     def by_doc(ids, texts):
@@ -183,7 +182,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, share: float = 0.6, min_toke
     parts, at = cut_up(source, ask), spread(docs.sparkSession, n)
     for step in (places, templates):
         parts = answered(parts, at, _summed, lambda kept, got, step=step: step(got, kept), None)
-    out = answered(parts, at, _summed, lambda kept, got: finish(got, kept), f"id {kind.simpleString()}, text string, n_lines long, n_removed long, kept string")
+    out = answered(parts, at, _summed, lambda kept, got: finish(got, kept), StructType(kind.fields + StructType.fromDDL("text string, n_lines long, n_removed long, kept string").fields))
     return out.select(F.col("id.id").alias(id_col), *[F.col(f"id.{k}").alias(c) for c, k in zip(carry, names, strict=True)], F.col("text").alias(text_col), "n_lines", "n_removed", "kept")
 
 

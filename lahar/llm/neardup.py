@@ -28,10 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
-from lahar.llm.common import chunks_of, cut, docs_in, small_batches
+from lahar.llm.common import arrow_schema, chunks_of, cut, docs_in, small_batches
 from lahar.llm.substrings import mixed, window_hashes, word_hashes, word_spans
 
 K = 48
@@ -80,7 +78,8 @@ def _digest(values: np.ndarray) -> bytes:
 def sketches(source: DataFrame, width: int) -> DataFrame:
     """(id, n, node, sketch) of each row of (id, text): set size, a 128-bit name of the set, its K smallest values."""
     small_batches(source.sparkSession)
-    own = to_arrow_schema(StructType([source.schema["id"]])).field(0).type
+    kind = source.schema["id"].dataType.simpleString()
+    own = arrow_schema(f"id {kind}").field(0).type
 
     def run(batches):
         for ids, texts in chunks_of(batches, CHUNK):
@@ -89,7 +88,7 @@ def sketches(source: DataFrame, width: int) -> DataFrame:
             n, node, sketch = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(ids, own), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(sketch, pa.list_(pa.int64()))], ["id", "n", "node", "sketch"])
 
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, n long, node binary, sketch array<long>")
+    return source.mapInArrow(run, f"id {kind}, n long, node binary, sketch array<long>")
 
 
 def _matrix(lists: pa.Array, width: int) -> np.ndarray:
@@ -201,6 +200,17 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             return labels
 
 
+def _joined(labels: DataFrame, links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Labels after more links: these join components, so the graph to walk has a node for each component."""
+    part = lambda c: labels.select(F.col("node").alias(c), F.col("label.node").alias(f"of_{c}"))
+    between = links.join(part("x"), "x", "left").join(part("y"), "y", "left")
+    between = _grouped(between.select(F.coalesce("of_x", "x").alias("x"), F.coalesce("of_y", "y").alias("y")).where("x != y").distinct())
+    wider = components(cut(between, "neardup-between"), nodes).select(F.col("node").alias("root"), F.col("label").alias("wider"))
+    alone = links.select(F.col("x").alias("node")).union(links.select(F.col("y").alias("node"))).distinct().join(labels, "node", "left_anti")
+    every = labels.union(alone.join(nodes.select("node", "id"), "node").select("node", F.struct("id", "node").alias("label")))
+    return cut(every.join(wider, F.col("label.node") == F.col("root"), "left").select("node", F.coalesce("wider", "label").alias("label")), "neardup-labels")
+
+
 def _rarest(values: DataFrame, docs: DataFrame, keep: list[str]) -> DataFrame:
     """Of (node, *keep, value): each node's values that others hold too, as rare, from (docs, value) pairs in order."""
     held = values.join(docs, "value").groupBy("node", *keep)
@@ -311,7 +321,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_col:
     if not more.isEmpty():
         more = cut(_confirmed(cut(_possible(_grouped(more), nodes, percent), "neardup-pairs"), nodes, source, width, percent), "neardup-links")
         if not more.isEmpty():
-            labels = components(links.union(more), nodes)
+            labels = _joined(labels, more, nodes)
     named = labels.select(F.col("node").alias("of"), "label")
     found = nodes.join(named, F.col("node") == F.col("of"), "left").select(F.col("node").alias("key"), F.explode("salts").alias("salt"), F.coalesce("label", F.struct("id", "node")).alias("label"))
     joined = rows.withColumn("key", F.when(real, F.col("node"))).withColumn("salt", salt).join(found, ["key", "salt"], "left")
@@ -326,12 +336,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows are written once with a key of their own, by which they stay or go, whatever rows share their id.
     """
-    keyed = cut(docs.withColumn("_near_row", F.monotonically_increasing_id()), "neardup-keyed")
-    found = cut(near_duplicates(keyed, id_col=id_col, text_col=text_col, row_col="_near_row", **options).select("_near_row", "component", "kept"), "neardup-found")
+    keyed = cut(docs.select(F.monotonically_increasing_id().alias("_near_row"), F.struct(*docs.columns).alias("_row")), "neardup-keyed")
+    plain = keyed.select("_near_row", *[F.col(f"_row.`{c}`").alias(c) for c in (id_col, text_col)])
+    found = cut(near_duplicates(plain, id_col=id_col, text_col=text_col, row_col="_near_row", **options).select("_near_row", "component", "kept"), "neardup-found")
     gone = found.where(~F.col("kept")).select("_near_row")
     first = found.where(F.col("kept") & F.col("component").isNotNull())
     twice = first.join(first.groupBy("component").count().where("count > 1").select("component"), "component").select("component", "_near_row")
-    texts = twice.join(keyed.select("_near_row", F.col(text_col).alias("_text")), "_near_row")
+    texts = twice.join(plain.select("_near_row", F.col(text_col).alias("_text")), "_near_row")
     stays = texts.groupBy("component").agg(F.min(F.struct("_text", "_near_row")).alias("_least")).select("_least._near_row")
-    gone = gone.union(twice.select("_near_row").join(stays, "_near_row", "left_anti")).withColumnRenamed("_near_row", "_gone_row")
-    return keyed.join(gone, F.col("_near_row") == F.col("_gone_row"), "left_anti").drop("_near_row")
+    gone = gone.union(twice.select("_near_row").join(stays, "_near_row", "left_anti"))
+    return keyed.join(gone, "_near_row", "left_anti").select("_row.*")

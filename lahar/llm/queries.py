@@ -45,7 +45,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, docs = _table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents")
     html, url = F.col("html"), F.col("url")
-    return langid.identify(pages, langid.text_model(docs), ["page_id"], langid.page_text(html), langid.declared_in(html), langid.host_of(url))
+    return langid.identify(pages, langid.text_model(docs), ["page_id"], langid.page_text(html), langid.declared_in(html), langid.host_of(url), references=True)
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ A word's vector is the mean of the vectors of its hashed character n-grams and o
 mean of its words' vectors. So a misspelling that was never seen shares most n-grams with the word it hides.
 As the classifier is linear, a trained model comes down to one number for each hashed n-gram and a bias, which is
 what executors get (SUBWORDS floats, whatever the corpus). Training rows are at most max_rows labelled documents,
-the first by hash of their id: a documented bound on a classifier's sample; all texts are scored, whole.
+the first by hash of their id, and of these the first max_bytes: a documented bound on a classifier's sample; all
+texts are scored, whole, also very long ones.
 
 Null and empty texts have the score of the bias alone. Repeated rows are scored each. Without training rows, or
 with one label only, the score is that label's smoothed share. Rows of labels without a document, or with a null
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lahar.llm.common import docs_in, small_batches
@@ -140,12 +141,20 @@ def fold(id_col: str, folds: int):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)).cast("int")
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str, folds: int = 5, held: int = 0, max_rows: int = 3000, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit on at most max_rows labelled documents outside the held-out fold."""
+def train(docs: DataFrame, labels: DataFrame, label_col: str, folds: int = 5, held: int = 0, max_rows: int = 3000, max_bytes: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fit on at most max_rows labelled documents outside the held-out fold, the first of at most max_bytes in all
+    (and the one that passes it), by hash of their id."""
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("label_id"), F.col(label_col).cast("int").alias("label"))
-    known = known.where(fold("label_id", folds) != held).orderBy(F.xxhash64("label_id"), "label_id", "label").limit(max_rows)
-    rows = docs_in(docs, id_col, text_col).join(F.broadcast(known), F.col("id") == F.col("label_id")).select("id", "text", "label")
-    rows = rows.orderBy(F.xxhash64("id"), "id").limit(max_rows)
+    known = known.where(fold("label_id", folds) != held)
+    # labels meet their documents before the sample is taken: labels without one must not use it up
+    small = docs_in(docs, id_col, text_col).select("id", F.octet_length("text").alias("bytes"))
+    place = F.xxhash64("id")
+    sample = known.join(small, F.col("label_id") == F.col("id")).select("id", "label", "bytes").orderBy(place, "id", "label").limit(max_rows)
+    # at most max_rows rows, so one task can sum their bytes in order; the first row always stays
+    size = F.sum(F.coalesce("bytes", F.lit(0))).over(Window.orderBy(F.xxhash64("id"), "id", "label").rowsBetween(Window.unboundedPreceding, -1))
+    sample = sample.withColumn("before", F.coalesce(size, F.lit(0))).where(F.col("before") < max_bytes).select(F.col("id").alias("label_id"), "label")
+    rows = docs_in(docs, id_col, text_col).join(F.broadcast(sample), F.col("id") == F.col("label_id")).select("id", "text", "label")
+    rows = rows.orderBy(F.xxhash64("id"), "id", "label").limit(max_rows)
 
     def fit_rows(batches):
         got = sorted(r for batch in batches for r in zip(batch.column(0).to_pylist(), (t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()), batch.column(2).to_pylist(), strict=True))

@@ -50,3 +50,52 @@ def test_held_out_accuracy(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, truth string")
     got = langid.identify(df, model, ["doc_id", "truth"], F.col("text"), F.lit(None).cast("string"), F.lit("h.example.com")).collect()
     assert sum(r.language == r.truth for r in got) / len(got) > 0.97
+
+
+def test_posterior_against_plain_arithmetic(spark):
+    """Every step worked by hand for small tables: likelihood, own vote left out, hierarchy, declared, suffix."""
+    import math
+    from collections import Counter
+
+    model = langid.text_model(docs(spark))
+    names, table = model
+    rows = [
+        (1, "der und nicht", None, "a.example.de"),
+        (2, "the and thing what", "en", "a.example.de"),
+        (3, "le quoi leur", "de", "b.example.de"),
+        (4, "", "fr", "www.other.com"),
+        (5, "the other what", None, None),
+        (6, "des mots sch\u00f6n &eacute;t&eacute;", "xx", "c.example.uk"),
+    ]
+    df = spark.createDataFrame(rows, "k long, words string, told string, at string")
+    got = {r.k: r for r in langid.identify(df, model, ["k"], F.col("words"), F.col("told"), F.col("at"), references=True).collect()}
+    import html
+
+    logs, votes = {}, {}
+    for k, words, _, _ in rows:
+        cells, sizes = langid.trigram_cells([html.unescape(words).encode()])
+        n = int(sizes[0])
+        logs[k] = [langid.TEMPER * max(n, 1) ** (langid.GROWTH - 1) * float(table[j].astype("float32")[cells].sum(dtype=float)) for j in range(3)]
+        votes[k] = names[max(range(3), key=lambda j: (logs[k][j], -j))] if n else None
+    part = {k: (h, ".".join(h.split(".")[-2:]) if h else "", h.split(".")[-1] if h else None) for k, _, _, h in rows}
+    code = lambda e: langid.SUFFIX_LANGUAGE.get(e, e)
+    trust = {}
+    for what, of in (("declared", lambda r: r[2]), ("suffix", lambda r: code(part[r[0]][2]))):
+        known = [r for r in rows if of(r) in names and votes[r[0]]]
+        trust[what] = (sum(of(r) == votes[r[0]] for r in known) + langid.TRUST[what] * langid.TRUST_ROWS) / (len(known) + langid.TRUST_ROWS)
+    for k, _, told, _ in rows:
+        prior = None
+        for level in (None, 2, 1, 0):
+            inside = [x for x in votes if x != k and (level is None or part[x][level:] == part[k][level:])]
+            c = Counter(votes[x] for x in inside if votes[x])
+            total = sum(c.values())
+            prior = [(c[x] + 1) / (total + 3) for x in names] if prior is None else [(c[x] + p * langid.LEAN) / (total + langid.LEAN) for x, p in zip(names, prior)]
+        fused = [x + math.log(p) for x, p in zip(logs[k], prior)]
+        for what, value in (("declared", told), ("suffix", code(part[k][2]))):
+            if value in names:
+                share = min(max(trust[what], 0.5), 1 - 1e-6)
+                fused = [f + math.log(share if x == value else (1 - share) / 2) for f, x in zip(fused, names)]
+        top = max(fused)
+        assert got[k].text_language == votes[k]
+        assert got[k].language == names[fused.index(top)]
+        assert abs(got[k].posterior - 1 / sum(math.exp(f - top) for f in fused)) < 1e-5

@@ -60,3 +60,47 @@ def test_mixed_rows(spark):
     taken = {r.doc_id: len(r.shards) for r in mixing.mix(df).collect()}
     out = mixing.mixed_rows(df).collect()
     assert sorted(r.doc_id for r in out) == sorted(i for i, n in taken.items() for _ in range(n))
+
+
+def test_hypergeometric_quantiles(spark):
+    """Against exact sums of binomials, from small numbers to large."""
+    from fractions import Fraction
+    from math import comb
+
+    from pyspark.sql import functions as F
+
+    cases = [(own, total, need, u) for own, total, need in [(0, 5, 2), (5, 5, 2), (1, 2, 1), (3, 10, 5), (40, 100, 50), (500, 8000, 4000), (7999, 8000, 1), (30000, 50000, 25000)] for u in (0.0, 0.001, 0.3, 0.5, 0.77, 0.9999)]
+    df = spark.createDataFrame(cases, "own long, total long, need long, u double")
+    got = df.select("*", mixing.hypergeometric(F.col("own"), F.col("total"), F.col("need"), F.col("u")).alias("x")).collect()
+    for r in got:
+        low, high = max(0, r.need - r.total + r.own), min(r.own, r.need)
+        assert low <= r.x <= high
+        if r.total > 10000:
+            continue
+        whole = comb(r.total, r.need)
+        below = sum(comb(r.own, x) * comb(r.total - r.own, r.need - x) for x in range(low, r.x))
+        upto = below + comb(r.own, r.x) * comb(r.total - r.own, r.need - r.x)
+        assert float(Fraction(below, whole)) <= r.u + 1e-9 and (r.u < float(Fraction(upto, whole)) + 1e-9)
+
+
+def test_taken_is_what_shards_draw(spark, monkeypatch):
+    """Many shards and small blocks: every shard's rows are its quotas' blocks, disjoint within a pass."""
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 2000)
+    df = spark.createDataFrame(corpus(), "doc_id long, text string, source string")
+    rows = mixing.mix(df, cap=2.0).collect()
+    per = defaultdict(int)
+    for r in rows:
+        assert len(r.shards) * r.size == r.taken
+        for x in r.shards:
+            per[x] += r.size
+    words = sum(per.values())
+    assert len(per) == 32 and max(per.values()) < 2.2 * words / len(per)
+
+
+def test_clashing_shard_column(spark):
+    import pytest
+
+    df = spark.createDataFrame([(i, "w w", "a", 5, 6, 7) for i in range(20)], "doc_id long, text string, source string, shard int, size int, _time int")
+    assert mixing.mixed_rows(df, shard_col=None).columns == df.columns
+    with pytest.raises(ValueError):
+        mixing.mixed_rows(df)

@@ -35,3 +35,18 @@ def test_stages_carry_null_and_shared_ids(spark, tmp_path):
         if name == "near_dedup":
             assert docs.count() == 3
     assert {(r.doc_id, r.text) for r in docs.collect()} == {r[:2] for r in rows[:3]}
+
+
+def test_stages_with_clashing_columns(spark, tmp_path):
+    """Columns named like the operators' own, through every stage."""
+    extra = ["letters", "posterior", "language", "text_language", "host", "kept", "n_removed", "n_lines", "shard", "shards", "size", "taken", "target", "component", "node", "value", "id", "row", "_time", "_order", "ids", "decoded"]
+    text = lambda x: " ".join(f"{x}{chr(97 + i)}" for i in range(24)) + "\nshared line of many documents"
+    rows = [(i, text("abcdefgh"[i % 8]), "en", "st"[i % 2], 9, *range(len(extra))) for i in range(16)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in extra)
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        docs = spark.createDataFrame(out.collect(), docs.schema)
+        assert {tuple(r)[5:] for r in docs.collect()} == {tuple(range(len(extra)))}
+    assert corpus_pipeline.byte_bpe(spark, docs, str(tmp_path)).count() == docs.count()

@@ -44,3 +44,41 @@ def test_without_labels(spark):
     model = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"), "toxic")
     assert [r.score for r in toxicity.score(docs, model).collect()] == [0.5]
     assert toxicity.score(docs.limit(0), model).collect() == []
+
+
+def test_labels_without_documents_do_not_use_up_the_sample(spark):
+    rows, labels = corpus(200)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score int")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    orphans = spark.range(10_000, 18_000).selectExpr("id AS doc_id", "1 AS toxic")
+    score = lambda k: [r.score for r in toxicity.score(docs, toxicity.train(docs, k, "toxic", max_rows=300)).orderBy("doc_id").collect()]
+    assert score(known) == score(known.union(orphans))
+
+
+def test_bounded_bytes(spark):
+    docs = spark.createDataFrame([(i, "word " * 1000) for i in range(20)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    model = toxicity.train(docs, known, "toxic", max_bytes=12_000)
+    assert model.weight.shape == (toxicity.SUBWORDS,)
+    long = spark.createDataFrame([(1, "plain words " * 200_000)], "doc_id long, text string")
+    assert 0 <= toxicity.score(long, model).head().score <= 1
+
+
+def test_scores_are_means_of_means(spark):
+    """score() against the model's definition, word by word and n-gram by n-gram."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    model = toxicity.Model(rng.normal(size=toxicity.SUBWORDS).astype(np.float32), 0.3)
+    texts = ["some words here", "MIXED case Mixed", "a", "", None, "ünïcode wörd", "twice twice once"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.score(docs, model).collect():
+        words = (texts[r.doc_id] or "").encode().split()
+        means = []
+        for w in words:
+            _, cells = toxicity.subwords([w])
+            marked = f"<{w.decode().lower()}>"
+            assert len(cells) == 1 + sum(max(0, len(marked) - n + 1) for n in range(3, 7))
+            means.append(np.mean([model.weight[c] for c in cells], dtype=np.float64))
+        want = 1 / (1 + np.exp(-(0.3 + (np.mean(means) if means else 0))))
+        assert abs(r.score - want) < 1e-6
