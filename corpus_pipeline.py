@@ -14,30 +14,45 @@ SURE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; lang counts as declared, source as the host."""
-    found = langid.identify(docs, langid.text_model(docs), docs.columns, F.col("text"), F.col("lang"), F.col("source"))
-    return found.where((F.col("letters") > 0) & (F.col("posterior") >= SURE)).select(*docs.columns)
+    """Documents whose language is known; lang counts as declared, source as the host.
+
+    Null and empty texts and those without letters go; null ids, repeated rows and other columns pass as they are.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))  # in one column, so that no name meets the operator's
+    found = langid.identify(rows, langid.text_model(docs), ["_row"], F.col("_row.text"), F.col("_row.lang"), F.col("_row.source"))
+    return found.where((F.col("letters") > 0) & (F.col("posterior") >= SURE)).select("_row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines of recurring templates."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    left = lines.dedup_lines(docs, carry=others, leaf_shares=lines.SHARES).withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept")))
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """All documents, without the lines of recurring templates.
+
+    Null texts stay null; null ids come last, so their lines go first; repeated rows of the smallest id keep theirs.
+    """
+    rows = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"))
+    left = lines.dedup_lines(rows, carry=("_row",), leaf_shares=lines.SHARES)
+    text = F.when(F.col("text").isNotNull(), F.col("kept"))
+    changed = {"text": text, "n_chars": F.length(text).cast("long")}
+    return left.select(*[changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies.
+
+    Null and empty texts, and rows with a null id, link with nothing and stay. Rows that share an id are judged each.
+    """
     return neardup.one_of_each(docs, width=5, percent=85).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture takes them, each output shard in its own order."""
-    return mixing.mixed_rows(docs).select(*docs.columns)
+    """Documents as often as the mixture takes them, each output shard in its own order.
+
+    Null and empty texts have size 0 and are drawn with their block; null and repeated ids are rows like others.
+    """
+    return mixing.mixed_rows(docs, shard_col=None)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row, and the hash of what they decode to."""
+    """Token ids of every row, and the hash of what they decode to. Null and empty texts have none."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
