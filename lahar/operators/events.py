@@ -12,15 +12,29 @@ TRIGGER_MAGNITUDE, REDISPATCH_MIN, RETRY_H, REVIEW_DAYS = 5.5, 15, 6, 90
 #: The state machine's allowed transitions.
 TRANSITIONS = {
     "detectado": ("preliminar", "publicado", "degradado", "descartado"),
-    "preliminar": ("publicado", "degradado", "descartado"),
-    "publicado": ("publicado", "descartado"),
-    "degradado": ("publicado", "descartado"),
+    "preliminar": ("preliminar", "publicado", "degradado", "descartado"),
+    "publicado": ("publicado", "degradado", "descartado"),
+    "degradado": ("preliminar", "publicado", "descartado"),
     "descartado": (),
 }
 #: Alert levels that are passed on.
 ALERTS = ("green", "yellow", "orange", "red")
-#: What a licence allows, worst last.
-LICENCES = (("CC0-1.0", 0), ("CC-BY-4.0", 1), ("ODbL-1.0", 2), ("CC-BY-SA-4.0", 2), ("CC-BY-NC-4.0", 3))
+#: The buckets of accepted licences: 0 free, 1 share-alike, 2 non-commercial.
+LICENCES = (
+    ("public-domain-usgov", 0),
+    ("public-domain", 0),
+    ("CC0-1.0", 0),
+    ("CC-BY-4.0", 0),
+    ("EC-reuse-attribution", 0),
+    ("CC-BY-IGO", 0),
+    ("gov-open-co", 0),
+    ("ODbL-1.0", 1),
+    ("CC-BY-SA-4.0", 1),
+    ("CC-BY-NC-4.0", 2),
+    ("CC-BY-NC-SA-4.0", 2),
+)
+#: Without a readable time of detection, so many attempts stand for the retry window: one each five minutes.
+MOST_ATTEMPTS = RETRY_H * 60 // 5
 
 
 def _micros(stamp: Column) -> Column:
@@ -62,17 +76,23 @@ def first_content(contents: Column, *keys: str) -> Column:
 
 
 def known_alert(alert: Column) -> Column:
-    return F.when(F.lower(alert).isin(*ALERTS), F.lower(alert)).otherwise("")
+    """Alert levels pass as they are written, anything else is blank."""
+    return F.when(alert.isin(*ALERTS), alert).otherwise("")
 
 
-def decide(has_product: Column, changed: Column, published: Column, age_hours: Column, attempts: Column, force: Column) -> Column:
-    """omit, full, preliminary or exhausted."""
+def decide(has_product: Column, changed: Column, discarded: Column, age_hours: Column, attempts: Column, force: Column) -> Column:
+    """omit, full, preliminary or exhausted. changed: the live product is not the one processed last.
+
+    Force reaches discarded events too, but never without a product. Without one, an event is preliminary until its
+    retry window is over, also where it was published before.
+    """
+    over = F.coalesce(age_hours >= RETRY_H, attempts >= MOST_ATTEMPTS)
     return (
         F.when(force & has_product, "full")
-        .when(has_product & (changed | ~published), "full")
-        .when(has_product | published, "omit")
-        .when(F.coalesce(age_hours >= RETRY_H, attempts >= 36), "exhausted")
-        .otherwise("preliminary")
+        .when(discarded, "omit")
+        .when(~has_product, F.when(over, "exhausted").otherwise("preliminary"))
+        .when(changed, "full")
+        .otherwise("omit")
     )
 
 
@@ -158,9 +178,9 @@ def licence_lint(sources: DataFrame, spark) -> DataFrame:
     """Findings by source: unknown licence, non-commercial, floating vintage; and assets that mix share-alike licences."""
     dim = spark.createDataFrame(list(LICENCES), "license string, severity int")
     both = sources.join(F.broadcast(dim), "license", "left")
-    found = F.array_compact(F.array(F.when(F.col("severity").isNull(), "unknown licence"), F.when(F.col("severity") == 3, "non-commercial"), F.when(F.lower("vintage").isin("latest", "current"), "floating vintage")))
+    found = F.array_compact(F.array(F.when(F.col("severity").isNull(), "unknown licence"), F.when(F.col("severity") == 2, "non-commercial"), F.when(F.lower("vintage").isin("latest", "current"), "floating vintage")))
     single = both.select("asset", "source", F.explode(found).alias("finding"))
-    mixed = both.where("severity = 2").groupBy("asset").agg(F.countDistinct("license").alias("n")).where("n > 1").select("asset", F.lit(None).cast("string").alias("source"), F.lit("incompatible share-alike").alias("finding"))
+    mixed = both.where("severity = 1").groupBy("asset").agg(F.countDistinct("license").alias("n")).where("n > 1").select("asset", F.lit(None).cast("string").alias("source"), F.lit("incompatible share-alike").alias("finding"))
     return single.unionByName(mixed)
 
 

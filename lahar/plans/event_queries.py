@@ -78,20 +78,20 @@ def r9_content_fallback(s, d):
     return p.select("p_partkey", events.first_content(F.col("contents"), "cont_mmi", "mmi_old").alias("content"))
 
 
-@register("r11_known_alerts", "SELECT p_partkey, CASE WHEN lower(x) IN ('green','yellow','orange','red') THEN lower(x) ELSE '' END AS alert FROM (SELECT p_partkey, ['Green','pending','RED','blue'][p_partkey % 4 + 1] AS x FROM part)")
+@register("r11_known_alerts", "SELECT p_partkey, CASE WHEN x IN ('green','yellow','orange','red') THEN x ELSE '' END AS alert FROM (SELECT p_partkey, ['green','pending','RED','red'][p_partkey % 4 + 1] AS x FROM part)")
 def r11_known_alerts(s, d):
-    names = F.array(*[F.lit(x) for x in ("Green", "pending", "RED", "blue")])
+    names = F.array(*[F.lit(x) for x in ("green", "pending", "RED", "red")])
     return table(s, d, "part").select("p_partkey", events.known_alert(F.element_at(names, (F.col("p_partkey") % 4 + 1).cast("int"))).alias("alert"))
 
 
-DECIDE = "SELECT event_id, event_id % 3 = 0 AS has, event_id % 5 = 0 AS changed, event_id % 2 = 0 AS published, CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id % 11 END AS age, event_id % 50 AS attempts, event_id % 31 = 0 AS force FROM events"
+DECIDE = "SELECT event_id, event_id % 3 = 0 AS has, event_id % 5 = 0 AS changed, event_id % 13 = 0 AS discarded, CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id % 11 END AS age, event_id % 100 AS attempts, event_id % 31 = 0 AS force FROM events"
 
 
-@register("t6_t7_decision", f"""SELECT event_id, CASE WHEN force AND has THEN 'full' WHEN has AND (changed OR NOT published) THEN 'full' WHEN has OR published THEN 'omit'
-  WHEN coalesce(age >= 6, attempts >= 36) THEN 'exhausted' ELSE 'preliminary' END AS decision FROM ({DECIDE})""")
+@register("t6_t7_decision", f"""SELECT event_id, CASE WHEN force AND has THEN 'full' WHEN discarded THEN 'omit' WHEN has AND changed THEN 'full' WHEN has THEN 'omit'
+  WHEN age >= 6 OR (age IS NULL AND attempts >= 72) THEN 'exhausted' ELSE 'preliminary' END AS decision FROM ({DECIDE})""")
 def t6_t7_decision(s, d):
     k = F.col("event_id")
-    return table(s, d, "events").select("event_id", events.decide(k % 3 == 0, k % 5 == 0, k % 2 == 0, F.when(k % 7 != 0, k % 11), k % 50, k % 31 == 0).alias("decision"))
+    return table(s, d, "events").select("event_id", events.decide(k % 3 == 0, k % 5 == 0, k % 13 == 0, F.when(k % 7 != 0, k % 11), k % 100, k % 31 == 0).alias("decision"))
 
 
 @register("t5_redispatch_floor", f"SELECT event_id, CASE WHEN event_id % 4 = 0 THEN true ELSE {NOW} - (ts + INTERVAL 29 DAY) >= INTERVAL 15 MINUTE END AS may FROM events")
@@ -100,10 +100,16 @@ def t5_redispatch_floor(s, d):
     return table(s, d, "events").select("event_id", events.may_dispatch(last, now()).alias("may"))
 
 
-_STATES = list(events.TRANSITIONS)
+_STATES = ("detectado", "preliminar", "publicado", "degradado", "descartado")
+#: The allowed moves, written out apart from the operator's table.
+_MOVES = """('detectado','preliminar'),('detectado','publicado'),('detectado','degradado'),('detectado','descartado'),
+('preliminar','preliminar'),('preliminar','publicado'),('preliminar','degradado'),('preliminar','descartado'),
+('publicado','publicado'),('publicado','degradado'),('publicado','descartado'),
+('degradado','preliminar'),('degradado','publicado'),('degradado','descartado')"""
+_ALL_STATES = "(VALUES " + ", ".join(f"('{x}')" for x in _STATES) + ")"
 
 
-@register("t3_allowed_transitions", "SELECT * FROM (VALUES " + ", ".join(f"('{o}', '{n}', {str(n in events.TRANSITIONS[o]).lower()})" for o in _STATES for n in _STATES) + ") t(old, new, ok)")
+@register("t3_allowed_transitions", f"SELECT o.x AS old, n.x AS new, (o.x, n.x) IN ({_MOVES}) AS ok FROM {_ALL_STATES} o(x), {_ALL_STATES} n(x)")
 def t3_allowed_transitions(s, d):
     both = s.createDataFrame([(o, n) for o in _STATES for n in _STATES], "old string, new string")
     return both.withColumn("ok", events.allowed(F.col("old"), F.col("new")))
@@ -185,13 +191,14 @@ def u4_j23_missing_ids(s, d):
     return table(s, d, "customer").select(F.col("c_custkey").alias("id")).subtract(table(s, d, "orders").select(F.col("o_custkey").alias("id")))
 
 
-LIC = "src AS (SELECT p_size AS asset, p_name || p_partkey AS source, ['CC0-1.0','CC-BY-4.0','ODbL-1.0','CC-BY-SA-4.0','CC-BY-NC-4.0','WTF'][CASE WHEN p_partkey % 50 = 0 THEN 6 WHEN p_size < 10 THEN 1 + p_partkey % 2 ELSE 1 + p_partkey % 5 END] AS license, CASE WHEN p_partkey % 9 = 0 THEN 'Latest' ELSE '2024' END AS vintage FROM part)"
-DIM = "dim AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', {v})" for k, v in events.LICENCES) + ") t(license, severity))"
+LIC = "src AS (SELECT p_size AS asset, p_name || p_partkey AS source, ['public-domain-usgov','public-domain','CC0-1.0','CC-BY-4.0','EC-reuse-attribution','CC-BY-IGO','gov-open-co','ODbL-1.0','CC-BY-SA-4.0','CC-BY-NC-4.0','CC-BY-NC-SA-4.0','WTF'][CASE WHEN p_partkey % 50 = 0 THEN 12 WHEN p_size < 10 THEN 1 + p_partkey % 8 ELSE 1 + p_partkey % 11 END] AS license, CASE WHEN p_partkey % 9 = 0 THEN 'Latest' ELSE '2024' END AS vintage FROM part)"
+DIM = """dim AS (SELECT * FROM (VALUES ('public-domain-usgov', 0), ('public-domain', 0), ('CC0-1.0', 0), ('CC-BY-4.0', 0), ('EC-reuse-attribution', 0), ('CC-BY-IGO', 0), ('gov-open-co', 0),
+('ODbL-1.0', 1), ('CC-BY-SA-4.0', 1), ('CC-BY-NC-4.0', 2), ('CC-BY-NC-SA-4.0', 2)) t(license, severity))"""
 
 
 def _licences(s, d):
-    k, names = F.col("p_partkey"), F.array(*[F.lit(x) for x in ("CC0-1.0", "CC-BY-4.0", "ODbL-1.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "WTF")])
-    at = F.when(k % 50 == 0, 6).when(F.col("p_size") < 10, 1 + k % 2).otherwise(1 + k % 5).cast("int")
+    k, names = F.col("p_partkey"), F.array(*[F.lit(x) for x, _ in events.LICENCES], F.lit("WTF"))
+    at = F.when(k % 50 == 0, 12).when(F.col("p_size") < 10, 1 + k % 8).otherwise(1 + k % 11).cast("int")
     return table(s, d, "part").select(F.col("p_size").alias("asset"), F.concat("p_name", k.cast("string")).alias("source"), F.element_at(names, at).alias("license"), F.when(k % 9 == 0, "Latest").otherwise("2024").alias("vintage"))
 
 
@@ -200,8 +207,8 @@ def r12_licence_bucket(s, d):
     return events.licence_bucket(_licences(s, d), s)
 
 
-@register("q16_licence_lint", a.with_ctes(LIC, DIM) + """, b AS (SELECT * FROM src LEFT JOIN dim USING (license)) SELECT asset, source, 'unknown licence' AS finding FROM b WHERE severity IS NULL UNION ALL SELECT asset, source, 'non-commercial' FROM b WHERE severity = 3
-UNION ALL SELECT asset, source, 'floating vintage' FROM b WHERE lower(vintage) IN ('latest','current') UNION ALL SELECT asset, NULL, 'incompatible share-alike' FROM b WHERE severity = 2 GROUP BY asset HAVING count(DISTINCT license) > 1""")
+@register("q16_licence_lint", a.with_ctes(LIC, DIM) + """, b AS (SELECT * FROM src LEFT JOIN dim USING (license)) SELECT asset, source, 'unknown licence' AS finding FROM b WHERE severity IS NULL UNION ALL SELECT asset, source, 'non-commercial' FROM b WHERE severity = 2
+UNION ALL SELECT asset, source, 'floating vintage' FROM b WHERE lower(vintage) IN ('latest','current') UNION ALL SELECT asset, NULL, 'incompatible share-alike' FROM b WHERE severity = 1 GROUP BY asset HAVING count(DISTINCT license) > 1""")
 def q16_licence_lint(s, d):
     return events.licence_lint(_licences(s, d), s)
 
@@ -320,7 +327,7 @@ def text_shortened(s, d):
     return table(s, d, "conversations").select("conv_id", "turn", text.shortened(F.col("text"), 40).alias("short"), F.length("text").alias("n"))
 
 
-@register("text_significant", "SELECT o_orderkey, CASE WHEN o_totalprice = 0 THEN 0 ELSE round(o_totalprice / pow(10.0, floor(log10(abs(o_totalprice))) - 1)) * pow(10.0, floor(log10(abs(o_totalprice))) - 1) END AS rounded, (o_totalprice >= 1000)::INT + (o_totalprice >= 50000)::INT + (o_totalprice >= 200000)::INT AS step FROM orders")
+@register("text_significant", "SELECT o_orderkey, CASE WHEN o_totalprice = 0 THEN 0 ELSE round_even(o_totalprice / pow(10.0, floor(log10(abs(o_totalprice))) - 1), 0) * pow(10.0, floor(log10(abs(o_totalprice))) - 1) END AS rounded, (o_totalprice >= 1000)::INT + (o_totalprice >= 50000)::INT + (o_totalprice >= 200000)::INT AS step FROM orders")
 def text_significant(s, d):
     return table(s, d, "orders").select("o_orderkey", text.significant(F.col("o_totalprice")).alias("rounded"), text.step_class(F.col("o_totalprice"), [1000, 50000, 200000]).alias("step"))
 

@@ -64,11 +64,40 @@ def a5_named_binding(s, d):
     return hit(s, d).where("mmi > 99").agg(F.coalesce(F.sum(F.col("pop_total").cast("decimal(28,6)")), F.lit(0)).cast("double").alias("pop"), F.max("mmi").alias("mmi_max"))
 
 
-@register("text_places", """SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN n_nationkey || ' km al noreste de Lima, Perú' WHEN 1 THEN 'cerca de la costa de México' WHEN 2 THEN 'frente a la costa de Chile' ELSE 'Somewhere' END AS place,
+#: Places of a feed and what they read in Spanish.
+PLACES = {
+    "20 km W of Catia La Mar, Venezuela": "20 km al O de Catia La Mar, Venezuela",
+    "10 km SSW of Coquimbo, Chile": "10 km al SSO de Coquimbo, Chile",
+    "78 km NE of Navarro, Peru": "78 km al NE de Navarro, Perú",
+    "12 km SWW of Algun Sitio, Chile": "12 km SWW of Algun Sitio, Chile",
+    "Near the coast of Bio-Bio, Chile": "Cerca de la costa de Bio-Bio, Chile",
+    "Near the coast of northern Chile": "Cerca de la costa del norte de Chile",
+    "Off the coast of Peru": "Cerca de la costa de Perú",
+    "off the coast of Central America": "Cerca de la costa de Centroamérica",
+    "Nicaragua region": "Región de Nicaragua",
+    "Galapagos Islands, Ecuador region": "Región de las islas Galápagos, Ecuador",
+    "Peru-Ecuador border region": "Zona fronteriza Perú-Ecuador",
+    "south of Panama": "Al sur de Panamá",
+    "2017 Tehuantepec, Mexico Earthquake": "Terremoto de Tehuantepec, México (2017)",
+    "southern East Pacific Rise": "Sur de la dorsal del Pacífico Oriental",
+    "east central Pacific Ocean": "Centro-este del océano Pacífico",
+    "South Pacific Ocean": "Pacífico Sur",
+    "southern Peru": "Sur de Perú",
+    "northern Atlantis Fracture": "northern Atlantis Fracture",
+    "Ciudad de Mexico, Mexico": "Ciudad de Mexico, México",
+    "Acapulco, Mexico": "Acapulco, México",
+    "Drake Passage": "Pasaje de Drake",
+    "Peru": "Perú",
+    "Somewhere odd": "Somewhere odd",
+    "   ": "",
+}
+
+
+@register("text_places", f"""SELECT n_nationkey, [{", ".join(f"'{x}'" for x in PLACES.values())}][n_nationkey % {len(PLACES)} + 1] AS place,
   CASE WHEN n_nationkey < 16 THEN ['cero','uno','dos','tres','cuatro','cinco','seis','siete','ocho','nueve','diez','once','doce','trece','catorce','quince'][n_nationkey + 1] ELSE n_nationkey::VARCHAR END AS words FROM nation""")
 def text_places(s, d):
     k = F.col("n_nationkey")
-    raw = F.when(k % 4 == 0, F.concat(k.cast("string"), F.lit(" km NE of Lima, Peru"))).when(k % 4 == 1, "near the coast of Mexico").when(k % 4 == 2, "offshore Chile").otherwise("Somewhere")
+    raw = F.element_at(F.array(*[F.lit(x) for x in PLACES]), (k % len(PLACES) + 1).cast("int"))
     return table(s, d, "nation").select("n_nationkey", text.place_es(raw).alias("place"), text.in_words(k).alias("words"))
 
 

@@ -112,7 +112,10 @@ def decode_grib2(data: bytes) -> Iterator[pd.DataFrame]:
         end = at + int.from_bytes(data[at + 8 : at + 16], "big")
         p, bitmap, kind = at + 16, None, (0, 0)
         while data[p : p + 4] != b"7777":
-            size, number = int.from_bytes(data[p : p + 4], "big"), data[p + 4]
+            size = int.from_bytes(data[p : p + 4], "big")
+            if size < 5 or p + size > end:
+                raise ValueError("GRIB2: a section without length or past the end of its message")
+            number = data[p + 4]
             s = data[p : p + size]
             if number == 3:
                 if int.from_bytes(s[12:14], "big") != 0:

@@ -11,18 +11,22 @@ def asset(cells: DataFrame, path: str) -> None:
     cells.write.mode("overwrite").partitionBy("iso3", "layer").option("compression", "zstd").parquet(path)
 
 
-def contract(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The closed column list as text: an unknown column is an error, a missing one is empty."""
-    if unknown := sorted(set(df.columns) - set(columns)):
+def contract(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """The closed column list as text: an unknown column is an error, a missing one is empty; keep stays as it is."""
+    if unknown := sorted(set(df.columns) - set(columns) - set(keep)):
         raise ValueError(f"columns outside the contract: {', '.join(unknown)}")
-    return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns])
+    return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns], *keep)
 
 
-def tagged_csv(df: DataFrame, tags: dict[str, str], path: str) -> None:
-    """CSV whose second row holds a tag for each column. One file, as its row order is part of the format."""
-    body = contract(df, list(tags)).withColumn("_n", F.lit(1))
-    head = df.sparkSession.createDataFrame([(*tags.values(), 0)], [*tags, "_n"])
-    head.unionByName(body).coalesce(1).sortWithinPartitions("_n", *list(tags)[:1]).drop("_n").write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+def tagged_csv(df: DataFrame, tags: dict[str, str], path: str, order: list | None = None) -> None:
+    """CSV whose second row holds a tag for each column, rows in the order of the sort keys, else of the first column.
+
+    One file, as its row order is part of the format; it has the rows of a report's table.
+    """
+    ranked = df.withColumn("_place", F.row_number().over(Window.orderBy(*(order or list(tags)[:1]))))
+    head = df.sparkSession.createDataFrame([(*tags.values(), 0)], [*tags, "_place"])
+    both = head.unionByName(contract(ranked, list(tags), ("_place",)))
+    both.coalesce(1).sortWithinPartitions("_place").drop("_place").write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
 def read_tagged_csv(spark, path: str) -> DataFrame:

@@ -36,13 +36,16 @@ def test_geometry(spark):
         assert one(spark, geo.is_finite(F.lit(x))) is fine
 
 
-@pytest.mark.parametrize(("x", "want"), [(0.0, "0"), (9450.0, "9.500"), (341332.0, "340 mil"), (4836557.0, "4,8 millones"), (1000000.0, "1 millón")])
+@pytest.mark.parametrize(("x", "want"), [(0.0, "0"), (9450.0, "9.400"), (9550.0, "9.600"), (-341332.0, "-340 mil"), (341332.0, "340 mil"), (4836557.0, "4,8 millones"), (1000000.0, "1 millón")])
 def test_prose(spark, x, want):
     assert one(spark, text.prose(F.lit(x))) == want
 
 
 def test_names(spark):
     assert one(spark, text.title_case(F.lit("SAN JOSÉ DE LA MAR a.b."))) == "San José de la Mar A.B."
+    assert one(spark, text.title_case(F.lit("BOGOTÁ, D.C. dos ríos ST. en"))) == "Bogotá, D.C. dos Ríos St. en"
+    for x, want in ((345000.0, 340000.0), (125.0, 120.0), (347129.0, 350000.0), (0.0432, 0.043), (1e6, 1e6), (-125.0, -120.0)):
+        assert one(spark, text.significant(F.lit(x))) == want
     assert one(spark, text.es_number(F.lit(1234567.8), 1)) == "1.234.567,8"
     assert one(spark, text.linked(F.lit("2 millones"), "personas")) == "2 millones de personas"
 
@@ -129,8 +132,15 @@ def test_failed_assertion_keeps_its_severity(spark):
 def test_decisions(spark):
     t, f = F.lit(True), F.lit(False)
     none = F.lit(None).cast("double")
-    assert one(spark, events.decide(f, f, f, none, F.lit(36), f)) == "exhausted"
+    assert one(spark, events.decide(f, f, f, none, F.lit(72), f)) == "exhausted"
+    assert one(spark, events.decide(f, f, f, none, F.lit(71), f)) == "preliminary"
+    assert one(spark, events.decide(f, f, f, F.lit(5.9), F.lit(99), f)) == "preliminary"
     assert one(spark, events.decide(t, f, t, none, F.lit(0), t)) == "full"
+    assert one(spark, events.decide(f, t, t, none, F.lit(0), t)) == "omit"
+    assert one(spark, events.decide(t, f, f, none, F.lit(0), f)) == "omit"
+    assert one(spark, events.allowed(F.lit("preliminar"), F.lit("preliminar"))) is True
+    assert one(spark, events.allowed(F.lit("degradado"), F.lit("preliminar"))) is True
+    assert one(spark, events.known_alert(F.lit("RED"))) == "" and one(spark, events.known_alert(F.lit("red"))) == "red"
     assert one(spark, events.irrelevance(F.lit("earthquake"), F.lit(5.5), F.lit(-119.0), F.lit(33.0))) is None
     assert one(spark, events.allowed(F.lit("descartado"), F.lit("publicado"))) is False
 
