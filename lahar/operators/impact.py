@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lahar.functions import geo
@@ -37,10 +37,16 @@ def exact(column: str) -> Column:
 def banded(column: str, band: float, also: Column | None = None) -> Column:
     """Sum over cells at the band and above, in decimals, so that no order of adding changes a published figure."""
     cond = F.col("mmi") >= band
-    return F.sum(F.when(cond if also is None else cond & also, exact(column)).otherwise(F.lit(0).cast("decimal(28,6)"))).cast("double")
+    return F.sum(F.when(cond if also is None else cond & also, F.col(column)).otherwise(F.lit(0).cast("decimal(28,6)"))).cast("double")
+
+
+def measured(impact: DataFrame) -> DataFrame:
+    """Every measure as a decimal, cast once for all its bands."""
+    return impact.withColumns({c: exact(c) for c in MEASURES})
 
 
 def band_measures() -> list[Column]:
+    """Of measured() rows."""
     out = [banded(c, b).alias(f"{c}_{b}") for c, bands in MEASURES.items() for b in bands]
     for prob in ("ls_prob", "lq_prob"):
         out.append(banded("pop_total", 6, F.col(prob) >= GROUND_FAILURE_FLOOR).alias(f"pop_{prob[:2]}"))
@@ -49,7 +55,7 @@ def band_measures() -> list[Column]:
 
 def by_municipality(impact: DataFrame, key: str = "adm2_id") -> DataFrame:
     flags = F.nullif(F.array_join(F.array_sort(F.collect_set("flags_calidad")), ","), F.lit(""))
-    return impact.groupBy(key).agg(F.max("mmi").alias("mmi_max"), *band_measures(), flags.alias("flags_calidad"))
+    return measured(impact).groupBy(key).agg(F.max("mmi").alias("mmi_max"), *band_measures(), flags.alias("flags_calidad"))
 
 
 def discrepancy_pct(total: Column, alternative: Column) -> Column:
@@ -59,8 +65,8 @@ def discrepancy_pct(total: Column, alternative: Column) -> Column:
 
 def national(impact: DataFrame) -> DataFrame:
     """The same measures over all cells at six and above; null sums are zero, but not the discrepancy."""
-    felt = impact.where(F.col("mmi") >= 6)
-    sums = felt.agg(F.max("mmi").alias("mmi_max"), *band_measures(), F.sum(exact("pop_total")).cast("double").alias("pop"), F.sum(exact("pop_alt")).cast("double").alias("alt"))
+    felt = measured(impact.where(F.col("mmi") >= 6))
+    sums = felt.agg(F.max("mmi").alias("mmi_max"), *band_measures(), F.sum("pop_total").cast("double").alias("pop"), F.sum(exact("pop_alt")).cast("double").alias("alt"))
     names = [c for c in sums.columns if c not in ("mmi_max", "pop", "alt")]
     return sums.select("mmi_max", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in names], discrepancy_pct(F.col("pop"), F.col("alt")).alias("discrepancy_pct"))
 
@@ -82,11 +88,14 @@ def ranking(adm2: DataFrame, lookup: DataFrame, band: Column, top: int | None =
 
 
 def top_municipalities(impact: DataFrame, lookup: DataFrame, top: int = 15) -> DataFrame:
-    """The ranking at the band that the national totals publish, in one plan."""
-    adm2 = by_municipality(impact)
-    whole = adm2.agg(F.sum("pop_total_6").alias("all6"), F.sum("pop_total_7").alias("all7"))
-    joined = adm2.crossJoin(F.broadcast(whole))  # one row
-    return ranking(joined, lookup, published_band(F.col("all6"), F.col("all7")), top)
+    """The ranking at the band that the national totals publish, from one pass over the cells."""
+    return ranking(with_national(by_municipality(impact)), lookup, published_band(F.col("all6"), F.col("all7")), top)
+
+
+def with_national(adm2: DataFrame) -> DataFrame:
+    """Municipal rows with the sums of all, by a window over them: as many rows as a country has municipalities."""
+    every = Window.partitionBy()
+    return adm2.withColumns({"all6": F.sum("pop_total_6").over(every), "all7": F.sum("pop_total_7").over(every)})
 
 
 def within_radii(cells: DataFrame, lon: float, lat: float, radii: tuple[int, ...] = (25, 50, 100)) -> DataFrame:

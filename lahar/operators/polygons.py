@@ -1,7 +1,9 @@
 """Polygons as tables of edges (shape, x1, y1, x2, y2[, value]): even-odd fill, containment, bounded nearest.
 
 A point is inside a shape if a ray crosses its edges an odd number of times; over all rings of a shape this is the
-even-odd fill. Points meet only the edges of shapes whose box holds them: box cells make that an equi-join.
+even-odd fill. Points meet only shapes whose box holds them, and of these only the edges in their own latitude row:
+both are equi-joins. Fills go row by row: the crossings of a row's centre line in order, and the cells between pairs,
+so rows made are edges times the rows they span, plus the cells filled.
 """
 
 from __future__ import annotations
@@ -24,22 +26,36 @@ def boxes(edges: DataFrame, shape: str) -> DataFrame:
     return edges.groupBy(shape).agg(F.min(F.least("x1", "x2")).alias("west"), F.min(F.least("y1", "y2")).alias("south"), F.max(F.greatest("x1", "x2")).alias("east"), F.max(F.greatest("y1", "y2")).alias("north"))
 
 
+def _rows(low, high, level: int):
+    """The latitude rows from low to high."""
+    scale = F.lit(2.0**level)
+    return F.sequence(F.floor((low + 90) * scale).cast("long"), F.floor((high + 90) * scale).cast("long"))
+
+
 def containing(points: DataFrame, edges: DataFrame, shape: str = "shape", level: int = -3) -> DataFrame:
     """(id, shape): every point with the shapes that hold it. points: id, lon, lat."""
     cells = boxes(edges, shape).select(F.col(shape), F.explode(grid.cells_in_box(F.col("west"), F.col("south"), F.col("east"), F.col("north"), level)).alias("_cell"))
     placed = points.select("id", "lon", "lat", grid.cell_of(F.col("lon"), F.col("lat"), level).alias("_cell"))
-    tried = placed.join(cells, "_cell").drop("_cell").join(edges.select(shape, "x1", "y1", "x2", "y2"), shape)
+    tried = placed.join(cells, "_cell").withColumn("_row", grid.iy_of(F.col("_cell"))).drop("_cell")
+    banded = edges.select(shape, "x1", "y1", "x2", "y2", F.explode(_rows(F.least("y1", "y2"), F.greatest("y1", "y2"), level)).alias("_row"))
     crossing = geo.crosses(F.col("lon"), F.col("lat"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    return tried.groupBy("id", shape).agg(F.sum(F.when(crossing, 1).otherwise(0)).alias("n")).where("n % 2 = 1").select("id", shape)
+    return tried.join(banded, [shape, "_row"]).where(crossing).groupBy("id", shape).agg(F.count("*").alias("n")).where("n % 2 = 1").select("id", shape)
 
 
 def polyfill(edges: DataFrame, level: int, shape: str = "shape") -> DataFrame:
     """(shape, cell): the cells whose centre a shape holds."""
-    cell = F.explode(grid.cells_in_box(F.col("west"), F.col("south"), F.col("east"), F.col("north"), level)).alias("cell")
-    tried = boxes(edges, shape).select(shape, cell).withColumn("lon", grid.lon_of(F.col("cell"), level)).withColumn("lat", grid.lat_of(F.col("cell"), level))
-    crossing = geo.crosses(F.col("lon"), F.col("lat"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    joined = tried.join(edges.select(shape, "x1", "y1", "x2", "y2"), shape)
-    return joined.groupBy(shape, "cell").agg(F.sum(F.when(crossing, 1).otherwise(0)).alias("n")).where("n % 2 = 1").select(shape, "cell")
+    scale = F.lit(2.0**level)
+    row = F.explode(_rows(F.least("y1", "y2"), F.greatest("y1", "y2"), level)).alias("iy")
+    at = edges.where("y1 <> y2").select(shape, "x1", "y1", "x2", "y2", row).withColumn("lat", (F.col("iy") + 0.5) / scale - 90)
+    hit = at.where((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat")))
+    x = (F.col("x2") - F.col("x1")) * (F.col("lat") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
+    lines = hit.withColumn("x", x).groupBy(shape, "iy").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    pairs = F.explode(F.transform(F.sequence(F.lit(1), F.size("xs") - 1, F.lit(2)), lambda i: F.struct(F.element_at("xs", i).alias("a"), F.element_at("xs", i + 1).alias("b")))).alias("span")
+    spans = lines.where(F.size("xs") > 1).select(shape, "iy", pairs)
+    ix = F.explode(F.sequence(F.floor((F.col("span.a") + 180) * scale).cast("long"), F.floor((F.col("span.b") + 180) * scale).cast("long"))).alias("ix")
+    cells = spans.select(shape, "iy", "span", ix)
+    lon = (F.col("ix") + 0.5) / scale - 180
+    return cells.where((lon >= F.col("span.a")) & (lon < F.col("span.b"))).select(shape, grid.pack(F.col("ix"), F.col("iy")).alias("cell"))
 
 
 def footprint(contours: DataFrame, level: int, floor: float = 5.0) -> DataFrame:
@@ -50,10 +66,21 @@ def footprint(contours: DataFrame, level: int, floor: float = 5.0) -> DataFrame:
 
 
 def nearest_within(points: DataFrame, edges: DataFrame, bound: float, shape: str = "shape") -> DataFrame:
-    """(id, shape, d2): each point's nearest shape by its edges, if within bound degrees; ties to the smaller name."""
+    """(id, shape, d2): each point's nearest shape by its edges, if within bound degrees; ties to the smaller name.
+
+    Points and edges meet in cells of that side. An edge walks its columns, in each over the rows that it has there
+    and those around, so it is in about three cells for each step of its length.
+    """
     key = lambda c: F.floor(c / bound).cast("long")
-    span = lambda a, b: F.sequence(key(F.least(a, b)) - 1, key(F.greatest(a, b)) + 1)
-    near = edges.select(shape, "x1", "y1", "x2", "y2", F.explode(span("x1", "x2")).alias("_kx")).select("*", F.explode(span("y1", "y2")).alias("_ky"))
+    west, east = F.least("x1", "x2"), F.greatest("x1", "x2")
+    walked = edges.select(shape, "x1", "y1", "x2", "y2", F.explode(F.sequence(key(west), key(east))).alias("_k"))
+    slope = (F.col("y2") - F.col("y1")) / F.when(F.col("x2") != F.col("x1"), F.col("x2") - F.col("x1"))
+    y_at = lambda x: F.col("y1") + slope * (x - F.col("x1"))
+    a, b = y_at(F.greatest(F.col("_k") * bound, west)), y_at(F.least((F.col("_k") + 1) * bound, east))
+    low = F.greatest(F.coalesce(F.least(a, b), F.least("y1", "y2")), F.least("y1", "y2"))
+    high = F.least(F.coalesce(F.greatest(a, b), F.greatest("y1", "y2")), F.greatest("y1", "y2"))
+    near = walked.select(shape, "x1", "y1", "x2", "y2", "_k", F.explode(F.sequence(key(low) - 1, key(high) + 1)).alias("_ky"))
+    near = near.select(shape, "x1", "y1", "x2", "y2", F.explode(F.array(F.col("_k") - 1, F.col("_k"), F.col("_k") + 1)).alias("_kx"), "_ky")
     p = points.select("id", "lon", "lat", key(F.col("lon")).alias("_kx"), key(F.col("lat")).alias("_ky"))
     d2 = geo.point_segment_km2(F.col("lon"), F.col("lat"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
     tried = p.join(near, ["_kx", "_ky"]).withColumn("d2", d2).where(F.col("d2") <= bound * bound)
@@ -81,10 +108,7 @@ def signed_areas(edges: DataFrame, shape: str = "shape") -> DataFrame:
 
 def within_shape(edges: DataFrame, shape: str = "shape") -> DataFrame:
     """Pairs of a shape and another whose every vertex it holds (containment of simple shapes)."""
-    corners = edges.select(F.col(shape).alias("inner"), F.col("x1").alias("lon"), F.col("y1").alias("lat"))
-    tried = corners.join(boxes(edges, shape), (F.col("inner") != F.col(shape)) & F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(F.col("south"), F.col("north")))
-    joined = tried.select("inner", "lon", "lat", shape).join(edges.select(shape, "x1", "y1", "x2", "y2"), shape)
-    crossing = geo.crosses(F.col("lon"), F.col("lat"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    held = joined.groupBy("inner", shape, "lon", "lat").agg((F.sum(F.when(crossing, 1).otherwise(0)) % 2).alias("odd")).where("odd = 1")
-    counts = edges.groupBy(F.col(shape).alias("inner")).agg(F.count("*").alias("corners"))
-    return held.groupBy("inner", shape).agg(F.count("*").alias("n")).join(counts, "inner").where("n = corners").select("inner", F.col(shape).alias("outer"))
+    corners = edges.select(F.struct(F.col(shape).alias("inner"), F.col("x1").alias("x"), F.col("y1").alias("y")).alias("id"), F.col("x1").alias("lon"), F.col("y1").alias("lat")).distinct()
+    held = containing(corners, edges, shape).where(F.col("id.inner") != F.col(shape)).groupBy(F.col("id.inner").alias("inner"), shape).agg(F.count("*").alias("n"))
+    counts = corners.groupBy(F.col("id.inner").alias("inner")).agg(F.count("*").alias("corners"))
+    return held.join(counts, "inner").where("n = corners").select("inner", F.col(shape).alias("outer"))

@@ -232,6 +232,20 @@ def j12_point_in_polygon(s, d):
     return polygons.containing(a.customer_points(s, d), shapes(s, d))
 
 
+@register("j12_polygon_in_polygon", a.with_ctes(shapes_sql()) + f""", big AS (SELECT shape + 1000000 AS shape, x1 * 0 + c.x + (x1 - c.x) * 4 AS x1, c.y + (y1 - c.y) * 4 AS y1, c.x + (x2 - c.x) * 4 AS x2, c.y + (y2 - c.y) * 4 AS y2
+  FROM edges JOIN (SELECT s_suppkey AS shape, {a.lon_sql("s_suppkey")} AS x, {a.lat_sql("s_suppkey")} AS y FROM supplier) c USING (shape) WHERE shape % 5 = 1),
+every AS (SELECT * FROM edges UNION ALL SELECT * FROM big), corner AS (SELECT DISTINCT shape AS inside, x1 AS lon, y1 AS lat FROM every),
+held AS (SELECT inside, lon, lat, shape FROM corner JOIN every ON inside <> shape GROUP BY inside, lon, lat, shape HAVING {_HIT})
+SELECT inside AS "inner", shape AS "outer" FROM held GROUP BY inside, shape HAVING count(*) = (SELECT count(*) FROM corner c WHERE c.inside = held.inside)""")
+def j12_polygon_in_polygon(s, d):
+    k = F.col("s_suppkey")
+    centre = table(s, d, "supplier").select(k.alias("shape"), a.lon(k).alias("x"), a.lat(k).alias("y"))
+    e = shapes(s, d)
+    far = lambda c, m: (F.col(m) + (F.col(c) - F.col(m)) * 4).alias(c)
+    big = e.where("shape % 5 = 1").join(centre, "shape").select((F.col("shape") + 1000000).alias("shape"), far("x1", "x"), far("y1", "y"), far("x2", "x"), far("y2", "y"))
+    return polygons.within_shape(e.unionByName(big))
+
+
 FILL = a.with_ctes(shapes_sql(), "c AS (SELECT x * 1048576 + y AS cell, (x + 0.5) - 180 AS lon, (y + 0.5) - 90 AS lat FROM range(55, 155) a(x), range(25, 130) b(y))")
 
 

@@ -141,8 +141,11 @@ def wind_speed_and_direction(s, d):
     return e.select("event_id", geo.wind_speed(F.col("u"), F.col("v")).alias("speed"), geo.wind_direction(F.col("u"), F.col("v")).alias("direction"))
 
 
-CLUSTERS = BASE.replace("WITH ", "WITH RECURSIVE ", 1) + """, own AS (SELECT DISTINCT cell FROM fires WHERE cell % 3 <> 0),
-e AS (SELECT a.cell AS x, b.cell AS y FROM own a JOIN own b ON abs(floor(a.cell / 1048576) - floor(b.cell / 1048576)) <= 1 AND abs(a.cell % 1048576 - b.cell % 1048576) <= 1 AND a.cell <> b.cell),
+#: At a quarter degree: the four-degree cells are one component on all but tiny inputs.
+CLUSTERS = BASE.replace(a.cell_sql("lon", "lat", a.COARSE), a.cell_sql("lon", "lat", a.FINE)).replace(
+  a.cell_sql(a.lon_sql("c_custkey"), a.lat_sql("c_custkey"), a.COARSE), a.cell_sql(a.lon_sql("c_custkey"), a.lat_sql("c_custkey"), a.FINE)).replace("WITH ", "WITH RECURSIVE ", 1) + """, own AS (SELECT DISTINCT cell FROM fires),
+near AS (SELECT cell, cell + unnest([-1048577, -1048576, -1048575, -1, 1, 1048575, 1048576, 1048577]) AS y FROM own),
+e AS (SELECT near.cell AS x, y FROM near JOIN own ON y = own.cell),
 r AS (SELECT cell, cell AS cluster FROM own UNION SELECT e.y, r.cluster FROM r JOIN e ON r.cell = e.x),
 labels AS (SELECT cell, min(cluster) AS cluster FROM r GROUP BY cell)
 """
@@ -150,7 +153,7 @@ labels AS (SELECT cell, min(cluster) AS cluster FROM r GROUP BY cell)
 
 @register("graph_fire_clusters", CLUSTERS + "SELECT * FROM labels")
 def graph_fire_clusters(s, d):
-    return fires.clusters(_fires(s, d).where("cell % 3 <> 0"), cut=shared_cut(s))
+    return fires.clusters(_fires(s, d, a.FINE), cut=shared_cut(s))
 
 
 SUMMARY = """, b AS (SELECT f.*, cluster FROM fires f JOIN labels USING (cell)), m AS (
@@ -161,26 +164,5 @@ SELECT cluster, count(*) AS celdas, sum(detecciones)::BIGINT AS detecciones, sum
 
 @register("a34_a35_cluster_summary", CLUSTERS + SUMMARY)
 def a34_a35_cluster_summary(s, d):
-    rows = _fires(s, d)
-    return fires.cluster_summary(rows, fires.clusters(rows.where("cell % 3 <> 0"), cut=shared_cut(s)))
-
-
-#: Every fire cell, at a quarter degree: the four-degree cells, taken whole, are one component on all but tiny inputs.
-EVERY = BASE.replace(a.cell_sql("lon", "lat", a.COARSE), a.cell_sql("lon", "lat", a.FINE)).replace(
-  a.cell_sql(a.lon_sql("c_custkey"), a.lat_sql("c_custkey"), a.COARSE), a.cell_sql(a.lon_sql("c_custkey"), a.lat_sql("c_custkey"), a.FINE)).replace("WITH ", "WITH RECURSIVE ", 1) + """, own AS (SELECT DISTINCT cell FROM fires),
-near AS (SELECT cell, cell + unnest([-1048577, -1048576, -1048575, -1, 1, 1048575, 1048576, 1048577]) AS y FROM own),
-e AS (SELECT near.cell AS x, y FROM near JOIN own ON y = own.cell),
-r AS (SELECT cell, cell AS cluster FROM own UNION SELECT e.y, r.cluster FROM r JOIN e ON r.cell = e.x),
-labels AS (SELECT cell, min(cluster) AS cluster FROM r GROUP BY cell)
-"""
-
-
-@register("graph_fire_clusters_every_cell", EVERY + "SELECT * FROM labels")
-def graph_fire_clusters_every_cell(s, d):
-    return fires.clusters(_fires(s, d, a.FINE), cut=shared_cut(s))
-
-
-@register("a34_a35_cluster_summary_every_cell", EVERY + SUMMARY)
-def a34_a35_cluster_summary_every_cell(s, d):
     rows = shared_cut(s)(_fires(s, d, a.FINE))
     return fires.cluster_summary(rows, fires.clusters(rows, cut=shared_cut(s)))

@@ -72,9 +72,8 @@ def o1_top_municipalities(s, d):
 def o2_municipal_csv_order(s, d):
     from pyspark.sql import Window
 
-    adm2 = impact.by_municipality(hit(s, d))
-    whole = adm2.agg(F.sum("pop_total_6").alias("all6"), F.sum("pop_total_7").alias("all7"))
-    ranked = impact.ranking(adm2.crossJoin(F.broadcast(whole)), a.lookup(s, d), impact.published_band(F.col("all6"), F.col("all7")), None)
+    adm2 = impact.with_national(impact.by_municipality(hit(s, d)))
+    ranked = impact.ranking(adm2, a.lookup(s, d), impact.published_band(F.col("all6"), F.col("all7")), None)
     w = Window.orderBy(F.desc("pop_band"), F.desc("mmi_max"), "adm2_id")
     return ranked.withColumn("place", F.row_number().over(w)).select("adm2_id", "nombre", "pop_band", "place")
 
@@ -98,7 +97,8 @@ def _centres(df):
 
 
 _KM = "asin(sqrt(least(1.0::DOUBLE, pow(sin((radians({lat}) - radians(lat)) / 2), 2) + cos(radians(lat)) * cos(radians({lat})) * pow(sin(radians({lon} - lon) / 2), 2)))) * 2 * {r}::DOUBLE"
-CENTRES_SQL = a.with_ctes(a.EXPOSURE_SQL) + ", centres AS (SELECT *, (floor(cell / 1048576) + 0.5) / 0.25 - 180 AS lon, (cell % 1048576 + 0.5) / 0.25 - 90 AS lat FROM exposure)\n"
+_CENTRES = ", centres AS (SELECT *, (floor(cell / 1048576) + 0.5) / 0.25 - 180 AS lon, (cell % 1048576 + 0.5) / 0.25 - 90 AS lat FROM exposure)\n"
+CENTRES_SQL = a.with_ctes(a.EXPOSURE_SQL) + _CENTRES
 
 
 @register("a6_population_in_radii", CENTRES_SQL + f""", far AS (SELECT pop_total, {_KM.format(lat="4.0", lon="(-75.0)", r="6371.0088")} AS km FROM centres)
@@ -112,11 +112,15 @@ def a7_nearest_populated(s, d):
     return impact.nearest_populated(_centres(a.exposure(s, d)), LON, LAT)
 
 
-@register("r3_radii_when_unfelt", CENTRES_SQL + f""", far AS (SELECT pop_total, {_KM.format(lat="4.0", lon="(-75.0)", r="6371.0088")} AS km FROM centres)
-SELECT coalesce(sum(pop_total) FILTER (km <= 25), 0) AS pop_25km, coalesce(sum(pop_total) FILTER (km <= 50), 0) AS pop_50km, coalesce(sum(pop_total) FILTER (km <= 100), 0) AS pop_100km FROM far""")
+@register("r3_radii_when_unfelt", HIT_SQL + _CENTRES + f""", far AS (SELECT pop_total, {_KM.format(lat="4.0", lon="(-75.0)", r="6371.0088")} AS km FROM centres),
+parts AS (SELECT * FROM range(2) p(part)), felt AS (SELECT part, coalesce(sum(pop_total) FILTER (mmi >= 6), 0) AS six, coalesce(sum(pop_total) FILTER (mmi >= 7), 0) AS seven FROM parts LEFT JOIN hit ON mmi < 6 OR part = 1 GROUP BY part)
+SELECT part, pop_25km, pop_50km, pop_100km FROM felt, (SELECT coalesce(sum(pop_total) FILTER (km <= 25), 0) AS pop_25km, coalesce(sum(pop_total) FILTER (km <= 50), 0) AS pop_50km, coalesce(sum(pop_total) FILTER (km <= 100), 0) AS pop_100km FROM far) WHERE six = 0 AND seven = 0""")
 def r3_radii_when_unfelt(s, d):
-    unfelt = hit(s, d).where("mmi < 6").agg(F.lit(0.0).alias("pop_total_6"), F.lit(0.0).alias("pop_total_7"))
-    return impact.radii_if_unfelt(unfelt, impact.within_radii(_centres(a.exposure(s, d)), LON, LAT))
+    """Two events: one that is nowhere at six, and the one of the footprint; radii stand where totals are zero."""
+    radii = impact.within_radii(_centres(a.exposure(s, d)), LON, LAT)
+    felt = lambda df: impact.national(df).select("pop_total_6", "pop_total_7")
+    rows = hit(s, d)
+    return impact.radii_if_unfelt(felt(rows.where("mmi < 6")), radii).withColumn("part", F.lit(0).cast("long")).unionByName(impact.radii_if_unfelt(felt(rows), radii).withColumn("part", F.lit(1).cast("long")))
 
 
 @register("a23_viewer_cells", HIT_SQL + """SELECT floor(floor(cell / 1048576) / 2)::BIGINT * 1048576 + floor((cell % 1048576) / 2)::BIGINT AS parent, round(max(mmi), 1) AS mmi, round(sum(pop_total)) AS pop,
