@@ -82,3 +82,41 @@ def point_segment_km2(px: Column, py: Column, x1: Column, y1: Column, x2: Column
 def along(x1: Column, x2: Column, part: Column) -> Column:
     """A coordinate at a part of a segment."""
     return x1 + (x2 - x1) * part
+
+
+#: The WGS 84 ellipsoid.
+AXIS_M, FLATTENING = 6378137.0, 1 / 298.257223563
+_E2 = FLATTENING * (2 - FLATTENING)
+_E = _E2**0.5
+
+
+def _zone_area(lat: Column) -> Column:
+    """Area of the ellipsoid between the equator and a latitude, for a radian of longitude, in square metres."""
+    x = F.sin(F.radians(lat))
+    return AXIS_M**2 * (1 - _E2) / 2 * (x / (1 - _E2 * x * x) + F.log((1 + _E * x) / (1 - _E * x)) / (2 * _E))
+
+
+def ellipsoid_area_part(x1: Column, y1: Column, x2: Column, y2: Column, flipped: bool = False) -> Column:
+    """What an edge adds to the signed area of its ring on the ellipsoid, in square metres; flipped: (lat, lon) pairs.
+
+    Edges are taken as straight in equal-area latitude, which for buildings and cells is a geodesic to 1e-6.
+    """
+    lon1, lat1, lon2, lat2 = (y1, x1, y2, x2) if flipped else (x1, y1, x2, y2)
+    return F.radians(lon2 - lon1) * (_zone_area(lat1) + _zone_area(lat2)) / 2
+
+
+def ellipsoid_km(x1: Column, y1: Column, x2: Column, y2: Column, flipped: bool = False) -> Column:
+    """Length of a short segment on the ellipsoid, by the radii of curvature at its middle."""
+    lon1, lat1, lon2, lat2 = (y1, x1, y2, x2) if flipped else (x1, y1, x2, y2)
+    mid = F.radians((lat1 + lat2) / 2)
+    w2 = 1 - _E2 * F.pow(F.sin(mid), F.lit(2.0))
+    north = F.radians(lat2 - lat1) * AXIS_M * (1 - _E2) / F.pow(w2, F.lit(1.5))
+    east = F.radians(lon2 - lon1) * AXIS_M * F.cos(mid) / F.sqrt(w2)
+    return F.sqrt(north * north + east * east) / 1000
+
+
+def wkt_point(text: Column) -> Column:
+    """(lon, lat) of 'POINT (x y)'; null for blank, empty or other text."""
+    form = r"(?i)^\s*POINT\s*\(\s*(\S+)\s+(\S+?)\s*\)\s*$"
+    number = lambda k: F.regexp_extract(text, form, k).try_cast("double")
+    return F.when(number(1).isNotNull() & number(2).isNotNull(), F.struct(number(1).alias("lon"), number(2).alias("lat")))

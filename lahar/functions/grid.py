@@ -68,3 +68,10 @@ def to_hex(cell: Column) -> Column:
 
 def from_hex(text: Column) -> Column:
     return F.conv(text, 16, 10).cast("long")
+
+
+def borders(cell: Column) -> Column:
+    """The four sides of a cell as (ix, iy, upright): the corner at their lower left end, and whether they go north."""
+    x, y = ix_of(cell), iy_of(cell)
+    side = lambda dx, dy, up: F.struct((x + dx).alias("ix"), (y + dy).alias("iy"), F.lit(up).alias("upright"))
+    return F.array(side(0, 0, False), side(0, 1, False), side(0, 0, True), side(1, 0, True))

@@ -177,6 +177,44 @@ def compared(old: DataFrame, new: DataFrame, down_pct: float, up_pct: float) ->
     return both.withColumn("ok", F.col("pct").between(-down_pct, up_pct))
 
 
+#: By how much a layer of a new build may fall and rise, as shares of what was published.
+MARGINS = {
+    "pop_total": (0.03, 0.03), "celdas": (0.05, 0.05), "municipios": (0.10, 0.10), "bld_count": (0.10, 0.30), "built_m2": (0.10, 0.30),
+    "road_km": (0.10, 0.30), "health_count": (0.30, 1.00), "edu_count": (0.30, 1.00),
+}
+
+
+def build_findings(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(layer, finding) of layers whose change passes their own margin, or that a new build has emptied.
+
+    old, new: layer, total. Layers that one build lacks, or of which nothing was published, are not judged.
+    """
+    both = old.select("layer", F.coalesce("total", F.lit(0.0)).alias("before")).join(new.select("layer", F.coalesce("total", F.lit(0.0)).alias("after")), "layer").where("before <> 0")
+    bound = lambda j: F.element_at(F.create_map(*[F.lit(x) for k, v in MARGINS.items() for x in (k, v[j])]), F.col("layer"))
+    share = (F.col("after") - F.col("before")) / F.col("before")
+    finding = F.when(F.col("after") == 0, "emptied").when(share < -bound(0), "fell").when(share > bound(1), "rose")
+    return both.where(F.col("layer").isin(*MARGINS)).select("layer", finding.alias("finding")).where("finding IS NOT NULL")
+
+
+def building_area(edges: DataFrame, level: int, shape: str = "shape", flipped: bool = False) -> DataFrame:
+    """(cell, buildings, m2): buildings by the cell of their centroid, with their area on the ellipsoid.
+
+    edges: closed rings, holes turning the other way than their outer ring.
+    """
+    part = geo.ellipsoid_area_part(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], flipped=flipped)
+    turn = geo.shoelace(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+    sums = edges.groupBy(shape).agg(F.abs(F.sum(part)).alias("m2"), F.sum(turn).alias("s"), F.sum(turn * (F.col("x1") + F.col("x2"))).alias("sx"), F.sum(turn * (F.col("y1") + F.col("y2"))).alias("sy"))
+    first, second = F.col("sx") / (3 * F.col("s")), F.col("sy") / (3 * F.col("s"))
+    at = (second, first) if flipped else (first, second)
+    return sums.where("s <> 0").groupBy(grid.cell_of(*at, level).alias("cell")).agg(F.count("*").alias("buildings"), F.round(F.sum("m2"), 1).alias("m2"))
+
+
+def boundary(cells: DataFrame) -> DataFrame:
+    """(ix, iy, upright): the sides of cells that no two of them share, which outline their union."""
+    sides = cells.select("cell").distinct().select(F.explode(grid.borders(F.col("cell"))).alias("b")).select("b.*")
+    return sides.groupBy("ix", "iy", "upright").agg(F.count("*").alias("n")).where("n = 1").drop("n")
+
+
 def tiles(west: int, south: int, east: int, north: int, side: int, spark) -> DataFrame:
     """The lower left corners of all tiles that a box touches, also below zero."""
     low = lambda v: v // side * side

@@ -113,6 +113,18 @@ def by_any_id(events: DataFrame, states: DataFrame) -> DataFrame:
     return events.select("event").join(hits, "event", "left")
 
 
+def late_revisions(states: DataFrame, live: DataFrame, now: Column, days: int = REVIEW_DAYS) -> DataFrame:
+    """Events of at most that many days ago whose live product is not the one processed last, by contributor and number.
+
+    states: event, origin, contributor, version; live: event, contributor, version. Undated events are not reviewed.
+    """
+    recent = states.where(F.col("origin").isNotNull() & (F.col("origin") >= now - F.make_interval(days=F.lit(days))))
+    found = live.select("event", F.col("contributor").alias("live_by"), F.col("version").alias("live_version"))
+    both = recent.join(found, "event")
+    changed = version_changed(F.col("contributor"), F.col("version"), F.col("live_by"), F.col("live_version"))
+    return both.where(changed).select("event", F.concat_ws(" ", "contributor", "version").alias("before"), F.concat_ws(" ", "live_by", "live_version").alias("after"))
+
+
 def change_log(old: DataFrame, new: DataFrame) -> DataFrame:
     """Lines of what changed between two solutions of an event: magnitude, depth, epicentre, and figures as printed."""
     both = old.select(F.col("event"), *[F.col(c).alias(f"o_{c}") for c in ("mag", "depth", "lon", "lat", "people")]).join(new, "event")

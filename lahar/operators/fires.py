@@ -53,21 +53,48 @@ def with_exposure(fires: DataFrame, cells: DataFrame) -> DataFrame:
     return fires.join(cells, "cell", "left").withColumns({"country": F.coalesce("country", F.lit(""))} | {c: F.coalesce(c, F.lit(0).cast(cells.schema[c].dataType)) for c in numbers})
 
 
-def totals(fires: DataFrame) -> DataFrame:
-    return fires.agg(
+def totals(fires: DataFrame, discarded: DataFrame | None = None, cap: int | None = None) -> DataFrame:
+    """Sums over all cells. Columns that a table lacks (health_count, edu_count) count as zero.
+
+    With discarded, as only_low() gives it, and the cap of the published list, also what both leave out.
+    """
+    whole = lambda c: (F.coalesce(F.sum(c), F.lit(0)) if c in fires.columns else F.lit(0).cast("long"))
+    exact = lambda c: F.coalesce(F.sum(F.col(c).cast("decimal(28,6)")), F.lit(0)).cast("double")
+    sums = fires.agg(
         F.count("*").alias("celdas"),
-        F.coalesce(F.sum("detecciones"), F.lit(0)).alias("detecciones"),
-        F.coalesce(F.sum("detecciones_baja"), F.lit(0)).alias("detecciones_baja"),
+        whole("detecciones").alias("detecciones"),
+        whole("detecciones_baja").alias("detecciones_baja"),
         F.count_if(F.col("pop_total") > 0).alias("pobladas"),
-        F.coalesce(F.sum(F.col("pop_total").cast("decimal(28,6)")), F.lit(0)).cast("double").alias("personas"),
-        F.coalesce(F.sum("bld_count"), F.lit(0)).alias("edificios"),
-        F.coalesce(F.sum(F.col("frp_suma").cast("decimal(28,6)")), F.lit(0)).cast("double").alias("potencia"),
+        exact("pop_total").alias("personas"),
+        whole("health_count").alias("salud"),
+        whole("edu_count").alias("edu"),
+        whole("bld_count").alias("edificios"),
+        exact("frp_suma").alias("potencia"),
     )
+    if discarded is not None:
+        left = discarded.select(F.col("celdas").alias("celdas_solo_baja"), F.col("detecciones").alias("detecciones_baja_sin_celda"))
+        sums = sums.crossJoin(F.broadcast(left))  # one row
+    return sums if cap is None else sums.withColumn("celdas_publicadas", F.least("celdas", F.lit(cap)))
+
+
+def document(fires: DataFrame, discarded: DataFrame, cap: int = CAP) -> DataFrame:
+    """One JSON document: totals over all cells, the cap, and the listed cells in order of priority."""
+    sums = totals(fires, discarded, cap)
+    listed = priority(fires, cap).withColumn("_place", F.row_number().over(Window.orderBy(*_by_priority())))
+    cells = [c for c in fires.columns]
+    row = F.struct("_place", F.struct(*cells).alias("c"))
+    lists = listed.agg(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["c"]).alias("cells"))  # at most cap rows
+    both = sums.select(F.struct(*sums.columns).alias("totals")).crossJoin(F.broadcast(lists))
+    return both.select(F.to_json(F.struct("totals", F.lit(cap).alias("cap"), "cells")).alias("json"))
+
+
+def _by_priority() -> list:
+    return [(F.col("pop_total") > 0).desc(), F.desc("pop_total"), F.desc("frp_suma"), F.col("cell")]
 
 
 def priority(fires: DataFrame, cap: int = CAP) -> DataFrame:
     """Populated cells first by people and power, then the others by power; the cap is part of the product."""
-    return fires.orderBy((F.col("pop_total") > 0).desc(), F.desc("pop_total"), F.desc("frp_suma"), "cell").limit(cap)
+    return fires.orderBy(*_by_priority()).limit(cap)
 
 
 def weighted_shares(fires: DataFrame, shares: list[str]) -> DataFrame:

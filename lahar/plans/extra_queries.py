@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lahar.functions import geo, text
+from lahar.operators import assets, events
 from lahar.plans import adapter as a
 from lahar.plans.impact_queries import HIT_SQL, hit
 from lahar.session import table
@@ -129,3 +130,61 @@ def bilinear_sample(s, d):
 @register("emb_extension", "SELECT vec_id, len(embedding) AS n, label FROM embeddings")
 def emb_extension(s, d):
     return table(s, d, "embeddings").select("vec_id", F.size("embedding").cast("long").alias("n"), "label")
+
+
+@register("t8_late_revisions", a.with_ctes(a.PRODUCTS_SQL) + """, live AS (SELECT event, arg_max(contributor, (updated, version)) AS contributor, arg_max(version, (updated, version)) AS version FROM products GROUP BY event),
+states AS (SELECT n_nationkey::BIGINT AS event, CASE WHEN n_nationkey % 7 <> 0 THEN TIMESTAMP '2024-06-01 00:00:00' - n_nationkey * INTERVAL 5 DAY END AS origin, 'Brand#' || (n_nationkey % 5 + 1) || '1' AS contributor, (n_nationkey % 12)::INT AS version FROM nation)
+SELECT event, s.contributor || ' ' || s.version AS before, live.contributor || ' ' || live.version AS after FROM states s JOIN live USING (event)
+WHERE origin >= TIMESTAMP '2024-06-01 00:00:00' - INTERVAL 90 DAY AND live.version > 0 AND (live.contributor <> s.contributor OR live.version > s.version)""")
+def t8_late_revisions(s, d):
+    k = F.col("n_nationkey")
+    now = F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
+    last = F.struct("updated", "version")
+    live = a.products(s, d).groupBy("event").agg(F.max_by("contributor", last).alias("contributor"), F.max_by("version", last).alias("version"))
+    states = table(s, d, "nation").select(k.cast("long").alias("event"), F.when(k % 7 != 0, now - F.make_interval(days=(k * 5).cast("int"))).alias("origin"), F.concat(F.lit("Brand#"), (k % 5 + 1).cast("string"), F.lit("1")).alias("contributor"), (k % 12).cast("int").alias("version"))
+    return events.late_revisions(states, live, now)
+
+
+@register("q14_build_findings", HIT_SQL + """, layers AS (SELECT unnest(['pop_total', 'bld_count', 'built_m2', 'road_km', 'health_count', 'edu_count']) AS layer, unnest([sum(pop_total), sum(bld_count), sum(built_m2), sum(road_km), sum(health_count), sum(edu_count)]) AS total FROM exposure),
+grown AS (SELECT layer, total * CASE layer WHEN 'pop_total' THEN 1.04 WHEN 'bld_count' THEN 1.2 WHEN 'built_m2' THEN 0.85 WHEN 'road_km' THEN 0 WHEN 'health_count' THEN 0.75 ELSE 2.5 END AS total FROM layers),
+r AS (SELECT layer, g.total AS after, (g.total - l.total) / l.total AS share FROM layers l JOIN grown g USING (layer) WHERE l.total <> 0)
+SELECT layer, CASE WHEN after = 0 THEN 'emptied' WHEN share < 0 THEN 'fell' ELSE 'rose' END AS finding FROM r
+WHERE after = 0 OR (layer = 'pop_total' AND abs(share) > 0.03) OR (layer IN ('bld_count', 'built_m2', 'road_km') AND (share < -0.1 OR share > 0.3)) OR (layer IN ('health_count', 'edu_count') AND (share < -0.3 OR share > 1))""")
+def q14_build_findings(s, d):
+    names = ("pop_total", "bld_count", "built_m2", "road_km", "health_count", "edu_count")
+    sums = a.exposure(s, d).agg(*[F.sum(c).cast("double").alias(c) for c in names])
+    old = sums.unpivot([], list(names), "layer", "total")
+    factor = F.create_map(*[F.lit(x) for kv in zip(names, (1.04, 1.2, 0.85, 0.0, 0.75, 2.5), strict=True) for x in kv])
+    return assets.build_findings(old, old.withColumn("total", F.col("total") * F.element_at(factor, F.col("layer"))))
+
+
+_Z = "(40680631590769.0::DOUBLE * (1 - e2) / 2 * (x / (1 - e2 * x * x) + ln((1 + sqrt(e2) * x) / (1 - sqrt(e2) * x)) / (2 * sqrt(e2))))"
+
+
+@register("a12_building_area", a.with_ctes(a.POINTS_SQL) + f""", e AS (SELECT 1 / 298.257223563::DOUBLE * (2 - 1 / 298.257223563::DOUBLE) AS e2),
+b AS (SELECT id, lon, lat, 0.0002 + id % 7 * 0.0001 AS w FROM points), z AS (SELECT id, lon, lat, w, e2, sin(radians(lat)) AS x FROM b, e UNION ALL SELECT id, lon, lat, w, e2, sin(radians(lat + w)) FROM b, e),
+m AS (SELECT id, lon, lat, w, abs(max({_Z}) - min({_Z})) * radians(w) AS m2 FROM z GROUP BY id, lon, lat, w)
+SELECT {a.cell_sql("lon + w / 2", "lat + w / 2", -2)} AS cell, count(*) AS buildings, round(sum(m2), 1) AS m2 FROM m GROUP BY 1""")
+def a12_building_area(s, d):
+    """Square buildings given as (lat, lon) pairs."""
+    from lahar.operators import polygons
+
+    w = F.lit(0.0002) + F.col("id") % 7 * 0.0001
+    at = lambda dy, dx: F.struct((F.col("lat") + w * dy).alias("x"), (F.col("lon") + w * dx).alias("y"))
+    rings = a.customer_points(s, d).select(F.col("id").alias("shape"), F.array(at(0, 0), at(0, 1), at(1, 1), at(1, 0), at(0, 0)).alias("ring"))
+    return assets.building_area(polygons.closed_edges(rings), -2, flipped=True)
+
+
+@register("cells_boundary", HIT_SQL + """, c AS (SELECT DISTINCT floor(cell / 1048576)::BIGINT AS x, (cell % 1048576)::BIGINT AS y FROM exposure),
+b AS (SELECT x AS ix, y AS iy, false AS upright FROM c UNION ALL SELECT x, y + 1, false FROM c UNION ALL SELECT x, y, true FROM c UNION ALL SELECT x + 1, y, true FROM c)
+SELECT ix, iy, upright FROM b GROUP BY ALL HAVING count(*) = 1""")
+def cells_boundary(s, d):
+    return assets.boundary(a.exposure(s, d))
+
+
+@register("wkt_centroids", "SELECT s_suppkey, CASE WHEN s_suppkey % 4 < 2 THEN s_suppkey + 0.5 END AS lon, CASE WHEN s_suppkey % 4 < 2 THEN -1.25 END AS lat FROM supplier")
+def wkt_centroids(s, d):
+    k = F.col("s_suppkey")
+    text_ = F.when(k % 4 == 0, F.concat(F.lit("POINT ("), (k + 0.5).cast("string"), F.lit(" -1.25)"))).when(k % 4 == 1, F.concat(F.lit(" point("), (k + 0.5).cast("string"), F.lit("  -1.25 ) "))).when(k % 4 == 2, "  ").otherwise("POINT EMPTY")
+    p = table(s, d, "supplier").select("s_suppkey", geo.wkt_point(text_).alias("p"))
+    return p.select("s_suppkey", "p.lon", "p.lat")

@@ -28,7 +28,7 @@ def _seen(s, d, level=a.COARSE):
 
 def _country(s, d, level=a.COARSE):
     e = a.exposure(s, d, level)
-    return e.groupBy("cell").agg(F.min("adm2_id").alias("country"), F.sum(F.col("pop_total").cast("decimal(28,6)")).cast("double").alias("pop_total"), F.sum("bld_count").alias("bld_count"))
+    return e.groupBy("cell").agg(F.min("adm2_id").alias("country"), F.sum(F.col("pop_total").cast("decimal(28,6)")).cast("double").alias("pop_total"), *[F.sum(c).alias(c) for c in ("bld_count", "health_count", "edu_count")])
 
 
 def _fires(s, d, level=a.COARSE):
@@ -38,8 +38,8 @@ def _fires(s, d, level=a.COARSE):
 BASE = a.with_ctes(a.DETECTIONS_SQL, a.EXPOSURE_SQL, f"seen AS (SELECT *, {a.cell_sql('lon', 'lat', a.COARSE)} AS cell FROM detections)", """agg AS (
   SELECT cell, count(*) FILTER (confidence <> 'low') AS detecciones, count(*) FILTER (confidence = 'low') AS detecciones_baja, max(frp)::DOUBLE AS frp_max,
     round(sum(frp), 1)::DOUBLE AS frp_suma, round(max(brightness), 1) AS brillo_max_k, min(ts) AS primera_utc, max(ts) AS ultima_utc FROM seen GROUP BY cell)""",
-  """country AS (SELECT cell, min(adm2_id) AS country, sum(pop_total::DECIMAL(28,6))::DOUBLE AS pop_total, sum(bld_count)::BIGINT AS bld_count FROM exposure GROUP BY cell)""",
-  """fires AS (SELECT g.*, coalesce(country, '') AS country, coalesce(pop_total, 0) AS pop_total, coalesce(bld_count, 0) AS bld_count FROM agg g LEFT JOIN country USING (cell) WHERE detecciones >= 1)""")
+  """country AS (SELECT cell, min(adm2_id) AS country, sum(pop_total::DECIMAL(28,6))::DOUBLE AS pop_total, sum(bld_count)::BIGINT AS bld_count, sum(health_count)::BIGINT AS health_count, sum(edu_count)::BIGINT AS edu_count FROM exposure GROUP BY cell)""",
+  """fires AS (SELECT g.*, coalesce(country, '') AS country, coalesce(pop_total, 0) AS pop_total, coalesce(bld_count, 0) AS bld_count, coalesce(health_count, 0) AS health_count, coalesce(edu_count, 0) AS edu_count FROM agg g LEFT JOIN country USING (cell) WHERE detecciones >= 1)""")
 
 
 @register("f11_t10_detection_window", BASE + "SELECT event_id, ts FROM detections WHERE ts IS NULL OR ts >= (SELECT max(ts) FROM detections) - INTERVAL 24 HOUR")
@@ -74,15 +74,16 @@ def j6_fires_with_exposure(s, d):
 
 
 TOTALS = """SELECT count(*) AS celdas, coalesce(sum(detecciones), 0)::BIGINT AS detecciones, coalesce(sum(detecciones_baja), 0)::BIGINT AS detecciones_baja, count(*) FILTER (pop_total > 0) AS pobladas,
-  coalesce(sum(pop_total::DECIMAL(28,6)), 0)::DOUBLE AS personas, coalesce(sum(bld_count), 0)::BIGINT AS edificios, coalesce(sum(frp_suma::DECIMAL(28,6)), 0)::DOUBLE AS potencia FROM fires"""
+  coalesce(sum(pop_total::DECIMAL(28,6)), 0)::DOUBLE AS personas, coalesce(sum(health_count), 0)::BIGINT AS salud, coalesce(sum(edu_count), 0)::BIGINT AS edu,
+  coalesce(sum(bld_count), 0)::BIGINT AS edificios, coalesce(sum(frp_suma::DECIMAL(28,6)), 0)::DOUBLE AS potencia {more} FROM fires"""
 
 
-@register("a21_fire_totals", BASE + TOTALS)
+@register("a21_fire_totals", BASE + TOTALS.format(more=", least(count(*), 50) AS celdas_publicadas, (SELECT count(*) FROM agg WHERE detecciones = 0) AS celdas_solo_baja, (SELECT coalesce(sum(detecciones_baja), 0) FROM agg WHERE detecciones = 0)::BIGINT AS detecciones_baja_sin_celda"))
 def a21_fire_totals(s, d):
-    return fires.totals(_fires(s, d))
+    return fires.totals(_fires(s, d), fires.only_low(_seen(s, d)), 50)
 
 
-@register("f12_f18_f19_a36_filtered_totals", BASE + TOTALS + """ WHERE ultima_utc >= (SELECT max(ultima_utc) FROM fires) - INTERVAL 12 HOUR
+@register("f12_f18_f19_a36_filtered_totals", BASE + TOTALS.format(more="") + """ WHERE ultima_utc >= (SELECT max(ultima_utc) FROM fires) - INTERVAL 12 HOUR
   AND (floor(cell / 1048576) + 0.5) / 0.25 - 180 BETWEEN -100 AND -40 AND (cell % 1048576 + 0.5) / 0.25 - 90 BETWEEN -40 AND 20""")
 def f12_f18_f19_a36_filtered_totals(s, d):
     rows = _fires(s, d).withColumn("lon", grid.lon_of(F.col("cell"), a.COARSE)).withColumn("lat", grid.lat_of(F.col("cell"), a.COARSE))

@@ -68,9 +68,16 @@ def k8_report_index(s, d):
     return writers.index(table(s, d, "events").select(F.col("event_id").alias("id"), "ts", "event_type", F.array("value").alias("list")))
 
 
-@register("k9_build_measurements")
+@register("k9_build_measurements", HIT_SQL + """SELECT count(*) AS cells, sum(pop_total::DECIMAL(28,6))::DOUBLE AS pop_total, sum(bld_count)::BIGINT AS bld_count, count(DISTINCT adm2_id) AS municipalities, 'col-v0.5' AS version, 0.5 AS rescued,
+  (SELECT count(*) FROM supplier WHERE s_suppkey % 2 = 1) AS neighbours, 'CC-BY-4.0' AS licence FROM exposure""")
 def k9_build_measurements(s, d):
-    return writers.measurements(a.exposure(s, d))
+    """The document is written, read again and taken apart."""
+    near = table(s, d, "supplier").where("s_suppkey % 2 = 1").agg(F.count("*").alias("neighbours"))
+    doc = writers.measurements(a.exposure(s, d), version="col-v0.5", sums=("bld_count",), sections={"rescue": s.range(1).select(F.lit(0.5).alias("rescued")), "neighbours": near, "licence": s.range(1).select(F.lit("CC-BY-4.0").alias("licence"))})
+    path = folder(s, "measured")
+    doc.write.text(path)
+    parts = "version string, summary struct<cells:bigint,pop_total:double,bld_count:bigint,municipalities:bigint>, rescue struct<rescued:double>, neighbours struct<neighbours:bigint>, licence struct<licence:string>"
+    return s.read.text(path).select(F.from_json("value", parts).alias("j")).select("j.summary.*", "j.version", "j.rescue.*", "j.neighbours.*", "j.licence.*")
 
 
 @register("s9_s10_fire_csv", a.with_ctes(a.DETECTIONS_SQL) + "SELECT event_id % 2 AS sensor, count(*) FILTER (event_id % 10 <> 0) AS good, count(*) FILTER (event_id % 10 = 0) AS bad FROM detections GROUP BY 1")
@@ -120,9 +127,16 @@ def messages(s, d):
     return table(s, d, "events").select((F.col("event_id") % 300).alias("event"), F.col("event_id").alias("id"), kind.alias("kind"), (F.col("event_id") % 5).cast("int").alias("version"), F.col("ts").cast("timestamp").alias("ts"))
 
 
-@register("t3_t4_event_states")
+@register("t3_t4_event_states", f"""WITH RECURSIVE m AS (SELECT event_id % 300 AS event, ts, {MESSAGES} AS kind, event_id % 5 AS v, row_number() OVER (PARTITION BY event_id % 300 ORDER BY ts, event_id) AS n FROM events),
+f AS (SELECT event, 0::BIGINT AS n, 'detectado' AS state, 0::BIGINT AS version, ts AS detected, 0::BIGINT AS changes FROM m WHERE n = 1
+UNION ALL SELECT event, n, next, CASE WHEN rises THEN v ELSE version END, detected, changes + (next <> state OR rises)::INT FROM (
+  SELECT f.event, m.n, f.state, f.version, f.detected, f.changes, m.v, f.state <> 'descartado' AND m.kind = 'product' AND m.v > f.version AS rises,
+    CASE WHEN f.state = 'descartado' OR m.kind = 'retract' THEN 'descartado' WHEN m.kind = 'product' AND m.v > f.version THEN 'publicado'
+      WHEN m.kind = 'tick' AND f.state IN ('detectado', 'preliminar') THEN CASE WHEN m.ts - f.detected >= INTERVAL 6 HOUR THEN 'degradado' ELSE 'preliminar' END ELSE f.state END AS next
+  FROM f JOIN m ON m.event = f.event AND m.n = f.n + 1))
+SELECT event, state, version, detected, changes FROM f QUALIFY row_number() OVER (PARTITION BY event ORDER BY n DESC) = 1""")
 def t3_t4_event_states(s, d):
-    return state.batch_states(messages(s, d))
+    return state.batch_states(messages(s, d)).withColumn("detected", F.col("detected").cast("timestamp_ntz"))
 
 
 @register("t1_tumbling_windows", "SELECT time_bucket(INTERVAL 6 HOUR, ts) AS start, event_type, count(*) AS n, sum(value::DECIMAL(28,6))::DOUBLE AS value FROM events GROUP BY 1, 2")
@@ -134,3 +148,84 @@ def t1_tumbling_windows(s, d):
 @register("t12_capped_history", "SELECT user_id AS source, ts, event_id AS id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 20")
 def t12_capped_history(s, d):
     return state.capped_history(table(s, d, "events").select(F.col("user_id").alias("source"), "ts", F.col("event_id").alias("id")), 20)
+
+
+@register("s10_audited_files", "SELECT f AS file, CASE WHEN f = 3 THEN 'failed' WHEN f = 2 THEN 'empty' ELSE 'read' END AS status, CASE WHEN f = 2 THEN (SELECT count(*) FROM events WHERE event_id % 3 = 2) WHEN f = 3 THEN 0 ELSE (SELECT count(*) FROM events WHERE event_id % 3 = f AND event_id % 10 = 0) END AS skipped FROM range(4) t(f)")
+def s10_audited_files(s, d):
+    k = F.col("event_id")
+    rows = table(s, d, "events").select((k % 3).alias("file"), ((k % 3 != 2) & (k % 10 != 0)).alias("ok"))
+    return readers.audit(rows, s.range(4).select(F.col("id").alias("file")))
+
+
+@register("s19_json_directory", "SELECT n_nationkey AS id, CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE n_name END AS name, n_nationkey % 5 = 0 AS unreadable FROM nation")
+def s19_json_directory(s, d):
+    k = F.col("n_nationkey")
+    path = folder(s, "states")
+    body = F.to_json(F.struct(k.alias("id"), F.col("n_name").alias("name")))
+    table(s, d, "nation").select(F.when(k % 5 == 0, F.concat(F.lit('{"id": '), k.cast("string"), F.lit(', "name": '))).otherwise(body).alias("value")).repartition(25, k).write.text(path)
+    rows = readers.json_directory(s, path, "id long, name string", whole=False)
+    broken = F.regexp_extract("raw", r"(\d+)", 1).cast("long")
+    return rows.select(F.coalesce("id", broken).alias("id"), "name", (~F.col("ok")).alias("unreadable"))
+
+
+@register("s5_geojson_shapes", """SELECT s_suppkey AS shape, CASE WHEN s_suppkey % 2 = 0 THEN 12 ELSE 8 END AS edges, CASE WHEN s_suppkey % 2 = 0 THEN 24.0 ELSE 15.0 END AS area FROM supplier""")
+def s5_geojson_shapes(s, d):
+    """Polygons with a hole, and multipolygons with two parts of which one has a hole."""
+    from lahar.operators import polygons
+
+    k = F.col("s_suppkey")
+    square = lambda x, y, w: F.array(*[F.array(F.lit(float(x + a_ * w)), F.lit(float(y + b_ * w))) for a_, b_ in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))])
+    one, hole, other = square(0, 0, 4), square(1, 1, 1), square(10, 0, 3)
+    single = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(one, hole).alias("coordinates")))
+    several = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(one, hole), F.array(other)).alias("coordinates")))
+    geometry = F.when(k % 2 == 0, several).otherwise(single)
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"code":"'), k.cast("string"), F.lit('"},"geometry":'), geometry, F.lit("}"))
+    texts = table(s, d, "supplier").select(F.concat(F.lit('{"type":"FeatureCollection","features":['), feature, F.lit("]}")).alias("value"))
+    rings = readers.geojson_rings(texts).select(F.element_at("properties", "code").cast("long").alias("shape"), "ring")
+    edges = polygons.closed_edges(rings)
+    counts = edges.groupBy("shape").agg(F.count("*").cast("int").alias("edges"))
+    # outer rings and holes turn the same way here, so the even-odd area is that of the fill
+    filled = polygons.polyfill(edges, 1).groupBy("shape").agg((F.count("*") / 4).alias("area"))
+    return counts.join(filled, "shape").select("shape", "edges", "area")
+
+
+@register("s23_arrow_relation", "SELECT n_regionkey AS k, count(*) AS n, sum(n_regionkey * 10) AS v FROM nation GROUP BY 1")
+def s23_arrow_relation(s, d):
+    import pyarrow as pa
+
+    side = readers.from_arrow(s, pa.table({"k": pa.array(range(5), pa.int64()), "v": pa.array([10 * i for i in range(5)], pa.int64())}))
+    return table(s, d, "nation").join(side, F.col("n_regionkey") == F.col("k")).groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("v"))
+
+
+@register("k2_admin_lookup", a.with_ctes(a.LOOKUP_SQL) + "SELECT * FROM lookup")
+def k2_admin_lookup(s, d):
+    path = folder(s, "lookup")
+    writers.admin_lookup(a.lookup(s, d), path)
+    return s.read.parquet(path)
+
+
+@register("k7_closed_documents", "SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 1 THEN 'alert outside its values' WHEN c_custkey % 4 = 2 THEN 'name missing' END AS finding FROM customer")
+def k7_closed_documents(s, d):
+    k = F.col("c_custkey")
+    rows = table(s, d, "customer").select(k.alias("id"), F.when(k % 4 != 2, F.col("c_name")).alias("name"), F.when(k % 4 == 1, "purple").when(k % 4 == 3, "red").otherwise("").alias("alert"))
+    return rows.select("id", writers.schema_finding({"id": None, "name": None, "alert": ("", "green", "yellow", "orange", "red")}, rows.columns).alias("finding"))
+
+
+@register("k10_fire_document", HIT_SQL + """SELECT count(*) AS celdas, least(count(*), 50) AS listadas, true AS announced, sum(bld_count)::BIGINT AS edificios FROM exposure""")
+def k10_fire_document(s, d):
+    from lahar.operators import fires as f
+
+    cells = a.exposure(s, d).select("cell", F.lit(1).cast("long").alias("detecciones"), F.lit(0).cast("long").alias("detecciones_baja"), "pop_total", "bld_count", "health_count", "edu_count", F.col("built_m2").alias("frp_suma"))
+    doc = f.document(cells, s.range(1).select(F.lit(3).cast("long").alias("celdas"), F.lit(7).cast("long").alias("detecciones")), 50)
+    j = doc.select(F.from_json("json", "totals struct<celdas:bigint,celdas_publicadas:bigint,edificios:bigint>, cap bigint, cells array<struct<cell:bigint>>").alias("j"))
+    return j.select("j.totals.celdas", F.size("j.cells").cast("long").alias("listadas"), ((F.col("j.cap") == 50) & (F.col("j.totals.celdas_publicadas") == F.size("j.cells"))).alias("announced"), "j.totals.edificios")
+
+
+@register("t1_polled_feeds", """SELECT 'good' AS feed, 'read' AS status, count(*) AS events FROM events WHERE event_id % 2 = 0 UNION ALL SELECT 'blind', 'nothing usable', 0 FROM range(1) UNION ALL SELECT 'gone', 'failed', 0 FROM range(1)""")
+def t1_polled_feeds(s, d):
+    k = F.col("event_id")
+    feature = lambda at: F.concat(F.lit('{"features":[{"id":"'), k.cast("string"), F.lit('","properties":{"time":1000},"geometry":{"coordinates":'), at, F.lit("}}]}"))
+    even = table(s, d, "events").where(k % 2 == 0)
+    feeds = {"good": lambda: even.select(feature(F.lit("[1,2,3]")).alias("value")), "blind": lambda: even.select(feature(F.lit("null")).alias("value")), "gone": lambda: s.read.text(f"{d}/no_such_feed.json")}
+    _, report = readers.polled(s, feeds)
+    return report

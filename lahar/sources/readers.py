@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -57,6 +59,56 @@ def assert_some_good(rows: DataFrame) -> DataFrame:
     return rows.where("ok").crossJoin(F.broadcast(check)).where(F.col("_e").isNull()).drop("_e")  # one row
 
 
+def polled(spark: SparkSession, feeds: dict) -> tuple[DataFrame, DataFrame]:
+    """Several feeds read in one pass: the good features with their feed, and what became of each feed.
+
+    feeds: name to a function that gives its texts. One that can't be opened is 'failed' and does not stop the others;
+    one of which nothing is usable is told apart from one that is empty. Events of two feeds are deduplicated by id.
+    """
+    rows, failed = None, []
+    for name, texts in feeds.items():
+        try:
+            own = feed(texts()).withColumn("feed", F.lit(name))
+            rows = own if rows is None else rows.unionByName(own)
+        except AnalysisException:
+            failed.append(name)
+    names = spark.createDataFrame([(n, n in failed) for n in feeds], "feed string, failed boolean")
+    if rows is None:
+        return spark.createDataFrame([], "feed string"), names.select("feed", F.lit("failed").alias("status"), F.lit(0).cast("long").alias("events"))
+    seen = rows.groupBy("feed").agg(F.count("*").alias("n"), F.count_if("ok").alias("good"))
+    both = names.join(seen, "feed", "left")
+    status = F.when(F.col("failed"), "failed").when(F.coalesce("n", F.lit(0)) == 0, "empty").when(F.col("good") == 0, "nothing usable").otherwise("read")
+    first = F.min_by(F.struct(*[c for c in rows.columns if c != "id"]), "feed").alias("r")
+    return rows.where("ok").groupBy("id").agg(first).select("id", "r.*"), both.select("feed", status.alias("status"), F.coalesce("good", F.lit(0)).alias("events"))
+
+
+def json_directory(spark: SparkSession, path: str, schema: str, whole: bool = True) -> DataFrame:
+    """Every JSON document of a directory (one for each file, or for each line): its fields, file, raw text, and ok.
+
+    Unreadable documents stay as rows with ok false, so that they can be counted and named.
+    """
+    texts = spark.read.text(path, wholetext=whole).withColumn("file", F.input_file_name())
+    parsed = texts.select("file", F.col("value").alias("raw"), F.from_json("value", schema + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("j"))
+    names = [f.split()[0] for f in schema.split(",")]
+    ok = F.col("j").isNotNull() & F.col("j._bad").isNull()
+    return parsed.select("file", "raw", ok.alias("ok"), *[F.when(ok, F.col(f"j.{c}")).alias(c) for c in names])
+
+
+def from_arrow(spark: SparkSession, data: pa.Table) -> DataFrame:
+    """An Arrow table as a relation, column by column without rows in between."""
+    return spark.createDataFrame(data)
+
+
+def geojson_rings(texts: DataFrame, col: str = "value") -> DataFrame:
+    """(properties map, part, ring) of every polygon and multipolygon feature: a row for each ring, holes included."""
+    feature = "struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>"
+    rows = texts.select(F.explode(F.from_json(col, f"features array<{feature}>")["features"]).alias("x"))
+    point, g = "array<double>", F.col("x.geometry")
+    parts = F.when(g["type"] == "MultiPolygon", F.from_json(g["coordinates"], f"array<array<array<{point}>>>")).when(g["type"] == "Polygon", F.array(F.from_json(g["coordinates"], f"array<array<{point}>>")))
+    split = rows.select(F.col("x.properties").alias("properties"), F.posexplode(parts).alias("part", "rings")).select("properties", "part", F.explode("rings").alias("line"))
+    return split.select("properties", "part", F.transform("line", lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring"))
+
+
 def product_versions(details: DataFrame, col: str = "value") -> DataFrame:
     """(event, product, contributor, status, weight, version, updated) of every version in event details."""
     text = F.col(col)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -59,7 +59,29 @@ def index(reports: DataFrame) -> DataFrame:
     return reports.select(*flat).orderBy(F.desc("ts"), F.desc("id"))
 
 
-def measurements(cells: DataFrame) -> DataFrame:
-    """One JSON document of what a build measured."""
-    sums = cells.agg(F.count("*").alias("cells"), F.sum(F.col("pop_total").cast("decimal(28,6)")).cast("double").alias("pop_total"), F.countDistinct("adm2_id").alias("municipalities"))
-    return sums.select(F.to_json(F.struct(*sums.columns)).alias("json"))
+def measurements(cells: DataFrame, version: str = "", sums: tuple[str, ...] = (), sections: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One JSON document of what a build measured: a summary of its cells, and a section from each one-row frame."""
+    total = lambda c: F.sum(F.col(c).cast("decimal(28,6)")).cast("double").alias(c)
+    counted = [F.sum(c).alias(c) for c in sums]
+    one = cells.agg(F.count("*").alias("cells"), total("pop_total"), *counted, F.countDistinct("adm2_id").alias("municipalities"))
+    doc = one.select(F.struct(*one.columns).alias("summary"))
+    for name, part in (sections or {}).items():
+        doc = doc.crossJoin(F.broadcast(part.select(F.struct(*part.columns).alias(name))))  # one row each
+    return doc.select(F.to_json(F.struct(F.lit(version).alias("version"), *doc.columns)).alias("json"))
+
+
+def admin_lookup(lookup: DataFrame, path: str) -> None:
+    """The side table of municipality names, small enough for one file, in order of its key."""
+    lookup.coalesce(1).sortWithinPartitions("adm2_id").write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def schema_finding(fields: dict[str, tuple[str, ...] | None], columns: list[str]) -> Column:
+    """The first way in which a row breaks a closed schema; null if none. fields: name to its values, None for any.
+
+    Columns outside the schema are an error at once.
+    """
+    if unknown := sorted(set(columns) - set(fields)):
+        raise ValueError(f"fields outside the schema: {', '.join(unknown)}")
+    found = [F.when(F.col(c).isNull(), F.lit(f"{c} missing")) for c in fields if c in columns] + [F.lit(f"{c} missing") for c in fields if c not in columns]
+    found += [F.when(F.col(c).isNotNull() & ~F.col(c).isin(*values), F.lit(f"{c} outside its values")) for c, values in fields.items() if values and c in columns]
+    return F.coalesce(*found)
