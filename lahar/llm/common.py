@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import pickle
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from math import ceil
 
 import numpy as np
@@ -34,10 +36,35 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or "file:///tmp/lahar-shared").rstrip("/")
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that cut() writes inside, in order, so that they can be dropped when nothing reads them any more."""
+    _recorders.append(made := [])
+    try:
+        yield made
+    finally:
+        _recorders.remove(made)
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that cut() wrote, and let Spark clean up the shuffles of plans that are no longer referred to."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    gc.collect()
+    jvm.System.gc()
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: lineage ends there and lost executors cost nothing."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    for made in _recorders:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -19,7 +19,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lahar.llm.common import WORD, cut
+from lahar.llm.common import WORD, cut, drop, recorded
 
 SEED = "mix-1"
 #: Words of an output shard and of a permuted block, about; a source has at least 2 ** BLOCK_BITS blocks.
@@ -135,6 +135,14 @@ def mix(
     A source takes its documents whole as often as its target allows, then a run of permuted blocks up to the
     rest; in the block where the rest ends, documents go in permuted order while their middle is inside it.
     """
+    with recorded() as made:
+        out = cut(_taken(docs, weights, share, cap, levels, seed, id_col, text_col, source_col, row_col), "mix-taken")
+    drop(docs.sparkSession, made[:-1])
+    return out
+
+
+def _taken(docs: DataFrame, weights: tuple[float, ...], share: float, cap: float, levels: int | None, seed: str, id_col: str, text_col: str, source_col: str, row_col: str | None) -> DataFrame:
+    """What mix() gives, as a plan over tables that it writes on the way."""
     text = F.col(text_col).cast("string")
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
     place = hash32(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(seed))

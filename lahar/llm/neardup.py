@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lahar.llm.common import arrow_schema, chunks_of, cut, docs_in, small_batches
+from lahar.llm.common import arrow_schema, chunks_of, cut, docs_in, drop, recorded, small_batches
 from lahar.llm.substrings import mixed, window_hashes, word_hashes, word_spans
 
 K = 48
@@ -303,6 +303,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, id_col:
     """
     if percent < 85:
         raise ValueError("the sketch bounds hold for similarities of 85 percent and more")
+    with recorded() as made:
+        out = cut(_classes(docs, width, percent, id_col, text_col, row_col), "neardup-classes")
+    drop(docs.sparkSession, made[:-1])
+    return out
+
+
+def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
+    """What near_duplicates() gives, as a plan over tables that it writes on the way."""
     source = docs_in(docs, id_col, text_col)
     if row_col:
         source = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), F.col(row_col).alias("row")).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -338,7 +346,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     keyed = cut(docs.select(F.monotonically_increasing_id().alias("_near_row"), F.struct(*docs.columns).alias("_row")), "neardup-keyed")
     plain = keyed.select("_near_row", *[F.col(f"_row.`{c}`").alias(c) for c in (id_col, text_col)])
-    found = cut(near_duplicates(plain, id_col=id_col, text_col=text_col, row_col="_near_row", **options).select("_near_row", "component", "kept"), "neardup-found")
+    found = near_duplicates(plain, id_col=id_col, text_col=text_col, row_col="_near_row", **options).select("_near_row", "component", "kept")
     gone = found.where(~F.col("kept")).select("_near_row")
     first = found.where(F.col("kept") & F.col("component").isNotNull())
     twice = first.join(first.groupBy("component").count().where("count > 1").select("component"), "component").select("component", "_near_row")
