@@ -2,17 +2,38 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lahar.llm import bpe, langid, lines, mixing, neardup
-from lahar.llm.common import cut
+from lahar.llm.common import cut, drop, recorded
 
 #: A document goes if no language has this much of the fused posterior, or its text has no letters.
 SURE = 0.5
 
 
+#: What the last stage wrote on its way; its result is written before another stage begins.
+_scratch: list[str] = []
+
+
+def _stage(f):
+    """A stage that first drops what the one before it needed until its result was written."""
+
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop(spark, _scratch)
+        with recorded() as made:
+            out = f(spark, docs, sf_dir)
+        _scratch[:] = made
+        return out
+
+    return run_stage
+
+
+@_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; lang counts as declared, source as the host.
 
@@ -23,6 +44,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("letters") > 0) & (F.col("posterior") >= SURE)).select("_row.*")
 
 
+@_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines of recurring templates.
 
@@ -35,6 +57,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select(*[changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies.
 
@@ -43,6 +66,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return neardup.one_of_each(docs, width=5, percent=85).select(*docs.columns)
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them, each output shard in its own order.
 
@@ -51,6 +75,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(docs, shard_col=None)
 
 
+@_stage
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and the hash of what they decode to. Null and empty texts have none."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
