@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from lahar.llm.common import Numbered, answered, buckets_for, chunks_of, cut, cut_up, dealt, docs_in, pack, runs, small_batches, spread, text_bytes, unpack
+from lahar.llm.common import Numbered, answered, buckets_for, chunks_of, cut, cut_up, dealt, docs_in, drop, pack, recorded, runs, small_batches, spread, text_bytes, unpack
 from lahar.llm.substrings import _deltas, _undeltas, mixed
 
 CLASSES = 32
@@ -42,8 +42,8 @@ BLOCK = 1 << 16
 END = b""
 #: What the class's own shares weigh against a context's pairs.
 LEAN = 8.0
-#: Bits of a pair's key beyond the logarithm of the corpus's bytes: two pairs share a key with a chance under 2**-20.
-KEY_BITS = 20
+#: Bits of a pair's key beyond the logarithm of the corpus's bytes: a pair shares its key with a chance under 2**-8.
+KEY_BITS = 8
 
 
 def held_out(i: int | None, folds: int, held: int) -> bool:
@@ -190,13 +190,6 @@ def pair_keys(names: np.ndarray, kinds: np.ndarray, flat: np.ndarray, first: np.
     return context >> np.uint64(64 - bits), mixed(context ^ mixed(names[flat])) >> np.uint64(64 - bits)
 
 
-def _counted(keys: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys in order, where each key is among them, and how many learnt tokens have it."""
-    own, where = np.unique(keys, return_inverse=True)
-    counts = np.bincount(where, learnt, len(own)).astype(np.int64)
-    return own, where.astype(np.int32), counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
-
-
 def score(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row.
 
@@ -206,7 +199,10 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "doc_id"
     source = docs_in(docs, id_col, text_col)
     total = text_bytes(source, "text")
     n, bits = buckets_for(total), min(62, max(40, ceil(log2(total + 2)) + KEY_BITS))
-    model = spark.sparkContext.broadcast(train(source, folds, held))
+    with recorded() as made:
+        trained = train(source, folds, held)
+    drop(spark, made)
+    model = spark.sparkContext.broadcast(trained)
 
     def ask(ids, texts):
         """Counts of words go to buckets from zero, those of pairs and contexts to buckets below."""
@@ -219,13 +215,22 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "doc_id"
         place = (hashes % np.uint32(n)).astype(np.int32)
         asks: list = [(b, ([names[i] for i in at.tolist()], counts[at])) for b, at in dealt(place)]
         long = np.fromiter(map(xxh3_64_intdigest, names), np.uint64, len(names))
-        at = []
-        for f, keys in enumerate(pair_keys(long, _kinds(names), flat, np.cumsum(sizes) - sizes, bits)):
-            own, where, seen = _counted(keys, learnt)
-            parts = [(n + 2 * b + f, part) for b, part in runs((own >> np.uint64(bits - 32)) * np.uint64(n) >> np.uint64(32))]
-            asks += [(b, (_deltas(own[part].astype(np.int64)), seen[part])) for b, part in parts]
-            at.append((where, parts))
-        return (ids, held_rows, sizes, flat, hashes, words[END], place, at), asks
+        for f, (own, where, parts) in enumerate(asked(long, hashes, words[END], flat, sizes)):
+            seen = np.bincount(where, learnt, len(own)).astype(np.int64)
+            seen = seen.astype(np.min_scalar_type(int(seen.max(initial=0))))
+            asks += [(n + 2 * b + f, (_deltas(own[part].astype(np.int64)), seen[part])) for b, part in parts]
+        return (ids, held_rows, sizes, flat, hashes, long, words[END]), asks
+
+    def asked(long, hashes, end, flat, sizes):
+        """Of contexts, then of pairs: distinct keys in order, where each token's key is among them, and their buckets.
+
+        Found anew when answers come: as many numbers as tokens would be shuffled otherwise.
+        """
+        is_end = np.zeros(len(hashes), bool)
+        is_end[end] = True
+        for keys in pair_keys(long, classes_of(hashes, is_end), flat, np.cumsum(sizes) - sizes, bits):
+            own, where = np.unique(keys, return_inverse=True)
+            yield own, where, runs((own >> np.uint64(bits - 32)) * np.uint64(n) >> np.uint64(32))
 
     def answer(questions):
         """Sums over all chunks, of words or of keys."""
@@ -243,9 +248,9 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "doc_id"
         return [sums[where[i:j]] for i, j in zip(ends, ends[1:], strict=False)]
 
     def finish(kept, got):
-        ids, held_rows, sizes, flat, hashes, end, place, at = kept
+        ids, held_rows, sizes, flat, hashes, long, end = kept
         count = np.zeros(len(hashes), np.int64)
-        for b, own in dealt(place):
+        for b, own in dealt((hashes % np.uint32(n)).astype(np.int32)):
             count[own] = got[b]
         weights, bias, tokens, distinct = model.value
         n_all, v_all = tokens.sum(), distinct.sum()
@@ -255,11 +260,11 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "doc_id"
         base = np.log10((count + 1) / (n_all + v_all + 1))
         share = (count + 1) / (tokens + distinct + 1)[kind]
         seen = []
-        for where, parts in at:
-            own = np.zeros(parts[-1][1].stop if parts else 0, np.int64)
+        for f, (own, where, parts) in enumerate(asked(long, hashes, end, flat, sizes)):
+            told = np.zeros(len(own), np.int64)
             for b, part in parts:
-                own[part] = got[b]
-            seen.append(own[where])
+                told[part] = got[n + 2 * b + f]
+            seen.append(told[where])
         context, pair = seen
         value = np.log10((pair + LEAN * share[flat]) / (context + LEAN))
         first = np.cumsum(sizes) - sizes
