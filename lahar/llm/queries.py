@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lahar.llm import bpe, langid, lines, maxent, media, mixing, neardup, neighbours, substrings, toxicity
-from lahar.llm.sql import LINES_SQL, MIX_SQL
+from lahar.llm.sql import LINES_SQL, MIX_SQL, NEAR_SQL, NEAREST_SQL, SUBSTRINGS_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,4 +97,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_block_nearest": op10_block_nearest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_template_lines": LINES_SQL, "op8_mix_sources": MIX_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": SUBSTRINGS_SQL,
+    "op2_template_lines": LINES_SQL,
+    "op3_minhash_near": NEAR_SQL,
+    "op8_mix_sources": MIX_SQL,
+    "op10_block_nearest": NEAREST_SQL,
+}

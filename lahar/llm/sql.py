@@ -56,3 +56,49 @@ SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(g.rid)::BIGINT AS n_removed,
 FROM lines l LEFT JOIN gone g ON l.rid = g.rid AND l.pos = g.pos
 GROUP BY l.rid, l.doc_id
 """
+
+SUBSTRINGS_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT rid, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35),
+windows AS (SELECT rid, i, array_to_string(w[i:i + 34], ' ') AS words FROM places JOIN docs USING (rid)),
+repeated AS (SELECT words FROM windows GROUP BY words HAVING count(*) > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS j FROM windows SEMI JOIN repeated USING (words)),
+words AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM docs),
+kept AS (
+  SELECT words.rid, count(gone.j)::BIGINT AS n_removed, coalesce(string_agg(word, ' ' ORDER BY words.j) FILTER (gone.j IS NULL), '') AS kept
+  FROM words LEFT JOIN gone ON words.rid = gone.rid AND words.j = gone.j GROUP BY words.rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rid)
+"""
+
+NEAR_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT rid, doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM docs),
+sizes AS (SELECT rid, count(*) AS n FROM sets GROUP BY rid),
+shared AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS common FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.rid < b.rid
+  WHERE a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.rid = x JOIN sizes q ON q.rid = y WHERE 100 * common >= 85 * (p.n + q.n - common)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT rid, doc_id AS other FROM docs UNION SELECT ways.y, reach.other FROM reach JOIN ways ON ways.x = reach.rid),
+least AS (SELECT rid, min(other) AS component_id FROM reach GROUP BY rid)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(doc_id = component_id, true) AS kept
+FROM docs LEFT JOIN sizes USING (rid) LEFT JOIN least USING (rid)
+"""
+
+NEAREST_SQL = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM pairs) WHERE rank <= 20
+"""
