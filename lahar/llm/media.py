@@ -25,6 +25,8 @@ SEEK_FRAMES = 4
 SAMPLE_RATE = 8000
 LPC_BITS, LPC_SHIFT = 12, 10
 BATCH_BYTES = 2 << 20
+#: Frames coded, and lanes decoded, side by side: what bounds memory, also for one very long text.
+SLICE_FRAMES = 1 << 14
 #: Fixed predictors of the FLAC format, orders 0 to 4.
 FIXED = [[], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1]]
 
@@ -102,12 +104,9 @@ def _residuals(x: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray | None]]
     return [(9, d1, None), (33, x[:, 2:] - guess, coef)]
 
 
-def write_flac(payloads: list[bytes]) -> list[bytes]:
-    """A FLAC stream for each payload, whose length is a positive multiple of UNIT."""
-    counts = np.array([len(p) // UNIT for p in payloads], np.int64)
-    x = np.frombuffer(b"".join(payloads), np.int8).reshape(-1, UNIT).astype(np.int32)
+def _packed(x: np.ndarray, number: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """FLAC frames of rows of UNIT samples with their frame numbers: their bytes one after another, and each length."""
     n = len(x)
-    number = np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts)
     best, kind, rice = np.full(n, 8 * UNIT, np.int64), np.full(n, 1, np.int64), np.zeros(n, np.int64)
     tried = _residuals(x)
     folded = []
@@ -160,7 +159,17 @@ def write_flac(payloads: list[bytes]) -> list[bytes]:
     out[start[:-1] + head - 1] = CRC8.of(out, start[:-1], head - 1)
     crc = CRC16.of(out, start[:-1], length - 2)
     out[start[1:] - 2], out[start[1:] - 1] = crc >> 8, crc & 255
-    data, streams, i = out.tobytes(), [], 0
+    return out.tobytes(), length
+
+
+def write_flac(payloads: list[bytes]) -> list[bytes]:
+    """A FLAC stream for each payload, whose length is a positive multiple of UNIT; SLICE_FRAMES frames at a time."""
+    counts = np.array([len(p) // UNIT for p in payloads], np.int64)
+    x = np.frombuffer(b"".join(payloads), np.int8).reshape(-1, UNIT)
+    number = np.arange(len(x)) - np.repeat(np.cumsum(counts) - counts, counts)
+    parts = [_packed(x[i : i + SLICE_FRAMES].astype(np.int32), number[i : i + SLICE_FRAMES]) for i in range(0, len(x), SLICE_FRAMES)]
+    data, length = b"".join(p for p, _ in parts), np.concatenate([k for _, k in parts]) if parts else np.empty(0, np.int64)
+    start, streams, i = np.concatenate([[0], np.cumsum(length)]), [], 0
     for payload, c in zip(payloads, counts.tolist(), strict=True):
         own = start[i : i + c + 1]
         sizes = length[i : i + c]
@@ -248,12 +257,14 @@ def read_flac(streams: list[bytes]) -> list[tuple[bytes, np.ndarray]]:
         first.append(points[:, 0] + total)
         total += info["samples"]
     reader, out = _Reader(np.frombuffer(b"".join(streams), np.uint8)), np.empty(total, np.int8)
-    at, sample, end = np.concatenate(lanes) if lanes else np.empty(0, np.int64), np.concatenate(first) if first else np.empty(0, np.int64), np.concatenate(ends) if ends else np.empty(0, np.int64)
-    while len(at):
-        at, block = _frames(reader, at, sample, end, out)
-        sample = sample + block
-        going = sample < end
-        at, sample, end = at[going], sample[going], end[going]
+    every = [np.concatenate(part) if part else np.empty(0, np.int64) for part in (lanes, first, ends)]
+    for i in range(0, len(every[0]), SLICE_FRAMES):
+        at, sample, end = (part[i : i + SLICE_FRAMES] for part in every)
+        while len(at):
+            at, block = _frames(reader, at, sample, end, out)
+            sample = sample + block
+            going = sample < end
+            at, sample, end = at[going], sample[going], end[going]
     pcm, got, i = out.tobytes(), [], 0
     for (info, _, _), points in zip(metas, seeks, strict=True):
         own = pcm[i : i + info["samples"]]
@@ -400,12 +411,18 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return source.mapInArrow(run, "id long, n_bytes long, media binary").withColumnRenamed("id", id_col)
 
 
+def blocks_of(pcm: bytes, points: np.ndarray, block: int = UNIT * SEEK_FRAMES) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Sample offset of each block of samples, byte offset of the last seek point at or before it, and the blocks."""
+    at = np.arange(0, len(pcm), block)
+    return at, points[np.searchsorted(points[:, 0], at, "right") - 1, 1], [pcm[a : a + block] for a in at.tolist()]
+
+
 def read_media(media: DataFrame, media_col: str = "media") -> DataFrame:
-    """media with payload binary and feature string, decoded from the stored stream; null streams give nulls.
+    """media with payload binary, feature string and n_blocks, from the stored stream's PCM blocks; null streams give nulls.
 
     feature: samples, sum, sum of squares, peak, and changes of sign against the previous sample.
     """
-    schema = media.withColumn("payload", F.lit(None).cast("binary")).withColumn("feature", F.lit(None).cast("string")).schema
+    schema = media.withColumn("payload", F.lit(None).cast("binary")).withColumn("feature", F.lit(None).cast("string")).withColumn("n_blocks", F.lit(None).cast("long")).schema
 
     def feature(pcm: bytes) -> str:
         x = np.frombuffer(pcm, np.int8).astype(np.int64)
@@ -415,8 +432,10 @@ def read_media(media: DataFrame, media_col: str = "media") -> DataFrame:
         for batch in _grouped(batches, media_col):
             streams = batch.column(batch.schema.get_field_index(media_col)).to_pylist()
             read = iter(read_flac([s for s in streams if s is not None]))
-            got = [None if s is None else next(read)[0] for s in streams]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.binary()), pa.array([g and feature(g) for g in got])], [*batch.schema.names, "payload", "feature"])
+            blocks = [None if s is None else blocks_of(*next(read))[2] for s in streams]
+            got = [None if b is None else b"".join(b) for b in blocks]
+            own = [pa.array(got, pa.binary()), pa.array([g and feature(g) for g in got]), pa.array([b and len(b) for b in blocks], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own], [*batch.schema.names, "payload", "feature", "n_blocks"])
 
     return media.mapInArrow(run, schema)
 
@@ -428,9 +447,8 @@ def pcm_blocks(media: DataFrame, id_col: str = "doc_id", media_col: str = "media
         for batch in _grouped(batches, "media"):
             keep = [(i, s) for i, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if s is not None]
             for (i, _), (pcm, points) in zip(keep, read_flac([s for _, s in keep]), strict=True):
-                at = np.arange(0, len(pcm), block)
-                byte = points[np.searchsorted(points[:, 0], at, "right") - 1, 1]
-                yield pa.RecordBatch.from_arrays([pa.array([i] * len(at), pa.int64()), pa.array(at), pa.array(byte), pa.array([pcm[a : a + block] for a in at.tolist()], pa.binary())], ["id", "sample_offset", "byte_offset", "pcm"])
+                at, byte, pieces = blocks_of(pcm, points, block)
+                yield pa.RecordBatch.from_arrays([pa.array([i] * len(at), pa.int64()), pa.array(at), pa.array(byte), pa.array(pieces, pa.binary())], ["id", "sample_offset", "byte_offset", "pcm"])
 
     source = media.select(F.col(id_col).cast("long").alias("id"), F.col(media_col).alias("media"))
     return source.mapInArrow(run, "id long, sample_offset long, byte_offset long, pcm binary").withColumnRenamed("id", id_col)

@@ -75,6 +75,7 @@ def op9_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         "feature",
+        "n_blocks",
     )
 
 

@@ -76,3 +76,81 @@ def test_table(spark):
     blocks = media.pcm_blocks(stored).where("doc_id = 4").orderBy("sample_offset").collect()
     assert b"".join(bytes(b.pcm) for b in blocks) == padded(b"x" * 5000)
     assert media.read_media(media.encode_media(df.limit(0))).collect() == []
+
+
+def plain_decoder(stream):
+    """A FLAC decoder of 8-bit mono streams of its own, bit by bit after the format's description."""
+    assert stream[:4] == b"fLaC"
+    at, samples = 4, None
+    while True:
+        last, kind, size = stream[at] >> 7, stream[at] & 127, int.from_bytes(stream[at + 1 : at + 4], "big")
+        if kind == 0:
+            samples = int.from_bytes(stream[at + 14 : at + 22], "big") & ((1 << 36) - 1)
+        at += 4 + size
+        if last:
+            break
+    bits = "".join(f"{b:08b}" for b in stream[at:])
+    p, out = 0, []
+
+    def take(n, signed=False):
+        nonlocal p
+        v = int(bits[p : p + n], 2) if n else 0
+        p += n
+        return v - (1 << n) if signed and n and v >> (n - 1) else v
+
+    while len(out) < samples:
+        assert take(14) == 0b11111111111110
+        take(2)
+        code = take(4)
+        take(4 + 8)
+        lead = take(8)
+        for _ in range(max(0, 8 - len(bin(lead ^ 0xFF)[2:]) - 1) if lead & 0x80 else 0):
+            take(8)
+        block = {1: 192}.get(code) or (take(8) + 1 if code == 6 else take(16) + 1)
+        take(8)
+        assert take(1) == 0
+        kind = take(6)
+        assert take(1) == 0
+        if kind == 0:
+            x = [take(8, True)] * block
+        elif kind == 1:
+            x = [take(8, True) for _ in range(block)]
+        else:
+            order = kind - 8 if kind < 32 else kind - 31
+            x = [take(8, True) for _ in range(order)]
+            if kind < 32:
+                coef, shift = [[], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1]][order], 0
+            else:
+                width, shift = take(4) + 1, take(5, True)
+                coef = [take(width, True) for _ in range(order)]
+            assert take(2) == 0
+            split = take(4)
+            for part in range(1 << split):
+                k = take(4)
+                for _ in range((block >> split) - (order if part == 0 else 0)):
+                    q = 0
+                    while not take(1):
+                        q += 1
+                    u = (q << k) | take(k)
+                    x.append(((u >> 1) ^ -(u & 1)) + (sum(c * v for c, v in zip(coef, x[::-1])) >> shift))
+        out += x
+        p += -p % 8 + 16
+    return bytes(v & 255 for v in out)
+
+
+def test_streams_read_by_an_independent_decoder():
+    rng = np.random.default_rng(8)
+    payloads = [b" " * 192, "Ein Text mit Umlauten äöü. ".encode() * 60, bytes(rng.integers(0, 256, 192 * 9, np.uint8)), bytes(range(97, 121)) * 24, b"word " * 192 * 30]
+    payloads = [p + b" " * (-len(p) % 192) for p in payloads]
+    for p, stream in zip(payloads, media.write_flac(payloads), strict=True):
+        assert plain_decoder(stream) == p
+
+
+def test_very_long_payload_goes_in_slices(monkeypatch):
+    monkeypatch.setattr(media, "SLICE_FRAMES", 64)
+    text = b"".join(b"line %d of a long text\n" % i for i in range(20_000))
+    payload = text + b" " * (-len(text) % 192)
+    stream = media.write_flac([payload, b"x" * 192])
+    assert [p for p, _ in media.read_flac(stream)] == [payload, b"x" * 192]
+    monkeypatch.undo()
+    assert media.write_flac([payload, b"x" * 192]) == stream
