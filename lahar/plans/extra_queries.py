@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from lahar.functions import geo, text
 from lahar.operators import assets, events
+from lahar.operators.ranking import placed
 from lahar.plans import adapter as a
 from lahar.plans.impact_queries import HIT_SQL, hit
+from lahar.plans.shared import shared_cut
 from lahar.session import table
 
 Q, SQL = {}, {}
@@ -55,9 +57,7 @@ def j5_j11_cells_without_name(s, d):
 
 @register("o5_cells_by_intensity", HIT_SQL + "SELECT cell, mmi, rank() OVER (ORDER BY mmi DESC) AS place FROM intensity")
 def o5_cells_by_intensity(s, d):
-    from pyspark.sql import Window
-
-    return a.intensity(s, d).select("cell", "mmi", F.rank().over(Window.orderBy(F.desc("mmi"))).alias("place"))
+    return placed(a.intensity(s, d).select("cell", "mmi"), [F.desc("mmi")], "place", shared_cut(s), ties=True)
 
 
 @register("a5_named_binding", HIT_SQL + "SELECT coalesce(sum(pop_total::DECIMAL(28,6)), 0)::DOUBLE AS pop, max(mmi) AS mmi_max FROM hit WHERE mmi > 99")

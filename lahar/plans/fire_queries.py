@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lahar.functions import geo, grid
 from lahar.operators import fires
+from lahar.operators.ranking import placed
 from lahar.plans import adapter as a
 from lahar.plans.shared import shared_cut
 
@@ -97,9 +98,7 @@ def o3_k10_fire_priority(s, d):
 
 @register("o4_o9_fires_by_energy", BASE + "SELECT cell, frp_suma, row_number() OVER (ORDER BY frp_suma DESC, cell) AS place FROM fires")
 def o4_o9_fires_by_energy(s, d):
-    from pyspark.sql import Window
-
-    return _fires(s, d).select("cell", "frp_suma", F.row_number().over(Window.orderBy(F.desc("frp_suma"), "cell")).alias("place"))
+    return placed(_fires(s, d).select("cell", "frp_suma"), [F.desc("frp_suma"), F.col("cell")], "place", shared_cut(s))
 
 
 @register("a22_weighted_land_cover", BASE + """, c AS (SELECT *, (cell % 1048576) % 3 AS lulc_px, ((cell % 1048576) % 101)::DOUBLE AS bosque FROM fires)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lahar.operators import impact
 from lahar.plans import adapter as a
 from lahar.plans.impact_queries import ADM2_SQL, HIT_SQL, hit
+from lahar.plans.shared import shared_folder
 from lahar.session import table
 from lahar.sources import readers, writers
 from lahar.streaming import state
@@ -27,8 +28,7 @@ def register(name: str, sql: str | None = None):
 
 
 def folder(spark, name: str) -> str:
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/lahar-shared").rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @register("k1_s1_partitioned_asset", a.with_ctes(a.EXPOSURE_SQL) + "SELECT cell, adm2_id, bld_count FROM exposure WHERE adm2_id = '00003'")

@@ -7,9 +7,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share. A local session may name none: then one under /tmp."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.conf.get("spark.master", "local").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return (named or "file:///tmp/lahar-shared").rstrip("/")
+
+
 def shared_cut(spark: SparkSession):
-    """Write a frame to the shared folder and read it back; a folder under /tmp only where the session names none."""
-    folder = (spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/lahar-shared").rstrip("/")
+    """Write a frame to the shared folder and read it back."""
+    folder = shared_folder(spark)
 
     def cut(df: DataFrame) -> DataFrame:
         path = f"{folder}/cut-{uuid.uuid4().hex}"

@@ -42,8 +42,8 @@ def columnar(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def published_contours(contours: DataFrame, floor: float) -> DataFrame:
     """Contours at or above the floor; if there are none, the highest alone."""
-    top = F.max("value").over(Window.partitionBy())
-    return contours.withColumn("_top", top).where((F.col("value") >= floor) | ((F.col("_top") < floor) & (F.col("value") == F.col("_top")))).drop("_top")
+    top = F.broadcast(contours.agg(F.max("value").alias("_top")))  # one row
+    return contours.crossJoin(top).where((F.col("value") >= floor) | ((F.col("_top") < floor) & (F.col("value") == F.col("_top")))).drop("_top")
 
 
 def documents(df: DataFrame, required: list[str]) -> DataFrame:
