@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share. A local session may name none: then one under /tmp."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not spark.conf.get("spark.master", "local").startswith("local["):
+    if not named and spark.conf.get("spark.master", "local").split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return (named or "file:///tmp/lahar-shared").rstrip("/")
 
