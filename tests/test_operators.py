@@ -232,3 +232,15 @@ def test_stream_dedupe_and_windows(spark, tmp_path):
     q.stop()
     assert sorted(r.alias for r in spark.table("sight").collect()) == ["a", "b"]
     assert state.tumbling(df, "5 minutes").count() == 2 and state.sessions(df, "3 minutes").count() == 2
+
+
+def test_cells_of_another_grid_are_opaque_keys(spark):
+    """The impact join takes ready-made cell names as they are."""
+    names = "cell string, adm2_id string, pop_total double, pop_0_14 double, pop_15_64 double, pop_65p double, pop_alt double, bld_count long, built_m2 double, health_count long, edu_count long, road_km double, flags_calidad string"
+    rows = [(f"88{i:013x}", f"{i % 2:05d}", 10.0 * i, 1.0, 8.0, 1.0, 9.0 * i, i, 5.0, 1, 1, 0.5, None) for i in range(1, 9)]
+    mmi = spark.createDataFrame([(r[0], 5.5 + k / 2) for k, r in enumerate(rows[:6])], "cell string, mmi double")
+    gf = spark.createDataFrame([(rows[2][0], 0.2, None)], "cell string, ls_prob double, lq_prob double")
+    hit = impact.join_impact(spark.createDataFrame(rows, names), mmi, gf)
+    assert hit.count() == 6
+    assert {r.adm2_id: r.pop_total_6 for r in impact.by_municipality(hit).collect()} == {"00000": 120.0, "00001": 80.0}
+    assert [r.cell for r in fires.with_exposure(spark.createDataFrame([(rows[0][0], 3)], "cell string, detecciones long"), spark.createDataFrame(rows, names).select("cell", F.col("adm2_id").alias("country"), "pop_total")).collect()] == [rows[0][0]]
