@@ -102,3 +102,32 @@ pairs AS (
 SELECT query_id, rank, vec_id, score FROM (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM pairs) WHERE rank <= 20
 """
+
+#: crc32 of the decimal id: the bits of its bytes one after another, seven empty steps after each byte.
+_CRC32 = """xor(list_reduce(flatten(list_transform(string_split({x}::VARCHAR, ''), lambda s: [ascii(s)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+  lambda r, e: xor(xor(r, e) >> 1, 3988292384 * (xor(r, e) & 1)), 4294967295::BIGINT), 4294967295)"""
+
+RUNS_SQL = rf"""
+WITH plain AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_CRC32.format(x="doc_id")} AS h FROM documents),
+sized AS (SELECT *, len(w) AS n, h // 10 AS g, coalesce(h % 10 = 0 AND len(w) > 0, false) AS loops FROM plain),
+placed AS (SELECT *, CASE WHEN loops THEN g % n END AS a FROM sized),
+periods AS (SELECT *, CASE WHEN loops THEN 1 + (n - a) // (3 + g % 8) END AS p FROM placed),
+docs AS (
+  SELECT rid, doc_id, n, CASE WHEN loops THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w
+  FROM periods),
+words AS (SELECT rid, n, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM docs),
+agree AS (SELECT l.rid, l.i, r.i - l.i AS q FROM words l JOIN words r ON l.rid = r.rid AND l.x = r.x AND r.i > l.i AND 4 * (r.i - l.i) <= l.n),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM agree),
+stretches AS (SELECT rid, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY rid, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT rid, start, length, min(q) AS period FROM stretches GROUP BY rid, start, length),
+best AS (
+  SELECT rid, start, length, period FROM runs
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+listed AS (SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+left_over AS (SELECT rid, string_agg(x, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+       (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid) LEFT JOIN left_over USING (rid)
+"""
