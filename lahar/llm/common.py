@@ -9,6 +9,7 @@ import pickle
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from math import ceil
 
 import numpy as np
@@ -36,17 +37,18 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or "file:///tmp/lahar-shared").rstrip("/")
 
 
-_recorders: list[list[str]] = []
+#: Of this thread of control only: queries that run beside each other don't see each other's folders.
+_recorders: ContextVar[tuple[list[str], ...]] = ContextVar("recorders", default=())
 
 
 @contextmanager
 def recorded() -> Iterator[list[str]]:
     """The folders that cut() writes inside, in order, so that they can be dropped when nothing reads them any more."""
-    _recorders.append(made := [])
+    before = _recorders.set((*_recorders.get(), made := []))
     try:
         yield made
     finally:
-        _recorders.remove(made)
+        _recorders.reset(before)
 
 
 def drop(spark: SparkSession, paths: list[str]) -> None:
@@ -63,7 +65,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: lineage ends there and lost executors cost nothing."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    for made in _recorders:
+    for made in _recorders.get():
         made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

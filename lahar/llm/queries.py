@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lahar.llm import bpe, langid, lines, maxent, media, mixing, neardup, neighbours, runs, substrings, toxicity
-from lahar.llm.sql import LINES_SQL, MIX_SQL, NEAR_SQL, NEAREST_SQL, RUNS_SQL, SUBSTRINGS_SQL
+from lahar.llm import bpe, clusters, langid, lines, maxent, media, mixing, neardup, neighbours, runs, substrings, toxicity
+from lahar.llm.sql import CLUSTERS_SQL, LINES_SQL, MIX_SQL, NEAR_SQL, NEAREST_SQL, RUNS_SQL, SUBSTRINGS_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,10 @@ def op10_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op12_drake_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.clustered(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2, dim=64, scale=256)
+
+
 def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.word_runs(runs.looped(_table(spark, sf_dir, "documents")), min_length=6, min_power=4))
 
@@ -100,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_flac_media": op9_flac_media,
     "op10_block_nearest": op10_block_nearest,
+    "op12_drake_clusters": op12_drake_clusters,
     "op13_word_runs": op13_word_runs,
 }
 
@@ -109,5 +114,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_minhash_near": NEAR_SQL,
     "op8_mix_sources": MIX_SQL,
     "op10_block_nearest": NEAREST_SQL,
+    "op12_drake_clusters": CLUSTERS_SQL,
     "op13_word_runs": RUNS_SQL,
 }

@@ -131,3 +131,29 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, le
        (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
 FROM docs LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid) LEFT JOIN left_over USING (rid)
 """
+
+
+def _clusters_sql(k: int, rounds: int, dim: int) -> str:
+    near = """SELECT rid, vec_id, v, j, d FROM (
+    SELECT rid, vec_id, v, j, list_sum(list_transform(range(1, {dim} + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT AS d FROM kept CROSS JOIN c{t})
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, j) = 1"""
+    steps = []
+    for t in range(rounds):
+        steps.append(f"""a{t} AS ({near.format(t=t, dim=dim)}),
+sums{t} AS (SELECT j, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT j, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{t}) GROUP BY j, i),
+means{t} AS (SELECT j, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM sums{t} GROUP BY j),
+c{t + 1} AS (SELECT j, coalesce(means{t}.c, c{t}.c) AS c FROM c{t} LEFT JOIN means{t} USING (j)),
+""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT * FROM (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS j, v AS c FROM kept) WHERE j < {k}),
+{"".join(steps)}own AS ({near.format(t=rounds, dim=dim)})
+SELECT vec_id, j::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY j)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM own JOIN c{rounds} USING (j)
+"""
+
+
+CLUSTERS_SQL = _clusters_sql(40, 5, 64)
