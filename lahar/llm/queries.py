@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lahar.llm import bpe, clusters, langid, lines, maxent, media, mixing, neardup, neighbours, runs, substrings, toxicity
+from lahar.llm import bpe, clusters, langid, lines, maxent, media, mixing, neardup, neighbours, runs, secrets, substrings, toxicity
 from lahar.llm.sql import CLUSTERS_SQL, LINES_SQL, MIX_SQL, NEAR_SQL, NEAREST_SQL, RUNS_SQL, SUBSTRINGS_SQL
 
 
@@ -84,6 +84,10 @@ def op10_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op11_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.found_secrets(_table(spark, sf_dir, "documents"), strength=10.0))
+
+
 def op12_drake_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.clustered(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2, dim=64, scale=256)
 
@@ -104,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_flac_media": op9_flac_media,
     "op10_block_nearest": op10_block_nearest,
+    "op11_guess_cost_secrets": op11_guess_cost_secrets,
     "op12_drake_clusters": op12_drake_clusters,
     "op13_word_runs": op13_word_runs,
 }
