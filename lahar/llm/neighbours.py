@@ -9,9 +9,9 @@ lower bound of each query drops more. Only then are the vectors of the surviving
 precision, and kept in heaps. The result is that of brute force.
 
 Vectors that are null, zero, or hold null or non-finite components take no part. Vectors of different lengths are
-never compared. Ties go to the smaller id, so of equal vectors the k + 1 rows of smallest id are all that can be
-found, however many there are. Rows that share an id are candidates each; a query row never finds a row of its own
-id. Repeated query rows are answered each. Products beyond the range of doubles are infinite and tie. An
+never compared. Ties go to the smaller id, so of equal vectors only those of the k + 1 smallest ids can be found,
+and k rows of each id, however many there are. Rows that share an id are candidates each; a query row never finds a
+row of its own id. Repeated query rows are answered each. Products beyond the range of doubles are infinite and tie. An
 empty table gives an empty result. Other columns, whatever their names, are not read.
 """
 
@@ -110,13 +110,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     small_batches(spark)
 
     def usable(df: DataFrame, most: int) -> DataFrame:
-        """Rows (row, id, v) that take part, of equal vectors the first by id; both limits apply before the shuffle too."""
+        """Rows (row, id, v) that take part, of equal vectors those of the `most` first ids, less than `most` of each."""
         v = F.col(vector_col).cast("array<double>")
         fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(v, lambda x: x != 0)
         rows = df.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.coalesce(fine, F.lit(False)) & F.col("id").isNotNull())
         if most:
             # arrays of doubles that are equal have equal bytes but for the sign of zero, which only makes two groups of one
-            rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("copy") <= most).drop("copy")
+            rows = rows.withColumn("place", F.dense_rank().over(Window.partitionBy("v").orderBy("id"))).where(F.col("place") <= most)
+            rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("v", "id").orderBy("place"))).where(F.col("copy") < most).drop("place", "copy")
         return cut(rows.withColumn("row", F.monotonically_increasing_id()), "neighbours-rows")
 
     c, q = usable(vectors, k + 1), usable(queries, 0)

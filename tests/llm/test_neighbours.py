@@ -57,3 +57,23 @@ def test_bounds_hold():
     for i in range(40):
         assert set(np.argsort(-true[i])[:5]) <= set(ci[qi == i].tolist())
     assert len(qi) < 40 * 8
+
+
+def test_shared_ids_and_equal_vectors(spark):
+    """Rows of one id don't crowd out other ids of the same vector."""
+    rows = [(0, [2.0, 1.0])] * 21 + [(1, [2.0, 1.0]), (2, [0.5, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, df.where("vec_id = 0"), k=20).collect()
+    assert sorted({(r.rank, r.vec_id, r.score) for r in got}) == [(1, 1, 5.0), (2, 2, 1.5)]
+    rng = np.random.default_rng(8)
+    for _ in range(3):
+        some = rng.integers(-2, 3, (9, 3)).astype(float)
+        rows = [(int(rng.integers(12)), [float(x) for x in some[rng.integers(9)]]) for _ in range(150)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        queries = [(i, v) for i, v in rows if i % 5 == 0 and any(v)]
+        got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in neighbours.nearest(df, df.where("vec_id % 5 = 0"), k=4).collect())
+        want = []
+        for i, v in queries:
+            near = sorted((-float(np.dot(v, w)), j) for j, w in rows if j != i and any(w))[:4]
+            want += [(i, r, j, -s) for r, (s, j) in enumerate(near, 1)]
+        assert got == sorted(want)
