@@ -5,7 +5,8 @@ mean of its words' vectors. So a misspelling that was never seen shares most n-g
 As the classifier is linear, a trained model comes down to one number for each hashed n-gram and a bias, which is
 what executors get (SUBWORDS floats, whatever the corpus). Training rows are at most max_rows labelled documents,
 the first by hash of their id, and of these the first max_bytes: a documented bound on a classifier's sample; all
-texts are scored, whole, also very long ones.
+texts are scored, whole, also very long ones. Documents that share an id with a label are rows each, once for each
+different label of the id.
 
 Null and empty texts have the score of the bias alone. Repeated rows are scored each. Without training rows, or
 with one label only, the score is that label's smoothed share. Rows of labels without a document, or with a null
@@ -147,14 +148,18 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, folds: int = 5, he
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("label_id"), F.col(label_col).cast("int").alias("label"))
     known = known.where(fold("label_id", folds) != held)
     # labels meet their documents before the sample is taken: labels without one must not use it up
-    small = docs_in(docs, id_col, text_col).select("id", F.octet_length("text").alias("bytes"))
-    place = F.xxhash64("id")
-    sample = known.join(small, F.col("label_id") == F.col("id")).select("id", "label", "bytes").orderBy(place, "id", "label").limit(max_rows)
+    # a row's key is its id, a hash of its text and a number among equals, so that rows of one id stay apart
+    source = docs_in(docs, id_col, text_col).withColumn("h", F.xxhash64("text"))
+    equals = F.row_number().over(Window.partitionBy("id", "h").orderBy(F.lit(1)))
+    found = source.select("id", "h", F.octet_length("text").alias("bytes")).join(known.select(F.col("label_id").alias("id")).distinct(), "id", "left_semi")
+    found = found.withColumn("n", equals).where(F.col("n") <= max_rows)
+    order = [F.xxhash64("id"), "id", "label", "h", "n"]
+    sample = known.distinct().join(found, F.col("label_id") == F.col("id")).select("id", "h", "n", "label", "bytes").orderBy(*order).limit(max_rows)
     # at most max_rows rows, so one task can sum their bytes in order; the first row always stays
-    size = F.sum(F.coalesce("bytes", F.lit(0))).over(Window.orderBy(F.xxhash64("id"), "id", "label").rowsBetween(Window.unboundedPreceding, -1))
-    sample = sample.withColumn("before", F.coalesce(size, F.lit(0))).where(F.col("before") < max_bytes).select(F.col("id").alias("label_id"), "label")
-    rows = docs_in(docs, id_col, text_col).join(F.broadcast(sample), F.col("id") == F.col("label_id")).select("id", "text", "label")
-    rows = rows.orderBy(F.xxhash64("id"), "id", "label").limit(max_rows)
+    size = F.sum(F.coalesce("bytes", F.lit(0))).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    sample = sample.withColumn("before", F.coalesce(size, F.lit(0))).where(F.col("before") < max_bytes).select("id", "h", "n", "label")
+    rows = source.join(F.broadcast(sample.select("id", "h").distinct()), ["id", "h"], "left_semi").withColumn("n", equals).where(F.col("n") <= max_rows)
+    rows = rows.join(F.broadcast(sample), ["id", "h", "n"]).select("id", "text", "label")
 
     def fit_rows(batches):
         got = sorted(r for batch in batches for r in zip(batch.column(0).to_pylist(), (t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()), batch.column(2).to_pylist(), strict=True))

@@ -1,4 +1,8 @@
 import random
+import zlib
+
+import numpy as np
+import pytest
 
 from lahar.llm import toxicity
 
@@ -82,3 +86,27 @@ def test_scores_are_means_of_means(spark):
             means.append(np.mean([model.weight[c] for c in cells], dtype=np.float64))
         want = 1 / (1 + np.exp(-(0.3 + (np.mean(means) if means else 0))))
         assert abs(r.score - want) < 1e-6
+
+
+@pytest.mark.parametrize("texts", ["one", "many"])
+def test_documents_of_one_id_are_one_row_each(spark, monkeypatch, tmp_path, texts):
+    """40 documents of a labelled id are 40 rows of the fit, and the bound on bytes holds for them."""
+    seen = str(tmp_path / "rows")
+
+    def noted(rows, labels):
+        with open(seen, "w") as f:
+            f.write(f"{len(rows)} {sum(map(len, rows))}")
+        return toxicity.Model(np.zeros(toxicity.SUBWORDS, np.float32), 0.0)
+
+    monkeypatch.setattr(toxicity, "fit", noted)
+    ids = [i for i in range(1, 60) if zlib.crc32(str(i).encode()) % 5 != 0][:10]
+    docs = [(ids[0], f"word{0 if texts == 'one' else i} " * 10) for i in range(40)] + [(i, "other words") for i in ids[1:]]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] * 2, "doc_id long, toxic int")
+    toxicity.train(d, labels, "toxic")
+    rows, size = map(int, open(seen).read().split())
+    assert rows == 49 and size == sum(len(t) for _, t in docs)
+    toxicity.train(d, labels, "toxic", max_bytes=200)
+    assert int(open(seen).read().split()[1]) < 200 + 80
+    toxicity.train(d, labels, "toxic", max_rows=7)
+    assert open(seen).read().split()[0] == "7"
