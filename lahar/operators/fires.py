@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lahar.functions import grid
+from lahar.operators import graph
 
 WINDOW_HOURS = 24
 CAP = 60_000
@@ -123,25 +125,50 @@ def wind_near(points: DataFrame, lattice: DataFrame, most: float = 0.5) -> DataF
     return best.select("id", F.col("b.speed").alias("speed"), F.round("b.d2", 6).alias("d2"))
 
 
+#: Cells of a block are joined in one task: at most 4 ** BLOCK of them.
+BLOCK = 6
+
+
+def _in_blocks(cells: DataFrame, diagonal: bool) -> DataFrame:
+    """(cell, piece): connected cells within each block, named by their smallest cell."""
+    steps = [(1 << 20), 1, (1 << 20) + 1, (1 << 20) - 1][: 4 if diagonal else 2]
+
+    def joined(table: pa.Table) -> pa.Table:
+        own = sorted(table.column("cell").to_pylist())
+        to = {c: c for c in own}
+
+        def root(c: int) -> int:
+            while to[c] != c:
+                to[c] = c = to[to[c]]
+            return c
+
+        for c in own:
+            for step in steps:
+                if c + step in to:
+                    x, y = root(c), root(c + step)
+                    to[max(x, y)] = min(x, y)
+        return pa.table({"cell": pa.array(own, pa.int64()), "piece": pa.array([root(c) for c in own], pa.int64())})
+
+    return cells.groupBy(grid.parent(F.col("cell"), BLOCK).alias("block")).applyInArrow(joined, "cell long, piece long")
+
+
 def clusters(cells: DataFrame, diagonal: bool = True, cut=None) -> DataFrame:
-    """(cell, cluster): connected components of adjacent cells, named by their smallest cell.
+    """(cell, cluster): connected components of adjacent cells, named by their smallest cell. Null cells are left out.
 
-    Edges come from an equi-join on neighbour cells. Labels spread along edges and jump along labels, so rounds grow
-    with the logarithm of a cluster's width; cut writes each round's labels where lost executors don't matter.
+    Cells are joined within square blocks first, each in one pass; only cells at a block's border meet cells of others,
+    and only the pieces that these belong to go through rounds of contraction. cut writes what a round needs where lost
+    executors don't matter.
     """
     cut = cut or (lambda df: df.checkpoint())
-    own = cells.select("cell").distinct()
-    near = own.select("cell", F.explode(grid.neighbours(F.col("cell"), 1, diagonal)).alias("near"))
-    edges = cut(near.join(own.withColumnRenamed("cell", "near"), "near").select("cell", "near"))
-    labels = cut(own.select("cell", F.col("cell").alias("cluster")))
-    while True:
-        around = edges.join(labels.select(F.col("cell").alias("near"), F.col("cluster").alias("other")), "near").groupBy("cell").agg(F.min("other").alias("other"))
-        step = labels.join(around, "cell", "left").select("cell", F.col("cluster").alias("old"), F.least("cluster", F.coalesce("other", "cluster")).alias("cluster"))
-        jump = labels.select(F.col("cell").alias("at"), F.col("cluster").alias("beyond"))
-        step = cut(step.join(jump, F.col("cluster") == F.col("at")).select("cell", "old", F.least("cluster", "beyond").alias("cluster")))
-        labels = step.select("cell", "cluster")
-        if step.where("old <> cluster").isEmpty():
-            return labels
+    pieces = cut(_in_blocks(cells.select("cell").where("cell IS NOT NULL").distinct(), diagonal))
+    side = 1 << BLOCK
+    x, y = grid.ix_of(F.col("cell")) % side, grid.iy_of(F.col("cell")) % side
+    border = pieces.where((x == 0) | (x == side - 1) | (y == 0) | (y == side - 1))
+    block = lambda c: grid.parent(F.col(c), BLOCK)
+    near = border.select("cell", F.col("piece").alias("x"), F.explode(grid.neighbours(F.col("cell"), 1, diagonal)).alias("near")).where(block("cell") != block("near"))
+    links = near.join(border.select(F.col("cell").alias("near"), F.col("piece").alias("y")), "near").select("x", "y")
+    roots = graph.components(links, cut).select(F.col("node").alias("piece"), "root")
+    return pieces.join(roots, "piece", "left").select("cell", F.coalesce("root", "piece").alias("cluster"))
 
 
 def cluster_summary(fires: DataFrame, labels: DataFrame) -> DataFrame:
