@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lahar.functions import geo, text
+from lahar.operators import graph
 
 #: Magnitude that triggers, re-dispatch floor in minutes, retry window in hours, review in days.
 TRIGGER_MAGNITUDE, REDISPATCH_MIN, RETRY_H, REVIEW_DAYS = 5.5, 15, 6, 90
@@ -179,6 +180,29 @@ def upserted(old: DataFrame, new: DataFrame, key: str, version: str) -> DataFram
     return both.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(version, "_side")).alias("r")).select(key, "r.*")
 
 
+def resolved(known: DataFrame | None, feed: DataFrame, cut) -> DataFrame:
+    """(alias, event): what known held, and every alias of a poll, with rows that share any alias in one event.
+
+    feed: ids, all aliases of a row; null and blank ones are left out. An event is named by its smallest alias. Only
+    events that the poll names go through components: the rest of known passes as it is. Polling again changes nothing.
+    """
+    rows = feed.select(F.filter("ids", lambda i: i.isNotNull() & (F.trim(i) != "")).alias("ids")).where(F.size("ids") > 0)
+    links = rows.select(F.element_at("ids", 1).alias("first"), F.explode("ids").alias("alias")).distinct()
+    if known is not None:
+        event = known.select(F.col("alias").alias("at"), "event")
+        named = lambda df, c: df.join(event, F.col(c) == F.col("at"), "left").withColumn(c, F.coalesce("event", c)).drop("at", "event")
+        edges = named(named(links.withColumn("own", F.col("alias")), "first"), "alias")
+    else:
+        edges = links.withColumn("own", F.col("alias"))
+    edges = cut(edges)
+    roots = cut(graph.components(edges.select(F.col("first").alias("x"), F.col("alias").alias("y")), cut))
+    new = edges.join(roots, F.col("alias") == F.col("node")).select(F.col("own").alias("alias"), F.col("root").alias("event")).distinct()
+    if known is None:
+        return cut(new)
+    moved = known.join(roots, F.col("event") == F.col("node"), "left").select("alias", F.coalesce("root", "event").alias("event"))
+    return cut(moved.unionByName(new.join(known, "alias", "left_anti")))
+
+
 def licence_bucket(sources: DataFrame, spark) -> DataFrame:
     """The strictest licence of each asset's sources; an unknown one is stricter than all."""
     dim = spark.createDataFrame(list(LICENCES), "license string, severity int")
