@@ -65,41 +65,44 @@ def a5_named_binding(s, d):
     return hit(s, d).where("mmi > 99").agg(F.coalesce(F.sum(F.col("pop_total").cast("decimal(28,6)")), F.lit(0)).cast("double").alias("pop"), F.max("mmi").alias("mmi_max"))
 
 
-#: Places of a feed and what they read in Spanish.
+#: Places of a feed, and what they read in Spanish.
 PLACES = {
-    "20 km W of Catia La Mar, Venezuela": "20 km al O de Catia La Mar, Venezuela",
-    "10 km SSW of Coquimbo, Chile": "10 km al SSO de Coquimbo, Chile",
-    "78 km NE of Navarro, Peru": "78 km al NE de Navarro, Perú",
-    "12 km SWW of Algun Sitio, Chile": "12 km SWW of Algun Sitio, Chile",
-    "Near the coast of Bio-Bio, Chile": "Cerca de la costa de Bio-Bio, Chile",
-    "Near the coast of northern Chile": "Cerca de la costa del norte de Chile",
-    "Off the coast of Peru": "Cerca de la costa de Perú",
-    "off the coast of Central America": "Cerca de la costa de Centroamérica",
-    "Nicaragua region": "Región de Nicaragua",
-    "Galapagos Islands, Ecuador region": "Región de las islas Galápagos, Ecuador",
-    "Peru-Ecuador border region": "Zona fronteriza Perú-Ecuador",
-    "south of Panama": "Al sur de Panamá",
-    "2017 Tehuantepec, Mexico Earthquake": "Terremoto de Tehuantepec, México (2017)",
-    "southern East Pacific Rise": "Sur de la dorsal del Pacífico Oriental",
-    "east central Pacific Ocean": "Centro-este del océano Pacífico",
-    "South Pacific Ocean": "Pacífico Sur",
-    "southern Peru": "Sur de Perú",
-    "northern Atlantis Fracture": "northern Atlantis Fracture",
-    "Ciudad de Mexico, Mexico": "Ciudad de Mexico, México",
-    "Acapulco, Mexico": "Acapulco, México",
-    "Drake Passage": "Pasaje de Drake",
-    "Peru": "Perú",
-    "Somewhere odd": "Somewhere odd",
-    "   ": "",
+    "35 km NNW of Arica, Chile": "35 km al NNO de Arica, Chile",
+    "7km E of San Isidro, Peru": "7 km al E de San Isidro, Perú",
+    "41 km wsw of Santiago, Panama": "41 km al OSO de Santiago, Panamá",
+    "5 km NNS of Lugar, Haiti": "5 km NNS of Lugar, Haití",
+    "Near the coast of Guatemala": "Cerca de la costa de Guatemala",
+    "off the coast of southern Mexico": "Cerca de la costa del sur de México",
+    "Near the coast of Ancon, Peru": "Cerca de la costa de Ancon, Perú",
+    "Honduras region": "Región de Honduras",
+    "Caribbean Sea region": "Región del mar Caribe",
+    "Windward Islands region": "Región de las islas de Barlovento",
+    "Easter Island, Chile region": "Región de la isla de Pascua, Chile",
+    "Chile-Argentina border region": "Zona fronteriza Chile-Argentina",
+    "Brazil - southern Suriname border region": "Zona fronteriza Brasil-sur de Surinam",
+    "west of Costa Rica": "Al oeste de Costa Rica",
+    "southeast of Easter Island": "Al sureste de la isla de Pascua",
+    "north of Puerto Azul, Belize": "Al norte de Puerto Azul, Belice",
+    "1939 Chillan, Chile Earthquake": "Terremoto de Chillan, Chile (1939)",
+    "northeastern Brazil": "Noreste de Brasil",
+    "south central Chile": "Centro-sur de Chile",
+    "western Caribbean Sea": "Oeste del mar Caribe",
+    "Scotia Sea": "Mar de Escocia",
+    "North Atlantic Ocean": "Atlántico Norte",
+    "Belize": "Belice",
+    "Tumbes, Peru": "Tumbes, Perú",
+    "eastern Nowhere": "eastern Nowhere",
+    "region": "region",
+    " \t ": "",
 }
 
 
-@register("text_places", f"""SELECT n_nationkey, [{", ".join(f"'{x}'" for x in PLACES.values())}][n_nationkey % {len(PLACES)} + 1] AS place,
-  CASE WHEN n_nationkey < 16 THEN ['cero','uno','dos','tres','cuatro','cinco','seis','siete','ocho','nueve','diez','once','doce','trece','catorce','quince'][n_nationkey + 1] ELSE n_nationkey::VARCHAR END AS words FROM nation""")
+@register("text_places", f"""SELECT c_custkey, [{", ".join(f"'{x}'" for x in PLACES.values())}][c_custkey % {len(PLACES)} + 1] AS place,
+  CASE WHEN c_custkey < 16 THEN ['cero','uno','dos','tres','cuatro','cinco','seis','siete','ocho','nueve','diez','once','doce','trece','catorce','quince'][c_custkey + 1] ELSE c_custkey::VARCHAR END AS words FROM customer""")
 def text_places(s, d):
-    k = F.col("n_nationkey")
+    k = F.col("c_custkey")
     raw = F.element_at(F.array(*[F.lit(x) for x in PLACES]), (k % len(PLACES) + 1).cast("int"))
-    return table(s, d, "nation").select("n_nationkey", text.place_es(raw).alias("place"), text.in_words(k).alias("words"))
+    return table(s, d, "customer").select("c_custkey", text.place_es(raw).alias("place"), text.in_words(k).alias("words"))
 
 
 @register("date_instants", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso, date_trunc('second', ts) AS again FROM events")
