@@ -12,7 +12,7 @@ from lahar.plans.impact_queries import ADM2_SQL, HIT_SQL, hit
 from lahar.plans.shared import shared_folder
 from lahar.session import table
 from lahar.sources import readers, writers
-from lahar.streaming import state
+from lahar.streaming import observed, state
 
 Q, SQL = {}, {}
 
@@ -229,3 +229,23 @@ def t1_polled_feeds(s, d):
     feeds = {"good": lambda: even.select(feature(F.lit("[1,2,3]")).alias("value")), "blind": lambda: even.select(feature(F.lit("null")).alias("value")), "gone": lambda: s.read.text(f"{d}/no_such_feed.json")}
     _, report = readers.polled(s, feeds)
     return report
+
+
+@register("t9_rolling_observed", """WITH best AS (SELECT user_id AS id, max(event_id)::BIGINT AS version, arg_max(ts, event_id) AS ts, arg_max(value, event_id)::DOUBLE AS value FROM events GROUP BY user_id)
+SELECT * FROM best WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 5 DAY""")
+def t9_rolling_observed(s, d):
+    """A stream over the events with a timer for each user; what its changes leave."""
+    schema = s.read.parquet(f"{d}/events.parquet").schema
+    rows = lambda own: own.readStream.schema(schema).parquet(f"{d}/events.parquet*").select(F.col("user_id").alias("id"), F.col("event_id").alias("version"), "ts", "value")
+    changes = s.read.schema(observed.CHANGE).parquet(observed.run_changes(s, lambda own: observed.rolling(rows(own), 5)))
+    return observed.standing(changes).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("t13_merged_files", "SELECT o_custkey AS id, max(o_orderkey)::BIGINT AS version, arg_max(o_totalprice, o_orderkey)::DOUBLE AS price FROM orders GROUP BY o_custkey")
+def t13_merged_files(s, d):
+    """Orders written as four files that diverge, merged file by file: the newest order of each customer."""
+    rows = table(s, d, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").cast("long").alias("version"), F.col("o_totalprice").cast("double").alias("price"))
+    place = folder(s, "divergent")
+    rows.repartition(4, F.col("version") % 4).write.parquet(place)
+    stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(place)
+    return observed.merge_files(s, stream, "id", "version")
