@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import pi, sqrt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -120,3 +122,43 @@ def wkt_point(text: Column) -> Column:
     form = r"(?i)^\s*POINT\s*\(\s*(\S+)\s+(\S+?)\s*\)\s*$"
     number = lambda k: F.regexp_extract(text, form, k).try_cast("double")
     return F.when(number(1).isNotNull() & number(2).isNotNull(), F.struct(number(1).alias("lon"), number(2).alias("lat")))
+
+
+#: The sphere of the Mollweide grid of population rasters, its upper left corner and its tiles' side, in metres.
+MOLLWEIDE_RADIUS, MOLLWEIDE_WEST, MOLLWEIDE_NORTH, MOLLWEIDE_TILE = 6378137.0, -18041000.0, 9000000.0, 1000000.0
+NEWTON_STEPS = 8
+
+
+def mollweide(lon: Column, lat: Column, radius: float = MOLLWEIDE_RADIUS) -> Column:
+    """struct(x, y) in metres of the equal-area Mollweide projection; null beyond the poles.
+
+    The auxiliary angle t solves 2t + sin 2t = pi sin(lat), by a fixed number of Newton's steps. Near a pole, where both
+    sides flatten out, they start from the cube root that the equation comes down to there.
+    """
+    aim = F.sin(F.radians(lat)) * pi
+    near_pole = F.signum(lat) * (pi / 2 - F.cbrt(F.lit(0.75) * (pi - F.abs(aim))))
+    first = F.when(F.abs(lat) > 60, near_pole).otherwise(F.radians(lat) * 0.8)
+
+    def newton(t: Column, _: Column) -> Column:
+        slope = 2 + 2 * F.cos(2 * t)
+        return F.when(slope < 1e-14, t).otherwise(t - (2 * t + F.sin(2 * t) - aim) / slope)
+
+    t = F.aggregate(F.sequence(F.lit(1), F.lit(NEWTON_STEPS)), first, newton)
+    point = F.transform(F.array(t), lambda a: F.struct((F.radians(lon) * F.cos(a) * (2 * sqrt(2) / pi * radius)).alias("x"), (F.sin(a) * (sqrt(2) * radius)).alias("y")))
+    return F.when(F.abs(lat) <= 90, F.get(point, F.lit(0)))
+
+
+def from_mollweide(x: Column, y: Column, radius: float = MOLLWEIDE_RADIUS) -> Column:
+    """struct(lon, lat) of a Mollweide point; null outside the world's ellipse. At the poles every longitude is 0."""
+    t = F.asin(y / (sqrt(2) * radius))
+    wide = F.cos(t) * (2 * sqrt(2) / pi * radius)
+    lon = F.when(wide > 1e-6, F.degrees(x / F.when(wide > 1e-6, wide))).otherwise(0.0)
+    lat = F.degrees(F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (2 * t + F.sin(2 * t)) / pi))))
+    return F.when((F.abs(y) <= sqrt(2) * radius) & (F.abs(lon) <= 180 + 1e-9), F.struct(lon.alias("lon"), lat.alias("lat")))
+
+
+def mollweide_tile(x: Column, y: Column) -> Column:
+    """R5_C10: the row from the north and the column from the west of a point's tile, from 1."""
+    row = F.floor((MOLLWEIDE_NORTH - y) / MOLLWEIDE_TILE) + 1
+    column = F.floor((x - MOLLWEIDE_WEST) / MOLLWEIDE_TILE) + 1
+    return F.concat(F.lit("R"), row.cast("string"), F.lit("_C"), column.cast("string"))

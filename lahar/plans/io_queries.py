@@ -11,7 +11,7 @@ from lahar.plans import adapter as a
 from lahar.plans.impact_queries import ADM2_SQL, HIT_SQL, hit
 from lahar.plans.shared import shared_folder
 from lahar.session import table
-from lahar.sources import readers, writers
+from lahar.sources import partial, readers, writers
 from lahar.streaming import observed, state
 
 Q, SQL = {}, {}
@@ -249,3 +249,25 @@ def t13_merged_files(s, d):
     rows.repartition(4, F.col("version") % 4).write.parquet(place)
     stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(place)
     return observed.merge_files(s, stream, "id", "version")
+
+
+@register("s10_partial_files", """SELECT status, count(*) AS files, sum(n)::BIGINT AS lines FROM (
+  SELECT 'read' AS status, count(*) AS n FROM customer GROUP BY c_nationkey UNION ALL SELECT 'failed', 0 FROM (SELECT DISTINCT c_nationkey FROM customer) UNION ALL SELECT 'failed', 0) GROUP BY status""")
+def s10_partial_files(s, d):
+    """A packed file of each country's customers, the same lines under a name that says packed and isn't, and one that is not there."""
+    place = folder(s, "partial")
+    rows = table(s, d, "customer").select("c_nationkey", F.col("c_name").alias("value")).repartition("c_nationkey")
+    rows.write.partitionBy("c_nationkey").option("compression", "gzip").text(f"{place}/good")
+    rows.write.partitionBy("c_nationkey").text(f"{place}/bad")
+    jvm, paths = s.sparkContext._jvm, []
+    for kind in ("good", "bad"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{place}/{kind}/*/part-*")
+        fs = path.getFileSystem(s.sparkContext._jsc.hadoopConfiguration())
+        for found in fs.globStatus(path):
+            name = found.getPath().toString()
+            if kind == "bad":
+                fs.rename(found.getPath(), jvm.org.apache.hadoop.fs.Path(name + ".gz"))
+            paths.append(name + (".gz" if kind == "bad" else ""))
+    paths.append(f"{place}/nowhere.txt.gz")
+    told = partial.outcome(s, partial.lines_of(s, paths), paths)
+    return told.groupBy("status").agg(F.count("*").alias("files"), F.sum("lines").alias("lines"))
