@@ -126,9 +126,11 @@ def late_revisions(states: DataFrame, live: DataFrame, now: Column, days: int =
     return both.where(changed).select("event", F.concat_ws(" ", "contributor", "version").alias("before"), F.concat_ws(" ", "live_by", "live_version").alias("after"))
 
 
-def change_log(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Lines of what changed between two solutions of an event: magnitude, depth, epicentre, and figures as printed."""
-    both = old.select(F.col("event"), *[F.col(c).alias(f"o_{c}") for c in ("mag", "depth", "lon", "lat", "people")]).join(new, "event")
+SOLUTION = ("mag", "depth", "lon", "lat", "people")
+
+
+def _changes() -> list[Column]:
+    """What differs between a solution and the one before it, whose columns begin with o_; null where nothing does."""
     moved = geo.haversine_km(F.col("o_lon"), F.col("o_lat"), F.col("lon"), F.col("lat"))
     before, after = text.prose(F.col("o_people")), text.prose(F.col("people"))
     lines = [
@@ -137,8 +139,33 @@ def change_log(old: DataFrame, new: DataFrame) -> DataFrame:
         (moved >= 1, "epicentre"),
         (before != after, "people"),
     ]
-    found = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for cond, name in lines]))
-    return both.select("event", F.explode(found).alias("change"))
+    return [F.when(cond, F.lit(name)) for cond, name in lines]
+
+
+def change_log(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Lines of what changed between two solutions of an event: magnitude, depth, epicentre, and figures as printed."""
+    both = old.select(F.col("event"), *[F.col(c).alias(f"o_{c}") for c in SOLUTION]).join(new, "event")
+    return both.select("event", F.explode(F.array_compact(F.array(*_changes()))).alias("change"))
+
+
+def accumulated_log(solutions: DataFrame) -> DataFrame:
+    """(event, place, change): what all solutions of an event changed, newest first, since its contributor last changed.
+
+    solutions: event, seq, contributor, version and the columns of SOLUTION. A version is known by contributor and
+    number together, so an equal number of another contributor is a change. A solution without a contributor is no
+    change of contributor; it goes on under the last one known. Each step tells its change of version, then of figures.
+    """
+    w = Window.partitionBy("event").orderBy("seq")
+    named = solutions.withColumn("contributor", F.last("contributor", ignorenulls=True).over(w))
+    steps = named.select("*", *[F.lag(c).over(w).alias(f"o_{c}") for c in ("seq", "contributor", "version", *SOLUTION)])
+    other = F.coalesce(F.col("o_contributor") != F.col("contributor"), F.lit(False))
+    steps = steps.withColumn("era", F.sum(other.cast("int")).over(w))
+    identity = lambda by, number: F.concat_ws(" ", by, F.concat(F.lit("v"), number))
+    version = F.when(other | ~F.col("o_version").eqNullSafe(F.col("version")), F.concat(identity("o_contributor", F.col("o_version")), F.lit(" → "), identity("contributor", F.col("version"))))
+    lines = steps.where("o_seq IS NOT NULL").select("event", "seq", "era", F.posexplode(F.array_compact(F.array(version, *_changes()))).alias("at", "change"))
+    last = steps.groupBy("event").agg(F.max("era").alias("era"))
+    place = F.row_number().over(Window.partitionBy("event").orderBy(F.desc("seq"), "at"))
+    return lines.join(last, ["event", "era"]).select("event", place.alias("place"), "change")
 
 
 def lagging(published: DataFrame, live: DataFrame) -> DataFrame:
@@ -161,11 +188,23 @@ def cadence(beats: DataFrame, longest_h: float = 24.0) -> DataFrame:
     return rows.groupBy("source").agg(F.count("*").alias("n"), *[F.round(F.percentile("each", F.lit(q)), 1).alias(f"p{int(q * 100)}") for q in (0.5, 0.9)], F.round(F.max("each"), 1).alias("worst"))
 
 
-def islands(rows: DataFrame, by: list[Column], is_header: Column) -> DataFrame:
-    """Numbers runs that begin where a header follows a line that is none."""
-    w = Window.orderBy(*by)
-    start = is_header & ~F.coalesce(F.lag(is_header).over(w), F.lit(False))
-    return rows.withColumn("run", F.sum(start.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+def islands(rows: DataFrame, by: list[Column], is_header: Column, cut) -> DataFrame:
+    """Numbers runs that begin where a header follows a line that is none.
+
+    Rows are dealt by range and written where lost executors don't matter; a run's number is that within a part, plus
+    the runs that began in the parts before. The window over parts has a row for each of them.
+    """
+    dealt = cut(rows.withColumn("_head", is_header).repartitionByRange(*by).withColumn("_part", F.spark_partition_id()))
+    own = Window.partitionBy("_part").orderBy(*by)
+    last = dealt.groupBy("_part").agg(F.max_by("_head", F.struct(*by)).alias("_last")).select("_part", "_last")
+    across = last.select("_part", F.lag("_last").over(Window.orderBy("_part")).alias("_before"))
+    began = dealt.join(F.broadcast(across), "_part").withColumn("_lag", F.coalesce(F.lag("_head").over(own), "_before", F.lit(False)))
+    began = began.withColumn("_start", (F.col("_head") & ~F.col("_lag")).cast("int"))
+    earlier = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = began.groupBy("_part").agg(F.sum("_start").alias("_n")).select("_part", earlier.alias("_runs"))
+    placed = began.join(F.broadcast(offsets), "_part")
+    run = F.sum("_start").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.col("_runs")
+    return placed.withColumn("run", run).drop("_head", "_part", "_before", "_lag", "_start", "_runs")
 
 
 def recent_first(rows: DataFrame, now: Column, days: int, stamp: str) -> DataFrame:

@@ -8,6 +8,7 @@ from lahar.functions import geo, text
 from lahar.operators import assets, events, quality
 from lahar.plans import adapter as a
 from lahar.plans.impact_queries import HIT_SQL, hit
+from lahar.plans.shared import shared_cut
 from lahar.session import table
 
 Q, SQL = {}, {}
@@ -141,6 +142,36 @@ def r4_change_log(s, d):
     return events.change_log(solution(zero, zero, zero, zero), solution((k % 2) * 0.1, (k % 3) * 0.3, F.when(k % 4 == 0, 0.02).otherwise(0.0), (k % 5) * 1000))
 
 
+#: A fold by recursion: each solution is joined to the one before it, and a change of contributor starts the log anew.
+_FOLD = """WITH RECURSIVE s AS (SELECT o_custkey AS event, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS seq,
+    CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 8 < 6 THEN 'us' ELSE 'atlas' END AS contributor, (o_orderkey % 3)::INT AS version,
+    5 + (o_orderkey % 4) * 0.03::DOUBLE AS mag, (o_orderkey % 5) * 0.2::DOUBLE AS depth, 10 + (o_orderkey % 2) * 0.5::DOUBLE AS lon, 5.0::DOUBLE AS lat, (o_orderkey % 6) * 1000.0::DOUBLE AS people FROM orders),
+f AS (SELECT event, seq, contributor, version, mag, depth, lon, people, []::STRUCT(seq BIGINT, pos INT, change VARCHAR)[] AS log FROM s WHERE seq = 1 UNION ALL
+  SELECT s.event, s.seq, coalesce(s.contributor, f.contributor), s.version, s.mag, s.depth, s.lon, s.people,
+    CASE WHEN coalesce(s.contributor <> f.contributor, false) THEN []::STRUCT(seq BIGINT, pos INT, change VARCHAR)[] ELSE f.log END || list_filter([
+      {'seq': s.seq, 'pos': 0, 'change': CASE WHEN coalesce(s.contributor <> f.contributor, false) OR s.version <> f.version THEN
+        concat_ws(' ', f.contributor, 'v' || f.version) || ' → ' || concat_ws(' ', coalesce(s.contributor, f.contributor), 'v' || s.version) END},
+      {'seq': s.seq, 'pos': 1, 'change': CASE WHEN round(abs(s.mag - f.mag), 6) >= 0.05 THEN 'magnitude' END},
+      {'seq': s.seq, 'pos': 2, 'change': CASE WHEN round(abs(s.depth - f.depth), 6) >= 0.5 THEN 'depth' END},
+      {'seq': s.seq, 'pos': 3, 'change': CASE WHEN s.lon <> f.lon THEN 'epicentre' END},
+      {'seq': s.seq, 'pos': 4, 'change': CASE WHEN s.people <> f.people THEN 'people' END}], lambda x: x.change IS NOT NULL)
+  FROM f JOIN s ON s.event = f.event AND s.seq = f.seq + 1),
+e AS (SELECT event, unnest(log) AS x FROM f QUALIFY row_number() OVER (PARTITION BY event ORDER BY seq DESC) = 1)
+SELECT event, row_number() OVER (PARTITION BY event ORDER BY x.seq DESC, x.pos)::INT AS place, x.change AS change FROM e"""
+
+
+@register("r4_accumulated_log", _FOLD)
+def r4_accumulated_log(s, d):
+    from pyspark.sql import Window
+
+    k = F.col("o_orderkey")
+    by = F.when(k % 9 == 0, None).when(k % 8 < 6, "us").otherwise("atlas")
+    seq = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    figures = {"mag": 5 + (k % 4) * F.lit(0.03), "depth": (k % 5) * F.lit(0.2), "lon": 10 + (k % 2) * F.lit(0.5), "lat": F.lit(5.0), "people": (k % 6) * F.lit(1000.0)}
+    rows = table(s, d, "orders").select(F.col("o_custkey").alias("event"), seq.alias("seq"), by.alias("contributor"), (k % 3).cast("int").alias("version"), *[v.alias(n) for n, v in figures.items()])
+    return events.accumulated_log(rows)
+
+
 @register("j21_o7_lagging_reports", "WITH l AS (SELECT p_partkey % 200 AS event, max(p_size)::INT AS live FROM part GROUP BY 1) SELECT c_custkey AS event, (c_custkey % 60)::INT AS version, live AS live_version, live - (c_custkey % 60)::INT AS gap FROM customer JOIN l ON c_custkey = event WHERE live > c_custkey % 60")
 def j21_o7_lagging_reports(s, d):
     live = table(s, d, "part").groupBy((F.col("p_partkey") % 200).alias("event")).agg(F.max("p_size").alias("live_version"))
@@ -162,7 +193,7 @@ def a26_w2_cadence(s, d):
 
 @register("w6_islands", "SELECT event_id, sum(CASE WHEN h AND NOT coalesce(p, false) THEN 1 ELSE 0 END) OVER (ORDER BY event_id)::BIGINT AS run FROM (SELECT event_id, event_type = 'view' AS h, lag(event_type = 'view') OVER (ORDER BY event_id) AS p FROM events)")
 def w6_islands(s, d):
-    return events.islands(table(s, d, "events"), [F.col("event_id")], F.col("event_type") == "view").select("event_id", "run")
+    return events.islands(table(s, d, "events"), [F.col("event_id")], F.col("event_type") == "view", shared_cut(s)).select("event_id", "run")
 
 
 @register("w3_numbered_posts", "SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) || '/' || count(*) OVER (PARTITION BY conv_id) AS label FROM conversations")
