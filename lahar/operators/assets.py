@@ -220,3 +220,28 @@ def tiles(west: int, south: int, east: int, north: int, side: int, spark) -> Dat
     low = lambda v: v // side * side
     xs = spark.range(1).select(F.explode(F.sequence(F.lit(low(west)), F.lit(low(east)), F.lit(side))).alias("lon"))
     return xs.select("lon", F.explode(F.sequence(F.lit(low(south)), F.lit(low(north)), F.lit(side))).alias("lat"))
+
+
+def bilinear(points: DataFrame, lattice: DataFrame, step: float = 1.0, value: str = "v") -> DataFrame:
+    """(id, value): the lattice's values at points, weighed by nearness to the four lattice points around.
+
+    lattice: lon, lat, value, on multiples of step. NaN where one of the four with weight is missing or null: outside, or
+    in a hole. Points meet lattice points by whole steps, an equi-join; points without coordinates give NaN.
+    """
+    low = lambda c: F.floor(F.col(c) / step).cast("long")
+    corner = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]))
+    rows = points.select("id", "lon", "lat", corner.alias("c")).withColumns({"_x": low("lon") + F.col("c.i"), "_y": low("lat") + F.col("c.j")})
+    weight = (1 - F.abs(F.col("lon") / step - F.col("_x"))) * (1 - F.abs(F.col("lat") / step - F.col("_y")))
+    known = lattice.select(F.round(F.col("lon") / step).cast("long").alias("_x"), F.round(F.col("lat") / step).cast("long").alias("_y"), F.col(value).alias("_v"))
+    met = rows.withColumn("_w", weight).join(known, ["_x", "_y"], "left")
+    lost = F.max(F.col("_w").isNull() | ((F.col("_w") > 0) & F.col("_v").isNull()))
+    return met.groupBy("id").agg(F.when(lost, F.lit(float("nan"))).otherwise(F.sum(F.when(F.col("_w") > 0, F.col("_w") * F.col("_v")))).alias(value))
+
+
+def rescued_population(rescued: DataFrame, people: DataFrame, shape: str = "shape") -> DataFrame:
+    """(shape, cells, people): what each municipality gains by rescued cells (id, shape), with the people (id, people) there.
+
+    Sums are decimal, so no order of adding changes a figure; a cell without a count gains a cell and nobody.
+    """
+    both = rescued.join(people, "id", "left")
+    return both.groupBy(shape).agg(F.count("*").alias("cells"), F.coalesce(F.sum(F.col("people").cast("decimal(28,6)")), F.lit(0)).cast("double").alias("people"))

@@ -66,6 +66,11 @@ def preferred_products(versions: DataFrame) -> DataFrame:
     return last.select("event", "p.*")
 
 
+def preferred_revisions(states: DataFrame, versions: DataFrame, now: Column, days: int = REVIEW_DAYS) -> DataFrame:
+    """late_revisions() against the preferred product of each event: deleted versions and weaker contributors don't count."""
+    return late_revisions(states, preferred_products(versions).select("event", "contributor", "version"), now, days)
+
+
 def version_changed(old_by: Column, old: Column, new_by: Column, new: Column) -> Column:
     """A change of contributor, else a higher number; number zero is no product."""
     return (new > 0) & ((F.coalesce(old_by, F.lit("")) != F.coalesce(new_by, F.lit(""))) | (new > F.coalesce(old, F.lit(0))))

@@ -142,6 +142,17 @@ def r4_change_log(s, d):
     return events.change_log(solution(zero, zero, zero, zero), solution((k % 2) * 0.1, (k % 3) * 0.3, F.when(k % 4 == 0, 0.02).otherwise(0.0), (k % 5) * 1000))
 
 
+@register("t8_preferred_revisions", BEST + """, states AS (SELECT n_nationkey::BIGINT AS event, CASE WHEN n_nationkey % 7 <> 0 THEN TIMESTAMP '2024-06-01 00:00:00' - n_nationkey * INTERVAL 5 DAY END AS origin, 'Brand#' || (n_nationkey % 5 + 1) || '1' AS contributor, (n_nationkey % 12)::INT AS version FROM nation)
+SELECT event, s.contributor || ' ' || s.version AS before, best.contributor || ' ' || best.version AS after FROM states s JOIN best USING (event)
+WHERE origin >= TIMESTAMP '2024-06-01 00:00:00' - INTERVAL 90 DAY AND best.version > 0 AND (best.contributor <> s.contributor OR best.version > s.version)""")
+def t8_preferred_revisions(s, d):
+    k = F.col("n_nationkey")
+    at = F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
+    origin = F.when(k % 7 != 0, at - F.make_interval(days=(k * 5).cast("int")))
+    states = table(s, d, "nation").select(k.cast("long").alias("event"), origin.alias("origin"), F.concat(F.lit("Brand#"), (k % 5 + 1).cast("string"), F.lit("1")).alias("contributor"), (k % 12).cast("int").alias("version"))
+    return events.preferred_revisions(states, a.products(s, d), at)
+
+
 #: A fold by recursion: each solution is joined to the one before it, and a change of contributor starts the log anew.
 _FOLD = """WITH RECURSIVE s AS (SELECT o_custkey AS event, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS seq,
     CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 8 < 6 THEN 'us' ELSE 'atlas' END AS contributor, (o_orderkey % 3)::INT AS version,
