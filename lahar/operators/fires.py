@@ -26,7 +26,8 @@ def first_of_each(rows: DataFrame, key: list[Column], order: list[Column]) -> Da
     return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def _by_cell(rows: DataFrame) -> DataFrame:
+def all_cells(rows: DataFrame) -> DataFrame:
+    """Every cell with a detection, those of low confidence alone too."""
     low = F.col("confidence") == "low"
     return rows.groupBy("cell").agg(
         F.count_if(~low).alias("detecciones"),
@@ -41,12 +42,12 @@ def _by_cell(rows: DataFrame) -> DataFrame:
 
 def fire_cells(rows: DataFrame) -> DataFrame:
     """Cells with at least one detection that isn't of low confidence."""
-    return _by_cell(rows).where("detecciones >= 1")
+    return all_cells(rows).where("detecciones >= 1")
 
 
 def only_low(rows: DataFrame) -> DataFrame:
     """What fire_cells leaves out, counted."""
-    return _by_cell(rows).where("detecciones = 0").agg(F.count("*").alias("celdas"), F.coalesce(F.sum("detecciones_baja"), F.lit(0)).alias("detecciones"))
+    return all_cells(rows).where("detecciones = 0").agg(F.count("*").alias("celdas"), F.coalesce(F.sum("detecciones_baja"), F.lit(0)).alias("detecciones"))
 
 
 def with_exposure(fires: DataFrame, cells: DataFrame) -> DataFrame:
@@ -55,23 +56,27 @@ def with_exposure(fires: DataFrame, cells: DataFrame) -> DataFrame:
     return fires.join(cells, "cell", "left").withColumns({"country": F.coalesce("country", F.lit(""))} | {c: F.coalesce(c, F.lit(0).cast(cells.schema[c].dataType)) for c in numbers})
 
 
-def totals(fires: DataFrame, discarded: DataFrame | None = None, cap: int | None = None) -> DataFrame:
+def totals(fires: DataFrame, discarded: DataFrame | None = None, cap: int | None = None, kept: Column | None = None) -> DataFrame:
     """Sums over all cells. Columns that a table lacks (health_count, edu_count) count as zero.
 
-    With discarded, as only_low() gives it, and the cap of the published list, also what both leave out.
+    With discarded, as only_low() gives it, and the cap of the published list, also what both leave out. With kept, a
+    condition on cells, sums are over kept ones and the others are what is discarded, all in one pass.
     """
-    whole = lambda c: (F.coalesce(F.sum(c), F.lit(0)) if c in fires.columns else F.lit(0).cast("long"))
-    exact = lambda c: F.coalesce(F.sum(F.col(c).cast("decimal(28,6)")), F.lit(0)).cast("double")
+    own = lambda c: F.col(c) if kept is None else F.when(kept, F.col(c))
+    whole = lambda c: (F.coalesce(F.sum(own(c)), F.lit(0)) if c in fires.columns else F.lit(0).cast("long"))
+    exact = lambda c: F.coalesce(F.sum(own(c).cast("decimal(28,6)")), F.lit(0)).cast("double")
+    left_out = [] if kept is None else [F.count_if(~kept).alias("celdas_solo_baja"), F.coalesce(F.sum(F.when(~kept, F.col("detecciones_baja"))), F.lit(0)).alias("detecciones_baja_sin_celda")]
     sums = fires.agg(
-        F.count("*").alias("celdas"),
+        (F.count("*") if kept is None else F.count_if(kept)).alias("celdas"),
         whole("detecciones").alias("detecciones"),
         whole("detecciones_baja").alias("detecciones_baja"),
-        F.count_if(F.col("pop_total") > 0).alias("pobladas"),
+        F.count_if((F.col("pop_total") > 0) & (F.lit(True) if kept is None else kept)).alias("pobladas"),
         exact("pop_total").alias("personas"),
         whole("health_count").alias("salud"),
         whole("edu_count").alias("edu"),
         whole("bld_count").alias("edificios"),
         exact("frp_suma").alias("potencia"),
+        *left_out,
     )
     if discarded is not None:
         left = discarded.select(F.col("celdas").alias("celdas_solo_baja"), F.col("detecciones").alias("detecciones_baja_sin_celda"))

@@ -81,7 +81,8 @@ TOTALS = """SELECT count(*) AS celdas, coalesce(sum(detecciones), 0)::BIGINT AS
 
 @register("a21_fire_totals", BASE + TOTALS.format(more=", least(count(*), 50) AS celdas_publicadas, (SELECT count(*) FROM agg WHERE detecciones = 0) AS celdas_solo_baja, (SELECT coalesce(sum(detecciones_baja), 0) FROM agg WHERE detecciones = 0)::BIGINT AS detecciones_baja_sin_celda"))
 def a21_fire_totals(s, d):
-    return fires.totals(_fires(s, d), fires.only_low(_seen(s, d)), 50)
+    every = fires.with_exposure(fires.all_cells(_seen(s, d)), _country(s, d))
+    return fires.totals(every, cap=50, kept=F.col("detecciones") >= 1)
 
 
 @register("f12_f18_f19_a36_filtered_totals", BASE + TOTALS.format(more="") + """ WHERE ultima_utc >= (SELECT max(ultima_utc) FROM fires) - INTERVAL 12 HOUR
