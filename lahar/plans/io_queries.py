@@ -11,7 +11,7 @@ from lahar.plans import adapter as a
 from lahar.plans.impact_queries import ADM2_SQL, HIT_SQL, hit
 from lahar.plans.shared import shared_folder
 from lahar.session import table
-from lahar.sources import partial, readers, writers
+from lahar.sources import catalog, partial, readers, writers
 from lahar.streaming import observed, state
 
 Q, SQL = {}, {}
@@ -271,3 +271,20 @@ def s10_partial_files(s, d):
     paths.append(f"{place}/nowhere.txt.gz")
     told = partial.outcome(s, partial.lines_of(s, paths), paths)
     return told.groupBy("status").agg(F.count("*").alias("files"), F.sum("lines").alias("lines"))
+
+
+_SPOT = f"SELECT c_custkey AS id, {a.lon_sql('c_custkey')} AS x, {a.lat_sql('c_custkey')} AS y, c_custkey % 5 AS w FROM customer"
+
+
+@register("s2_s3_catalog_scan", f"SELECT id FROM ({_SPOT}) WHERE x <= -60 AND x + w >= -80 AND y <= 10 AND y + w >= -20")
+def s2_s3_catalog_scan(s, d):
+    """Boxes in files by strips of ten degrees, of which the catalogue names the extents: the union first, then one for each half."""
+    x, y, w = F.col("lon"), F.col("lat"), F.col("id") % 5
+    rows = a.customer_points(s, d).select("id", F.struct(x.alias("xmin"), y.alias("ymin"), (x + w).alias("xmax"), (y + w).alias("ymax")).alias("bbox"), F.floor(x / 10).alias("strip"), (y > 0).alias("half"))
+    place = folder(s, "catalog")
+    rows.repartition("strip").write.partitionBy("strip").parquet(place)
+    box = lambda: F.array(F.min("bbox.xmin"), F.min("bbox.ymin"), F.max("bbox.xmax"), F.max("bbox.ymax"))
+    whole = rows.groupBy("strip").agg(box().alias("union"))
+    parts = rows.groupBy("strip", "half").agg(box().alias("part")).groupBy("strip").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    listed = whole.join(parts, "strip").select(F.concat(F.lit(f"{place}/strip="), F.col("strip").cast("string")).alias("file"), F.concat(F.array("union"), "parts").alias("extents"))
+    return catalog.scan(s, listed, (-80.0, -20.0, -60.0, 10.0), "id long, bbox struct<xmin: double, ymin: double, xmax: double, ymax: double>").select("id")
