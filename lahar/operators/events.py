@@ -185,6 +185,18 @@ def latency(minutes: DataFrame, by: list[str]) -> DataFrame:
     return minutes.groupBy(*by).agg(F.count("minutes").alias("n"), p(0.5).alias("p50"), p(0.95).alias("p95"), F.round(F.max("minutes"), 1).alias("worst"))
 
 
+def latency_by_clock(reports: DataFrame) -> DataFrame:
+    """(clock, n, p50, p95, worst): minutes to publication since the event's origin, and since its detection.
+
+    reports: origin, detected, published, backtest. Back-tests are left out, as their events were over long before; so
+    is, of each clock, a report that lacks the clock's start or its publication, or was published before it.
+    """
+    live = reports.where(~F.coalesce("backtest", F.lit(False)))
+    since = lambda c: F.struct(F.lit(c).alias("clock"), ((_micros(F.col("published")) - _micros(F.col(c))) / 60e6).alias("minutes"))
+    rows = live.select(F.explode(F.array(since("origin"), since("detected"))).alias("c")).select("c.*").where("minutes >= 0")
+    return latency(rows, ["clock"])
+
+
 def cadence(beats: DataFrame, longest_h: float = 24.0) -> DataFrame:
     """Minutes between heartbeats divided by the polls each stands for; gaps of zero or over a day are left out."""
     w = Window.partitionBy("source").orderBy("ts", "id")

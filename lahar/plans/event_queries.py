@@ -195,6 +195,16 @@ def j22_a24_a25_latency(s, d):
     return events.latency(table(s, d, "events").join(reports, "user_id", "left_semi").withColumnRenamed("value", "minutes"), ["event_type"])
 
 
+@register("a25_latency_by_clock", """WITH r AS (SELECT ts AS origin, CASE WHEN event_id % 7 <> 0 THEN ts + (event_id % 90) * INTERVAL 7 SECOND END AS detected, ts + (event_id % 83 - 2) * INTERVAL 11 SECOND AS published, event_id % 13 = 0 AS backtest FROM events),
+m AS (SELECT 'origin' AS clock, date_diff('microsecond', origin, published) / 60e6 AS minutes FROM r WHERE NOT backtest UNION ALL SELECT 'detected', date_diff('microsecond', detected, published) / 60e6 FROM r WHERE NOT backtest)
+SELECT clock, count(*) AS n, round(quantile_cont(minutes, 0.5), 1) AS p50, round(quantile_cont(minutes, 0.95), 1) AS p95, round(max(minutes), 1) AS worst FROM m WHERE minutes >= 0 GROUP BY clock""")
+def a25_latency_by_clock(s, d):
+    k, ts = F.col("event_id"), F.col("ts")
+    after = lambda n: ts + F.make_interval(secs=n.cast("decimal(18,6)"))
+    detected, published = F.when(k % 7 != 0, after(k % 90 * 7)), after((k % 83 - 2) * 11)
+    return events.latency_by_clock(table(s, d, "events").select(ts.alias("origin"), detected.alias("detected"), published.alias("published"), (k % 13 == 0).alias("backtest")))
+
+
 @register("a26_w2_cadence", """WITH g AS (SELECT user_id AS source, date_diff('microsecond', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), ts) / 60e6 AS gap, greatest(event_id % 4, 1) AS polls FROM events),
 e AS (SELECT source, gap / polls AS each FROM g WHERE gap > 0 AND gap <= 1440)
 SELECT source, count(*) AS n, round(quantile_cont(each, 0.5), 1) AS p50, round(quantile_cont(each, 0.9), 1) AS p90, round(max(each), 1) AS worst FROM e GROUP BY 1""")
