@@ -106,6 +106,15 @@ def signed_areas(edges: DataFrame, shape: str = "shape") -> DataFrame:
     return sums.select(shape, F.round(F.abs(F.col("s")) / 2, 6).alias("area"), F.round(F.col("sx") / (safe * 3), 6).alias("lon"), F.round(F.col("sy") / (safe * 3), 6).alias("lat"))
 
 
+def outline_km(edges: DataFrame, shape: str = "shape", flipped: bool = False) -> DataFrame:
+    """(shape, km): length of each shape's edges on the ellipsoid; flipped says that x is the latitude.
+
+    Edges should be short (a few degrees): each is measured by the radii of curvature at its middle.
+    """
+    part = geo.ellipsoid_km(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], flipped=flipped)
+    return edges.groupBy(shape).agg(F.round(F.sum(part), 6).alias("km"))
+
+
 def within_shape(edges: DataFrame, shape: str = "shape") -> DataFrame:
     """Pairs of a shape and another whose every vertex it holds (containment of simple shapes)."""
     corners = edges.select(F.struct(F.col(shape).alias("inner"), F.col("x1").alias("x"), F.col("y1").alias("y")).alias("id"), F.col("x1").alias("lon"), F.col("y1").alias("lat")).distinct()

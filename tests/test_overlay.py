@@ -97,3 +97,14 @@ def test_simplify(spark):
     df = spark.createDataFrame([(i, [(float(x), float(y)) for x, y in p]) for i, p in enumerate(lines)] + [(99, []), (98, None)], "shape long, ring array<struct<x: double, y: double>>")
     got = {r.shape: [tuple(p) for p in r.ring] for r in overlay.simplified(df, 2.0, shared_cut(spark)).collect()}
     assert got == {i: plain(p, 2.0) for i, p in enumerate(lines)}
+
+
+def test_lengths_on_the_ellipsoid(spark):
+    """A degree of the equator, and of meridians at the equator, at 45 degrees and at the pole, in both axis orders."""
+    rows = [(1, 0.0, 0.0, 1.0, 0.0, 111.31949), (2, 0.0, -0.5, 0.0, 0.5, 110.57428), (3, 9.0, 44.5, 9.0, 45.5, 111.13178), (4, 0.0, 89.0, 0.0, 90.0, 111.69387)]
+    df = spark.createDataFrame([r[:5] for r in rows], "shape long, x1 double, y1 double, x2 double, y2 double")
+    want = {r[0]: r[5] for r in rows}
+    turned = df.select("shape", F.col("y1").alias("x1"), F.col("x1").alias("y1"), F.col("y2").alias("x2"), F.col("x2").alias("y2"))
+    for got in (polygons.outline_km(df), polygons.outline_km(turned, flipped=True)):
+        for r in got.collect():
+            assert r.km == pytest.approx(want[r.shape], abs=2e-3)
