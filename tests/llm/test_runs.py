@@ -80,9 +80,16 @@ def test_query_against_brute_force(spark):
 
 
 def test_nulls_repeats_long_texts_and_other_columns(spark):
-    rows = [(None, "a b " * 20), (1, None), (2, ""), (3, "x " * 6), (3, "x " * 6), (3, "x " * 5), (4, "w1 w2 w3 w4 " * 30000 + "end"), (5, " \t\n "), (10, "one two"), (6, "  ".join("abc" * 9))]
+    rows = [(None, "a b " * 20), (1, None), (2, ""), (3, "x " * 6), (3, "x " * 6), (3, "x " * 5), (4, "w1 w2 w3 w4 " * 400 + "end"), (5, " \t\n "), (10, "one two"), (6, "  ".join("abc" * 9))]
     df = spark.createDataFrame([(i, t, "n", 1) for i, t in rows], "doc_id long, text string, runs string, id int")
     got = runs.digest(runs.word_runs(runs.looped(df))).collect()
     key = lambda r: tuple((x is None, x or 0) for x in r[:6]) + tuple(r[6:])
     assert sorted((tuple(r) for r in got), key=key) == sorted((digest(i, t) for i, t in rows), key=key)
     assert runs.digest(runs.word_runs(runs.looped(df.limit(0)))).collect() == []
+
+
+def test_one_long_text(spark):
+    """Trying every period by hand would take hours here; the answer is known."""
+    df = spark.createDataFrame([(7, "start " + "w1 w2 w3 w4 " * 50_000 + "end")], "doc_id long, text string")
+    r = runs.word_runs(df).head()
+    assert r.n_words == 200_002 and [tuple(x) for x in r.runs] == [(1, 200_000, 4)] and r.kept == "start w1 w2 w3 w4 end"
