@@ -6,10 +6,10 @@ tokens and those with a digit are fields, so the line's template is its constant
 recurring if min_docs documents hold it and at least `share` of its tokens are constants. Lines of a recurring
 template go from every document but the one of smallest id (so what copies share survives once).
 
-On large input most values of a field occur in min_docs documents. With leaf_shares, a line has another template
-for each share, in which a token is constant only if that share of the leaf's documents have it there too; the line
+On large input most values of a field occur in min_docs documents. So a line has another template for each of
+leaf_shares, in which a token is constant only if that share of the leaf's documents have it there too; the line
 goes by any of its templates, so what the first finds stays found, and fields are fields at any size of the corpus.
-Low shares serve leaves with several kinds of lines, high ones fields of few values.
+Low shares serve leaves with several kinds of lines, high ones fields of few values. op2_template_lines takes SHARES.
 
 Lines without a word and lines of fewer than min_tokens always stay. Null and empty texts are one empty line.
 Each row is a document; rows that share the smallest id all keep their lines; null ids come after all others.

@@ -39,18 +39,20 @@ toks AS (
          list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: regexp_matches(x, '[0-9]')) AS d
   FROM lines),
 leafy AS (SELECT *, len(m) || ' ' || array_to_string(m[1:3], ' ') AS leaf FROM toks WHERE len(m) >= 3),
-hot AS (SELECT leaf FROM leafy GROUP BY leaf HAVING count(DISTINCT rid) >= 3),
+hot AS (SELECT leaf, count(DISTINCT rid) AS docs FROM leafy GROUP BY leaf HAVING count(DISTINCT rid) >= 3),
+level AS (SELECT leaf, unnest([3.0::DOUBLE, 0.1::DOUBLE * docs, 0.3::DOUBLE * docs, 0.5::DOUBLE * docs]) AS least, unnest(range(4)) AS share FROM hot),
 tok AS (
   SELECT rid, ord, pos, leaf, unnest(m) AS x, unnest(d) AS digit, generate_subscripts(m, 1) AS j
   FROM leafy SEMI JOIN hot USING (leaf)),
-const AS (SELECT leaf, j, x FROM tok WHERE NOT digit GROUP BY leaf, j, x HAVING count(DISTINCT rid) >= 3),
+const AS (SELECT leaf, j, x, count(DISTINCT rid) AS docs FROM tok WHERE NOT digit GROUP BY leaf, j, x HAVING count(DISTINCT rid) >= 3),
+marked AS (
+  SELECT t.rid, t.ord, t.pos, t.leaf, t.j, t.x, v.share, c.docs >= v.least AND NOT t.digit AS fix
+  FROM tok t JOIN level v ON t.leaf = v.leaf LEFT JOIN const c ON t.leaf = c.leaf AND t.j = c.j AND t.x = c.x),
 tmpl AS (
-  SELECT t.rid, t.ord, t.pos, t.leaf, string_agg(CASE WHEN c.x IS NOT NULL AND NOT t.digit THEN t.x ELSE '<*>' END, ' ' ORDER BY t.j) AS template,
-         count(*) FILTER (c.x IS NOT NULL AND NOT t.digit) AS fixed, count(*) AS n
-  FROM tok t LEFT JOIN const c ON t.leaf = c.leaf AND t.j = c.j AND t.x = c.x
-  GROUP BY t.rid, t.ord, t.pos, t.leaf),
+  SELECT rid, ord, pos, leaf, string_agg(CASE WHEN fix THEN x ELSE '<*>' END, ' ' ORDER BY j) AS template, count(*) FILTER (fix) AS fixed, count(*) AS n
+  FROM marked GROUP BY rid, ord, pos, leaf, share),
 rec AS (SELECT leaf, template, min(ord) AS least FROM tmpl WHERE fixed >= 0.6 * n GROUP BY leaf, template HAVING count(DISTINCT rid) >= 3),
-gone AS (SELECT t.rid, t.pos FROM tmpl t JOIN rec r ON t.leaf = r.leaf AND t.template = r.template WHERE t.fixed >= 0.6 * t.n AND t.ord > r.least)
+gone AS (SELECT DISTINCT t.rid, t.pos FROM tmpl t JOIN rec r ON t.leaf = r.leaf AND t.template = r.template WHERE t.fixed >= 0.6 * t.n AND t.ord > r.least)
 SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(g.rid)::BIGINT AS n_removed,
        sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (g.rid IS NULL), '')) AS kept_sha256
 FROM lines l LEFT JOIN gone g ON l.rid = g.rid AND l.pos = g.pos

@@ -1,9 +1,13 @@
+import random
 from collections import defaultdict
 
+import duckdb
+
 from lahar.llm import lines
+from lahar.llm.sql import LINES_SQL
 
 
-def brute(rows, min_docs=3, share=0.6, min_tokens=3):
+def brute(rows, min_docs=3, share=0.6, min_tokens=3, leaf_shares=()):
     split = [[(x, x.split()) for x in (t or "").split("\n")] for _, t in rows]
     digit = lambda w: any(c in "0123456789" for c in w)
     leaf = lambda w: (len(w), tuple("<*>" if digit(x) else x for x in w[:3]))
@@ -20,20 +24,25 @@ def brute(rows, min_docs=3, share=0.6, min_tokens=3):
                     if not digit(x):
                         tokens[leaf(w), j, x].add(r)
 
-    def template(w):
+    def templates(w):
         if len(w) < min_tokens or leaf(w) not in hot:
-            return None
-        marks = [x if not digit(x) and len(tokens[leaf(w), j, x]) >= min_docs else "<*>" for j, x in enumerate(w)]
-        return (leaf(w), tuple(marks)) if sum(m != "<*>" for m in marks) >= share * len(w) else None
+            return set()
+        out = set()
+        for least in [min_docs, *(max(min_docs, x * len(leaves[leaf(w)])) for x in leaf_shares)]:
+            marks = [x if not digit(x) and len(tokens[leaf(w), j, x]) >= least else "<*>" for j, x in enumerate(w)]
+            if sum(m != "<*>" for m in marks) >= share * len(w):
+                out.add((leaf(w), tuple(marks)))
+        return out
 
     order = lambda r: float("inf") if rows[r][0] is None else rows[r][0]
     for r, ls in enumerate(split):
         for _, w in ls:
-            if t := template(w):
+            for t in templates(w):
                 found[t].add(r)
+    gone = lambda r, w: any(len(found[t]) >= min_docs and order(r) > min(map(order, found[t])) for t in templates(w))
     out = []
     for r, ls in enumerate(split):
-        stay = [x for x, w in ls if not ((t := template(w)) and len(found[t]) >= min_docs and order(r) > min(map(order, found[t])))]
+        stay = [x for x, w in ls if not gone(r, w)]
         out.append((rows[r][0], len(ls), len(ls) - len(stay), "\n".join(stay)))
     return sorted(out, key=str)
 
@@ -49,3 +58,18 @@ def test_matches_brute_force_and_generalises(spark):
     assert lines.dedup_lines(df.limit(0)).collect() == []
     carried = lines.dedup_lines(spark.createDataFrame([(1, "a b c", "en"), (1, "a b c", None)], "doc_id long, text string, lang string"), carry=("lang",))
     assert sorted(str(r.lang) for r in carried.collect()) == ["None", "en"]
+
+
+def test_leaf_shares_match_brute_force_and_sql(spark):
+    """Leaves of several kinds, fields of few and of many values, null, shared and unordered ids."""
+    rng = random.Random(5)
+    pick = lambda pool: "".join(chr(97 + int(c)) for c in str(rng.randrange(pool)))
+    line = lambda: rng.choice([lambda: f"sent by mail to {pick(40)} on {pick(4)}", lambda: f"sent by mail from {pick(3)} at {rng.randrange(9)}", lambda: f"seen {pick(300)} and {pick(2)} there today", lambda: " ".join(pick(50) for _ in range(6)), lambda: ""])()
+    rows = [(rng.choice([i, i, i, 7, None]), "\n".join(line() for _ in range(rng.randrange(1, 7)))) for i in range(150)] + [(500, None), (501, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = lines.dedup_lines(df, leaf_shares=lines.SHARES)
+    got = sorted(((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in found.collect()), key=str)
+    assert got == brute(rows, leaf_shares=lines.SHARES) and got != brute(rows)
+    duck = duckdb.connect()
+    duck.register("documents", df.toPandas().astype({"doc_id": "Int64"}))
+    assert sorted(map(str, duck.execute(LINES_SQL).fetchall())) == sorted(str(tuple(r)) for r in lines.digest(found).collect())

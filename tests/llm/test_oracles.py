@@ -64,7 +64,7 @@ def test_media_columns(spark):
         assert r.payload_sha256 == hashlib.sha256(padded).hexdigest() and r.tail_crc32 == zlib.crc32(padded[-16:])
 
 
-@pytest.mark.parametrize(("name", "table"), [("op2_lines_by_leaf_share", "documents"), ("op5_toxicity", "documents"), ("op6_byte_bpe", "documents"), ("op7_language_id", "pages")])
+@pytest.mark.parametrize(("name", "table"), [("op5_toxicity", "documents"), ("op6_byte_bpe", "documents"), ("op7_language_id", "pages")])
 def test_query_keeps_every_row(spark, name, table):
     key = "page_id" if table == "pages" else "doc_id"
     want = sorted(r[0] for r in spark.read.parquet(f"{DIR}/{table}.parquet").select(key).collect())
