@@ -41,6 +41,22 @@ def sampled(points: DataFrame, raster: DataFrame, west: float, north: float, dx:
     return both.withColumn(value, F.when(geo.is_finite(F.col(value)), F.col(value)).otherwise(0.0)).drop("px", "py")
 
 
+#: Reference systems whose coordinates are degrees.
+GEOGRAPHIC = ("EPSG:4326", "EPSG:4269", "OGC:CRS84")
+
+
+def sampled_layers(points: DataFrame, layers: dict[str, DataFrame | None], west: float, north: float, dx: float, dy: float, crs: str = "EPSG:4326") -> DataFrame:
+    """sampled() of several rasters (px, py, value) of one grid, a column each; an absent raster is a column of zeros.
+
+    A grid that isn't in degrees is an error, as points would meet pixels elsewhere.
+    """
+    if crs not in GEOGRAPHIC:
+        raise ValueError(f"raster in {crs}: only geographic coordinates are sampled")
+    for name, raster in layers.items():
+        points = points.withColumn(name, F.lit(0.0)) if raster is None else sampled(points, raster.select("px", "py", F.col("value").alias(name)), west, north, dx, dy, name)
+    return points
+
+
 def dedupe_points(first: DataFrame, later: DataFrame, metres: float) -> DataFrame:
     """later's points that have no point of first strictly within a square window; none within a source is dropped.
 

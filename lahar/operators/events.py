@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lahar.functions import geo, text
 from lahar.operators import graph
+from lahar.operators.ranking import placed
 
 #: Magnitude that triggers, re-dispatch floor in minutes, retry window in hours, review in days.
 TRIGGER_MAGNITUDE, REDISPATCH_MIN, RETRY_H, REVIEW_DAYS = 5.5, 15, 6, 90
@@ -278,3 +279,77 @@ def licence_lint(sources: DataFrame, spark) -> DataFrame:
 
 def damage_gate(precision: Column, recall: Column, least: float = 0.75) -> Column:
     return F.when((precision >= least) & (recall >= least), "publish").otherwise("hold")
+
+
+def publication_bucket(precision: Column, recall: Column, lineage: Column, least: float = 0.75) -> Column:
+    """Where a damage map goes that passes the gate: by the lineage of its model's weights, nc/ or core/; else null."""
+    return F.when(damage_gate(precision, recall, least) == "publish", F.when(lineage == "nc", "nc/").otherwise("core/"))
+
+
+PRODUCTS = ("shake", "ground")
+
+
+def report_lag(reports: DataFrame, live: DataFrame, manifests: DataFrame) -> DataFrame:
+    """(event, outcome, behind, shake_gap, ground_gap) of every published report.
+
+    reports: event, country, manifest, and for each product its contributor (shake_by) and number (shake); live: event
+    and the same of the products served now; manifests: country, current. What can't be asked, an event that live
+    doesn't have or a manifest's country without a current one, is 'unknown', never up to date. A report that names no
+    manifest isn't behind one. A product that is served no more makes a report 'gone', which no new run mends;
+    otherwise it is 'behind' or 'current'. behind lists what moved.
+    """
+    names = [c for p in PRODUCTS for c in (p, f"{p}_by")]
+    served = live.select("event", F.lit(True).alias("_asked"), *[F.col(c).alias(f"live_{c}") for c in names])
+    both = reports.join(served, "event", "left").join(manifests.select("country", "current"), "country", "left")
+    old, new = lambda p: F.coalesce(F.col(p), F.lit(0)), lambda p: F.coalesce(F.col(f"live_{p}"), F.lit(0))
+    named = F.coalesce("manifest", F.lit("")) != ""
+    moved = {p: version_changed(F.col(f"{p}_by"), old(p), F.col(f"live_{p}_by"), new(p)) for p in PRODUCTS}
+    moved["manifest"] = named & (F.col("manifest") != F.col("current"))
+    gone = (old("shake") > 0) & (new("shake") == 0) | (old("ground") > 0) & (new("ground") == 0)
+    unknown = F.col("_asked").isNull() | named & F.col("current").isNull()
+    behind = F.when(~unknown, F.array_compact(F.array(*[F.when(m, n) for n, m in moved.items()])))
+    outcome = F.when(unknown, "unknown").when(gone, "gone").when(F.size(behind) > 0, "behind").otherwise("current")
+    return both.select("event", outcome.alias("outcome"), F.array_join(behind, ",").alias("behind"), *[F.when(~unknown, new(p) - old(p)).alias(f"{p}_gap") for p in PRODUCTS])
+
+
+def review_queue(states: DataFrame, now: Column, days: int = REVIEW_DAYS) -> DataFrame:
+    """Events to look at again, newest origin first: not discarded, dated, and at most that many days old."""
+    dated = states.where((F.col("state") != "descartado") & F.col("origin").isNotNull())
+    return dated.where(F.col("origin") >= now - F.make_interval(days=F.lit(days))).orderBy(F.desc("origin"), "event")
+
+
+#: How a list of events can be sorted; without a figure an event counts as zero, without a date it comes last.
+ORDERS = {
+    "date": lambda: F.desc_nulls_last("origin"),
+    "magnitude": lambda: F.desc(F.coalesce("mag", F.lit(0.0))),
+    "people": lambda: F.desc(F.coalesce("people", F.lit(0.0))),
+}
+
+
+def listed(rows: DataFrame, mode: str, cut) -> DataFrame:
+    """Events with their place in the order chosen, ties by event."""
+    return placed(rows, [ORDERS[mode](), F.col("event")], "place", cut)
+
+
+def coverage(manifests: DataFrame) -> DataFrame:
+    """(country, built, measured, reference, deviation_pct): a country is built if people were measured.
+
+    The deviation is null where one of the figures is missing or zero: unmeasured is not zero.
+    """
+    m, r = F.coalesce("measured", F.lit(0)), F.coalesce("reference", F.lit(0))
+    off = F.when((m != 0) & (r != 0), F.round((m - r) * F.lit(100.0) / r, 2))
+    return manifests.select("country", (m > 0).alias("built"), m.alias("measured"), r.alias("reference"), off.alias("deviation_pct"))
+
+
+def coverage_summary(covered: DataFrame) -> DataFrame:
+    """Countries, those built, people in the grid, and the worst absolute deviation of a built country."""
+    built = lambda v: F.when(F.col("built"), v)
+    worst = F.max(built(F.abs("deviation_pct"))).alias("worst_pct")
+    return covered.agg(F.count("*").alias("countries"), F.count_if("built").alias("built"), F.coalesce(F.sum(built(F.col("measured"))), F.lit(0)).alias("people"), worst)
+
+
+def catalogue(reports: DataFrame, bands: tuple[str, ...]) -> DataFrame:
+    """Reports, live and back-tests, countries that are named, and of each band the reports without anybody in it."""
+    back = F.coalesce("backtest", F.lit(False))
+    none = [F.count_if(F.coalesce(b, F.lit(0)) == 0).alias(f"none_{b}") for b in bands]
+    return reports.agg(F.count("*").alias("reports"), F.count_if(~back).alias("live"), F.count_if(back).alias("backtests"), F.count_distinct(F.nullif("country", F.lit(""))).alias("countries"), *none)

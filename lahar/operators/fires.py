@@ -203,3 +203,18 @@ def viewer_filter(rows: DataFrame, country: str | None, hours: int | None, box:
         w, s, e, n = box
         out = out.where(F.col("lon").isNull() | F.col("lat").isNull() | (F.col("lon").between(w, e) & F.col("lat").between(s, n)))
     return out
+
+
+#: How a list of fires can be sorted, and how many are listed.
+ORDERS, LISTED = {"people": "people", "recent": "last", "area": "area", "energy": "energy"}, 60
+
+
+def listed(clusters: DataFrame, mode: str, most: int = LISTED) -> DataFrame:
+    """(place, of, cluster, ...): the first fires by the figure chosen, ties by cluster, and how many there are in all.
+
+    A missing figure comes last. Places are given to the rows listed only.
+    """
+    order = [F.desc_nulls_last(ORDERS[mode]), F.col("cluster")]
+    every = F.broadcast(clusters.agg(F.count("*").alias("of")))  # one row
+    top = clusters.orderBy(*order).limit(most)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*order))).crossJoin(every)

@@ -79,10 +79,15 @@ def published_band(pop6: Column, pop7: Column) -> Column:
     return F.when((pop7 > 0) & (pop7 >= pop6 * TITLE_SHARE), 7).otherwise(6)
 
 
+def ranked_figure(band: Column) -> Column:
+    """What a municipality is ranked by: at band 7 the people at seven and above, else those at six, or at seven if none."""
+    six, seven = F.coalesce("pop_total_6", F.lit(0.0)), F.coalesce("pop_total_7", F.lit(0.0))
+    return F.when((band == 7) | (six == 0), seven).otherwise(six)
+
+
 def ranking(adm2: DataFrame, lookup: DataFrame, band: Column, top: int | None = 15) -> DataFrame:
     """Named municipalities with a figure, by that of the published band, then intensity, then code."""
-    figure = F.when(band == 7, F.col("pop_total_7")).otherwise(F.col("pop_total_6"))
-    named = adm2.join(lookup, "adm2_id").withColumn("pop_band", figure).where("pop_band > 0")
+    named = adm2.join(lookup, "adm2_id").withColumn("pop_band", ranked_figure(band)).where("pop_band > 0")
     ordered = named.orderBy(F.desc("pop_band"), F.desc("mmi_max"), "adm2_id")
     return ordered if top is None else ordered.limit(top)
 

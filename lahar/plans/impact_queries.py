@@ -88,8 +88,7 @@ def r1_title_and_published_band(s, d):
 
 @register("r2_ranking_fallback", ADM2_SQL + "SELECT adm2_id, CASE WHEN pop_total_6 = 0 THEN pop_total_7 ELSE pop_total_6 END AS figure FROM adm2 WHERE CASE WHEN pop_total_6 = 0 THEN pop_total_7 ELSE pop_total_6 END > 0")
 def r2_ranking_fallback(s, d):
-    figure = F.when(F.col("pop_total_6") == 0, F.col("pop_total_7")).otherwise(F.col("pop_total_6"))
-    return impact.by_municipality(hit(s, d)).select("adm2_id", figure.alias("figure")).where("figure > 0")
+    return impact.by_municipality(hit(s, d)).select("adm2_id", impact.ranked_figure(F.lit(6)).alias("figure")).where("figure > 0")
 
 
 def _centres(df):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["impact_queries", "fire_queries", "asset_queries", "event_queries", "io_queries", "extra_queries", "shape_queries"]
+MODULES = ["impact_queries", "fire_queries", "asset_queries", "event_queries", "io_queries", "extra_queries", "shape_queries", "review_queries"]
 
 
 def _merged(name: str) -> dict:

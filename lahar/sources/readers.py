@@ -126,14 +126,34 @@ def contours(texts: DataFrame, col: str = "value") -> DataFrame:
     return lines.select("value", F.transform("line", lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring")).orderBy("value")
 
 
+def xml_points(texts: DataFrame, col: str = "value") -> DataFrame:
+    """(*others, lon, lat, mmi) of XML grids, a whole text each: fields name the columns, data is one point for each line.
+
+    A grid without specification, or whose rows aren't as many as it says or don't run from its north-west corner to its
+    south-east one, is an error when run: read the wrong way round it would give plausible values elsewhere.
+    """
+    others = [c for c in texts.columns if c != col]
+    spec = F.regexp_extract(col, r"<grid_specification([^>]*)>", 1)
+    said = lambda n: F.nullif(F.regexp_extract(spec, rf'\b{n}="([^"]+)"', 1), F.lit("")).cast("double")
+    names = F.transform(F.regexp_extract_all(col, F.lit(r'<grid_field[^>]*?name="([^"]+)"'), F.lit(1)), F.upper)
+    lines = F.filter(F.split(F.regexp_extract(col, r"(?s)<grid_data>(.*?)</grid_data>", 1), r"\s*\n\s*"), lambda x: F.trim(x) != "")
+    rows = texts.select(*others, spec.alias("spec"), *[said(n).alias(n) for n in ("lon_min", "lon_max", "lat_min", "lat_max", "nlon", "nlat")], names.alias("names"), lines.alias("lines"))
+    field = lambda line, n: F.element_at(F.split(F.trim(line), r"\s+"), F.array_position("names", F.lit(n)).cast("int")).cast("double")
+    at = lambda place, n, want: F.abs(field(F.element_at("lines", place), n) - F.col(want)) < 1e-6
+    corners = at(1, "LON", "lon_min") & at(1, "LAT", "lat_max") & at(-1, "LON", "lon_max") & at(-1, "LAT", "lat_min")
+    wrong = (
+        F.when(F.col("spec") == "", "no grid_specification")
+        .when(~F.coalesce(F.size("lines") == F.col("nlon") * F.col("nlat"), F.lit(False)), "not as many rows as grid_specification says")
+        .when(~F.coalesce(corners, F.lit(False)), "rows not in the order of grid_specification")
+    )
+    sound = rows.withColumn("lines", F.when(wrong.isNull(), F.col("lines")).otherwise(F.raise_error(F.concat(F.lit("XML grid: "), wrong))))
+    points = sound.select(*others, "names", F.explode("lines").alias("line"))
+    return points.select(*others, field(F.col("line"), "LON").alias("lon"), field(F.col("line"), "LAT").alias("lat"), field(F.col("line"), "MMI").alias("mmi"))
+
+
 def xml_grid(spark: SparkSession, path: str) -> DataFrame:
-    """(lon, lat, mmi) of an XML grid file: its fields name the columns, its data is one point for each line."""
-    whole = spark.read.text(path, wholetext=True)
-    names = F.transform(F.regexp_extract_all("value", F.lit(r'<grid_field[^>]*?name="([^"]+)"'), F.lit(1)), F.upper)
-    lines = F.filter(F.split(F.regexp_extract("value", r"(?s)<grid_data>(.*?)</grid_data>", 1), r"\s*\n\s*"), lambda x: F.trim(x) != "")
-    rows = whole.select(names.alias("names"), F.explode(lines).alias("line")).select("names", F.split(F.trim("line"), r"\s+").alias("v"))
-    pick = lambda n: F.element_at("v", F.array_position("names", F.lit(n)).cast("int")).cast("double")
-    return rows.select(pick("LON").alias("lon"), pick("LAT").alias("lat"), pick("MMI").alias("mmi"))
+    """(lon, lat, mmi) of XML grid files, see xml_points()."""
+    return xml_points(spark.read.text(path, wholetext=True))
 
 
 def hrefs(texts: DataFrame, col: str, suffix: str = ".tif") -> DataFrame:
@@ -196,8 +216,8 @@ def decode_grib2(data: bytes) -> Iterator[pd.DataFrame]:
         at = end
 
 
-def grib2(spark: SparkSession, path: str) -> DataFrame:
-    """All grid values of GRIB2 files, a file each at a time in a task."""
+def grib2_values(files: DataFrame) -> DataFrame:
+    """(file, category, number, lon, lat, value) of GRIB2 contents (path, content), a file each at a time in a task."""
 
     def run(batches):
         for batch in batches:
@@ -205,8 +225,12 @@ def grib2(spark: SparkSession, path: str) -> DataFrame:
                 for df in decode_grib2(bytes(content)):
                     yield df.assign(file=name)[["file", "category", "number", "lon", "lat", "value"]]
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(run, "file string, category int, number int, lon double, lat double, value double")
+    return files.select(F.col("path").cast("string").alias("path"), "content").mapInPandas(run, "file string, category int, number int, lon double, lat double, value double")
+
+
+def grib2(spark: SparkSession, path: str) -> DataFrame:
+    """All grid values of GRIB2 files."""
+    return grib2_values(spark.read.format("binaryFile").load(path))
 
 
 class _Window(InputPartition):

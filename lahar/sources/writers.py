@@ -85,3 +85,43 @@ def schema_finding(fields: dict[str, tuple[str, ...] | None], columns: list[str]
     found = [F.when(F.col(c).isNull(), F.lit(f"{c} missing")) for c in fields if c in columns] + [F.lit(f"{c} missing") for c in fields if c not in columns]
     found += [F.when(F.col(c).isNotNull() & ~F.col(c).isin(*values), F.lit(f"{c} outside its values")) for c, values in fields.items() if values and c in columns]
     return F.coalesce(*found)
+
+
+def xml_grid(rows: DataFrame, by: str, fields: tuple[str, ...] = ("lon", "lat", "mmi")) -> DataFrame:
+    """(by, value): the XML grid text of each group of points, from north to south and in a row from west to east."""
+    line = F.concat_ws(" ", *[F.col(c).cast("string") for c in fields])
+    points = F.array_sort(F.collect_list(F.struct((-F.col("lat")).alias("south"), "lon", line.alias("line"))))
+    ends = [F.format_string(f'{n}_{k}="%s"', f(n).cast("string")) for n in ("lon", "lat") for k, f in (("min", F.min), ("max", F.max))]
+    counts = [F.format_string(f'n{n}="%d"', F.count_distinct(n)) for n in ("lon", "lat")]
+    names = "".join(f'<grid_field index="{i}" name="{c.upper()}"/>' for i, c in enumerate(fields, 1))
+    data = F.array_join(F.transform(points, lambda p: p["line"]), "\n")
+    return rows.groupBy(by).agg(F.concat(F.lit("<grid><grid_specification "), F.concat_ws(" ", *ends, *counts), F.lit(f"/>{names}<grid_data>\n"), data, F.lit("\n</grid_data></grid>")).alias("value"))
+
+
+def _hex(value: Column | int, octets: int) -> Column:
+    """A number without sign in so many octets, as hexadecimal text."""
+    value = F.lit(value) if isinstance(value, int) else value
+    return F.lpad(F.hex(value.cast("long")), 2 * octets, "0")
+
+
+def grib2_message(packed: Column, ni: int, nj: int, north: int, west: int, step: int, category: int, number: int, ten: int = 0) -> Column:
+    """A GRIB2 message as binary: ni by nj integers of 16 bits from north to south, nulls left out by the bitmap.
+
+    Regular grid, simple packing: a value is its integer / 10**ten. north, west and step are in millionths of a degree.
+    """
+    known = F.filter(packed, lambda v: v.isNotNull())
+    bits = F.array_join(F.transform(packed, lambda v: F.when(v.isNull(), "0").otherwise("1")), "")
+    octets = -(-ni * nj // 8)
+    padded = F.rpad(bits, 8 * octets, "0")
+    bitmap = F.concat(*[F.lpad(F.conv(F.substring(padded, 8 * i + 1, 8), 2, 16), 2, "0") for i in range(octets)])
+    zeros = lambda n: F.lit("00" * n)
+    body = F.concat(
+        _hex(21, 4), F.lit("01"), zeros(16),
+        _hex(72, 4), F.lit("03"), zeros(1), _hex(ni * nj, 4), zeros(20), _hex(ni, 4), _hex(nj, 4), zeros(8), _hex(north, 4), _hex(west, 4), zeros(9), _hex(step, 4), _hex(step, 4), zeros(1),
+        _hex(34, 4), F.lit("04"), zeros(4), _hex(category, 1), _hex(number, 1), zeros(23),
+        _hex(21, 4), F.lit("05"), _hex(F.size(known), 4), zeros(2), zeros(4), zeros(2), _hex(ten, 2), _hex(16, 1), zeros(1),
+        _hex(6 + octets, 4), F.lit("06"), zeros(1), bitmap,
+        _hex(5 + 2 * F.size(known), 4), F.lit("07"), F.array_join(F.transform(known, lambda v: _hex(v, 2)), ""),
+        F.hex(F.lit("7777")),
+    )
+    return F.unhex(F.concat(F.hex(F.lit("GRIB")), F.lit("00000002"), _hex(16 + F.length(body) / 2, 8), body))

@@ -192,7 +192,7 @@ def test_raster_windows_and_xml_grid(spark, tmp_path):
     spark.dataSource.register(readers.AsciiRaster)
     px = spark.read.format("ascii_raster").option("rows", 2).load(f"file:{tmp_path}/r.asc")
     assert sorted((r.lon, r.lat, r.value) for r in px.collect()) == [(-74.5, 4.5, 1.0), (-74.5, 6.5, 10.0), (-73.5, 4.5, 2.0), (-73.5, 5.5, 30.0)]
-    (tmp_path / "g.xml").write_text('<shakemap_grid><grid_field index="1" name="LON"/><grid_field index="2" name="LAT"/><grid_field index="3" name="mmi"/><grid_data>\n-75 4 5.5\n-74 4 6.1\n</grid_data></shakemap_grid>')
+    (tmp_path / "g.xml").write_text('<shakemap_grid><grid_specification lon_min="-75" lat_min="4" lon_max="-74" lat_max="4" nlon="2" nlat="1"/><grid_field index="1" name="LON"/><grid_field index="2" name="LAT"/><grid_field index="3" name="mmi"/><grid_data>\n-75 4 5.5\n-74 4 6.1\n</grid_data></shakemap_grid>')
     assert sorted((r.lon, r.mmi) for r in readers.xml_grid(spark, f"file://{tmp_path}/g.xml").collect()) == [(-75.0, 5.5), (-74.0, 6.1)]
 
 
