@@ -88,7 +88,10 @@ def schema_finding(fields: dict[str, tuple[str, ...] | None], columns: list[str]
 
 
 def xml_grid(rows: DataFrame, by: str, fields: tuple[str, ...] = ("lon", "lat", "mmi")) -> DataFrame:
-    """(by, value): the XML grid text of each group of points, from north to south and in a row from west to east."""
+    """(by, value): the XML grid text of each group of points, from north to south and in a row from west to east.
+
+    A group is one file's grid: its points and its text are held whole in one task.
+    """
     line = F.concat_ws(" ", *[F.col(c).cast("string") for c in fields])
     points = F.array_sort(F.collect_list(F.struct((-F.col("lat")).alias("south"), "lon", line.alias("line"))))
     ends = [F.format_string(f'{n}_{k}="%s"', f(n).cast("string")) for n in ("lon", "lat") for k, f in (("min", F.min), ("max", F.max))]
