@@ -172,8 +172,10 @@ def buffered(edges: DataFrame, radius: float, corners: int = 8, shape: str = "sh
     return grown.select(F.col("g").alias(shape), *XY)
 
 
-def simplified(lines: DataFrame, tolerance: float, cut: Callable[[DataFrame], DataFrame], key: str = "shape", line: str = "ring") -> DataFrame:
-    """(key, line): lines, arrays of (x, y), without vertices that lie within tolerance of what is left.
+def kept_vertices(lines: DataFrame, tolerance: float, cut: Callable[[DataFrame], DataFrame], key: str = "shape", line: str = "ring") -> DataFrame:
+    """(key, i, p): the vertices of lines, arrays of (x, y), that stay: others lie within tolerance of what is left.
+
+    A vertex is known by its place i in its line, as a line may pass a point twice.
 
     Douglas-Peucker by rounds: in each, the vertex farthest from its chord stays if it is farther than the tolerance,
     and halves its stretch; stretches without one are done and take no part in later rounds. Ties go to the first
@@ -195,4 +197,10 @@ def simplified(lines: DataFrame, tolerance: float, cut: Callable[[DataFrame], Da
                 F.when(before, F.col("a")).otherwise(F.col("mp")).alias("a"), F.when(before, F.col("mp")).otherwise(F.col("b")).alias("b"),
             )
         )
+    return kept
+
+
+def simplified(lines: DataFrame, tolerance: float, cut: Callable[[DataFrame], DataFrame], key: str = "shape", line: str = "ring") -> DataFrame:
+    """(key, line): lines with the vertices that stay, see kept_vertices."""
+    kept = kept_vertices(lines, tolerance, cut, key, line)
     return kept.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "p"))), lambda s: s["p"]).alias(line))

@@ -108,3 +108,10 @@ def test_lengths_on_the_ellipsoid(spark):
     for got in (polygons.outline_km(df), polygons.outline_km(turned, flipped=True)):
         for r in got.collect():
             assert r.km == pytest.approx(want[r.shape], abs=2e-3)
+
+
+def test_a_line_that_passes_a_point_twice_keeps_its_places(spark):
+    ring = [(0.0, 0.0), (5.0, 5.0), (9.0, 0.0), (5.0, 5.0), (0.0, 9.0), (0.1, 8.9), (0.0, 0.0)]
+    df = spark.createDataFrame([(1, ring)], "shape long, ring array<struct<x: double, y: double>>")
+    kept = overlay.kept_vertices(df, 1.0, shared_cut(spark)).collect()
+    assert sorted(r.i for r in kept) == [0, 1, 2, 4, 6] and all(tuple(r.p) == ring[r.i] for r in kept)
