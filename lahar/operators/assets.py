@@ -215,12 +215,16 @@ def build_findings(old: DataFrame, new: DataFrame) -> DataFrame:
 def building_area(edges: DataFrame, level: int, shape: str = "shape", flipped: bool = False) -> DataFrame:
     """(cell, buildings, m2): buildings by the cell of their centroid, with their area on the ellipsoid.
 
-    edges: closed rings, holes turning the other way than their outer ring.
+    edges: closed rings, holes turning the other way than their outer ring. Centroids are reckoned from each building's
+    own corner: from a far origin, the sums of small rings cancel out and leave errors wider than the building.
     """
+    own = Window.partitionBy(shape)
+    near = edges.withColumns({"_x": F.min("x1").over(own), "_y": F.min("y1").over(own)})
     part = geo.ellipsoid_area_part(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], flipped=flipped)
-    turn = geo.shoelace(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
-    sums = edges.groupBy(shape).agg(F.abs(F.sum(part)).alias("m2"), F.sum(turn).alias("s"), F.sum(turn * (F.col("x1") + F.col("x2"))).alias("sx"), F.sum(turn * (F.col("y1") + F.col("y2"))).alias("sy"))
-    first, second = F.col("sx") / (3 * F.col("s")), F.col("sy") / (3 * F.col("s"))
+    x1, y1, x2, y2 = F.col("x1") - F.col("_x"), F.col("y1") - F.col("_y"), F.col("x2") - F.col("_x"), F.col("y2") - F.col("_y")
+    turn = geo.shoelace(x1, y1, x2, y2)
+    sums = near.groupBy(shape).agg(F.abs(F.sum(part)).alias("m2"), F.min("_x").alias("x"), F.min("_y").alias("y"), F.sum(turn).alias("s"), F.sum(turn * (x1 + x2)).alias("sx"), F.sum(turn * (y1 + y2)).alias("sy"))
+    first, second = F.col("x") + F.col("sx") / (3 * F.col("s")), F.col("y") + F.col("sy") / (3 * F.col("s"))
     at = (second, first) if flipped else (first, second)
     return sums.where("s <> 0").groupBy(grid.cell_of(*at, level).alias("cell")).agg(F.count("*").alias("buildings"), F.round(F.sum("m2"), 1).alias("m2"))
 

@@ -115,3 +115,13 @@ def test_a_line_that_passes_a_point_twice_keeps_its_places(spark):
     df = spark.createDataFrame([(1, ring)], "shape long, ring array<struct<x: double, y: double>>")
     kept = overlay.kept_vertices(df, 1.0, shared_cut(spark)).collect()
     assert sorted(r.i for r in kept) == [0, 1, 2, 4, 6] and all(tuple(r.p) == ring[r.i] for r in kept)
+
+
+def test_small_buildings_beside_a_cell_border(spark):
+    """Squares of 20 m whose middle lies 5 m east of a meridian between cells: all belong east of it."""
+    from lahar.functions import grid
+    from lahar.operators import assets
+
+    shapes = [(k, [box(-100.00005, k * 0.873 - 40, -99.99985, k * 0.873 - 40 + 0.0002)]) for k in range(80)]
+    got = assets.building_area(edges(spark, shapes), -2).select(grid.ix_of(F.col("cell")).alias("ix"), "buildings").groupBy("ix").agg(F.sum("buildings")).collect()
+    assert [tuple(r) for r in got] == [(20, 80)]
