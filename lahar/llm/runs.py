@@ -68,7 +68,8 @@ class _Blocks:
         self.rank = [np.unique(s, return_inverse=True)[1].astype(np.int32)]
         while 2 << len(self.rank) - 1 <= longest:
             last, step = self.rank[-1], 1 << len(self.rank) - 1
-            both = last[:-step].astype(np.int64) * (int(last.max()) + 1) + last[step:]
+            whole = len(s) - 2 * step + 1  # a block that would go beyond the end must not get a number of others
+            both = last[:whole].astype(np.int64) * (int(last.max()) + 1) + last[step : step + whole]
             rank = -1 - np.arange(len(s), dtype=np.int32)  # no block of this size starts here: equal to no other
             rank[: len(both)] = np.unique(both, return_inverse=True)[1]
             self.rank.append(rank)

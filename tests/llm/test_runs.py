@@ -93,3 +93,18 @@ def test_one_long_text(spark):
     df = spark.createDataFrame([(7, "start " + "w1 w2 w3 w4 " * 50_000 + "end")], "doc_id long, text string")
     r = runs.word_runs(df).head()
     assert r.n_words == 200_002 and [tuple(x) for x in r.runs] == [(1, 200_000, 4)] and r.kept == "start w1 w2 w3 w4 end"
+
+
+def test_blocks_beyond_the_end_equal_no_others():
+    """Numbers of two halves, one of them beyond the end, could be those of a block that is there: an index error in ahead()."""
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        n = int(rng.integers(8, 60))
+        s = rng.integers(0, int(rng.integers(1, 5)), n)
+        s[0], s[-1] = -1, -2
+        blocks = runs._Blocks(s, n - 2)
+        i, j = (x + 1 for x in np.triu_indices(n - 2, 1))
+        got = blocks.ahead(i, j)
+        for a, b, k in zip(i.tolist(), j.tolist(), got.tolist(), strict=True):
+            want = next((d for d in range(n - b) if s[a + d] != s[b + d]), n - b)
+            assert k == want
