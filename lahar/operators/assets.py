@@ -60,16 +60,21 @@ def sampled_layers(points: DataFrame, layers: dict[str, DataFrame | None], west:
 def dedupe_points(first: DataFrame, later: DataFrame, metres: float) -> DataFrame:
     """later's points that have no point of first strictly within a square window; none within a source is dropped.
 
-    Both sides meet in cells as wide as the window, first's points in their own and the eight around.
+    Both sides meet in cells as wide as the window: later's points, usually fewer, look into their own cell and the eight
+    around. Sides are sorted, not broadcast, so that a task holds no table.
     """
     if metres <= 0:
         return first.unionByName(later)
     d = metres * DEGREES_PER_M
     key = lambda x: F.floor(F.col(x) / d).cast("long")
     around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("o")
-    known = first.select(F.col("lon").alias("k_lon"), F.col("lat").alias("k_lat"), key("lon").alias("x"), key("lat").alias("y"), around).select("k_lon", "k_lat", (F.col("x") + F.col("o.i")).alias("kx"), (F.col("y") + F.col("o.j")).alias("ky"))
-    cond = (key("lon") == F.col("kx")) & (key("lat") == F.col("ky")) & (F.abs(F.col("lon") - F.col("k_lon")) < d) & (F.abs(F.col("lat") - F.col("k_lat")) < d)
-    return first.unionByName(later.join(known, cond, "left_anti"))
+    known = first.select(F.col("lon").alias("k_lon"), F.col("lat").alias("k_lat"), key("lon").alias("kx"), key("lat").alias("ky"))
+    tried = later.select("lon", "lat").distinct().select("lon", "lat", around).select("lon", "lat", (key("lon") + F.col("o.i")).alias("kx"), (key("lat") + F.col("o.j")).alias("ky"))
+    close = (F.abs(F.col("lon") - F.col("k_lon")) < d) & (F.abs(F.col("lat") - F.col("k_lat")) < d)
+    same = (F.col("kx") == F.col("k_kx")) & (F.col("ky") == F.col("k_ky"))
+    known = known.withColumnsRenamed({"kx": "k_kx", "ky": "k_ky"})
+    gone = tried.join(known.hint("merge"), same & close, "left_semi").select("lon", "lat").distinct()
+    return first.unionByName(later.join(gone.hint("merge"), ["lon", "lat"], "left_anti").select(*later.columns))
 
 
 def point_counts(points: DataFrame, level: int) -> DataFrame:

@@ -70,3 +70,26 @@ def test_no_exploded_side_is_broadcast(dense):
     for found in (polygons.nearest_within(df, edges, 0.5), polygons.containing(df, edges)):
         plan = found._jdf.queryExecution().sparkPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_dedupe_and_wind_broadcast_nothing(spark):
+    """Exploded points grow past what a task holds; duplicates and points without coordinates stay as they are."""
+    from lahar.operators import assets, fires
+
+    first = spark.createDataFrame([(1, 0.0, 0.0), (2, 1.0, 1.0), (3, None, 1.0)], "id long, lon double, lat double")
+    later = spark.createDataFrame([(4, 0.001, 0.0), (5, 0.5, 0.5), (5, 0.5, 0.5), (6, None, 0.0), (7, 1.0, 1.02)], "id long, lon double, lat double")
+    kept = assets.dedupe_points(first, later, 2000)
+    assert sorted(r.id for r in kept.collect()) == [1, 2, 3, 5, 5, 6, 7]
+    near = fires.wind_near(first.where("lon IS NOT NULL"), later.where("lon IS NOT NULL").select("lon", "lat", "id").withColumnRenamed("id", "speed"))
+    assert sorted((r.id, r.speed) for r in near.collect()) == [(1, 4), (2, 7)]
+    for found in (kept, near):
+        assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_vertices_meet_only_shapes_that_may_hold_them(dense):
+    """Of each shape one vertex is looked up; the others meet only shapes whose box holds the shape's box."""
+    shapes, _, edges, _ = dense
+    want = sorted((i, o) for i, es in shapes.items() for o, fs in shapes.items() if i != o and all(crossed(e[0], e[1], fs) for e in es))
+    found = polygons.within_shape(edges)
+    assert sorted(map(tuple, found.collect())) == want and want
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().sparkPlan().toString()
