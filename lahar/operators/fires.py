@@ -120,12 +120,15 @@ def wind_at(points: DataFrame, lattice: DataFrame, step: float) -> DataFrame:
 
 
 def wind_near(points: DataFrame, lattice: DataFrame, most: float = 0.5) -> DataFrame:
-    """Nearest published lattice point within most degrees: both sides meet in cells of that side, eight around."""
+    """Nearest published lattice point within most degrees: both sides meet in cells of that side, eight around.
+
+    Sides are sorted, not broadcast: a task holds the points of one cell. Pairs are points times lattice points near by.
+    """
     key = lambda x: F.floor(F.col(x) / most).cast("long")
     near = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]))
     p = points.select("*", near.alias("_o")).withColumn("_kx", key("lon") + F.col("_o.dx")).withColumn("_ky", key("lat") + F.col("_o.dy")).drop("_o")
     q = lattice.select(F.col("lon").alias("w_lon"), F.col("lat").alias("w_lat"), "speed", F.floor(F.col("lon") / most).cast("long").alias("_kx"), F.floor(F.col("lat") / most).cast("long").alias("_ky"))
-    both = p.join(q, ["_kx", "_ky"]).withColumn("d2", F.pow(F.col("lon") - F.col("w_lon"), 2) + F.pow(F.col("lat") - F.col("w_lat"), 2)).where(F.col("d2") <= most * most)
+    both = p.join(q.hint("merge"), ["_kx", "_ky"]).withColumn("d2", F.pow(F.col("lon") - F.col("w_lon"), 2) + F.pow(F.col("lat") - F.col("w_lat"), 2)).where(F.col("d2") <= most * most)
     best = both.groupBy("id").agg(F.min_by(F.struct("speed", "d2"), F.struct("d2", "w_lon", "w_lat")).alias("b"))
     return best.select("id", F.col("b.speed").alias("speed"), F.round("b.d2", 6).alias("d2"))
 
