@@ -206,8 +206,22 @@ def outline_km(edges: DataFrame, shape: str = "shape", flipped: bool = False) ->
 
 
 def within_shape(edges: DataFrame, shape: str = "shape") -> DataFrame:
-    """Pairs of a shape and another whose every vertex it holds (containment of simple shapes)."""
-    corners = edges.select(F.struct(F.col(shape).alias("inner"), F.col("x1").alias("x"), F.col("y1").alias("y")).alias("id"), F.col("x1").alias("lon"), F.col("y1").alias("lat")).distinct()
-    held = containing(corners, edges, shape).where(F.col("id.inner") != F.col(shape)).groupBy(F.col("id.inner").alias("inner"), shape).agg(F.count("*").alias("n"))
-    counts = corners.groupBy(F.col("id.inner").alias("inner")).agg(F.count("*").alias("corners"))
-    return held.join(counts, "inner").where("n = corners").select("inner", F.col(shape).alias("outer"))
+    """Pairs of a shape and another whose every vertex it holds (containment of simple shapes).
+
+    Only shapes that hold one vertex, and whose box holds the shape's box, meet the other vertices.
+    """
+    corners = edges.select(F.col(shape).alias("inner"), F.col("x1").alias("x"), F.col("y1").alias("y")).distinct()
+    box = boxes(edges, shape)
+    mine = corners.groupBy("inner").agg(F.min(F.struct("x", "y")).alias("p"), F.min("x").alias("west"), F.min("y").alias("south"), F.max("x").alias("east"), F.max("y").alias("north"))
+    one = mine.select(F.struct("inner", "west", "south", "east", "north").alias("id"), F.col("p.x").alias("lon"), F.col("p.y").alias("lat"))
+    theirs = box.select(shape, F.struct("west", "south", "east", "north").alias("_box"))
+    outer = edges.join(theirs.hint("merge"), shape).select(F.struct(F.col(shape).alias("of"), "_box").alias("_shape"), *XY)
+    i, o = F.col("id"), F.col("_shape._box")
+    fits = (i["west"] >= o["west"]) & (i["east"] <= o["east"]) & (i["south"] >= o["south"]) & (i["north"] <= o["north"])
+    some = containing(one, outer, "_shape").where(fits & (i["inner"] != F.col("_shape.of"))).select(i["inner"].alias("inner"), F.col("_shape.of").alias("outer"))
+    # a vertex's ray meets the outer shape's edges: pairs times vertices times edges, all of one pair in one sum
+    points = corners.groupBy("inner").agg(F.collect_list(F.struct("x", "y")).alias("ps"))
+    sides = edges.groupBy(F.col(shape).alias("outer")).agg(F.collect_list(F.struct(*XY)).alias("es"))
+    both = some.join(points.hint("merge"), "inner").join(sides.hint("merge"), "outer")
+    crossed = lambda p: F.aggregate("es", F.lit(0), lambda n, e: n + F.when(geo.crosses(p["x"], p["y"], *[e[c] for c in XY]), 1).otherwise(0))
+    return both.where(F.forall("ps", lambda p: crossed(p) % 2 == 1)).select("inner", "outer")
