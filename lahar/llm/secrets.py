@@ -9,7 +9,8 @@ a little more, and dates, repeated blocks, walks over the keyboard and spans of
 Words are counted in all texts, without the values themselves, so that a value can't vouch for itself. Texts are cut
 into chunks; each sends the counts of its distinct words to hashed buckets and asks there for the words that its
 values may hold, and gets only these back: one shuffle, no key with a group, nothing whole on the driver but the
-number of all words. Values longer than LONGEST_LOOKED_UP bytes are judged without words.
+number of all words. Values of any length are looked up: a value's distinct words, about 22 a letter in runs of letters, are held
+in one task, and so are those of its chunk.
 
 Null and empty texts have no spans. Repeated rows give a row each, null ids too. An empty table gives an empty result.
 Other columns, whatever their names, are not read.
@@ -67,9 +68,9 @@ def _char(b: int) -> float:
 CHAR = [_char(b) for b in range(256)]
 
 
-def words_in(value: bytes) -> set[bytes]:
-    """Every word that a value may hold, look-alike characters read as letters."""
-    if len(value) > LONGEST_LOOKED_UP:
+def words_in(value: bytes, longest: int | None = LONGEST_LOOKED_UP) -> set[bytes]:
+    """Every word that a value may hold, look-alike characters read as letters; none of values over longest bytes, if given."""
+    if longest is not None and len(value) > longest:
         return set()
     out = set()
     for run in value.translate(_PLAIN).translate(_LETTERS).split():
@@ -140,17 +141,16 @@ def repeat_ends(value: bytes) -> list[list[tuple[int, float]]]:
 def guess_cost(value: bytes, counts: dict[bytes, int], total: int) -> float:
     """log10 of the guesses for the cheapest way to cut value into words, dates, repeats, walks and brute force."""
     n, plain = len(value), value.translate(_PLAIN)
-    walks, repeats, lookup = walk_ends(value), repeat_ends(value), n <= LONGEST_LOOKED_UP
+    walks, repeats = walk_ends(value), repeat_ends(value)
     best = [0.0] + [inf] * n
     brute = inf  # the last piece is brute force and goes on
     for i in range(n):
         here = best[i] = min(best[i], brute)
         brute = min(brute, here + PIECE) + CHAR[value[i]]
         ends = [*date_ends(value, i), *repeats[i], *([walks[i]] if walks[i] else [])]
-        if lookup:
-            for j in range(i + SHORTEST_WORD, min(n, i + LONGEST_WORD) + 1):
-                if c := counts.get(plain[i:j]):
-                    ends.append((j, word_cost(value[i:j], c, total)))
+        for j in range(i + SHORTEST_WORD, min(n, i + LONGEST_WORD) + 1):
+            if c := counts.get(plain[i:j]):
+                ends.append((j, word_cost(value[i:j], c, total)))
         for j, cost in ends:
             best[j] = min(best[j], here + cost + PIECE)
     return min(best[n], brute)
@@ -196,7 +196,7 @@ def found_secrets(docs: DataFrame, strength: float = 10.0, id_col: str = "doc_id
             left = 0
             for a, b in values:
                 counts.update(data[left:a].translate(_LETTERS).split())
-                wanted |= words_in(data[a:b])
+                wanted |= words_in(data[a:b], None)
                 left = b
             counts.update(data[left:].translate(_LETTERS).split())
             at = sorted({x for a, b, *_ in (*base, *values) for x in (a, b)})

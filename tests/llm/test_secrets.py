@@ -110,3 +110,15 @@ def test_words_are_counted_over_all_chunks(spark, monkeypatch):
     df = spark.createDataFrame([*common, (99, "pwd: zorblequandish"), *[(100 + i, "pwd: vorpalsnacker") for i in range(30)]], "doc_id long, text string").repartition(6)
     got = {r.doc_id: r.spans for r in secrets.digest(secrets.found_secrets(df)).collect()}
     assert got[99] == "" and all(got[100 + i] == "guess:5:18" for i in range(30))
+
+
+def test_a_value_is_judged_by_words_at_any_length(spark):
+    """Common words, just under and just over the length beyond which values had no words."""
+    common = [(i, "zorblequandishfeltermum " * 3000) for i in range(4)]
+    short, long = ("zorblequandishfeltermum" * k + "9Z" for k in (5, 6))
+    got = {r.doc_id: r.spans for r in secrets.found_secrets(spark.createDataFrame([*common, (8, "pwd: " + short), (9, "pwd: " + long)], "doc_id long, text string"), strength=0.0).collect()}
+    cost = {i: [s.cost for s in got[i] if s.kind == "guess"][0] for i in (8, 9)}
+    counts = {b"zorblequandishfeltermum": 12_000}
+    for i, value in ((8, short), (9, long)):
+        assert cost[i] == pytest.approx(secrets.guess_cost(value.encode(), counts, 12_002), abs=1e-3)
+    assert len(long) > secrets.LONGEST_LOOKED_UP > len(short) and cost[9] < cost[8] + 1 < 10
