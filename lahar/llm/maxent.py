@@ -72,22 +72,38 @@ def features(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([mix(one, 0x9E3779B97F4A7C15), mix(one * np.uint64(0xC2B2AE3D27D4EB4F) ^ (two + np.uint64(7)), 0xD6E8FEB86659FD93) + CELLS, mix(two, 0xA0761D6478BD642F) + 2 * CELLS], 1)
 
 
-def _log_softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = weights[rows[:, 0]] + weights[rows[:, 1]] + weights[rows[:, 2]] + bias
+def _scores(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Each class's sum of weights, less the greatest."""
+    z = weights.take(rows[:, 0], 0)
+    z += weights.take(rows[:, 1], 0)
+    z += weights.take(rows[:, 2], 0)
+    z += bias
     z -= z.max(1, keepdims=True)
+    return z
+
+
+def _log_softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    z = _scores(weights, bias, rows)
     return z - np.log(np.exp(z).sum(1, keepdims=True))
 
 
+def _softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    z = _scores(weights, bias, rows)
+    np.exp(z, out=z)
+    z /= z.sum(1, keepdims=True)
+    return z
+
+
 def descend(weights: np.ndarray, bias: np.ndarray, power: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """Gradient steps over batches of STEP tokens, in place; power sums squared gradients of each weight row."""
     for at in range(0, len(target), STEP):
         r, y = rows[at : at + STEP], target[at : at + STEP]
-        g = np.exp(_log_softmax(weights, bias, r))
+        g = _softmax(weights, bias, r)
         g[np.arange(len(y)), y] -= 1
         flat = r.T.ravel()
         order = np.argsort(flat, kind="stable")
         own, starts = np.unique(flat[order], return_index=True)
-        total = np.add.reduceat(g[order % len(y)], starts)
+        total = np.add.reduceat(g.take(order % len(y), 0), starts)
         power[own] += (total * total).mean(1)
         weights[own] -= (RATE / np.sqrt(power[own] + 1e-6))[:, None] * total
         bias -= 0.01 * g.mean(0)
@@ -271,8 +287,9 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "doc_id"
         rows = features(hashes[flat], first)
         for i in range(0, len(flat), BLOCK):
             part = slice(i, i + BLOCK)
-            logs = _log_softmax(weights, bias, rows[part])
-            value[part] += logs[np.arange(len(logs)), kind[flat[part]]].astype(np.float64) / np.log(10)
+            z = _scores(weights, bias, rows[part])
+            own = z[np.arange(len(z)), kind[flat[part]]]
+            value[part] += (own - np.log(np.exp(z, out=z).sum(1))).astype(np.float64) / np.log(10)
         sums = lambda x: np.add.reduceat(x, first)
         arrays = [
             pa.array(ids, pa.int64()),
