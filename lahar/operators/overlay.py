@@ -7,14 +7,21 @@ one piece whose weights add up, so shared borders need no case of their own.
 
 Winding numbers count edges east of a piece's middle. This is done in sheared coordinates (y + SHEAR * x), in which no
 edge of real data is level. A crossing within END of an edge's end is that end.
+
+Where areas are wanted and not outlines, pairs split no edges (`pair_areas`). What lies west of an edge is a strip, and a
+fill is the sum of its edges' strips, counted by whether they go up or down. So what two fills share is a sum over pairs
+of their edges, of the integral of how far these are apart where they pass the same latitudes. Shapes meet in tiles of
+a grid cell, and all that is made of a pair is its row of the result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from math import cos, log2, pi, sin
+from math import ceil, cos, log2, pi, sin, sqrt
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lahar.functions import geo, grid
@@ -23,6 +30,15 @@ from lahar.operators.polygons import boxes
 XY = ["x1", "y1", "x2", "y2"]
 SHEAR = 0.7390851332151607
 END = 1e-10
+#: A shape of more edges than this is dealt in several parts, each of edges close in latitude.
+PART = 256
+#: Parts of one layer in a tile, about.
+TILE = 1024
+#: Tiles are dealt to so many tasks at most.
+MOST = 4000
+#: Pairs of edges looked at in one step, so that it stays in a core's cache.
+STEP = 1 << 15
+BOX = ["west", "south", "east", "north"]
 
 
 def _row_level(edges: DataFrame) -> float:
@@ -148,6 +164,135 @@ def areas(edges: DataFrame, *keys: str) -> DataFrame:
     return edges.groupBy(*keys).agg(F.round(F.sum(part) / 2, 6).alias("area"))
 
 
+def outlined(edges: DataFrame, shape: str = "shape", level: float | None = None) -> DataFrame:
+    """(shape, x1, y1, x2, y2): the outline of each shape's even-odd fill, which lies on its left."""
+    own = edges.select(F.col(shape).alias("g"), *XY, F.lit(1).alias("wa"), F.lit(0).alias("wb"))
+    return combined(own, lambda a, _: _odd(a), level).select(F.col("g").alias(shape), *XY)
+
+
+def _parts(edges: DataFrame, shape: str, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(shape, part, parts, own, west, south, east, north, edges): outlines in parts, with the box and area of the shape."""
+    lines, sloped = cut(outlined(edges, shape)), F.col("y1") != F.col("y2")  # level edges have no part in strips
+    whole = lines.groupBy(shape).agg((F.sum(geo.shoelace(*[F.col(c) for c in XY])) / 2).alias("own"), F.ceil(F.count_if(sloped) / PART).cast("int").alias("parts"))
+    place = F.row_number().over(Window.partitionBy(shape).orderBy(F.col("y1") + F.col("y2"), *XY))
+    dealt = lines.where(sloped).withColumn("part", F.floor((place - 1) / PART).cast("int")).groupBy(shape, "part").agg(F.array_sort(F.collect_list(F.array(*XY))).alias("edges"))
+    # shapes without an inside have a box too, and pairs
+    every = boxes(edges, shape).join(dealt.join(whole, shape), shape, "left")
+    return every.withColumns({"part": F.coalesce("part", F.lit(0)), "parts": F.coalesce("parts", F.lit(1)), "own": F.coalesce("own", F.lit(0.0)), "edges": F.coalesce("edges", F.array().cast("array<array<double>>"))})
+
+
+def _box_level(*parts: DataFrame) -> int:
+    """The level whose cells are as large as boxes are: in all, shapes touch at most four cells each, whatever their sizes."""
+    w, h = F.col("east") - F.col("west"), F.col("north") - F.col("south")
+    sizes = [p.where("part = 0").select(w.alias("w"), h.alias("h")) for p in parts]
+    mean = sizes[0].union(sizes[1]).agg(F.avg("w"), F.avg("h"), F.avg(F.col("w") * F.col("h"))).head()
+    side = max(mean[0] or 0.0, mean[1] or 0.0, sqrt(mean[2] or 0.0))
+    return -ceil(log2(side)) if side else 0
+
+
+def _padded(edges: pa.Array, of: np.ndarray) -> tuple[np.ndarray, ...]:
+    """x, y, upper y, slope and direction of the edges of some parts, which go up; filled up with edges without height."""
+    lists = edges.take(pa.array(of))
+    size = np.diff(lists.offsets.to_numpy())
+    width = 1 << int(max(size.max(initial=1) - 1, 0)).bit_length()
+    out = np.zeros((len(of), width, 4))
+    out[np.arange(width) < size[:, None]] = lists.flatten().flatten().to_numpy().reshape(-1, 4)
+    up = out[..., 3] >= out[..., 1]
+    x, y, tx, ty = (np.where(up, out[..., i], out[..., i - 2 if i > 1 else i + 2]) for i in range(4))
+    slope = np.divide(tx - x, ty - y, out=np.zeros_like(x), where=ty > y)
+    return x, y, ty, slope, np.where(up, 1.0, -1.0)
+
+
+def shared_areas(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """What fill i of a and fill j of b share, for each pair of parts: minus half of how far edges are apart, summed up."""
+    out = np.zeros(len(i))
+    step = max(1, STEP // (a[0].shape[1] * b[0].shape[1]))
+    for k in range(0, len(i), step):
+        ax, ay, at, am, au = (v[i[k : k + step], :, None] for v in a)
+        bx, by, bt, bm, bu = (v[j[k : k + step], None, :] for v in b)
+        low = np.maximum(ay, by)
+        high = np.maximum(np.minimum(at, bt) - low, 0)
+        one = ax - bx + (low - ay) * am - (low - by) * bm
+        two = one + high * (am - bm)
+        apart = np.abs(one) + np.abs(two)
+        square = one * one + two * two + np.maximum(2 * one * two, 0)
+        across = np.divide(high * square, apart, out=np.zeros_like(square), where=(high > 0) & (apart > 0))
+        out[k : k + step] = -(across * (au * bu)).sum((1, 2)) / 4
+    return out
+
+
+def _met(a: pa.Table, b: pa.Table, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a and of b whose boxes touch, the corner of what they share being in this cell; and what their fills share."""
+    box = lambda t, n: [t.column(f"{n}_{c}").to_numpy() for c in BOX]
+    (aw, as_, ae, an), (bw, bs, be, bn) = box(a, "a"), box(b, "b")
+    cell, s = a.column("cell")[0].as_py(), 2.0**level
+    found = [], []
+    for k in range(len(aw)):
+        j = np.flatnonzero((aw[k] <= be) & (bw <= ae[k]) & (as_[k] <= bn) & (bs <= an[k]))
+        x, y = np.maximum(aw[k], bw[j]), np.maximum(as_[k], bs[j])
+        j = j[np.floor((x + 180) * s).astype(np.int64) * grid.SHIFT + np.floor((y + 90) * s).astype(np.int64) == cell]
+        found[0].append(np.full(len(j), k))
+        found[1].append(j)
+    i, j = (np.concatenate(f) for f in found)
+    share = np.zeros(len(i))
+    ea, eb = (t.column(f"{n}_edges").combine_chunks() for t, n in ((a, "a"), (b, "b")))
+    wide = lambda e: np.ceil(np.log2(np.maximum(np.diff(e.offsets.to_numpy()), 1))).astype(int)
+    wa, wb = wide(ea), wide(eb)
+    for p in np.unique(wa):
+        ia = np.flatnonzero(wa == p)
+        left, at_a = _padded(ea, ia), np.searchsorted(ia, i)
+        for q in np.unique(wb):
+            ib = np.flatnonzero(wb == q)
+            here = np.flatnonzero((wa[i] == p) & (wb[j] == q))
+            share[here] = shared_areas(left, _padded(eb, ib), at_a[here], np.searchsorted(ib, j[here]))
+    return i, j, share
+
+
+#: The area of a fill, of what both shapes share, a's own and b's own.
+AREAS: dict[str, Callable[[Column, Column, Column], Column]] = {
+    "intersection": lambda both, a, b: both,
+    "difference": lambda both, a, b: a - both,
+    "union": lambda both, a, b: a + b - both,
+    "symmetric": lambda both, a, b: a + b - 2 * both,
+}
+
+
+def _shared(a: DataFrame, b: DataFrame, cut: Callable[[DataFrame], DataFrame], shape: str = "shape", tile: int = TILE) -> DataFrame:
+    """(a, b, a_own, b_own, both): what each pair of shapes whose boxes touch shares, and their own areas."""
+    sides = {"a": cut(_parts(a, shape, cut)), "b": cut(_parts(b, shape, cut))}
+    level = _box_level(*sides.values())
+    cells = {n: df.select(*[F.col(c).alias(f"{n}_{c}") for c in (shape, "part", "parts", "own", *BOX, "edges")], F.explode(grid.cells_in_box(*[F.col(c) for c in BOX], level)).alias("cell")) for n, df in sides.items()}
+    blocks = {n: df.groupBy("cell").agg(F.ceil(F.count("*") / tile).cast("int").alias(f"{n}_blocks")) for n, df in cells.items()}
+    both = blocks["a"].join(blocks["b"], "cell")
+    block = lambda n: F.pmod(F.xxhash64(f"{n}_{shape}", f"{n}_part"), F.col(f"{n}_blocks")).cast("int").alias(f"{n}_block")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(f"{n}_blocks") - 1)).alias(f"{n}_block")
+    dealt = {n: df.join(both, "cell").select("cell", block(n), every(o), *[c for c in df.columns if c != "cell"]) for (n, df), o in zip(cells.items(), "ba", strict=True)}
+    names = [f"{n}_{c}" for n in "ab" for c in (shape, "own", "parts")]
+    schema = ", ".join(f"`{c}` {dealt[c[0]].schema[c].dataType.simpleString()}" for c in names) + ", both double"
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        i, j, both = _met(left, right, level) if left.num_rows and right.num_rows else (np.empty(0, int), np.empty(0, int), np.empty(0))
+        columns = [(left.column(c).take(pa.array(i)) if c[0] == "a" else right.column(c).take(pa.array(j))) for c in names]
+        return pa.Table.from_arrays([*columns, pa.array(both)], [*names, "both"])
+
+    # what a tile makes is far more than what it reads, so tiles are dealt by their number and not by bytes
+    key, tiles = ["cell", "a_block", "b_block"], both.agg(F.sum(F.col("a_blocks") * F.col("b_blocks"))).head()[0] or 1
+    left, right = (dealt[n].repartition(min(tiles, MOST), *key).groupBy(*key) for n in "ab")
+    found = left.cogroup(right).applyInArrow(meet, schema)
+    if any(not df.where("parts > 1").isEmpty() for df in sides.values()):
+        found = found.groupBy(f"a_{shape}", f"b_{shape}").agg(F.first("a_own").alias("a_own"), F.first("b_own").alias("b_own"), F.sum("both").alias("both"))
+    return found.select(F.col(f"a_{shape}").alias("a"), F.col(f"b_{shape}").alias("b"), "a_own", "b_own", "both")
+
+
+def filled(shared: DataFrame, fill: str) -> DataFrame:
+    return shared.select("a", "b", AREAS[fill](F.col("both"), F.col("a_own"), F.col("b_own")).alias("area"))
+
+
+def pair_areas(a: DataFrame, b: DataFrame, fill: str, cut: Callable[[DataFrame], DataFrame], shape: str = "shape") -> DataFrame:
+    """(a, b, area): the area of a fill for each pair of shapes whose boxes touch."""
+    return filled(_shared(a, b, cut, shape), fill)
+
+
 def buffered(edges: DataFrame, radius: float, corners: int = 8, shape: str = "shape", level: float | None = None) -> DataFrame:
     """(shape, x1, y1, x2, y2): shapes grown by a regular polygon of that many corners with that outer radius.
 

@@ -125,3 +125,25 @@ def test_small_buildings_beside_a_cell_border(spark):
     shapes = [(k, [box(-100.00005, k * 0.873 - 40, -99.99985, k * 0.873 - 40 + 0.0002)]) for k in range(80)]
     got = assets.building_area(edges(spark, shapes), -2).select(grid.ix_of(F.col("cell")).alias("ix"), "buildings").groupBy("ix").agg(F.sum("buildings")).collect()
     assert [tuple(r) for r in got] == [(20, 80)]
+
+
+def test_pair_areas_are_those_of_outlines(spark, monkeypatch):
+    """Stars with holes, crossing and doubled rings, shapes in several parts, many tiles, spikes without an inside."""
+    rng = random.Random(11)
+    ring = lambda: [(rng.randrange(80) / 8, rng.randrange(80) / 8) for _ in range(rng.randrange(3, 12))]
+    spike = [(2.0, 2.0), (5.0, 5.0)]
+    shapes = [[ring() for _ in range(rng.randrange(1, 3))] for _ in range(14)]
+    shapes += [[spike], [box(1, 1, 4, 4)] * 2, [box(20, 20, 21, 21)], [box(0, 0, 9, 9), box(0, 0, 3, 3)]]
+    a, b = edges(spark, list(enumerate(shapes))[::2]).cache(), edges(spark, list(enumerate(shapes))[1::2]).cache()
+    monkeypatch.setattr(overlay, "PART", 4)
+    pairs = {tuple(r) for r in overlay.meeting(a, b).collect()}
+    want = area(overlay.overlay(a, b, "intersection"), "a", "b")
+    own = {r.shape: r.area for e in (a, b) for r in overlay.areas(overlay.outlined(e), "shape").collect()}
+    plain = {"intersection": lambda x, p, q: x, "difference": lambda x, p, q: p - x, "union": lambda x, p, q: p + q - x, "symmetric": lambda x, p, q: p + q - 2 * x}
+    found = overlay._shared(a, b, shared_cut(spark), tile=3).cache()
+    for fill, of in plain.items():
+        got = overlay.filled(found, fill).collect()
+        assert len(got) == len(pairs) and {(r.a, r.b) for r in got} == pairs
+        for r in got:
+            assert r.area == pytest.approx(of(want.get((r.a, r.b), 0.0), own.get(r.a, 0.0), own.get(r.b, 0.0)), abs=3e-6)
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().toString()  # pairs meet in tiles, and no edges of pairs are shuffled
