@@ -65,16 +65,19 @@ def _upward(edges: DataFrame) -> DataFrame:
 
 def _splits(edges: DataFrame, level: float) -> DataFrame:
     """(g, e, t, x, y): where edges are cut by others of their group, t being how far along."""
-    row = _rows(F.least("y1", "y2"), F.greatest("y1", "y2"), level).alias("row")
+    low = F.least("y1", "y2")
+    row = _rows(low, F.greatest("y1", "y2"), level).alias("row")
     banded = edges.select("g", "e", *XY, row)
     other = banded.select("g", "row", *[F.col(c).alias(f"o_{c}") for c in ("e", *XY)])
     c = {n: F.col(n) for n in (*XY, *[f"o_{x}" for x in XY])}
     beside = (F.least("x1", "x2") <= F.greatest("o_x1", "o_x2")) & (F.least("o_x1", "o_x2") <= F.greatest("x1", "x2"))
     beside &= (F.least("y1", "y2") <= F.greatest("o_y1", "o_y2")) & (F.least("o_y1", "o_y2") <= F.greatest("y1", "y2"))
-    met = banded.join(other, ["g", "row"]).where((F.col("e") < F.col("o_e")) & beside)
+    # two edges meet in the first row that both span, so no pair is seen twice and none is shuffled
+    first = F.floor(F.greatest(low, F.least("o_y1", "o_y2")) * F.lit(2.0**level)).cast("long")
+    met = banded.join(other, ["g", "row"]).where((F.col("e") < F.col("o_e")) & (F.col("row") == first) & beside)
     dx, dy, ox, oy = c["x2"] - c["x1"], c["y2"] - c["y1"], c["o_x2"] - c["o_x1"], c["o_y2"] - c["o_y1"]
     px, py = c["o_x1"] - c["x1"], c["o_y1"] - c["y1"]
-    met = met.select("g", "e", "o_e", *c, dx.alias("dx"), dy.alias("dy"), ox.alias("ox"), oy.alias("oy"), px.alias("px"), py.alias("py")).distinct()
+    met = met.select("g", "e", "o_e", *c, dx.alias("dx"), dy.alias("dy"), ox.alias("ox"), oy.alias("oy"), px.alias("px"), py.alias("py"))
     dx, dy, ox, oy, px, py = (F.col(n) for n in ("dx", "dy", "ox", "oy", "px", "py"))
     det, one, two = dx * oy - dy * ox, dx * dx + dy * dy, ox * ox + oy * oy
     level_ = F.abs(det) <= 1e-12 * F.sqrt(one * two)
@@ -102,22 +105,26 @@ def arranged(edges: DataFrame, level: float | None = None) -> DataFrame:
     edges: g, x1, y1, x2, y2, and the weights wa and wb with which an edge counts in each layer.
     """
     level = _row_level(edges) if level is None else level
-    whole = _upward(edges).groupBy("g", *XY).agg(F.sum("wa").alias("wa"), F.sum("wb").alias("wb")).withColumn("e", F.xxhash64(*XY))
+    # edges are dealt once, by (g, e), and pieces once, by (g, row): all that is grouped or joined below is in place then
+    dealt = _upward(edges).withColumn("e", F.xxhash64(*XY)).repartition("g", "e")
+    whole = dealt.groupBy("g", "e", *XY).agg(F.sum("wa").alias("wa"), F.sum("wb").alias("wb"))
     cuts = _splits(whole, level).groupBy("g", "e").agg(F.array_sort(F.collect_set(F.struct("t", "x", "y"))).alias("cuts"))
     point = lambda i: F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y"))
     between = F.transform(F.coalesce("cuts", F.array().cast("array<struct<t:double,x:double,y:double>>")), lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y")))
     lines = whole.join(cuts, ["g", "e"], "left").select("g", "e", "wa", "wb", F.concat(F.array(point(1)), between, F.array(point(2))).alias("p"))
     ends = F.arrays_zip(F.slice("p", F.lit(1), F.size("p") - 1).alias("a"), F.slice("p", F.lit(2), F.size("p") - 1).alias("b"))
     pieces = lines.select("g", "e", "wa", "wb", F.explode(ends).alias("s")).select("g", "e", "wa", "wb", F.col("s.a.x").alias("x1"), F.col("s.a.y").alias("y1"), F.col("s.b.x").alias("x2"), F.col("s.b.y").alias("y2"))
-    pieces = _upward(pieces).groupBy("g", *XY).agg(F.sum("wa").alias("wa"), F.sum("wb").alias("wb"), F.collect_set("e").alias("own"))
     mx, my = (F.col("x1") + F.col("x2")) / 2, (F.col("y1") + F.col("y2")) / 2
-    tried = pieces.where("wa <> 0 OR wb <> 0").withColumns({"mx": mx, "ms": my + SHEAR * mx})
+    ms = my + SHEAR * mx
+    pieces = _upward(pieces).withColumn("row", F.floor(ms * F.lit(2.0**level)).cast("long")).repartition("g", "row")
+    pieces = pieces.groupBy("g", "row", *XY).agg(F.sum("wa").alias("wa"), F.sum("wb").alias("wb"), F.collect_set("e").alias("own"))
+    tried = pieces.where("wa <> 0 OR wb <> 0").withColumns({"mx": mx, "ms": ms})
     low, high = F.col("y1") + SHEAR * F.col("x1"), F.col("y2") + SHEAR * F.col("x2")
     rows = whole.select("g", "e", F.col("x1").alias("ex"), low.alias("low"), high.alias("high"), ((F.col("x2") - F.col("x1")) / F.when(high != low, high - low)).alias("slope"), F.col("wa").alias("ea"), F.col("wb").alias("eb"), _rows(low, high, level).alias("row"))
     east = (F.col("low") <= F.col("ms")) & (F.col("high") > F.col("ms")) & (F.col("ex") + (F.col("ms") - F.col("low")) * F.col("slope") > F.col("mx"))
-    seen = tried.withColumn("row", F.floor(F.col("ms") * F.lit(2.0**level)).cast("long")).join(rows, ["g", "row"], "left")
+    seen = tried.join(rows, ["g", "row"], "left")
     counts = lambda w: F.coalesce(F.sum(F.when(east & ~F.array_contains("own", F.col("e")), F.col(w))), F.lit(0))
-    right = seen.groupBy("g", *XY, "wa", "wb").agg(counts("ea").alias("ra"), counts("eb").alias("rb"))
+    right = seen.groupBy("g", "row", *XY, "wa", "wb").agg(counts("ea").alias("ra"), counts("eb").alias("rb"))
     return right.select("g", *XY, (F.col("ra") + F.col("wa")).alias("la"), (F.col("rb") + F.col("wb")).alias("lb"), "ra", "rb")
 
 

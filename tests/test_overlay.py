@@ -1,6 +1,7 @@
 """Overlay against areas by hand, and against random sampling of the fills."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +148,18 @@ def test_pair_areas_are_those_of_outlines(spark, monkeypatch):
         for r in got:
             assert r.area == pytest.approx(of(want.get((r.a, r.b), 0.0), own.get(r.a, 0.0), own.get(r.b, 0.0)), abs=3e-6)
     assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().toString()  # pairs meet in tiles, and no edges of pairs are shuffled
+
+
+def test_edges_and_pieces_are_shuffled_once(spark):
+    """Pairs of edges and counted pieces stay where they were made."""
+    e = edges(spark, [(k, [box(k, 0, k + 2, 2), box(k + 1, 1, k + 3, 3)]) for k in range(9)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = overlay.arranged(e.select(F.col("shape").alias("g"), *overlay.XY, F.lit(1).alias("wa"), F.lit(0).alias("wb")), 0)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert len(found.where("ra = 2 OR la = 2").collect()) == 9 * 4  # both squares' sides around what they share
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(g" in plan
+    for keys in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan):  # by (g, e) or (g, row), never by coordinates
+        assert len(keys.split(", ")) == 3, keys
