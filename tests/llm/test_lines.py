@@ -73,3 +73,21 @@ def test_leaf_shares_match_brute_force_and_sql(spark):
     duck = duckdb.connect()
     duck.register("documents", df.toPandas().astype({"doc_id": "Int64"}))
     assert sorted(map(str, duck.execute(LINES_SQL).fetchall())) == sorted(str(tuple(r)) for r in lines.digest(found).collect())
+
+
+def test_a_token_is_looked_up_once_for_all_shares(spark, monkeypatch):
+    """Counts of hashes in one process: a token's twice, whatever the number of shares."""
+    asked = []
+    plain = lines._hash
+    monkeypatch.setattr(lines, "_hash", lambda data: asked.append(data) or plain(data))
+    seen = {}
+    monkeypatch.setattr(lines, "cut_up", lambda source, ask: seen.setdefault("chunk", ask))
+    monkeypatch.setattr(lines, "answered", lambda parts, at, answer, go_on, schema: seen.setdefault("steps", []).append(go_on) or spark.createDataFrame([], "id struct<id: long>, text string, n_lines long, n_removed long, kept string"))
+    df = spark.createDataFrame([(i, "a line of eight common words stands here") for i in range(5)], "doc_id long, text string")
+    lines.dedup_lines(df, leaf_shares=lines.SHARES)
+    kept, asks = seen["chunk"]([{"id": i} for i in range(5)], [b"a line of eight common words stands here"] * 5)
+    for step in seen["steps"][:2]:
+        got = dict(zip([b for b, _ in asks], [a for q in asks for a in lines._summed([q[1]])], strict=True))
+        kept, asks = step(kept, got)
+    token = plain(lines._leaf(b"a line of eight common words stands here".split())) + b" 3 eight"
+    assert asked.count(token) == 2 * 5
