@@ -10,9 +10,10 @@ Sets that fit in a sketch are decided there, the others by their full sets. Link
 A list that still holds several components is open. Its nodes are listed anew, by their full sets: a pair of given
 sizes needs so large an overlap that it shares one of the few rarest values of each (under a tenth of a set for
 sets of one size), rarest among the open nodes. Documents that share a passage but have own text, and copies of
-copies with edits of their own, then meet in no list, so no group is compared all against all. Pairs of different
-components that meet go through the sketches and the full sets like the others. No list is capped, and what is known
-to be connected is not compared again.
+copies with edits of their own, then meet in no list, so no group is compared all against all. Nodes of one such
+list make a pair only if the parities of their sets allow a link: a bit that differs is a value that one of them
+lacks, and sets that link lack few. Pairs of different components go through the sketches and the full sets like the
+others. No list is capped, and what is known to be connected is not compared again.
 
 Texts without words have no shingles and link with nothing; with fewer words than a shingle, all words are one.
 Null ids link with nothing and have a null component. Repeated rows share their component. An empty table gives an
@@ -41,6 +42,8 @@ FANOUT = 64
 SALTS = 256
 #: Sizes that differ by less than this ratio are of one class.
 CLASS = 1.02
+#: Words of 64 bits in which a set's values are counted by parity.
+WORDS = 16
 
 
 def least_shared(percent: int, k: int) -> int:
@@ -256,29 +259,41 @@ def _open_nodes(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return cut(named.join(several, "value").select("node", "part", odd).groupBy("node", "part").agg(F.max("odd").alias("odd")), "neardup-open")
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """64 * WORDS bits, each the parity of how many values of the set fall on it."""
+    odd = np.bincount((s % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _apart(n: Column, m: Column, percent: int) -> Column:
+    """The most values that only one of two sets of n and m values has, if they link."""
+    return n + m - 2 * F.ceil((n + m) * percent / (100 + percent) - 1e-9)
+
+
 def _full_sets(texts: DataFrame, width: int) -> DataFrame:
-    """(node, n, all) of (node, text): the whole set, from the text that gives it."""
+    """(node, n, all, bits) of (node, text): the whole set and its parities, from the text that gives it."""
     small_batches(texts.sparkSession)
 
     def run(batches):
         for names, some in chunks_of(batches, CHUNK):
-            rows = [(x, len(s), s.view(np.int64)) for x, s in zip(names, shingle_sets(some, width), strict=True) if _digest(s) == x]
+            rows = [(x, len(s), s.view(np.int64), parities(s)) for x, s in zip(names, shingle_sets(some, width), strict=True) if _digest(s) == x]
             if rows:
-                node, n, values = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(values, pa.list_(pa.int64()))], ["node", "n", "all"])
+                node, n, values, bits = zip(*rows, strict=True)
+                longs = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(values, longs), pa.array(bits, longs)], ["node", "n", "all", "bits"])
 
-    return texts.mapInArrow(run, "node binary, n long, all array<long>")
+    return texts.mapInArrow(run, "node binary, n long, all array<long>, bits array<long>")
 
 
 def _open_pairs(lists: DataFrame, labels: DataFrame, nodes: DataFrame, source: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (x, y) of different components that share a list and one of the rarest values of their full sets.
 
-    Sets of a and b values that link share at least percent * (a + b) / (100 + percent) of them. A node is listed,
+    The parities of their sets must differ in no more bits than sets that link can differ in values. Sets of a and b values that link share at least percent * (a + b) / (100 + percent) of them. A node is listed,
     for each class of partner sizes, under as many of its rarest values as the smallest such overlap demands.
     """
     found = _open_nodes(lists, labels)
-    sets = _full_sets(_texts(found.select("node"), nodes, source), width)
-    values = cut(sets.select("node", "n", F.explode("all").alias("value")), "neardup-sets")
+    sets = cut(_full_sets(_texts(found.select("node"), nodes, source), width), "neardup-sets")
+    values = sets.select("node", "n", F.explode("all").alias("value"))
     n, step = F.col("n"), log(CLASS)
     rare = _rarest(values, _shared(values), ["n"]).withColumn("alone", n - F.size("rare"))
     rare = rare.where(F.col("alone") <= n - F.ceil(n * percent / 100 - 1e-9))
@@ -290,9 +305,15 @@ def _open_pairs(lists: DataFrame, labels: DataFrame, nodes: DataFrame, source: D
     sized = sized.withColumn("room", room.cast("int")).where("room > 0")
     entries = sized.select("node", "own", "other", F.explode(F.slice("rare", F.lit(1), F.col("room"))).alias("x")).select("node", "own", "other", "x.value")
     entries = cut(entries.join(found, "node"), "neardup-entries")
-    a = entries.where("odd").select(F.col("node").alias("x"), F.col("part").alias("px"), "own", "other", "value")
-    b = entries.select(F.col("node").alias("y"), F.col("part").alias("py"), F.col("other").alias("own"), F.col("own").alias("other"), "value")
-    met = a.join(b, ["value", "own", "other"]).where(F.col("px") != F.col("py"))
+    bits = [f"b{k}" for k in range(WORDS)]
+    known = sets.select("node", "n", *[F.col("bits")[k].alias(c) for k, c in enumerate(bits)])
+    several = entries.groupBy("value").agg(F.min("part").alias("one"), F.max("part").alias("another"), F.max("odd").alias("odds")).where("odds AND one != another")
+    entries = entries.join(several.select("value"), "value").join(known, "node")
+    side = lambda c, own, other: [F.col("node").alias(c), "value", F.col(own).alias("own"), F.col(other).alias("other"), *[F.col(k).alias(f"{c}{k}") for k in ("part", "odd", "n", *bits)]]
+    a, b = entries.where("odd").select(side("x", "own", "other")), entries.select(side("y", "other", "own"))
+    differ = sum((F.bit_count(F.col(f"x{k}").bitwiseXOR(F.col(f"y{k}"))) for k in bits), F.lit(0))
+    alike = (F.col("xpart") != F.col("ypart")) & ((F.col("x") > F.col("y")) | ~F.col("yodd")) & (differ <= _apart(F.col("xn"), F.col("yn"), percent))
+    met = a.join(b, ["value", "own", "other"]).where(alike)
     return met.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
 
 

@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from lahar.llm import neardup
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -108,6 +110,33 @@ def test_unlike_documents_of_one_passage_make_no_pairs(spark, monkeypatch):
     assert sum(met) <= 3 * len(rows)
 
 
+def test_forms_of_one_template_make_few_pairs(spark, monkeypatch):
+    """Each form has up to six edits, most of them some other form's too: hardly any link, and all share rare values."""
+    met = []
+    plain = neardup._possible
+    monkeypatch.setattr(neardup, "_possible", lambda pairs, *a: met.append(pairs.count()) or plain(pairs, *a))
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        w = [f"w{j}" for j in range(150)]
+        for j in rng.sample(range(0, 150, 6), rng.choice([2, 4, 5, 6])):
+            w[j] = rng.choice(["", f"alt{j}", f"own{i}x{j}"])
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, neardup.near_duplicates(df).collect()), key=str) == brute(rows)
+    assert sum(met) <= 10 * len(rows)
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_values():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 20, 300, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+        b = np.unique(np.concatenate([a[: len(a) * 9 // 10], rng.integers(0, 1 << 63, n // 10, np.uint64)]))
+        differ = sum(int(x).bit_count() for x in (neardup.parities(a) ^ neardup.parities(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b))
+        assert not len(a) or differ > 0
+
+
 def test_very_long_text(spark):
     long = " ".join(f"t{j % 70000}x{j}" for j in range(150_000))
     df = spark.createDataFrame([(1, long), (2, long + " tail"), (3, "x" * 700_000), (4, None)], "doc_id long, text string")
