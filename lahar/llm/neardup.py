@@ -184,10 +184,14 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
     Smallest labels spread over edges and along labels, so rounds grow with the logarithm of the longest path. The
     label of a node with many partners goes to each group of them, so no key holds more than a group.
+
+    Each round drops the labels before it, and with them the tables that its joins broadcast: Spark keeps these on
+    every executor, a memory page each however few their rows, until the driver has collected its garbage.
     """
     bases = cut(_bases(edges), "neardup-bases")
     ends = edges.select(F.col("x").alias("node")).union(edges.select(F.col("y").alias("node"))).distinct()
-    labels = cut(ends.join(nodes.select("node", "id"), "node").select("node", F.struct("id", "node").alias("label")), "neardup-labels")
+    with recorded() as before:
+        labels = cut(ends.join(nodes.select("node", "id"), "node").select("node", F.struct("id", "node").alias("label")), "neardup-labels")
     while True:
         told = bases.join(labels, bases["y"] == labels["node"]).select("y", _every_group(), "label")
         down = edges.join(told, ["y", "group"]).select(F.col("x").alias("to"), "label")
@@ -197,12 +201,23 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         # only labels of nodes that have another label themselves lead further: roots, where most labels point, do not
         jump = labels.where(F.col("label.node") != F.col("node")).select(F.col("node").alias("at"), F.col("label").alias("beyond"))
         step = step.join(jump, F.col("label.node") == F.col("at"), "left").select("node", "old", F.least("label", F.coalesce("beyond", "label")).alias("label"))
-        step = cut(step, "neardup-labels")
+        with recorded() as made:
+            step = cut(step, "neardup-labels")
         labels = step.select("node", "label")
+        drop(nodes.sparkSession, before)
+        before = made
         if step.where(F.col("old") != F.col("label")).isEmpty():
             return labels
 
 
+def _linked(pairs: DataFrame, nodes: DataFrame, source: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs whose sketches and full sets are alike enough, written; nothing else stays that was needed for them."""
+    with recorded() as made:
+        links = cut(_confirmed(cut(_possible(pairs, nodes, percent), "neardup-pairs"), nodes, source, width, percent), "neardup-links")
+    drop(nodes.sparkSession, made[:-1])
+    return links
+
+
 def _joined(labels: DataFrame, links: DataFrame, nodes: DataFrame) -> DataFrame:
     """Labels after more links: these join components, so the graph to walk has a node for each component."""
     part = lambda c: labels.select(F.col("node").alias(c), F.col("label.node").alias(f"of_{c}"))
@@ -344,11 +359,13 @@ def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     nodes = rows.where(real).groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.collect_set(salt).alias("salts"))
     nodes = cut(nodes, "neardup-nodes")
     lists = _lists(nodes, percent)
-    links = cut(_confirmed(cut(_possible(_stars(lists), nodes, percent), "neardup-pairs"), nodes, source, width, percent), "neardup-links")
+    links = _linked(_stars(lists), nodes, source, width, percent)
     labels = components(links, nodes)
-    more = cut(_open_pairs(lists, labels, nodes, source, width, percent), "neardup-met")
+    with recorded() as made:
+        more = cut(_open_pairs(lists, labels, nodes, source, width, percent), "neardup-met")
+    drop(docs.sparkSession, made[:-1])
     if not more.isEmpty():
-        more = cut(_confirmed(cut(_possible(_grouped(more), nodes, percent), "neardup-pairs"), nodes, source, width, percent), "neardup-links")
+        more = _linked(_grouped(more), nodes, source, width, percent)
         if not more.isEmpty():
             labels = _joined(labels, more, nodes)
     named = labels.select(F.col("node").alias("of"), "label")

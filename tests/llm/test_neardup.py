@@ -1,9 +1,11 @@
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 
 from lahar.llm import neardup
+from lahar.llm.common import recorded
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -148,3 +150,13 @@ def test_one_of_each_and_repeated_rows(spark):
     df = spark.createDataFrame([(4, text, "a"), (4, text, "a"), (9, text + " y", "b"), (7, "", "c"), (8, None, "c")], "doc_id long, text string, kept string")
     assert sorted(r.doc_id for r in neardup.one_of_each(df).collect()) == [4, 7, 8]
     assert neardup.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_rounds_leave_only_the_last_labels(spark):
+    nodes = spark.createDataFrame([(b"%03d" % i, i) for i in range(30)], "node binary, id long")
+    pairs = spark.createDataFrame([(b"%03d" % (i + 1), b"%03d" % i) for i in range(29)], "x binary, y binary")
+    with recorded() as made:
+        labels = neardup.components(neardup._grouped(pairs), nodes)
+    rounds = [Path(x.removeprefix("file://")) for x in made if "neardup-labels" in x]
+    assert len(rounds) > 3 and [x.exists() for x in rounds] == [False] * (len(rounds) - 1) + [True]
+    assert {r.label.id for r in labels.collect()} == {0} and labels.count() == 30

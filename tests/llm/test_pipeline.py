@@ -46,3 +46,9 @@ def test_stages_keep_columns(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
         assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def test_no_task_decodes_while_it_encodes(spark, tmp_path):
+    docs = spark.createDataFrame(corpus()[:20], "doc_id long, text string, lang string, source string, n_chars long")
+    plan = corpus_pipeline.byte_bpe(spark, docs, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "CoGroups" not in plan
